@@ -1,6 +1,6 @@
 """Named plans over the driver tables (queries + SQL oracles)."""
 
-from strata.plans import rules_plans, steps_plans  # noqa: F401  (registers plans)
+from strata.plans import reconcile_plans, rules_plans, steps_plans  # noqa: F401  (registers plans)
 from strata.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
