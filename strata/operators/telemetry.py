@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Telemetry statuses and the breach flag texts.
 STATUSES = ("IN_TRANSIT", "AT_HUB", "DELAYED", "DELIVERED")
@@ -27,45 +28,64 @@ def salted_key(package_id: Column, ts_text: Column) -> Column:
     return F.concat_ws("#", F.substring(F.md5(package_id), 1, 4), package_id, ts_text)
 
 
-def _truthy_text(v: Column) -> Column:
-    """JSON value that is present, not null, not '' / 0 / false / [] / {}."""
-    t = F.schema_of_variant(v)
-    s = F.try_variant_get(v, "$", "string")
+def _truthy(t: Column, s: Column, d: Column, present: Column) -> Column:
+    """JSON value that is present, not null, not '' / 0 / false / [] / {}.
+
+    ``t`` is the value's variant type name, ``s`` its text, ``d`` its number.
+    """
     numeric = t.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)")
     falsy = (((t == "STRING") & (s == ""))
              | ((t == "BOOLEAN") & (s == "false"))
-             | (numeric & (F.try_variant_get(v, "$", "double") == 0))
-             | t.isin("ARRAY<VOID>", "OBJECT<>"))
-    return v.isNotNull() & ~F.is_variant_null(v) & ~F.coalesce(falsy, F.lit(False))
+             | (numeric & (d == 0))
+             | t.isin("ARRAY<VOID>", "OBJECT<>", "VOID"))
+    return present & ~F.coalesce(falsy, F.lit(False))
+
+
+OUTPUT_COLUMNS = ("row_key", "package_id", "status", "sla_breach", "timestamp", "delay_reason")
 
 
 def parse_telemetry(messages: DataFrame, value: str = "value") -> DataFrame:
     """JSON text (or bytes) -> ``row_key, package_id, status, sla_breach,
-    timestamp, delay_reason``; messages missing an id or time are skipped."""
-    raw = F.col(value).cast("string")
-    v = F.try_parse_json(raw)
-    parsed = messages.select(v.alias("_v"))
-    pid = F.variant_get(F.col("_v"), "$.package_id", "variant")
-    ts = F.variant_get(F.col("_v"), "$.timestamp", "variant")
-    status_v = F.variant_get(F.col("_v"), "$.status", "variant")
-    reason_v = F.variant_get(F.col("_v"), "$.delay_reason", "variant")
-    keep = (F.col("_v").isNotNull()
-            & (F.schema_of_variant(pid) == "STRING") & _truthy_text(pid)
-            & _truthy_text(ts))
-    pid_s = F.try_variant_get(pid, "$", "string")
-    ts_s = F.try_variant_get(ts, "$", "string")
-    status_s = F.when(F.schema_of_variant(status_v) == "STRING",
-                      F.try_variant_get(status_v, "$", "string"))
-    reason = (F.when(reason_v.isNull(), F.lit(""))
-              .when(F.is_variant_null(reason_v), F.lit(None).cast("string"))
-              .otherwise(F.try_variant_get(reason_v, "$", "string")))
-    return parsed.filter(keep).select(
-        salted_key(pid_s, ts_s).alias("row_key"),
-        pid_s.alias("package_id"),
-        status_s.alias("status"),
-        sla_flag(status_s).alias("sla_breach"),
-        ts_s.alias("timestamp"),
-        reason.alias("delay_reason"))
+    timestamp, delay_reason``; messages missing an id or time are skipped.
+
+    Each message is parsed once.  The keep / drop decision is made by a
+    generator (``inline`` of a zero- or one-element array) rather than a
+    filter: a filter would be pushed below the projections and Catalyst would
+    substitute -- and so re-evaluate -- the parse in every predicate.
+    """
+    parsed = messages.select(F.try_parse_json(F.col(value).cast("string")).alias("_v"))
+    fields = parsed.select(*[
+        F.variant_get(F.col("_v"), f"$.{k}", "variant").alias(k)
+        for k in ("package_id", "timestamp", "status", "delay_reason")])
+    typed = fields.select(
+        F.schema_of_variant("package_id").alias("pid_t"),
+        F.try_variant_get("package_id", "$", "string").alias("pid_s"),
+        F.try_variant_get("package_id", "$", "double").alias("pid_d"),
+        F.schema_of_variant("timestamp").alias("ts_t"),
+        F.try_variant_get("timestamp", "$", "string").alias("ts_s"),
+        F.try_variant_get("timestamp", "$", "double").alias("ts_d"),
+        F.when(F.schema_of_variant("status") == "STRING",
+               F.try_variant_get("status", "$", "string")).alias("status_s"),
+        F.col("delay_reason").isNull().alias("reason_absent"),
+        F.is_variant_null("delay_reason").alias("reason_null"),
+        F.try_variant_get("delay_reason", "$", "string").alias("reason_s"))
+    pid_t, pid_s, ts_s = F.col("pid_t"), F.col("pid_s"), F.col("ts_s")
+    keep = ((pid_t == "STRING")
+            & _truthy(pid_t, pid_s, F.col("pid_d"), pid_s.isNotNull())
+            & _truthy(F.col("ts_t"), ts_s, F.col("ts_d"), F.col("ts_t").isNotNull()))
+    reason = (F.when(F.col("reason_absent"), F.lit(""))
+              .when(F.col("reason_null"), F.lit(None).cast("string"))
+              .otherwise(F.col("reason_s")))
+    row = F.struct(salted_key(pid_s, ts_s).alias("row_key"), pid_s.alias("package_id"),
+                   F.col("status_s").alias("status"), sla_flag(F.col("status_s")).alias(
+                       "sla_breach"), ts_s.alias("timestamp"), reason.alias("delay_reason"))
+    rows = F.when(F.coalesce(keep, F.lit(False)), F.array(row)).otherwise(
+        F.array().cast(T.ArrayType(row_type())))
+    return typed.select(F.inline(rows))
+
+
+def row_type() -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in OUTPUT_COLUMNS])
 
 
 def sla_flag(status: Column) -> Column:

@@ -84,6 +84,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan has fewer
+    splits than that (e.g. one small single-row-group file).
+
+    Checked at planning time from the file splits (no job runs).  On a cluster
+    reading many files the split count far exceeds the cores and this is a
+    no-op; on a few small files it turns a one-task scan into parallel work.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint location for intermediate tables."""
     base = ensure_checkpoint_dir(spark)

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.session import spread
+
 # The driver's table names.
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -17,9 +19,20 @@ DRIVER_TABLES = (
 )
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read ``<sf_dir>/<name>.parquet`` (a file or a folder of parts)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Tables small by construction (fixed cardinality): never spread.
+FIXED_SIZE = ("region", "nation")
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
+    """Read ``<sf_dir>/<name>.parquet`` (a file or a folder of parts).
+
+    With ``balance`` a scan with fewer splits than cores is spread (see
+    ``strata.session.spread``).
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if balance and name not in FIXED_SIZE:
+        df = spread(df)
+    return df
 
 
 class Tables:
