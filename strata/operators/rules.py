@@ -282,14 +282,20 @@ def validate(df: DataFrame, table_name: str, rules: Sequence, mode: str = "compa
         key_col = F.col(key).cast("string")
     else:
         key_col = key
+    rules = [Rule.of(r) for r in rules]
     evaluated = evaluate(df, rules, mode)
     valid = evaluated.filter(
         F.forall("_results", lambda r: r["passed"] | ~r["reject"])).select(*cols)
 
     row_fp = F.xxhash64(*[F.col(c) for c in cols]) if cols else F.lit(0)
+    # inline_outer: the array always holds one struct per rule, and plain
+    # inline would make Catalyst infer a size(...) > 0 filter that evaluates
+    # every rule a second time below the scan.
     audit = evaluated.select(
         key_col.alias("row_key"), row_fp.alias("_fp"), *[F.col(c) for c in carry],
-        F.inline("_results"))
+        F.inline_outer("_results"))
+    if not rules:
+        audit = audit.limit(0)
     if audit_id == "hash":
         aid = F.sha2(F.concat_ws("|", F.lit(run_id), F.lit(table_name), F.col("row_key"),
                                  F.col("rule_id"), F.col("_fp").cast("string")), 256)
