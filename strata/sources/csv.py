@@ -43,13 +43,20 @@ def scan_csv(spark: SparkSession, path: str, header: Sequence[str] | None = None
            .option("escape", '"').option("multiLine", False)
            .schema(schema).csv(path)
            .withColumn("_file", F.col("_metadata.file_path")))
-    good = raw.filter(F.col(CORRUPT).isNull())
+    every = F.concat_ws("", *[F.coalesce(F.col(n), F.lit("")) for n in names])
+    good = raw.filter(F.col(CORRUPT).isNull() & (F.length(every) >= 0))
     not_header = ~reduce(lambda a, b: a & b,
                          [F.coalesce(F.col(n), F.lit("")) == F.lit(n) for n in names])
     rows = good.filter(not_header).select(
         *[F.coalesce(F.col(n), F.lit("")).alias(n) for n in names])
-    rejected = raw.filter(F.col(CORRUPT).isNotNull()).select(
-        F.col("_file").alias("file_path"), F.col(CORRUPT).alias("line"))
+    # An always-true test over every data column, which Catalyst cannot fold:
+    # it keeps count() from pruning the scan to the corrupt column alone, and
+    # keeps the CSV parser tokenising whole lines (with pruning it checks only
+    # the fields it reads, and a wrong field count would go unnoticed).
+    bad = F.col(CORRUPT).isNotNull() & (F.length(every) >= 0)
+    rejected = raw.filter(bad).select(
+        F.col("_file").alias("file_path"), F.col(CORRUPT).alias("line"),
+        F.struct(*[F.col(n) for n in names]).alias("partial"))
     return CsvScan(rows, rejected, names)
 
 
