@@ -45,27 +45,39 @@ def route_context(routes: DataFrame, waypoints: DataFrame, transits: DataFrame,
 
 def route_summary(context: DataFrame, route_key: str, leg: str, stop: str,
                   mode: str | None = None, carrier: str | None = None,
-                  tie: Sequence[str] = ()) -> DataFrame:
+                  tie: Sequence[str] = (), block: int = 4096) -> DataFrame:
     """Per route the stops joined by `` -> `` in leg order and the last
     non-empty mode / carrier in leg order.
 
-    The stop list is one value per route, so it is built per route
-    (``array_sort`` of the route's legs); mode and carrier are ``max_by``
-    partial aggregates.
+    Two levels, so no task sorts a whole long route: legs are grouped into
+    blocks of ``block`` consecutive leg numbers, each block's stops are
+    sorted and joined in parallel, and the second level concatenates the
+    block texts in block order.  Mode and carrier are ``max_by`` partial
+    aggregates carried through both levels.  The final text is the route's
+    output value, so its size is the route's length.
     """
-    order = [F.col(leg).cast("bigint").alias("_leg")] + [F.col(c) for c in tie]
-    legs = F.array_sort(F.collect_list(F.struct(*order, F.col(stop).cast("string")
-                                                .alias("_stop"))))
-    aggs = [F.array_join(F.transform(legs, lambda s: s["_stop"]), STOP_SEPARATOR)
+    order = [F.col(leg).cast("bigint").alias("_leg")] + [F.col(c).alias(f"_t{i}")
+                                                         for i, c in enumerate(tie)]
+    names = ["_leg"] + [f"_t{i}" for i in range(len(tie))]
+    extra = [c for c in (mode, carrier) if c]
+    base = context.select(F.col(route_key), *order, F.col(stop).cast("string").alias("_stop"),
+                          *[F.col(c) for c in extra])
+    base = base.withColumn("_blk", F.floor(F.col("_leg") / F.lit(block)))
+    key = F.struct(*[F.col(n) for n in names])
+    legs = F.array_sort(F.collect_list(F.struct(*[F.col(n) for n in names], F.col("_stop"))))
+    lvl1 = [F.array_join(F.transform(legs, lambda x: x["_stop"]), STOP_SEPARATOR).alias("_part")]
+    for c in extra:
+        v = F.col(c)
+        ok = v.isNotNull() & (v.cast("string") != "")
+        lvl1.append(F.max_by(F.when(ok, v), F.when(ok, key)).alias(f"_v_{c}"))
+        lvl1.append(F.max(F.when(ok, key)).alias(f"_k_{c}"))
+    blocks = base.groupBy(route_key, "_blk").agg(*lvl1)
+    parts = F.array_sort(F.collect_list(F.struct("_blk", "_part")))
+    lvl2 = [F.array_join(F.transform(parts, lambda x: x["_part"]), STOP_SEPARATOR)
             .alias("stops")]
-    key = F.struct(*order)
-    for name in (mode, carrier):
-        if name:
-            v = F.col(name)
-            aggs.append(F.max_by(F.when(v.isNotNull() & (v.cast("string") != ""), v),
-                                 F.when(v.isNotNull() & (v.cast("string") != ""), key))
-                        .alias(f"last_{name}"))
-    return context.groupBy(route_key).agg(*aggs)
+    for c in extra:
+        lvl2.append(F.max_by(F.col(f"_v_{c}"), F.col(f"_k_{c}")).alias(f"last_{c}"))
+    return blocks.groupBy(route_key).agg(*lvl2)
 
 
 def route_text(summary_row: Mapping | None, route_key: str, mode: str, carrier: str) -> str:

@@ -3,8 +3,8 @@
 The batch is first reduced to one row per key (latest by an order column)
 with a partial aggregate (``max_by``), so a key repeated across a third of
 the batch collapses map-side before any shuffle.  After that both sides of
-the merge hold unique keys, so the merge join cannot be skewed: it is a
-single sort-merge (or, when AQE measures a small side, broadcast-hash) join.
+the merge hold unique keys, so the merge joins cannot be skewed; see
+``upsert`` for how a small batch avoids shuffling the target at all.
 
 Modes:
 
@@ -28,9 +28,9 @@ def latest_per_key(batch: DataFrame, key: Sequence[str] | str,
                    order_by: str | None = None) -> DataFrame:
     """One row per key; the row with the greatest ``order_by`` wins.
 
-    Without an order column every row must already carry a distinct key
-    (Spark has no arrival order); duplicates then raise at merge time is not
-    checked here -- callers pass ``order_by`` for batches with repeats.
+    Without an order column the batch should carry distinct keys: Spark has
+    no arrival order, so which of two repeats survives is unspecified.
+    Callers pass ``order_by`` for batches with repeats.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if order_by is None:
@@ -54,6 +54,13 @@ def upsert(target: DataFrame, batch: DataFrame, key: Sequence[str] | str,
 
     Columns present only in the target keep their values; batch-only columns
     are added (NULL for untouched rows).
+
+    Plan: updates are ``target LEFT JOIN batch`` and inserts are the batch
+    keys that no target key matches (a semi join of the target's key column
+    with the batch, then an anti join of the batch with that small result).
+    Unlike one full outer join -- which can never broadcast -- a batch small
+    enough to broadcast (by plan statistics or AQE's measured size) leaves the
+    huge target unshuffled; a large batch falls back to sort-merge joins.
     """
     keys = [key] if isinstance(key, str) else list(key)
     b = latest_per_key(batch, keys, order_by)
@@ -62,19 +69,16 @@ def upsert(target: DataFrame, batch: DataFrame, key: Sequence[str] | str,
     t_types = {f.name: f.dataType for f in target.schema.fields}
     b_types = {f.name: f.dataType for f in b.schema.fields}
     cols = list(target.columns) + [c for c in b.columns if c not in t_types]
-    t = target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns],
-                      F.lit(True).alias("_in_t"))
+    t = target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns])
     n = b.select(*[F.col(c).alias(f"n_{c}") for c in b.columns], F.lit(True).alias("_in_n"))
     cond = None
     for k in keys:
         c = t[f"t_{k}"] == n[f"n_{k}"]
         cond = c if cond is None else cond & c
-    merged = t.join(n, cond, "full_outer")
+    updated = t.join(n, cond, "left")
     out = []
     for c in cols:
-        if c in keys:
-            v = F.coalesce(F.col(f"n_{c}"), F.col(f"t_{c}"))
-        elif c not in b_types:
+        if c in keys or c not in b_types:
             v = F.col(f"t_{c}")
         elif c not in t_types:
             v = F.col(f"n_{c}")
@@ -85,9 +89,12 @@ def upsert(target: DataFrame, batch: DataFrame, key: Sequence[str] | str,
             v = F.when(_blank(newv, b_types[c]), F.col(f"t_{c}")).otherwise(newv)
         else:
             raise ValueError(f"unknown upsert mode {mode!r}")
-        dtype = t_types.get(c) or b_types[c]
-        out.append(v.cast(dtype).alias(c))
-    return merged.select(*out)
+        out.append(v.cast(t_types.get(c) or b_types[c]).alias(c))
+    matched = target.select(*keys).join(b.select(*keys), keys, "left_semi")
+    inserts = b.join(matched, keys, "left_anti").select(*[
+        (F.col(c) if c in b_types else F.lit(None)).cast(t_types.get(c) or b_types[c]).alias(c)
+        for c in cols])
+    return updated.select(*out).unionByName(inserts)
 
 
 def apply_actions(target: DataFrame, actions: DataFrame, key: str, payload: str,

@@ -132,3 +132,12 @@ def test_follow_declared_relationship(spark):
     w = spark.createDataFrame([("W1", "R1"), ("W2", "R9")], "waypoint_id string, route_id_txt string")
     out = follow(r, w, rel)
     assert [r.waypoint_id for r in out.collect()] == ["W1"]
+
+
+def test_route_summary_across_blocks(spark):
+    rows = [("R", str(i), f"S{i}", "AIR" if i in (2, 5) else "", "C" if i == 1 else None)
+            for i in (7, 3, 1, 6, 2, 5, 4, 11)]
+    df = spark.createDataFrame(rows, "r string, leg string, stop string, mode string, carrier string")
+    s = route_summary(df, "r", "leg", "stop", "mode", "carrier", block=2).first()
+    assert s.stops == " -> ".join(f"S{i}" for i in (1, 2, 3, 4, 5, 6, 7, 11))
+    assert (s.last_mode, s.last_carrier) == ("AIR", "C")
