@@ -183,3 +183,47 @@ def vector_topk_plan(spark, sf_dir):
     top = vector_topk(emb, "vec_id", "embedding", query_vector(emb, "vec_id", "embedding", 0), 10)
     return top.select("vec_id", F.round("score", 3).alias("score"),
                       match_band(F.col("score")).alias("band"))
+
+
+@plan("object_lookup", """
+SELECT c_custkey, c_name FROM customer
+WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+""")
+def object_lookup(spark, sf_dir):
+    from strata.operators.project import get_objects
+    t = Tables(spark, sf_dir)
+    keys = t.orders.filter(F.col("o_orderpriority") == "1-URGENT").select("o_custkey")
+    return get_objects(t.customer, "c_custkey", keys).select("c_custkey", "c_name")
+
+
+@plan("document_index", """
+SELECT CAST(doc_id AS VARCHAR) AS id, sha256(text) AS text_hash FROM documents
+WHERE text IS NOT NULL AND length(text) > 0 AND length(CAST(doc_id AS VARCHAR)) <= 50
+""")
+def document_index(spark, sf_dir):
+    from strata.operators.retrieve import index_documents
+    d = Tables(spark, sf_dir).documents.select(F.col("doc_id").cast("string").alias("id"), "text")
+    return index_documents(None, d).select("id", F.sha2("text", 256).alias("text_hash"))
+
+
+@plan("evidence", """
+WITH q AS (SELECT embedding FROM embeddings WHERE vec_id = 0),
+top AS (
+  SELECT e.vec_id, e.label,
+         round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[])::DOUBLE, 3)
+           AS score
+  FROM embeddings e, q
+  ORDER BY list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) DESC, e.vec_id
+  LIMIT 5)
+SELECT vec_id, 'item: ' || CAST(vec_id AS VARCHAR) || chr(10) || 'label: ' || CAST(label AS VARCHAR)
+       || chr(10) || 'band: ' || CASE WHEN score > 0.5 THEN 'Match' ELSE 'Partial' END AS evidence
+FROM top
+""")
+def evidence(spark, sf_dir):
+    from strata.operators.retrieve import evidence_text
+    emb = Tables(spark, sf_dir).embeddings
+    top = vector_topk(emb, "vec_id", "embedding", query_vector(emb, "vec_id", "embedding", 0), 5,
+                      keep=["label"])
+    band = match_band(F.round("score", 3))
+    return top.select("vec_id", evidence_text([("item", F.col("vec_id")), ("label", F.col("label")),
+                                               ("band", band)]).alias("evidence"))

@@ -133,3 +133,19 @@ def null_counts_plan(spark, sf_dir):
 def file_checksums_plan(spark, sf_dir):
     files = file_checksums(spark, f"{sf_dir.rstrip('/')}/*.parquet")
     return compare_checksums(files, file_checksums(spark, f"{sf_dir.rstrip('/')}/*.parquet"))
+
+
+@plan("row_count_check", """
+SELECT (SELECT count(*) FROM orders) AS source_rows,
+       (SELECT count(*) FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))
+         AS target_rows,
+       (SELECT count(*) FROM orders)
+         = (SELECT count(*) FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))
+         AS row_count_ok
+""")
+def row_count_check(spark, sf_dir):
+    from strata.operators.reconcile import check_row_count
+    t = Tables(spark, sf_dir)
+    # target: the orders that made it into the line-item table
+    shipped = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi")
+    return check_row_count(t.orders, shipped)

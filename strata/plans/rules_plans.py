@@ -142,3 +142,94 @@ def upsert_merge(spark, sf_dir):
         F.when(F.col("c_acctbal") < -500, F.lit("NEW")).otherwise(F.lit("")).alias(
             "c_mktsegment"))
     return upsert(target, batch, "c_custkey", mode="non_empty")
+
+
+@plan("audit_flatten", """
+WITH a AS (
+  SELECT 'lineitem' AS table_name, 'R1' AS rule_id, l_quantity > 10 AS ok FROM lineitem
+  UNION ALL SELECT 'lineitem', 'R2', l_returnflag IN ('A','N') FROM lineitem
+  UNION ALL SELECT 'orders', 'O1', o_totalprice > 1000 FROM orders
+  UNION ALL SELECT 'orders', 'O2', o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') FROM orders)
+SELECT table_name, rule_id, CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END AS status, count(*) AS n_rows
+FROM a GROUP BY ALL
+""")
+def audit_flatten(spark, sf_dir):
+    from strata.operators.rules import flatten_audits
+    t = Tables(spark, sf_dir)
+    audits = [validate(t.lineitem, "lineitem", LINEITEM_RULES, mode="strict",
+                       evaluated_at=RUN_TIME).audit,
+              validate(t.orders, "orders", ORDER_RULES, mode="strict",
+                       evaluated_at=RUN_TIME).audit]
+    return flatten_audits(audits).groupBy("table_name", "rule_id", "status").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+@plan("upsert_replace", """
+SELECT c_custkey, c_name,
+       CASE WHEN c_acctbal < 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment,
+       CASE WHEN c_acctbal < 0 THEN 0.0 ELSE c_acctbal END AS c_acctbal
+FROM customer
+""")
+def upsert_replace(spark, sf_dir):
+    c = Tables(spark, sf_dir).customer
+    target = c.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    # K2: the batch rows replace matched rows whole, NULLs included
+    batch = c.filter(F.col("c_acctbal") < 0).select(
+        "c_custkey", "c_name", F.lit(None).cast("string").alias("c_mktsegment"),
+        F.lit(0.0).alias("c_acctbal"))
+    return upsert(target, batch, "c_custkey", mode="replace")
+
+
+@plan("apply_actions", """
+SELECT c_custkey, coalesce(a.v, c.c_acctbal) AS c_acctbal
+FROM customer c LEFT JOIN (
+  SELECT user_id, arg_max(value, (ts, event_id)) AS v FROM events
+  WHERE event_type = 'purchase' GROUP BY user_id) a ON a.user_id = c.c_custkey
+""")
+def apply_actions_plan(spark, sf_dir):
+    from strata.sinks.upsert import apply_actions
+    t = Tables(spark, sf_dir)
+    actions = (t.events.filter(F.col("event_type") == "purchase")
+               .select(F.col("user_id").alias("c_custkey"), F.col("value").alias("c_acctbal"),
+                       F.struct("ts", "event_id").alias("seq")))
+    return apply_actions(t.customer.select("c_custkey", "c_acctbal"), actions, "c_custkey",
+                         "c_acctbal", "seq")
+
+
+@plan("typed_reload", """
+SELECT CAST(l_orderkey AS BIGINT) AS orderkey, CAST(l_quantity AS DECIMAL(38,9)) AS quantity,
+       CAST(l_shipdate AS DATE) AS ship_day, l_returnflag AS return_flag
+FROM lineitem
+""")
+def typed_reload(spark, sf_dir):
+    from strata.operators.rules import as_text
+    from strata.sources.csv import TypedColumn, load_typed
+    # the all-string view a CSV bulk load produces, typed back by the seeder's rules
+    text = as_text(Tables(spark, sf_dir).lineitem)
+    return load_typed(text, [TypedColumn("l_orderkey", "orderkey", "bigint"),
+                             TypedColumn("l_quantity", "quantity", "decimal(38,9)"),
+                             TypedColumn("l_shipdate", "ship_day", "date"),
+                             TypedColumn("l_returnflag", "return_flag", "string")])
+
+
+@plan("drop_blank", """
+SELECT conv_id, turn FROM conversations
+WHERE trim(coalesce(role, '')) <> '' OR trim(coalesce(text, '')) <> ''
+""")
+def drop_blank(spark, sf_dir):
+    from strata.sources.csv import drop_blank_rows
+    conv = Tables(spark, sf_dir).conversations
+    return drop_blank_rows(conv, ["role", "text"]).select("conv_id", "turn")
+
+
+@plan("daily_cost", """
+SELECT CAST(ts AS DATE) AS usage_date, round(sum(value), 2) AS total_cost
+FROM events WHERE event_type = 'purchase' GROUP BY 1
+""")
+def daily_cost_plan(spark, sf_dir):
+    from strata.operators.report import daily_cost
+    # billing rows: a cost, a usage time and a service struct
+    billing = Tables(spark, sf_dir).events.select(
+        F.col("ts").alias("usage_start_time"), F.col("value").alias("cost"),
+        F.struct(F.col("event_type").alias("description")).alias("service"))
+    return daily_cost(billing, service="purchase")
