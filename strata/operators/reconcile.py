@@ -135,24 +135,58 @@ def column_aggregates(df: DataFrame, types: Mapping[str, str] | None = None) ->
     return row.select(F.inline(stack))
 
 
+def _check_specs(df: DataFrame, types: Mapping[str, str] | None):
+    specs = [("*", "count", None)]
+    for f in df.schema.fields:
+        specs.append((f.name, "count", f.name))
+        numeric = is_numeric(types[f.name]) if types and f.name in types else _spark_numeric(
+            f.dataType)
+        if numeric:
+            specs += [(f.name, "sum", f.name), (f.name, "min", f.name), (f.name, "max", f.name)]
+    return specs
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def check_columns(source: DataFrame, target: DataFrame,
                   types: Mapping[str, str] | None = None,
                   rel_tol: float = 1e-9) -> DataFrame:
     """A3: column aggregates of both sides side by side with a verdict.
 
-    NULL aggregates compare null-safely; sums of floating columns get a
-    relative tolerance because the order of addition differs between runs.
+    Both tables are tagged and unioned and ONE aggregate computes every
+    (column, agg) for each side (``count_if`` / ``sum(CASE WHEN side ...)``):
+    one pass, partial aggregation, no join.  Source columns missing from the
+    target count as NULL.  NULL aggregates compare null-safely; floating sums
+    get a relative tolerance because the order of addition differs between
+    runs.  Expressions are written as SQL text: one JVM call per aggregate
+    keeps plan building fast for wide tables.
     """
-    s = column_aggregates(source, types).withColumn("_src", F.lit(True))
-    t = column_aggregates(target, types).withColumn("_src", F.lit(False))
-    both = s.unionByName(t).groupBy("column_name", "agg").agg(
-        F.max(F.when(F.col("_src"), F.col("value"))).alias("source_value"),
-        F.max(F.when(~F.col("_src"), F.col("value"))).alias("target_value"),
-        F.count_if(F.col("_src")).alias("_ns"), F.count_if(~F.col("_src")).alias("_nt"))
-    sv, tv = F.col("source_value"), F.col("target_value")
-    close = F.abs(sv - tv) <= F.greatest(F.abs(sv), F.abs(tv)) * F.lit(rel_tol)
-    ok = (F.col("_ns") == F.col("_nt")) & (sv.eqNullSafe(tv) | F.coalesce(close, F.lit(False)))
-    return both.select("column_name", "agg", "source_value", "target_value", ok.alias("ok"))
+    specs = _check_specs(source, types)
+    cols = source.columns
+    tcols = set(target.columns)
+    s = source.selectExpr(*[_q(c) for c in cols], "true AS _src")
+    t = target.selectExpr(*[_q(c) if c in tcols else f"NULL AS {_q(c)}" for c in cols],
+                          "false AS _src")
+    both = s.unionByName(t)
+    aggs = []
+    for i, (c, a, col) in enumerate(specs):
+        for side, flag in (("s", "_src"), ("t", "NOT _src")):
+            e = f"count_if({flag})" if col is None else f"{a}(CASE WHEN {flag} THEN {_q(col)} END)"
+            aggs.append(F.expr(f"CAST({e} AS DOUBLE) AS {side}{i}"))
+    row = both.agg(*aggs)
+    stack = ", ".join(
+        f"named_struct('column_name', {_lit(c)}, 'agg', {_lit(a)}, "
+        f"'source_value', s{i}, 'target_value', t{i})" for i, (c, a, _) in enumerate(specs))
+    return row.selectExpr(f"inline(array({stack}))").selectExpr(
+        "column_name", "agg", "source_value", "target_value",
+        "source_value <=> target_value OR coalesce(abs(source_value - target_value) <= "
+        f"greatest(abs(source_value), abs(target_value)) * {rel_tol!r}, false) AS ok")
 
 
 def reconcile(pairs: Mapping[str, tuple[DataFrame, DataFrame]],
