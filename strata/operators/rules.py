@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import spread
+
 # Audit messages of the compat evaluator.
 MSG_SKIPPED_AGG = "Skipped aggregation rule evaluation in single-row context"
 MSG_TOO_COMPLEX = "Rule too complex for simple evaluator, defaulted to PASS"
@@ -283,6 +285,7 @@ def validate(df: DataFrame, table_name: str, rules: Sequence, mode: str = "compa
     else:
         key_col = key
     rules = [Rule.of(r) for r in rules]
+    df = spread(df)  # rule evaluation is CPU-heavy per row
     evaluated = evaluate(df, rules, mode)
     valid = evaluated.filter(
         F.forall("_results", lambda r: r["passed"] | ~r["reject"])).select(*cols)

@@ -91,11 +91,19 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over the cluster's cores when its scan has fewer
     splits than that (e.g. one small single-row-group file).
 
+    Used by operators whose per-row work is CPU-heavy (rule evaluation, JSON
+    parsing, hashing, text building); for cheap scans an extra exchange
+    would cost more than it saves, so table reads do not spread.
+
     Checked at planning time from the file splits (no job runs).  On a cluster
     reading many files the split count far exceeds the cores and this is a
     no-op; on a few small files it turns a one-task scan into parallel work.
+    Set ``spark.strata.spread=false`` to turn it off.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    if df.isStreaming or spark.conf.get("spark.strata.spread", "true").lower() != "true":
+        return df
+    target = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df

@@ -26,7 +26,7 @@ FIXED_SIZE = ("region", "nation")
 _RESOLVED: dict[tuple[int, str, bool], DataFrame] = {}
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
     """Read ``<sf_dir>/<name>.parquet`` (a file or a folder of parts).
 
     With ``balance`` a scan with fewer splits than cores is spread (see
