@@ -153,7 +153,7 @@ def delayed_longer_than(events: DataFrame, key: str, ts: str, status: str,
              .groupBy(key).agg(F.min(ts).alias("delayed_since")))
     out = since.join(open_delays.select(key, "latest"), key)
     ref = as_of if as_of is not None else events.agg(F.max(ts).alias("_m")).scalar()
-    micros = lambda c: F.unix_micros(c.cast("timestamp"))  # noqa: E731  (NTZ or LTZ)
-    hours_delayed = (micros(ref) - micros(F.col("delayed_since"))) / 3.6e9
+    # wall-clock difference, independent of the session time zone
+    hours_delayed = F.timestamp_diff("MICROSECOND", F.col("delayed_since"), ref) / 3.6e9
     return out.select(key, "delayed_since", F.round(hours_delayed, 4).alias("hours_delayed")
                       ).filter(F.col("hours_delayed") > F.lit(hours))

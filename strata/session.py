@@ -103,8 +103,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     if df.isStreaming or spark.conf.get("spark.strata.spread", "true").lower() != "true":
         return df
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  -- no RDD view (e.g. a Spark Connect session)
+        return df
+    if splits < target:
         return df.repartition(target)
     return df
 
