@@ -99,3 +99,21 @@ def test_stream_equals_batch_and_store_is_idempotent(spark, tmp_dir):
     q = run_to_store(telemetry_stream(spark, src), store, ckpt)
     q.awaitTermination(120)
     assert current_store(spark, store).count() == cur.count()
+
+
+def test_stream_latest_per_package_update_mode(spark, tmp_dir):
+    from strata.streaming.telemetry import latest_per_package
+    src = os.path.join(tmp_dir, "in2")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write("\n".join([
+            '{"package_id": "P1", "timestamp": "2024-01-01T01:00:00Z", "status": "IN_TRANSIT"}',
+            '{"package_id": "P1", "timestamp": "2024-01-01T03:00:00Z", "status": "DELAYED"}',
+            '{"package_id": "P2", "timestamp": "2024-01-01T02:00:00Z", "status": "AT_HUB"}']) + "\n")
+    q = (latest_per_package(telemetry_stream(spark, src)).writeStream.outputMode("update")
+         .format("memory").queryName("latest_pkg")
+         .option("checkpointLocation", os.path.join(tmp_dir, "ck2"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    got = {r.package_id: (r.status, r.sla_breach) for r in spark.table("latest_pkg").collect()}
+    assert got == {"P1": ("DELAYED", "TRUE"), "P2": ("AT_HUB", "FALSE")}
