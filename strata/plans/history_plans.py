@@ -212,7 +212,7 @@ def masked_customer(spark, sf_dir):
 SELECT o_orderkey, to_json(struct_pack(o_orderstatus := o_orderstatus,
                                        o_orderdate := CAST(o_orderdate AS VARCHAR),
                                        o_orderpriority := o_orderpriority,
-                                       o_custkey := o_custkey)) AS props
+                                       o_custkey := o_custkey))::VARCHAR AS props
 FROM orders
 """)
 def order_props(spark, sf_dir):
