@@ -26,6 +26,10 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # Static broadcast decisions estimate a Parquet side from its compressed
+    # size; columnar compression often hides 3-5x.  Scale the estimate so a
+    # "small" side is small in memory too (AQE still re-checks measured sizes).
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # driver-side only: skip capturing a Python call site for every Column
@@ -34,6 +38,31 @@ SCALE_CONF = {
 }
 
 
+# Bounds for the initial shuffle width.
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def cluster_conf(shuffle_bytes: int, total_cores: int,
+                 partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle sizing for a cluster run whose largest shuffle moves
+    ``shuffle_bytes`` (after column pruning and map-side aggregation -- usually
+    far below the input size).
+
+    The width aims at ``partition_bytes`` per post-shuffle partition, is at
+    least three tasks per core, and is capped (shuffle blocks grow as map tasks
+    x reducers); AQE then coalesces small partitions and splits skewed ones.
+    """
+    width = -(-shuffle_bytes // partition_bytes)
+    width = min(MAX_SHUFFLE_PARTITIONS, max(total_cores * 3, width))
+    return {
+        **SCALE_CONF,
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "strata") -> SparkSession:
     """A local session for tests and benchmarks (UI off, UTC, AQE on)."""
