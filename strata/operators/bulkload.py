@@ -64,3 +64,20 @@ def bulk_load(spark: SparkSession, csv_dir: str, tables: Sequence[str],
     if audits:
         out.audit = flatten_audits(audits)
     return out
+
+
+def commit_table(spark: SparkSession, valid: DataFrame, key: str, current_path: str | None,
+                 new_path: str, mode: str = "non_empty") -> int:
+    """K1 for a bulk load: merge the valid rows into the current version of
+    the ontology table and write the result as a new version at ``new_path``
+    (read and write paths differ; the caller then points readers at it).
+    Returns the row count of the new version.
+    """
+    from strata.sinks.upsert import upsert
+
+    if current_path:
+        merged = upsert(spark.read.parquet(current_path), valid, key, mode=mode)
+    else:
+        merged = valid.dropDuplicates([key])
+    merged.write.mode("overwrite").parquet(new_path)
+    return spark.read.parquet(new_path).count()

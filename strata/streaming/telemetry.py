@@ -25,24 +25,32 @@ from strata.session import ensure_checkpoint_dir
 MESSAGE_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
 
-def read_messages(spark: SparkSession, path: str, fmt: str = "text",
+def read_messages(spark: SparkSession, path: str | None = None, fmt: str = "text",
+                  options: dict[str, str] | None = None,
                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """A stream of JSON messages, one per line of the files under ``path``.
+    """A stream of messages with one ``value`` column (text or bytes).
 
-    (A message bus source -- e.g. ``format("kafka")`` -- yields the same
-    ``value`` column and plugs in unchanged.)
+    File sources (``text`` / ``json`` lines under ``path``) serve tests and
+    landing folders; a message bus plugs in through ``fmt`` and ``options``
+    (e.g. ``fmt="kafka"`` with ``kafka.bootstrap.servers`` and ``subscribe``
+    -- its ``value`` column is bytes, which the parser accepts).
     """
     reader = spark.readStream.format(fmt)
+    if options:
+        reader = reader.options(**options)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if fmt == "text":
-        return reader.load(path)
-    return reader.schema(MESSAGE_SCHEMA).load(path)
+    if fmt in ("text", "kafka"):
+        df = reader.load(path) if path else reader.load()
+    else:
+        df = reader.schema(MESSAGE_SCHEMA).load(path)
+    return df.select("value")
 
 
-def telemetry_stream(spark: SparkSession, path: str, fmt: str = "text") -> DataFrame:
+def telemetry_stream(spark: SparkSession, path: str | None = None, fmt: str = "text",
+                     options: dict[str, str] | None = None) -> DataFrame:
     """Parsed telemetry rows as an unbounded DataFrame."""
-    return parse_telemetry(read_messages(spark, path, fmt))
+    return parse_telemetry(read_messages(spark, path, fmt, options))
 
 
 def _write_epoch(store_path: str):
@@ -84,3 +92,10 @@ def latest_per_package(stream: DataFrame) -> DataFrame:
     return (stream.groupBy("package_id")
             .agg(F.max(F.struct("timestamp", "status", "sla_breach", "row_key")).alias("_s"))
             .select("package_id", "_s.timestamp", "_s.status", "_s.sla_breach", "_s.row_key"))
+
+
+def compact_store(spark: SparkSession, store_path: str, out_path: str) -> None:
+    """Write the current store (newest row per key) as one table, e.g. to
+    start a fresh epoch folder; keeps ``current_store`` reads short."""
+    current_store(spark, store_path).withColumn("epoch", F.lit(-1).cast("long")) \
+        .write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch=-1")

@@ -127,3 +127,27 @@ def test_table_without_rules_passes_all(spark):
     assert out.valid["vehicle"].count() == 10
     assert out.audit is None
     assert "nope" not in out.valid
+
+
+def test_bulk_load_end_to_end_writes(spark, tmp_dir):
+    from strata.operators.bulkload import commit_table
+    from strata.sinks.writes import append_audit
+    src = os.path.join(tmp_dir, "csv1")
+    os.makedirs(src)
+    with open(os.path.join(src, "hub.csv"), "w") as f:
+        f.write("hub_id,name,tons\nH1,Memphis,10\nH2,,20\n,Ghost,5\n")
+    rules = {"hub": [Rule("H-1", "hub_id IS NOT NULL AND hub_id != ''")]}
+    run1 = bulk_load(spark, src, ["hub"], rules)
+    v1 = os.path.join(tmp_dir, "hub_v1")
+    assert commit_table(spark, run1.valid["hub"], "hub_id", None, v1) == 2
+    append_audit(run1.audit, os.path.join(tmp_dir, "audit"))
+    # second load: H2 gains a name, H1's empty name must not erase the old one
+    with open(os.path.join(src, "hub.csv"), "w") as f:
+        f.write("hub_id,name,tons\nH1,,11\nH2,Dallas,20\nH3,Seattle,7\n")
+    run2 = bulk_load(spark, src, ["hub"], rules)
+    v2 = os.path.join(tmp_dir, "hub_v2")
+    assert commit_table(spark, run2.valid["hub"], "hub_id", v1, v2) == 3
+    got = {r.hub_id: (r.name, r.tons) for r in spark.read.parquet(v2).collect()}
+    assert got == {"H1": ("Memphis", "11"), "H2": ("Dallas", "20"), "H3": ("Seattle", "7")}
+    append_audit(run2.audit, os.path.join(tmp_dir, "audit"))
+    assert spark.read.parquet(os.path.join(tmp_dir, "audit")).count() == 6
