@@ -117,3 +117,31 @@ def test_stream_latest_per_package_update_mode(spark, tmp_dir):
     q.awaitTermination(120)
     got = {r.package_id: (r.status, r.sla_breach) for r in spark.table("latest_pkg").collect()}
     assert got == {"P1": ("DELAYED", "TRUE"), "P2": ("AT_HUB", "FALSE")}
+
+
+def test_stream_delay_state_matches_batch(spark, tmp_dir):
+    from strata.streaming.delays import current_delay_state, delayed_packages, run_delay_state
+    src = os.path.join(tmp_dir, "in3")
+    os.makedirs(src)
+
+    def msg(p, t, s):
+        return '{"package_id": "%s", "timestamp": "2024-01-01T%s:00Z", "status": "%s"}' % (p, t, s)
+    first = [msg("A", "01:00", "IN_TRANSIT"), msg("A", "02:00", "DELAYED"),
+             msg("B", "01:00", "DELAYED"), msg("C", "00:30", "DELAYED")]
+    second = [msg("A", "05:00", "DELAYED"), msg("B", "02:00", "AT_HUB"),
+              msg("C", "01:00", "IN_TRANSIT"), msg("C", "03:00", "DELAYED"),
+              msg("D", "04:00", "DELAYED")]
+    store, ckpt = os.path.join(tmp_dir, "dstore"), os.path.join(tmp_dir, "dck")
+    for i, lines in enumerate((first, second)):
+        with open(os.path.join(src, f"p{i}.json"), "w") as f:
+            f.write("\n".join(lines) + "\n")
+        run_delay_state(telemetry_stream(spark, src), store, ckpt).awaitTermination(120)
+    state = current_delay_state(spark, store)
+    as_of = F.lit("2024-01-01 06:00:00").cast("timestamp")
+    got = {r.package_id: r.hours_delayed for r in delayed_packages(state, 2.0, as_of).collect()}
+    # batch operator over all events agrees
+    ev = parse_telemetry(spark.read.text(src)).withColumn("ts", F.to_timestamp("timestamp"))
+    want = {r.package_id: r.hours_delayed for r in
+            delayed_longer_than(ev, "package_id", "ts", "status", 2.0, as_of=as_of).collect()}
+    # A delayed since 02:00, C since 03:00; D (04:00) is at exactly 2 hours
+    assert got == want == {"A": 4.0, "C": 3.0}
