@@ -151,3 +151,13 @@ def test_bulk_load_end_to_end_writes(spark, tmp_dir):
     assert got == {"H1": ("Memphis", "11"), "H2": ("Dallas", "20"), "H3": ("Seattle", "7")}
     append_audit(run2.audit, os.path.join(tmp_dir, "audit"))
     assert spark.read.parquet(os.path.join(tmp_dir, "audit")).count() == 6
+
+
+def test_two_not_equals_raise_and_bad_literal(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        compile_compat("a != b != c", ["a", "b", "c"])
+    # a non-numeric bound is a type mismatch for every row with the column
+    assert _judge(spark, [("5", "")], "a >= ten")[0] == (False, "Type mismatch for >=")
+    # a missing column after '>=' falls through to IN / default
+    assert _judge(spark, [("5", "")], "zz >= 1")[0][0] is True
