@@ -141,3 +141,11 @@ def test_route_summary_across_blocks(spark):
     s = route_summary(df, "r", "leg", "stop", "mode", "carrier", block=2).first()
     assert s.stops == " -> ".join(f"S{i}" for i in (1, 2, 3, 4, 5, 6, 7, 11))
     assert (s.last_mode, s.last_carrier) == ("AIR", "C")
+
+
+def test_route_text():
+    from strata.operators.graph import route_text
+    assert route_text(None, "r", "m", "c") == "No route data found"
+    row = {"r": "R1", "stops": "OAK -> MEM", "m": "AIR", "c": None}
+    assert route_text(row, "r", "m", "c") == (
+        "Route:\nR1\n\nCarrier:\n\n\nMode:\nAIR\n\nStops:\nOAK -> MEM")

@@ -161,3 +161,17 @@ def test_two_not_equals_raise_and_bad_literal(spark):
     assert _judge(spark, [("5", "")], "a >= ten")[0] == (False, "Type mismatch for >=")
     # a missing column after '>=' falls through to IN / default
     assert _judge(spark, [("5", "")], "zz >= 1")[0][0] is True
+
+
+def test_audit_schema_and_lineage_cut(spark):
+    from strata.operators.rules import AUDIT_SCHEMA
+    from strata.session import cut_lineage, ensure_checkpoint_dir, scratch_path
+    df = spark.createDataFrame([("k1", "5")], "id string, q string")
+    audit = validate(df, "t", [Rule("R1", "q > 10")]).audit
+    assert [(f.name, f.dataType) for f in audit.schema.fields] == [
+        (f.name, f.dataType) for f in AUDIT_SCHEMA.fields]
+    # two outputs agree on uuid() once the evaluated frame is checkpointed
+    cut = cut_lineage(audit)
+    assert sorted(r.audit_id for r in cut.collect()) == sorted(r.audit_id for r in cut.collect())
+    base = ensure_checkpoint_dir(spark)
+    assert scratch_path(spark, "x").startswith(base.rstrip("/"))
