@@ -32,16 +32,17 @@ def route_context_plan(spark, sf_dir):
 
 @plan("route_summary", """
 SELECT l_orderkey,
-       string_agg(CAST(l_partkey AS VARCHAR), ' -> ' ORDER BY l_linenumber, l_partkey, l_suppkey)
-         AS stops,
-       arg_max(l_returnflag, (CAST(l_linenumber AS BIGINT), l_partkey, l_suppkey))
+       string_agg(CAST(l_partkey AS VARCHAR), ' -> '
+                  ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag) AS stops,
+       arg_max(l_returnflag, (CAST(l_linenumber AS BIGINT), l_partkey, l_suppkey, l_returnflag))
          AS last_l_returnflag
 FROM lineitem GROUP BY l_orderkey
 """)
 def route_summary_plan(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem
+    # the flag itself closes the order: (order, line) is not unique in this data
     return route_summary(li, "l_orderkey", "l_linenumber", "l_partkey", mode="l_returnflag",
-                         tie=["l_partkey", "l_suppkey"])
+                         tie=["l_partkey", "l_suppkey", "l_returnflag"])
 
 
 @plan("route_prompts", """
