@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.nesting import DEFAULT_MAX_ITEMS, chunked_collect
 from strata.ontology import Relationship
 from strata.operators.project import props_json
 from strata.session import spread
@@ -126,13 +127,12 @@ def expand(nodes: DataFrame, edges: DataFrame, node_key: str = "node_key",
     return e.join(tgt, e[target] == tgt[f"target_{node_key}"], "inner")
 
 
-def nest(expanded: DataFrame, start: str, fields: Sequence[str]) -> DataFrame:
-    """J6/D7 nested form: one row per start with its neighbours as an array.
-
-    The array holds the start's whole fan-out; use for bounded fan-out.
-    """
-    return expanded.groupBy(start).agg(
-        F.collect_list(F.struct(*[F.col(f) for f in fields])).alias("neighbours"))
+def nest(expanded: DataFrame, start: str, fields: Sequence[str],
+         max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
+    """J6/D7 nested form: one row per start with its neighbours as a sorted
+    array; a start with more than ``max_items`` neighbours gets one row per
+    chunk (``neighbours_chunk``), so no array holds an unbounded fan-out."""
+    return chunked_collect(expanded, start, fields, "neighbours", max_items)
 
 
 @dataclass(frozen=True)

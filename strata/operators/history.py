@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.nesting import DEFAULT_MAX_ITEMS, chunked_collect
+
 # Ledger operation that removes a key.
 DELETE = "DELETE"
 # Retention tiers as (label, upper bound in days, exclusive of
@@ -54,27 +56,65 @@ def rows_for(rows: DataFrame, grants: DataFrame, rows_attr: str, grant_attr: str
     return rows.join(g, rows[rows_attr] == g["_a"], "left_semi")
 
 
+def _time_bucket(c: Column, dtype: T.DataType, width) -> Column:
+    """Bucket number of a time or number for the bucketed range join."""
+    if isinstance(dtype, T.TimestampType | T.TimestampNTZType):
+        return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(int(width * 1_000_000)))
+    if isinstance(dtype, T.DateType):
+        return F.floor(F.unix_date(c) / F.lit(width))
+    return F.floor(c / F.lit(width))
+
+
 def time_bounded_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                       at: str, valid_from: str, valid_to: str,
-                      how: str = "inner") -> DataFrame:
-    """Link valid between two times -- equi join + range condition.
+                      how: str = "inner", bucket=None) -> DataFrame:
+    """Link valid between two times -- equi join + range condition,
+    ``valid_from <= at < valid_to``.
 
     The equality key drives the (sort-merge or hash) join; the range is a
-    join filter, so no pair outside the key is ever formed.
+    join filter, so no pair outside the key is ever formed.  When one key
+    has many rows on both sides (a hot key with many validity periods), all
+    of its pairs would still be formed and filtered; ``bucket`` (seconds for
+    timestamps, days for dates, units for numbers) adds a time bucket to the
+    join key: each validity period is listed once per bucket it overlaps and
+    each left row joins only the periods listed in its own bucket.  The result
+    is the same; pairs formed per key drop from ``n x m`` to about the pairs
+    that overlap in time.  Choose a width near the typical period length (a
+    period is repeated ``length / bucket`` times).  Inner joins only.
     """
-    cond = ((left[left_key] == right[right_key]) & (left[at] >= right[valid_from])
-            & (left[at] < right[valid_to]))
-    return left.join(right, cond, how)
+    if bucket is None:
+        cond = ((left[left_key] == right[right_key]) & (left[at] >= right[valid_from])
+                & (left[at] < right[valid_to]))
+        return left.join(right, cond, how)
+    if how != "inner":
+        raise ValueError("the bucketed time-bounded join supports inner joins only")
+    at_t = left.schema[at].dataType
+    lo = _time_bucket(F.col(valid_from).cast(at_t), at_t, bucket)
+    hi = _time_bucket(F.col(valid_to).cast(at_t), at_t, bucket)
+    r = right.withColumn("_tb", F.explode(F.when(hi >= lo, F.sequence(lo, hi))))
+    lb = left.withColumn("_tb", _time_bucket(F.col(at), at_t, bucket))
+    cond = ((lb[left_key] == r[right_key]) & (lb["_tb"] == r["_tb"])
+            & (lb[at] >= r[valid_from]) & (lb[at] < r[valid_to]))
+    return lb.join(r, cond, "inner").drop(lb["_tb"]).drop(r["_tb"])
 
 
 def nested_children(parent: DataFrame, child: DataFrame, parent_key: str, child_key: str,
-                    fields: Sequence[str], name: str = "children") -> DataFrame:
-    """Children as ``ARRAY<STRUCT>`` on the parent row (left join, sorted)."""
-    kids = child.groupBy(child_key).agg(
-        F.array_sort(F.collect_list(F.struct(*[F.col(f) for f in fields]))).alias(name))
+                    fields: Sequence[str], name: str = "children",
+                    max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
+    """Children as ``ARRAY<STRUCT>`` on the parent row (left join, sorted).
+
+    A parent with up to ``max_items`` children gets one row whose array holds
+    all of them (``<name>_chunk`` = 0).  A larger parent gets one row per
+    chunk of about ``max_items`` children, so no array or task holds an
+    unbounded group (see ``strata.functions.nesting``).  A parent without
+    children keeps one row with an empty array.
+    """
+    kids = chunked_collect(child, child_key, fields, name, max_items)
+    chunk = f"{name}_chunk"
     out = parent.join(kids, parent[parent_key] == kids[child_key], "left").drop(child_key)
-    return out.withColumn(name, F.coalesce(F.col(name), F.array().cast(
+    return (out.withColumn(name, F.coalesce(F.col(name), F.array().cast(
         T.ArrayType(kids.schema[name].dataType.elementType))))
+        .withColumn(chunk, F.coalesce(F.col(chunk), F.lit(0))))
 
 
 @dataclass

@@ -97,3 +97,73 @@ def test_index_documents_and_prompt(spark):
     assert idx2.first().text == "t1b"
     p = spark.range(1).select(prompt(F.lit("Q?"), F.lit("CTX")).alias("p")).first().p
     assert p.endswith("Question:\nQ?\n\nGraph Context:\nCTX")
+
+
+def test_nested_children_splits_a_hot_parent(spark):
+    from strata.functions.nesting import chunked_collect
+
+    # parent 1 holds most children (a hot key); parent 2 a few; parent 3 none
+    kids = [(1, f"n{i:03d}", i) for i in range(60)] + [(2, "b", 1), (2, "a", 2)]
+    c = spark.createDataFrame(kids, "fk int, name string, id int")
+    p = spark.createDataFrame([(1,), (2,), (3,)], "pk int")
+    rows = nested_children(p, c, "pk", "fk", ["name", "id"], max_items=16).collect()
+    by_parent = {}
+    for r in rows:
+        by_parent.setdefault(r.pk, []).append(r)
+    # small parents: one chunk 0 holding every child, sorted
+    assert [(r.children_chunk, [x.name for x in r.children]) for r in by_parent[2]] == [
+        (0, ["a", "b"])]
+    assert [(r.children_chunk, r.children) for r in by_parent[3]] == [(0, [])]
+    # the hot parent: ceil(60 / 16) = 4 chunk numbers, every child exactly once
+    hot = by_parent[1]
+    assert {r.children_chunk for r in hot} <= {0, 1, 2, 3} and len(hot) > 1
+    names = sorted(x.name for r in hot for x in r.children)
+    assert names == [f"n{i:03d}" for i in range(60)]
+    assert all(list(r.children) == sorted(r.children) for r in hot)
+    # same chunks on recomputation (pure function of the child's values)
+    again = chunked_collect(c, "fk", ["name", "id"], "children", 16).collect()
+    assert sorted((r.fk, r.children_chunk, tuple(r.children)) for r in again) == sorted(
+        (r.pk, r.children_chunk, tuple(r.children)) for r in rows if r.children)
+
+
+def test_bucketed_time_bounded_join_equals_plain(spark):
+    import datetime as dt
+    import random
+
+    rnd = random.Random(7)
+    # key 0 is hot on both sides: many events and many validity periods
+    ev = [(0 if rnd.random() < 0.5 else rnd.randint(1, 5), rnd.randint(0, 1000), i)
+          for i in range(400)]
+    periods = []
+    for k in range(6):
+        start = 0
+        for _ in range(30 if k == 0 else 3):
+            length = rnd.randint(1, 80)
+            periods.append((k, start, start + length, len(periods)))
+            start += length + rnd.randint(-10, 20)  # overlaps and gaps
+    periods.append((1, 50, 40, len(periods)))  # inverted period: never matches
+    left = spark.createDataFrame(ev, "k int, t int, eid int")
+    right = spark.createDataFrame(periods, "lk int, a int, b int, pid int")
+
+    def pairs(df):
+        return sorted((r.eid, r.pid) for r in df.select("eid", "pid").collect())
+
+    plain = pairs(time_bounded_join(left, right, "k", "lk", "t", "a", "b"))
+    brute = sorted((e, p) for (k, t, e) in ev for (lk, a, b, p) in periods
+                   if k == lk and a <= t < b)
+    assert plain == brute
+    for width in (1, 7, 25, 500):
+        assert pairs(time_bounded_join(left, right, "k", "lk", "t", "a", "b",
+                                       bucket=width)) == brute
+
+    # dates (bucket in days) and timestamps (bucket in seconds)
+    day0 = dt.date(2024, 1, 1)
+    dl = left.select("k", "eid", F.date_add(F.lit(day0), F.col("t")).alias("t"))
+    dr = right.select("lk", "pid", F.date_add(F.lit(day0), F.col("a")).alias("a"),
+                      F.date_add(F.lit(day0), F.col("b")).alias("b"))
+    assert pairs(time_bounded_join(dl, dr, "k", "lk", "t", "a", "b", bucket=10)) == brute
+    tl = dl.withColumn("t", F.col("t").cast("timestamp"))
+    tr = dr.withColumn("a", F.col("a").cast("timestamp")).withColumn(
+        "b", F.col("b").cast("timestamp"))
+    assert pairs(time_bounded_join(tl, tr, "k", "lk", "t", "a", "b",
+                                   bucket=3 * 86400)) == brute
