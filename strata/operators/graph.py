@@ -47,7 +47,8 @@ def route_context(routes: DataFrame, waypoints: DataFrame, transits: DataFrame,
 
 def route_summary(context: DataFrame, route_key: str, leg: str, stop: str,
                   mode: str | None = None, carrier: str | None = None,
-                  tie: Sequence[str] = (), block: int = 4096) -> DataFrame:
+                  tie: Sequence[str] = (), block: int = 4096,
+                  parts: bool = False) -> DataFrame:
     """Per route the stops joined by `` -> `` in leg order and the last
     non-empty mode / carrier in leg order.
 
@@ -57,6 +58,14 @@ def route_summary(context: DataFrame, route_key: str, leg: str, stop: str,
     block texts in block order.  Mode and carrier are ``max_by`` partial
     aggregates carried through both levels.  The final text is the route's
     output value, so its size is the route's length.
+
+    ``parts=True`` stops after the first level: one row per (route, ``part``)
+    where ``part`` numbers the block of ``block`` consecutive legs and
+    ``stops`` is that block's text (joining a route's parts in ``part`` order
+    with `` -> `` gives the whole text).  The route's last mode / carrier come
+    from a per-route partial aggregate over the blocks, joined back on the
+    unique route key.  No value and no task then holds a whole route, which
+    is the form to use when one route may hold a large share of all legs.
     """
     order = [F.col(leg).cast("bigint").alias("_leg")] + [F.col(c).alias(f"_t{i}")
                                                          for i, c in enumerate(tie)]
@@ -75,12 +84,17 @@ def route_summary(context: DataFrame, route_key: str, leg: str, stop: str,
         lvl1.append(F.max_by(F.when(ok, v), F.when(ok, key)).alias(f"_v_{c}"))
         lvl1.append(F.max(F.when(ok, key)).alias(f"_k_{c}"))
     blocks = base.groupBy(route_key, "_blk").agg(*lvl1)
-    parts = F.array_sort(F.collect_list(F.struct("_blk", "_part")))
-    lvl2 = [F.array_join(F.transform(parts, lambda x: x["_part"]), STOP_SEPARATOR)
+    lasts = [F.max_by(F.col(f"_v_{c}"), F.col(f"_k_{c}")).alias(f"last_{c}") for c in extra]
+    if parts:
+        out = blocks.select(F.col(route_key), F.col("_blk").cast("bigint").alias("part"),
+                            F.col("_part").alias("stops"))
+        if extra:
+            out = out.join(blocks.groupBy(route_key).agg(*lasts), route_key)
+        return out
+    texts = F.array_sort(F.collect_list(F.struct("_blk", "_part")))
+    lvl2 = [F.array_join(F.transform(texts, lambda x: x["_part"]), STOP_SEPARATOR)
             .alias("stops")]
-    for c in extra:
-        lvl2.append(F.max_by(F.col(f"_v_{c}"), F.col(f"_k_{c}")).alias(f"last_{c}"))
-    return blocks.groupBy(route_key).agg(*lvl2)
+    return blocks.groupBy(route_key).agg(*lvl2, *lasts)
 
 
 def route_text(summary_row: Mapping | None, route_key: str, mode: str, carrier: str) -> str:

@@ -45,6 +45,27 @@ def route_summary_plan(spark, sf_dir):
                          tie=["l_partkey", "l_suppkey", "l_returnflag"])
 
 
+@plan("route_summary_parts", """
+WITH b AS (
+  SELECT l_orderkey, CAST(floor(l_linenumber / 4096) AS BIGINT) AS part,
+         string_agg(CAST(l_partkey AS VARCHAR), ' -> '
+                    ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag) AS stops
+  FROM lineitem GROUP BY l_orderkey, part),
+l AS (
+  SELECT l_orderkey,
+         arg_max(l_returnflag, (CAST(l_linenumber AS BIGINT), l_partkey, l_suppkey, l_returnflag))
+           AS last_l_returnflag
+  FROM lineitem GROUP BY l_orderkey)
+SELECT b.l_orderkey, b.part, b.stops, l.last_l_returnflag
+FROM b JOIN l ON b.l_orderkey = l.l_orderkey
+""")
+def route_summary_parts(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem
+    # bounded form of A11: one row per block of 4096 legs, never a whole route
+    return route_summary(li, "l_orderkey", "l_linenumber", "l_partkey", mode="l_returnflag",
+                         tie=["l_partkey", "l_suppkey", "l_returnflag"], parts=True)
+
+
 @plan("route_prompts", """
 WITH s AS (
   SELECT l_orderkey,

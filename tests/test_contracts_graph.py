@@ -141,6 +141,11 @@ def test_route_summary_across_blocks(spark):
     s = route_summary(df, "r", "leg", "stop", "mode", "carrier", block=2).first()
     assert s.stops == " -> ".join(f"S{i}" for i in (1, 2, 3, 4, 5, 6, 7, 11))
     assert (s.last_mode, s.last_carrier) == ("AIR", "C")
+    parts = route_summary(df, "r", "leg", "stop", "mode", "carrier", block=2,
+                          parts=True).orderBy("part").collect()
+    assert [p.part for p in parts] == [0, 1, 2, 3, 5]
+    assert " -> ".join(p.stops for p in parts) == s.stops
+    assert {(p.last_mode, p.last_carrier) for p in parts} == {("AIR", "C")}
 
 
 def test_route_text():
