@@ -1,8 +1,10 @@
 """Guards on the physical plans of every registered query.
 
 No cartesian products or nested-loop joins (all joins are keyed), no Python
-evaluation in the plan (no UDFs), and predicates reach the Parquet scan for
-the flagship.
+evaluation in the plan (no UDFs), no window operators (a window sorts a whole
+key in one task), collected arrays only where the array is the bounded output
+(chunked nesting, route text blocks), row limits only where a top-k is the
+feature, and predicates reach the Parquet scan for the flagship.
 """
 
 import pytest
@@ -12,7 +14,13 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
-             "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas")
+             "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas",
+             "Window")
+# Plans whose output is a collected array or text: nested children (chunked),
+# route text built from blocks of 4096 legs.
+COLLECTS = {"nested_children", "route_prompts", "route_summary", "route_summary_parts"}
+# Plans where the limit is the feature: newest-n audit report, top-k vectors.
+TOP_K = {"audit_report", "evidence", "vector_topk"}
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
@@ -21,6 +29,11 @@ def test_plan_has_no_forbidden_nodes(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for node in FORBIDDEN:
         assert node not in plan, f"{name}: {node}"
+    if name not in COLLECTS:
+        assert "collect_list" not in plan and "collect_set" not in plan, name
+    if name not in TOP_K:
+        assert "TakeOrderedAndProject" not in plan and "GlobalLimit" not in plan, name
+        assert "Sample" not in plan, name
 
 
 def test_flagship_pushes_filter_and_prunes_columns(spark):
