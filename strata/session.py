@@ -127,12 +127,18 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Checked at planning time from the file splits (no job runs).  On a cluster
     reading many files the split count far exceeds the cores and this is a
     no-op; on a few small files it turns a one-task scan into parallel work.
-    Set ``spark.strata.spread=false`` to turn it off.
+    Only scan-only inputs are considered: an input with a shuffle already has
+    the shuffle's width, and counting the partitions of a plan with a shuffle
+    or a subquery would run those stages once more just to plan.  Set
+    ``spark.strata.spread=false`` to turn it off.
     """
     spark = df.sparkSession
     if df.isStreaming or spark.conf.get("spark.strata.spread", "true").lower() != "true":
         return df
     try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        if any(node in plan for node in ("AdaptiveSparkPlan", "Exchange", "Subquery")):
+            return df
         target = min_partitions or spark.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001  -- no RDD view (e.g. a Spark Connect session)

@@ -42,3 +42,29 @@ def test_flagship_pushes_filter_and_prunes_columns(spark):
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string," \
            "o_orderpriority:string>" in plan
+
+
+def test_spread_runs_no_job_while_planning(spark):
+    """Spreading is decided from the plan: a shuffled or sub-queried input is
+    left as is, so planning never executes upstream stages."""
+    from pyspark.sql import functions as F
+
+    from strata.session import spread
+
+    sc = spark.sparkContext
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    inputs = {
+        "scan": li,
+        "join": li.join(o, F.col("l_orderkey") == F.col("o_orderkey")),
+        "aggregate": li.groupBy("l_orderkey").count(),
+        "subquery": li.filter(F.col("l_quantity") > li.agg(F.max("l_quantity")).scalar() - 5),
+    }
+    for label, df in inputs.items():
+        group = f"spread-{label}"
+        sc.setJobGroup(group, group)
+        out = spread(df)
+        assert sc.statusTracker().getJobIdsForGroup(group) == [], label
+        if label != "scan":
+            assert out is df, label
+    sc.setJobGroup("", "")
