@@ -10,7 +10,8 @@ from strata.ontology import Attribute, ObjectType
 from strata.operators.history import (current_state, hash_sample, nested_children,
                                       retention_tier, row_access, schema_checked,
                                       time_bounded_join, unused, usage_parity)
-from strata.operators.project import coerce_loose, conform, mask, props_json, tag_columns
+from strata.operators.project import (coerce_loose, conform, edge_view, mask, props_json,
+                                      tag_columns, view_of)
 from strata.operators.registry import raw_registry
 from strata.plans.registry import plan
 from strata.sources.tables import Tables
@@ -201,6 +202,30 @@ def conform_violations(spark, sf_dir):
             .groupBy("violation").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+# Contract view of the customer table (P5): one contract column the table
+# does not have, so the view carries it as a typed NULL.
+CUSTOMER_VIEW = ObjectType("Customer", "customer", "c_custkey", (
+    Attribute("c_custkey", "INT64", True), Attribute("c_name", "STRING(25)", True),
+    Attribute("c_mktsegment", "STRING(9)"), Attribute("c_status", "STRING(16)")))
+
+
+@plan("contract_views", """
+SELECT e.o_orderkey, e.o_custkey, e.o_orderstatus, v.c_name, v.c_mktsegment, v.c_status
+FROM (SELECT o_orderkey, o_custkey, o_orderstatus FROM orders) e
+JOIN (SELECT c_custkey, c_name, c_mktsegment, CAST(NULL AS VARCHAR) AS c_status FROM customer) v
+  ON e.o_custkey = v.c_custkey
+""")
+def contract_views(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    view_of(t.customer, CUSTOMER_VIEW, register=True)  # temp view v_customer
+    # PLACED_BY edges: key, source, target, then properties (repeats dropped)
+    edge_view(t.orders, "o_orderkey", "o_orderkey", "o_custkey",
+              ["o_orderstatus", "o_custkey"]).createOrReplaceTempView("e_placed_by")
+    return spark.sql("""
+        SELECT e.o_orderkey, e.o_custkey, e.o_orderstatus, v.c_name, v.c_mktsegment, v.c_status
+        FROM e_placed_by e JOIN v_customer v ON e.o_custkey = v.c_custkey""")
+
+
 @plan("masked_customer", """
 SELECT c_custkey, c_name, CAST(NULL AS DOUBLE) AS c_acctbal FROM customer
 """)
