@@ -5,13 +5,23 @@ not a mergeable aggregate, so it is carried as state.  Each micro-batch
 (``foreachBatch``) summarises its own events per package with the batch
 operator's two aggregates, combines that with the stored state of only the
 packages it touches (semi join), and writes the changed packages to its own
-``epoch=<id>`` folder (overwrite: a replayed epoch rewrites the same rows).
-The current state is the newest epoch row per package.  Events of one
-package are expected in time order across batches (within a batch any order).
+``delta/epoch=<id>`` folder (overwrite: a replayed epoch rewrites the same
+rows).  Events of one package are expected in time order across batches
+(within a batch any order).
+
+The store is log-structured so a batch's cost does not grow with the stream's
+history: every ``snapshot_every`` epochs the batch also writes the full state
+(newest row per package) to ``snapshot/epoch=<id>``.  The state before epoch
+``e`` is the newest snapshot before ``e`` plus at most ``snapshot_every - 1``
+delta folders after it, all read by explicit path.  State size is bounded by
+the number of packages.  ``snapshot_every`` is part of a store's layout: keep
+it fixed for the life of a store (like its checkpoint).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +29,12 @@ from strata.operators.telemetry import DELAYED
 from strata.session import ensure_checkpoint_dir
 
 STATE_COLUMNS = ("package_id", "current_status", "last_ok", "delayed_since", "latest")
+STATE_SCHEMA = ("package_id string, current_status string, last_ok timestamp, "
+                "delayed_since timestamp, latest timestamp")
+# stored rows carry their epoch as data (folder names are only a convention)
+STORED_SCHEMA = STATE_SCHEMA + ", epoch long"
+# Default number of epochs between full state snapshots.
+SNAPSHOT_EVERY = 32
 
 
 def _summarise(events: DataFrame) -> DataFrame:
@@ -35,9 +51,41 @@ def _summarise(events: DataFrame) -> DataFrame:
     return per.join(since, "package_id", "left")
 
 
-def current_delay_state(spark: SparkSession, store_path: str) -> DataFrame:
+def _read_epochs(spark: SparkSession, base: str, epochs) -> DataFrame | None:
+    paths = [f"{base}/epoch={e}" for e in epochs]
+    if not paths:
+        return None
+    return spark.read.schema(STORED_SCHEMA).parquet(*paths)
+
+
+def _last_snapshot(upto: int, every: int) -> int:
+    """Newest snapshot epoch at or before ``upto`` (-1: none)."""
+    return (upto + 1) // every * every - 1
+
+
+def _state(spark: SparkSession, root: str, snapshot: int, upto: int) -> DataFrame | None:
+    """Newest row per package from snapshot ``snapshot`` and deltas after it
+    up to epoch ``upto``."""
+    parts = [f for f in (
+        _read_epochs(spark, f"{root}/snapshot", [snapshot] if snapshot >= 0 else []),
+        _read_epochs(spark, f"{root}/delta", range(snapshot + 1, upto + 1))) if f is not None]
+    if not parts:
+        return None
+    return _latest(reduce(lambda a, b: a.unionByName(b), parts))
+
+
+def current_delay_state(spark: SparkSession, store_path: str,
+                        snapshot_every: int = SNAPSHOT_EVERY) -> DataFrame:
     """Newest state row per package across the epochs written so far."""
-    return _latest(spark.read.parquet(store_path))
+    root = store_path.rstrip("/")
+    last = (spark.read.schema(STORED_SCHEMA).option("recursiveFileLookup", "true")
+            .parquet(f"{root}/delta").agg(F.max("epoch").alias("e")).first()["e"])
+    state = None if last is None else _state(spark, root, _last_snapshot(int(last),
+                                                                         snapshot_every),
+                                             int(last))
+    if state is None:
+        return spark.createDataFrame([], STATE_SCHEMA)
+    return state
 
 
 def _latest(ledger: DataFrame) -> DataFrame:
@@ -47,23 +95,22 @@ def _latest(ledger: DataFrame) -> DataFrame:
             .select("package_id", *[F.col(f"_s.{c}").alias(c) for c in cols]))
 
 
-def _write_epoch(store_path: str):
+def _write_epoch(store_path: str, every: int):
+    root = store_path.rstrip("/")
+
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        e = int(epoch_id)
         events = batch.select("package_id", "status", "row_key",
                               F.to_timestamp("timestamp").alias("ts")).filter(
             F.col("ts").isNotNull())
         b = _summarise(events)
-        try:
-            # earlier epochs only: a replayed epoch overwrites its own folder
-            ledger = spark.read.parquet(store_path).filter(F.col("epoch") < int(epoch_id))
-            prev = _latest(ledger).join(b.select("package_id"), "package_id", "left_semi")
-        except Exception:  # noqa: BLE001  -- first epoch: no state yet
-            prev = None
+        # earlier epochs only: a replayed epoch overwrites its own folders
+        prev = _state(spark, root, _last_snapshot(e - 1, every), e - 1)
         if prev is None:
-            prev = spark.createDataFrame(
-                [], "package_id string, current_status string, last_ok timestamp, "
-                    "delayed_since timestamp, latest timestamp")
+            prev = spark.createDataFrame([], STATE_SCHEMA)
+        else:
+            prev = prev.join(b.select("package_id"), "package_id", "left_semi")
         p = prev.select(*[F.col(c).alias(f"p_{c}") for c in STATE_COLUMNS])
         j = b.join(p, b["package_id"] == p["p_package_id"], "left")
         # the batch has its own non-DELAYED event: its run starts after it;
@@ -76,17 +123,23 @@ def _write_epoch(store_path: str):
             F.greatest("last_ok", "p_last_ok").alias("last_ok"),
             F.when(F.col("current_status") == DELAYED, since).alias("delayed_since"),
             F.greatest("latest", "p_latest").alias("latest"),
-            F.lit(int(epoch_id)).cast("long").alias("epoch"))
-        out.write.mode("overwrite").parquet(f"{store_path.rstrip('/')}/epoch={int(epoch_id)}")
+            F.lit(e).cast("long").alias("epoch"))
+        out.write.mode("overwrite").parquet(f"{root}/delta/epoch={e}")
+        if (e + 1) % every == 0:
+            # full state after this epoch: previous snapshot + the deltas since
+            snap = _state(spark, root, e - every, e).withColumn("epoch", F.lit(e).cast("long"))
+            snap.write.mode("overwrite").parquet(f"{root}/snapshot/epoch={e}")
     return write
 
 
 def run_delay_state(stream: DataFrame, store_path: str, checkpoint: str | None = None,
-                    available_now: bool = True):
+                    available_now: bool = True, snapshot_every: int = SNAPSHOT_EVERY):
     """Maintain the per-package delay state from a parsed telemetry stream."""
+    if snapshot_every < 1:
+        raise ValueError("snapshot_every must be positive")
     spark = stream.sparkSession
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/delay-state"
-    w = stream.writeStream.foreachBatch(_write_epoch(store_path)).option(
+    w = stream.writeStream.foreachBatch(_write_epoch(store_path, snapshot_every)).option(
         "checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()

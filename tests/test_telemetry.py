@@ -145,3 +145,36 @@ def test_stream_delay_state_matches_batch(spark, tmp_dir):
             delayed_longer_than(ev, "package_id", "ts", "status", 2.0, as_of=as_of).collect()}
     # A delayed since 02:00, C since 03:00; D (04:00) is at exactly 2 hours
     assert got == want == {"A": 4.0, "C": 3.0}
+
+
+def test_stream_delay_state_with_snapshots(spark, tmp_dir):
+    """Snapshots every 2 epochs: each batch reads the last snapshot plus at
+    most one delta, and the state still equals the batch operator."""
+    from strata.streaming.delays import current_delay_state, delayed_packages, run_delay_state
+    src = os.path.join(tmp_dir, "in4")
+    os.makedirs(src)
+
+    def msg(p, t, s):
+        return '{"package_id": "%s", "timestamp": "2024-01-01T%s:00Z", "status": "%s"}' % (p, t, s)
+    rounds = [
+        [msg("A", "01:00", "IN_TRANSIT"), msg("B", "01:00", "DELAYED")],
+        [msg("A", "02:00", "DELAYED"), msg("C", "00:30", "DELAYED")],
+        [msg("B", "02:00", "AT_HUB"), msg("C", "01:00", "IN_TRANSIT")],
+        [msg("C", "03:00", "DELAYED"), msg("A", "05:00", "DELAYED"), msg("B", "03:30", "DELAYED")],
+        [msg("D", "04:00", "DELAYED")],
+    ]
+    store, ckpt = os.path.join(tmp_dir, "sstore"), os.path.join(tmp_dir, "sck")
+    for i, lines in enumerate(rounds):
+        with open(os.path.join(src, f"p{i}.json"), "w") as f:
+            f.write("\n".join(lines) + "\n")
+        run_delay_state(telemetry_stream(spark, src), store, ckpt,
+                        snapshot_every=2).awaitTermination(120)
+    assert sorted(os.listdir(os.path.join(store, "snapshot"))) == ["epoch=1", "epoch=3"]
+    assert len(os.listdir(os.path.join(store, "delta"))) == len(rounds)
+    as_of = F.lit("2024-01-01 06:00:00").cast("timestamp")
+    state = current_delay_state(spark, store, snapshot_every=2)
+    got = {r.package_id: r.hours_delayed for r in delayed_packages(state, 2.0, as_of).collect()}
+    ev = parse_telemetry(spark.read.text(src)).withColumn("ts", F.to_timestamp("timestamp"))
+    want = {r.package_id: r.hours_delayed for r in
+            delayed_longer_than(ev, "package_id", "ts", "status", 2.0, as_of=as_of).collect()}
+    assert got == want == {"A": 4.0, "C": 3.0, "B": 2.5}
