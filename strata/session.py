@@ -23,6 +23,10 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # The size bound for broadcasting a join side, stated rather than
+    # implied: static plans check the estimate, AQE the measured shuffle.
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
