@@ -13,7 +13,8 @@ The store is log-structured so a batch's cost does not grow with the stream's
 history: every ``snapshot_every`` epochs the batch also writes the full state
 (newest row per package) to ``snapshot/epoch=<id>``.  The state before epoch
 ``e`` is the newest snapshot before ``e`` plus at most ``snapshot_every - 1``
-delta folders after it, all read by explicit path.  State size is bounded by
+delta folders after it, all read by explicit path; a one-row ``head`` table
+names the last epoch written.  State size is bounded by
 the number of packages.  ``snapshot_every`` is part of a store's layout: keep
 it fixed for the life of a store (like its checkpoint).
 """
@@ -78,8 +79,12 @@ def current_delay_state(spark: SparkSession, store_path: str,
                         snapshot_every: int = SNAPSHOT_EVERY) -> DataFrame:
     """Newest state row per package across the epochs written so far."""
     root = store_path.rstrip("/")
-    last = (spark.read.schema(STORED_SCHEMA).option("recursiveFileLookup", "true")
-            .parquet(f"{root}/delta").agg(F.max("epoch").alias("e")).first()["e"])
+    try:
+        # one-row marker written last by every batch
+        last = spark.read.schema("epoch long").parquet(f"{root}/head").first()["epoch"]
+    except Exception:  # noqa: BLE001  -- no marker (or replaced mid-read): scan the deltas
+        last = (spark.read.schema(STORED_SCHEMA).option("recursiveFileLookup", "true")
+                .parquet(f"{root}/delta").agg(F.max("epoch").alias("e")).first()["e"])
     state = None if last is None else _state(spark, root, _last_snapshot(int(last),
                                                                          snapshot_every),
                                              int(last))
@@ -129,6 +134,8 @@ def _write_epoch(store_path: str, every: int):
             # full state after this epoch: previous snapshot + the deltas since
             snap = _state(spark, root, e - every, e).withColumn("epoch", F.lit(e).cast("long"))
             snap.write.mode("overwrite").parquet(f"{root}/snapshot/epoch={e}")
+        spark.createDataFrame([(e,)], "epoch long").coalesce(1).write.mode(
+            "overwrite").parquet(f"{root}/head")
     return write
 
 

@@ -171,6 +171,7 @@ def test_stream_delay_state_with_snapshots(spark, tmp_dir):
                         snapshot_every=2).awaitTermination(120)
     assert sorted(os.listdir(os.path.join(store, "snapshot"))) == ["epoch=1", "epoch=3"]
     assert len(os.listdir(os.path.join(store, "delta"))) == len(rounds)
+    assert spark.read.parquet(os.path.join(store, "head")).first().epoch == len(rounds) - 1
     as_of = F.lit("2024-01-01 06:00:00").cast("timestamp")
     state = current_delay_state(spark, store, snapshot_every=2)
     got = {r.package_id: r.hours_delayed for r in delayed_packages(state, 2.0, as_of).collect()}
