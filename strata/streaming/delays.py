@@ -9,8 +9,8 @@ packages it touches (semi join), and writes the changed packages to its own
 rows).  Events of one package are expected in time order across batches
 (within a batch any order).
 
-The store is log-structured so a batch's cost does not grow with the stream's
-history: every ``snapshot_every`` epochs the batch also writes the full state
+The store is log-structured (``strata.streaming.store``) so a batch's cost
+does not grow with the stream's history: every ``snapshot_every`` epochs the batch also writes the full state
 (newest row per package) to ``snapshot/epoch=<id>``.  The state before epoch
 ``e`` is the newest snapshot before ``e`` plus at most ``snapshot_every - 1``
 delta folders after it, all read by explicit path; a one-row ``head`` table
@@ -21,21 +21,19 @@ it fixed for the life of a store (like its checkpoint).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.telemetry import DELAYED
 from strata.session import ensure_checkpoint_dir
+from strata.streaming import store
+from strata.streaming.store import SNAPSHOT_EVERY
 
 STATE_COLUMNS = ("package_id", "current_status", "last_ok", "delayed_since", "latest")
 STATE_SCHEMA = ("package_id string, current_status string, last_ok timestamp, "
                 "delayed_since timestamp, latest timestamp")
 # stored rows carry their epoch as data (folder names are only a convention)
 STORED_SCHEMA = STATE_SCHEMA + ", epoch long"
-# Default number of epochs between full state snapshots.
-SNAPSHOT_EVERY = 32
 
 
 def _summarise(events: DataFrame) -> DataFrame:
@@ -52,52 +50,12 @@ def _summarise(events: DataFrame) -> DataFrame:
     return per.join(since, "package_id", "left")
 
 
-def _read_epochs(spark: SparkSession, base: str, epochs) -> DataFrame | None:
-    paths = [f"{base}/epoch={e}" for e in epochs]
-    if not paths:
-        return None
-    return spark.read.schema(STORED_SCHEMA).parquet(*paths)
-
-
-def _last_snapshot(upto: int, every: int) -> int:
-    """Newest snapshot epoch at or before ``upto`` (-1: none)."""
-    return (upto + 1) // every * every - 1
-
-
-def _state(spark: SparkSession, root: str, snapshot: int, upto: int) -> DataFrame | None:
-    """Newest row per package from snapshot ``snapshot`` and deltas after it
-    up to epoch ``upto``."""
-    parts = [f for f in (
-        _read_epochs(spark, f"{root}/snapshot", [snapshot] if snapshot >= 0 else []),
-        _read_epochs(spark, f"{root}/delta", range(snapshot + 1, upto + 1))) if f is not None]
-    if not parts:
-        return None
-    return _latest(reduce(lambda a, b: a.unionByName(b), parts))
-
-
 def current_delay_state(spark: SparkSession, store_path: str,
                         snapshot_every: int = SNAPSHOT_EVERY) -> DataFrame:
     """Newest state row per package across the epochs written so far."""
-    root = store_path.rstrip("/")
-    try:
-        # one-row marker written last by every batch
-        last = spark.read.schema("epoch long").parquet(f"{root}/head").first()["epoch"]
-    except Exception:  # noqa: BLE001  -- no marker (or replaced mid-read): scan the deltas
-        last = (spark.read.schema(STORED_SCHEMA).option("recursiveFileLookup", "true")
-                .parquet(f"{root}/delta").agg(F.max("epoch").alias("e")).first()["e"])
-    state = None if last is None else _state(spark, root, _last_snapshot(int(last),
-                                                                         snapshot_every),
-                                             int(last))
-    if state is None:
-        return spark.createDataFrame([], STATE_SCHEMA)
-    return state
-
-
-def _latest(ledger: DataFrame) -> DataFrame:
-    cols = [c for c in STATE_COLUMNS if c != "package_id"]
-    return (ledger.groupBy("package_id")
-            .agg(F.max_by(F.struct(*cols), F.col("epoch")).alias("_s"))
-            .select("package_id", *[F.col(f"_s.{c}").alias(c) for c in cols]))
+    st = store.current(spark, store_path.rstrip("/"), "package_id", snapshot_every,
+                       STORED_SCHEMA)
+    return spark.createDataFrame([], STATE_SCHEMA) if st is None else st.drop("epoch")
 
 
 def _write_epoch(store_path: str, every: int):
@@ -111,7 +69,7 @@ def _write_epoch(store_path: str, every: int):
             F.col("ts").isNotNull())
         b = _summarise(events)
         # earlier epochs only: a replayed epoch overwrites its own folders
-        prev = _state(spark, root, _last_snapshot(e - 1, every), e - 1)
+        prev = store.state_before(spark, root, "package_id", e, every, STORED_SCHEMA)
         if prev is None:
             prev = spark.createDataFrame([], STATE_SCHEMA)
         else:
@@ -127,15 +85,8 @@ def _write_epoch(store_path: str, every: int):
             "package_id", "current_status",
             F.greatest("last_ok", "p_last_ok").alias("last_ok"),
             F.when(F.col("current_status") == DELAYED, since).alias("delayed_since"),
-            F.greatest("latest", "p_latest").alias("latest"),
-            F.lit(e).cast("long").alias("epoch"))
-        out.write.mode("overwrite").parquet(f"{root}/delta/epoch={e}")
-        if (e + 1) % every == 0:
-            # full state after this epoch: previous snapshot + the deltas since
-            snap = _state(spark, root, e - every, e).withColumn("epoch", F.lit(e).cast("long"))
-            snap.write.mode("overwrite").parquet(f"{root}/snapshot/epoch={e}")
-        spark.createDataFrame([(e,)], "epoch long").coalesce(1).write.mode(
-            "overwrite").parquet(f"{root}/head")
+            F.greatest("latest", "p_latest").alias("latest"))
+        store.commit(spark, root, "package_id", out, e, every, STORED_SCHEMA)
     return write
 
 

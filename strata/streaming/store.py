@@ -1,0 +1,99 @@
+"""Log-structured keyed store for ``foreachBatch`` streams.
+
+Layout under a store folder ``root``:
+
+``delta/epoch=<id>``
+    the rows a micro-batch changed (newest row per key of that batch),
+``snapshot/epoch=<id>``
+    every ``every`` epochs, the full state (newest row per key) after that
+    epoch,
+``head``
+    one row naming the last epoch written (written last by every batch).
+
+Every stored row carries its ``epoch`` as data.  The state after epoch ``e``
+is the newest snapshot at or before ``e`` plus at most ``every - 1`` delta
+folders after it, all read by explicit path, so neither a batch nor a reader
+pays for the stream's whole history.  Each epoch overwrites only its own
+folders, so a replayed epoch rewrites identical rows (idempotent).  ``every``
+is part of a store's layout: keep it fixed for the life of a store.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Default number of epochs between full snapshots.
+SNAPSHOT_EVERY = 32
+
+
+def _read(spark: SparkSession, base: str, epochs, schema: str | None) -> DataFrame | None:
+    paths = [f"{base}/epoch={e}" for e in epochs]
+    if not paths:
+        return None
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(*paths)
+
+
+def last_snapshot(upto: int, every: int) -> int:
+    """Newest snapshot epoch at or before ``upto`` (-1: none)."""
+    return (upto + 1) // every * every - 1
+
+
+def newest(ledger: DataFrame, key: str) -> DataFrame:
+    """Newest row per key by ``epoch`` (a partial aggregate)."""
+    cols = [c for c in ledger.columns if c not in (key, "epoch")]
+    return (ledger.groupBy(key)
+            .agg(F.max_by(F.struct(*[F.col(c) for c in cols], F.col("epoch")),
+                          F.col("epoch")).alias("_r"))
+            .select(key, *[F.col(f"_r.{c}").alias(c) for c in cols], F.col("_r.epoch")))
+
+
+def state(spark: SparkSession, root: str, key: str, snapshot: int, upto: int,
+          schema: str | None = None) -> DataFrame | None:
+    """Newest row per key from snapshot ``snapshot`` (-1: none) and the deltas
+    after it up to epoch ``upto``; ``None`` when nothing was written."""
+    parts = [f for f in (
+        _read(spark, f"{root}/snapshot", [snapshot] if snapshot >= 0 else [], schema),
+        _read(spark, f"{root}/delta", range(snapshot + 1, upto + 1), schema)) if f is not None]
+    if not parts:
+        return None
+    return newest(reduce(lambda a, b: a.unionByName(b), parts), key)
+
+
+def state_before(spark: SparkSession, root: str, key: str, epoch: int, every: int,
+                 schema: str | None = None) -> DataFrame | None:
+    """State after every epoch before ``epoch`` (what a batch builds on)."""
+    return state(spark, root, key, last_snapshot(epoch - 1, every), epoch - 1, schema)
+
+
+def commit(spark: SparkSession, root: str, key: str, rows: DataFrame, epoch: int,
+           every: int, schema: str | None = None) -> None:
+    """Write a batch's changed rows as epoch ``epoch``, then a snapshot when one
+    is due, then the head marker."""
+    rows.withColumn("epoch", F.lit(int(epoch)).cast("long")).write.mode("overwrite").parquet(
+        f"{root}/delta/epoch={epoch}")
+    if (epoch + 1) % every == 0:
+        snap = state(spark, root, key, epoch - every, epoch, schema)
+        snap.write.mode("overwrite").parquet(f"{root}/snapshot/epoch={epoch}")
+    spark.createDataFrame([(int(epoch),)], "epoch long").coalesce(1).write.mode(
+        "overwrite").parquet(f"{root}/head")
+
+
+def current(spark: SparkSession, root: str, key: str, every: int,
+            schema: str | None = None) -> DataFrame | None:
+    """Newest row per key over everything written so far (``None``: empty)."""
+    try:
+        last = spark.read.schema("epoch long").parquet(f"{root}/head").first()["epoch"]
+    except Exception:  # noqa: BLE001  -- no marker (or replaced mid-read): scan the deltas
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        try:
+            last = (reader.option("recursiveFileLookup", "true").parquet(f"{root}/delta")
+                    .agg(F.max("epoch").alias("e")).first()["e"])
+        except Exception:  # noqa: BLE001  -- nothing written yet
+            last = None
+    if last is None:
+        return None
+    return state(spark, root, key, last_snapshot(int(last), every), int(last), schema)

@@ -3,11 +3,12 @@
 The stream applies the same stateless ``parse_telemetry`` projection as the
 batch twin.  R2 (the keyed state store) is written with ``foreachBatch``:
 each micro-batch is reduced to one row per ``row_key`` and written to its own
-``epoch=<id>`` folder with overwrite, so a replayed epoch (after a failure,
-before the checkpoint commit) rewrites the same folder -- the sink is
-idempotent without a read-modify-write of the whole store per batch.  The
-current store is the newest row per key across epochs (``current_store``),
-an aggregate with partial combine.
+``delta/epoch=<id>`` folder with overwrite, so a replayed epoch (after a
+failure, before the checkpoint commit) rewrites the same folder -- the sink is
+idempotent without a read-modify-write of the whole store per batch.  Every
+``snapshot_every`` epochs a snapshot of the whole store is written, and the
+current store (``current_store``) is that snapshot plus the few deltas after
+it, newest row per key with partial combine (``strata.streaming.store``).
 
 Checkpoints live under the shared ``spark.checkpoint.dir`` unless a path is
 given.
@@ -21,6 +22,8 @@ from pyspark.sql import types as T
 
 from strata.operators.telemetry import parse_telemetry
 from strata.session import ensure_checkpoint_dir
+from strata.streaming import store
+from strata.streaming.store import SNAPSHOT_EVERY
 
 MESSAGE_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
@@ -53,34 +56,38 @@ def telemetry_stream(spark: SparkSession, path: str | None = None, fmt: str = "t
     return parse_telemetry(read_messages(spark, path, fmt, options))
 
 
-def _write_epoch(store_path: str):
+def _write_epoch(store_path: str, every: int):
+    root = store_path.rstrip("/")
+
     def write(batch: DataFrame, epoch_id: int) -> None:
         latest = (batch.groupBy("row_key")
                   .agg(F.max(F.struct(*[F.col(c) for c in batch.columns])).alias("_r"))
-                  .select("_r.*")
-                  .withColumn("epoch", F.lit(int(epoch_id)).cast("long")))
-        latest.write.mode("overwrite").parquet(f"{store_path.rstrip('/')}/epoch={int(epoch_id)}")
+                  .select("_r.*"))
+        store.commit(batch.sparkSession, root, "row_key", latest, int(epoch_id), every)
     return write
 
 
 def run_to_store(stream: DataFrame, store_path: str, checkpoint: str | None = None,
-                 available_now: bool = True):
-    """R2: write the stream into the keyed store; returns the StreamingQuery."""
+                 available_now: bool = True, snapshot_every: int = SNAPSHOT_EVERY):
+    """R2: write the stream into the keyed store (``strata.streaming.store``
+    layout: per-epoch deltas, a snapshot every ``snapshot_every`` epochs);
+    returns the StreamingQuery."""
+    if snapshot_every < 1:
+        raise ValueError("snapshot_every must be positive")
     spark = stream.sparkSession
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/telemetry-store"
-    w = (stream.writeStream.foreachBatch(_write_epoch(store_path))
+    w = (stream.writeStream.foreachBatch(_write_epoch(store_path, snapshot_every))
          .option("checkpointLocation", ckpt))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
-def current_store(spark: SparkSession, store_path: str) -> DataFrame:
-    """Newest version of every ``row_key`` across the epochs written so far."""
-    ledger = spark.read.parquet(store_path)
-    cols = [c for c in ledger.columns if c not in ("row_key", "epoch")]
-    return (ledger.groupBy("row_key")
-            .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("epoch")).alias("_r"))
-            .select("row_key", *[F.col(f"_r.{c}").alias(c) for c in cols]))
+def current_store(spark: SparkSession, store_path: str,
+                  snapshot_every: int = SNAPSHOT_EVERY) -> DataFrame | None:
+    """Newest version of every ``row_key``: the last snapshot plus the deltas
+    after it (``None`` before the first epoch)."""
+    st = store.current(spark, store_path.rstrip("/"), "row_key", snapshot_every)
+    return None if st is None else st.drop("epoch")
 
 
 def latest_per_package(stream: DataFrame) -> DataFrame:
@@ -94,8 +101,8 @@ def latest_per_package(stream: DataFrame) -> DataFrame:
             .select("package_id", "_s.timestamp", "_s.status", "_s.sla_breach", "_s.row_key"))
 
 
-def compact_store(spark: SparkSession, store_path: str, out_path: str) -> None:
-    """Write the current store (newest row per key) as one table, e.g. to
-    start a fresh epoch folder; keeps ``current_store`` reads short."""
-    current_store(spark, store_path).withColumn("epoch", F.lit(-1).cast("long")) \
-        .write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch=-1")
+def compact_store(spark: SparkSession, store_path: str, out_path: str,
+                  snapshot_every: int = SNAPSHOT_EVERY) -> None:
+    """Write the current store (newest row per key) as one table elsewhere,
+    e.g. to export it; the store itself compacts through its snapshots."""
+    current_store(spark, store_path, snapshot_every).write.mode("overwrite").parquet(out_path)
