@@ -37,12 +37,14 @@ class BulkLoad:
 def bulk_load(spark: SparkSession, csv_dir: str, tables: Sequence[str],
               rules: Mapping[str, Sequence], table_map: Mapping[str, str] = TABLE_MAP,
               mode: str = "compat", audit_id: str = "uuid",
-              run_id: str | None = None) -> BulkLoad:
+              run_id: str | None = None, materialize: bool = False) -> BulkLoad:
     """Scan and validate each ``<csv_dir>/<table>.csv``.
 
     Rules are looked up by the mapped ontology name; the audit's
     ``table_name`` is the CSV name.  A table without rules passes every row
-    and writes no audit rows.  A missing file skips the table.
+    and writes no audit rows.  A missing file skips the table.  With
+    ``materialize`` each table's rules are evaluated once into the shared
+    checkpoint folder and the valid and audit outputs both read that copy.
     """
     out = BulkLoad()
     when = datetime.now(timezone.utc).replace(tzinfo=None)
@@ -55,7 +57,8 @@ def bulk_load(spark: SparkSession, csv_dir: str, tables: Sequence[str],
             continue
         onto = table_map.get(table, table)
         v = validate(scan.rows, table, rules.get(onto, []), mode=mode,
-                     audit_id=audit_id, run_id=run_id, evaluated_at=when)
+                     audit_id=audit_id, run_id=run_id, evaluated_at=when,
+                     materialize=materialize and bool(rules.get(onto)))
         out.results[table] = v
         out.valid[table] = v.valid
         out.rejected[table] = scan.rejected

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import spread
+from strata.session import cut_lineage, spread
 
 # Audit messages of the compat evaluator.
 MSG_SKIPPED_AGG = "Skipped aggregation rule evaluation in single-row context"
@@ -264,7 +264,7 @@ def evaluate(df: DataFrame, rules: Sequence, mode: str = "compat") -> DataFrame:
 def validate(df: DataFrame, table_name: str, rules: Sequence, mode: str = "compat",
              key: str | Column | None = None, audit_id: str = "uuid",
              run_id: str | None = None, evaluated_at: datetime | None = None,
-             carry: Sequence[str] = ()) -> Validation:
+             carry: Sequence[str] = (), materialize: bool = False) -> Validation:
     """V1: split ``df`` into rows passing every rule and one audit row per rule.
 
     ``key`` is the audit ``row_key`` (default: the first column, as text).
@@ -274,6 +274,11 @@ def validate(df: DataFrame, table_name: str, rules: Sequence, mode: str = "compa
     ``evaluated_at`` is one literal time per run, fixed on the driver, so both
     outputs and any retried task agree on it.  ``carry`` copies extra columns
     onto the audit rows.
+
+    ``materialize`` evaluates the rules once into the shared checkpoint folder
+    (a reliable ``checkpoint``, see ``strata.session.cut_lineage``); both
+    outputs then read that copy instead of scanning and evaluating the source
+    twice, and a lost executor recomputes from the copy, not from the source.
     """
     run_id = run_id or _uuid.uuid4().hex
     when = evaluated_at or datetime.now(timezone.utc).replace(tzinfo=None)
@@ -287,6 +292,8 @@ def validate(df: DataFrame, table_name: str, rules: Sequence, mode: str = "compa
     rules = [Rule.of(r) for r in rules]
     df = spread(df)  # rule evaluation is CPU-heavy per row
     evaluated = evaluate(df, rules, mode)
+    if materialize:
+        evaluated = cut_lineage(evaluated)
     valid = evaluated.filter(
         F.forall("_results", lambda r: r["passed"] | ~r["reject"])).select(*cols)
 
