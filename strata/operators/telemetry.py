@@ -67,8 +67,8 @@ def parse_telemetry(messages: DataFrame, value: str = "value") -> DataFrame:
         F.schema_of_variant("timestamp").alias("ts_t"),
         F.try_variant_get("timestamp", "$", "string").alias("ts_s"),
         F.try_variant_get("timestamp", "$", "double").alias("ts_d"),
-        F.when(F.schema_of_variant("status") == "STRING",
-               F.try_variant_get("status", "$", "string")).alias("status_s"),
+        # any scalar status is kept as its text (the source keeps the value)
+        F.try_variant_get("status", "$", "string").alias("status_s"),
         F.col("delay_reason").isNull().alias("reason_absent"),
         F.is_variant_null("delay_reason").alias("reason_null"),
         F.try_variant_get("delay_reason", "$", "string").alias("reason_s"))

@@ -35,6 +35,9 @@ SCALE_CONF = {
     # "small" side is small in memory too (AQE still re-checks measured sizes).
     "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.parquet.filterPushdown": "true",
+    # JSON text with a repeated key keeps its last value (as Python's json
+    # does) instead of failing the parse
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # driver-side only: skip capturing a Python call site for every Column
     # built (a JVM round trip each); plan building gets several times faster

@@ -47,6 +47,16 @@ def test_edge_cases(spark):
     assert got["P8"].timestamp == "1698400000"
 
 
+def test_repeated_key_and_numeric_status(spark):
+    # a repeated key keeps its last value, as Python's json.loads does
+    got = _parse(spark, ['{"package_id": "A", "package_id": "B", "timestamp": "t1", '
+                         '"status": "DELAYED"}',
+                         '{"package_id": "C", "timestamp": "t2", "status": 7}'])
+    assert set(got) == {"B", "C"}
+    assert got["B"].sla_breach == "TRUE" and got["B"].row_key.endswith("#B#t1")
+    assert got["C"].status == "7" and got["C"].sla_breach == "FALSE"
+
+
 def test_bytes_payload(spark):
     df = spark.createDataFrame([(bytearray(CANNED[0].encode()),)], "value binary")
     assert parse_telemetry(df).count() == 1
