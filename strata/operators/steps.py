@@ -54,11 +54,19 @@ def step_filter(df: DataFrame, column: str, operator: str | None = None,
 
 def step_join(df: DataFrame, right: DataFrame, how: str = "LEFT",
               left_key: str | None = None, right_key: str | None = None,
-              right_prefix: str = "r_") -> DataFrame:
+              right_prefix: str = "r_", skew_safe: bool | None = None) -> DataFrame:
     """J1 JOIN step: ``L.*, R.*`` on one equality key.
 
     Right-side columns whose names clash with the left get ``right_prefix``
     (a DataFrame cannot carry two columns with one name downstream).
+
+    ``skew_safe`` (default: on for FULL, off otherwise) builds an outer join
+    from parts adaptive execution can split when one key holds a large share
+    of the rows: the inner join (skew-split on both sides) plus the unmatched
+    rows of each preserved side (an anti join against the other side's
+    distinct keys, which collapse a hot key to one row per task before the
+    shuffle).  A plain full outer join cannot be split at all, and a plain
+    left / right join only on its preserved side.
     """
     kind = JOIN_TYPES.get((how or "LEFT").upper())
     if kind is None:
@@ -68,7 +76,29 @@ def step_join(df: DataFrame, right: DataFrame, how: str = "LEFT",
         F.col(c).alias(f"{right_prefix}{c}" if c in left_cols else c)
         for c in right.columns])
     rk = f"{right_prefix}{right_key}" if right_key in left_cols else right_key
-    return df.join(renamed, df[left_key] == renamed[rk], kind)
+    if skew_safe is None:
+        skew_safe = kind == "full"
+    if kind == "inner" or not skew_safe:
+        return df.join(renamed, df[left_key] == renamed[rk], kind)
+    return _outer_in_parts(df, renamed, left_key, rk, kind)
+
+
+def _outer_in_parts(left: DataFrame, right: DataFrame, lk: str, rk: str,
+                    kind: str) -> DataFrame:
+    """``left <kind> JOIN right`` = inner join + unmatched preserved rows."""
+    parts = [left.join(right, left[lk] == right[rk], "inner")]
+    if kind in ("left", "full"):
+        keys = right.select(F.col(rk).alias("_k")).distinct()
+        only = left.join(keys, left[lk] == keys["_k"], "left_anti")
+        parts.append(only.select(*left.columns, *[
+            F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]))
+    if kind in ("right", "full"):
+        keys = left.select(F.col(lk).alias("_k")).distinct()
+        only = right.join(keys, right[rk] == keys["_k"], "left_anti")
+        parts.append(only.select(*[
+            F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields],
+            *right.columns))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def aggregation_column(function: str, column: str, alias: str | None = None) -> Column:
