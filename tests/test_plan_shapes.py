@@ -68,3 +68,20 @@ def test_spread_runs_no_job_while_planning(spark):
         if label != "scan":
             assert out is df, label
     sc.setJobGroup("", "")
+
+
+def test_cluster_conf_sizes_shuffles_from_bytes():
+    from strata.session import MAX_SHUFFLE_PARTITIONS, cluster_conf
+
+    gib = 1024 ** 3
+    # 100 TB shuffled at 256 MiB per partition, capped
+    big = cluster_conf(100 * 1024 * gib, total_cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == MAX_SHUFFLE_PARTITIONS
+    # 1 TB: bytes / 256 MiB = 4096 partitions, above 3 per core for 1000 cores
+    mid = cluster_conf(1024 * gib, total_cores=1000)
+    assert int(mid["spark.sql.shuffle.partitions"]) == 4096
+    # tiny shuffle: still three tasks per core
+    small = cluster_conf(gib, total_cores=1000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 3000
+    assert big["spark.sql.adaptive.enabled"] == "true"
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
