@@ -82,17 +82,19 @@ def time_bounded_link(spark, sf_dir):
 
 
 @plan("nested_children", """
-SELECT r_regionkey, count(n_nationkey) AS n_children, min(n_name) AS first_child
-FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey
+SELECT c_custkey, count(o_orderkey) AS n_children, min(o_orderdate) AS first_child
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey
 """)
 def nested_children_plan(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    nested = nested_children(t.region, t.nation, "r_regionkey", "n_regionkey",
-                             ["n_name", "n_nationkey"], "nations")
+    # each customer's orders as an array, sorted by (date, key); customers
+    # without orders keep an empty array; a hot customer is split in chunks
+    nested = nested_children(t.customer.select("c_custkey"), t.orders, "c_custkey",
+                             "o_custkey", ["o_orderdate", "o_orderkey"], "orders")
     # a parent may span several chunks: fold them (one small row per chunk)
-    return nested.groupBy("r_regionkey").agg(
-        F.sum(F.size("nations")).cast("bigint").alias("n_children"),
-        F.min(F.try_element_at("nations", F.lit(1))["n_name"]).alias("first_child"))
+    return nested.groupBy("c_custkey").agg(
+        F.sum(F.size("orders")).cast("bigint").alias("n_children"),
+        F.min(F.try_element_at("orders", F.lit(1))["o_orderdate"]).alias("first_child"))
 
 
 @plan("schema_checked_ingest", """

@@ -167,3 +167,22 @@ def test_bucketed_time_bounded_join_equals_plain(spark):
         "b", F.col("b").cast("timestamp"))
     assert pairs(time_bounded_join(tl, tr, "k", "lk", "t", "a", "b",
                                    bucket=3 * 86400)) == brute
+
+
+def test_nested_children_chunks_fold_to_whole_result(spark):
+    """With chunks of at most 2 orders, folding the chunks per customer gives
+    the same counts and first order as one array per customer."""
+    sf = "/root/testdata/sf0.001"
+    cust = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey")
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+
+    def folded(max_items):
+        n = nested_children(cust, orders, "c_custkey", "o_custkey",
+                            ["o_orderdate", "o_orderkey"], "orders", max_items=max_items)
+        first = F.try_element_at("orders", F.lit(1))
+        return {r.c_custkey: (r.n, r.first, r.chunks) for r in n.groupBy("c_custkey").agg(
+            F.sum(F.size("orders")).alias("n"), F.min(first["o_orderdate"]).alias("first"),
+            F.count(F.lit(1)).alias("chunks")).collect()}
+    whole, chunked = folded(100_000), folded(2)
+    assert {k: v[:2] for k, v in whole.items()} == {k: v[:2] for k, v in chunked.items()}
+    assert max(v[2] for v in chunked.values()) > 1 and max(v[2] for v in whole.values()) == 1

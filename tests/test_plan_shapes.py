@@ -85,3 +85,14 @@ def test_cluster_conf_sizes_shuffles_from_bytes():
     assert int(small["spark.sql.shuffle.partitions"]) == 3000
     assert big["spark.sql.adaptive.enabled"] == "true"
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plan_reads_a_table_that_grows(spark, name):
+    """Every plan's work grows with the data: it reads at least one table
+    whose size follows the scale factor (region and nation are fixed)."""
+    from strata.sources.tables import FIXED_SIZE
+
+    files = E.queries()[name](spark, SF_SMALL).inputFiles()
+    tables = {f.rsplit("/", 1)[-1].removesuffix(".parquet") for f in files}
+    assert tables - set(FIXED_SIZE), f"{name} reads only {sorted(tables)}"
