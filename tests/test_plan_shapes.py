@@ -98,34 +98,54 @@ def test_plan_reads_a_table_that_grows(spark, name):
     assert tables - set(FIXED_SIZE), f"{name} reads only {sorted(tables)}"
 
 
-def test_hot_key_join_is_split_by_aqe(spark):
-    """A relationship join (J8) where one key holds most rows runs as a
-    skew-split sort-merge join: the hot key's rows are spread over tasks."""
-    from pyspark.sql import functions as F
+SKEW_CONF = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
 
-    from strata.ontology import Relationship
-    from strata.operators.graph import follow
+
+def _final_plan_with_hot_key(spark, build):
+    """Run ``build(src, tgt)`` (a join) where key 0 holds 80% of ``src`` and
+    return (row count, final physical plan text)."""
+    from pyspark.sql import functions as F
 
     src = spark.range(200_000).select(
         F.col("id"), F.when(F.col("id") % 10 < 8, F.lit(0)).otherwise(F.col("id") % 97)
         .alias("fk"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
     tgt = spark.range(97).select(F.col("id").alias("tk"), F.lit("x").alias("name"))
-    rel = Relationship("to", "TO", "Tgt", "many_to_one", "fk", "tk")
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    old = {k: spark.conf.get(k) for k in conf}
-    for k, v in conf.items():
+    old = {k: spark.conf.get(k) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
         spark.conf.set(k, v)
     try:
         # max(pad) keeps the incompressible column in the shuffle
-        out = follow(src, tgt, rel, how="left").agg(F.count(F.lit(1)).alias("n"),
-                                                     F.max("pad").alias("m"))
-        assert out.collect()[0].n == 200_000  # runs this DataFrame's own plan
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "skew=true" in plan, plan
+        out = build(src, tgt).agg(F.count(F.lit(1)).alias("n"), F.max("pad").alias("m"))
+        n = out.collect()[0].n  # runs this DataFrame's own plan
+        return n, out._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_hot_key_join_is_split_by_aqe(spark):
+    """A relationship join (J8) where one key holds most rows runs as a
+    skew-split sort-merge join: the hot key's rows are spread over tasks."""
+    from strata.ontology import Relationship
+    from strata.operators.graph import follow
+
+    rel = Relationship("to", "TO", "Tgt", "many_to_one", "fk", "tk")
+    n, plan = _final_plan_with_hot_key(spark, lambda s, t: follow(s, t, rel, how="left"))
+    assert n == 200_000 and "skew=true" in plan, plan
+
+
+def test_full_join_step_is_split_by_aqe(spark):
+    """A FULL join step with a hot key: the plain full outer join cannot be
+    split; the default parts form is."""
+    from strata.operators.steps import step_join
+
+    n, plain = _final_plan_with_hot_key(
+        spark, lambda s, t: step_join(s, t, "FULL", "fk", "tk", skew_safe=False))
+    m, parts = _final_plan_with_hot_key(spark, lambda s, t: step_join(s, t, "FULL", "fk", "tk"))
+    assert n == m == 200_000
+    assert "FullOuter" in plain and "skew=true" not in plain
+    assert "FullOuter" not in parts and "skew=true" in parts
