@@ -149,3 +149,17 @@ def test_full_join_step_is_split_by_aqe(spark):
     assert n == m == 200_000
     assert "FullOuter" in plain and "skew=true" not in plain
     assert "FullOuter" not in parts and "skew=true" in parts
+
+
+# Keyed reductions that must combine map-side, so a key holding a third of the
+# rows costs one row per task before the shuffle.
+PARTIAL = ("latest_state", "ledger_state", "point_in_time", "active_packages",
+           "delayed_over_2h", "document_registry", "apply_actions", "upsert_merge",
+           "route_summary", "route_summary_parts", "nested_children", "dataset_hash",
+           "key_duplicates", "daily_cost", "follow_links", "reconcile")
+
+
+@pytest.mark.parametrize("name", PARTIAL)
+def test_keyed_reductions_combine_map_side(spark, name):
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_" in plan, name
