@@ -97,6 +97,28 @@ def upsert(target: DataFrame, batch: DataFrame, key: Sequence[str] | str,
     return updated.select(*out).unionByName(inserts)
 
 
+def merge_bucketed(spark, target_table: str, batch: DataFrame, key: str, new_table: str,
+                   buckets: int, mode: str = "non_empty",
+                   order_by: str | None = None) -> None:
+    """K1 / K2 into a catalog table bucketed by ``key``; writes ``new_table``.
+
+    A target stored bucketed by the key (``bucketBy(buckets, key)``) is read
+    bucket by bucket in place: the merge joins need no shuffle of the target,
+    only the batch is shuffled into the same buckets.  The new version is
+    written bucketed the same way, so the next merge is co-located too.  Read
+    and write tables differ (swap names afterwards, or keep versions).
+    """
+    keys = [key]
+    merged = upsert(spark.table(target_table), batch, keys, mode=mode, order_by=order_by)
+    (merged.write.mode("overwrite").bucketBy(int(buckets), key).sortBy(key)
+     .saveAsTable(new_table))
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """First version of a bucketed target for ``merge_bucketed``."""
+    df.write.mode("overwrite").bucketBy(int(buckets), key).sortBy(key).saveAsTable(table)
+
+
 def apply_actions(target: DataFrame, actions: DataFrame, key: str, payload: str,
                   seq: str, into: str | None = None) -> DataFrame:
     """K8: set ``into`` (default ``payload``) to the last action's payload per id.

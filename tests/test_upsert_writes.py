@@ -105,3 +105,35 @@ def test_date_partitioned_write_splits_a_hot_date(spark, tmp_dir):
     back = spark.read.parquet(path)
     assert back.count() == 40_000
     assert back.filter(F.col("partition_date") == "2024-01-01").count() == 36_000
+
+
+def test_merge_into_bucketed_target_does_not_shuffle_it(spark):
+    """K1 into a table bucketed by the key: same result as the plain upsert,
+    and the plan shuffles the batch only (the target scan is bucketed)."""
+    from strata.sinks.upsert import merge_bucketed, write_bucketed
+
+    target = spark.range(20_000).select(F.col("id").alias("k"),
+                                        (F.col("id") % 7).cast("string").alias("v"))
+    batch = spark.range(10_000, 30_000, 3).select(F.col("id").alias("k"),
+                                                  F.lit("new").alias("v"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        write_bucketed(target, "kv_v1", "k", 8)
+        merge = upsert(spark.table("kv_v1"), batch, "k")
+        plan = merge._jdf.queryExecution().executedPlan().toString()
+        plain = upsert(target, batch, "k")._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan
+        assert plan.count("Exchange hashpartitioning") < plain.count("Exchange hashpartitioning")
+        merge_bucketed(spark, "kv_v1", batch, "k", "kv_v2", 8)
+        got = sorted(map(tuple, spark.table("kv_v2").collect()))
+        want = sorted(map(tuple, upsert(target, batch, "k").collect()))
+        assert got == want and len(got) == 20_000 + len(range(20_001, 30_000, 3))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+        spark.sql("DROP TABLE IF EXISTS kv_v1")
+        spark.sql("DROP TABLE IF EXISTS kv_v2")
