@@ -39,7 +39,9 @@ def chunked_collect(child: DataFrame, key: str, fields: Sequence[str], name: str
     rows = child.select(F.col(key), F.struct(*[F.col(f) for f in fields]).alias("_item"))
     sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_items)))
-    chunked = rows.join(sizes, key).select(
+    # null-safe: a NULL key is one group, as in a plain groupBy
+    sizes = sizes.withColumnRenamed(key, "_key")
+    chunked = rows.join(sizes, rows[key].eqNullSafe(sizes["_key"])).select(
         F.col(key), F.col("_item"),
         F.when(F.col("_n") <= F.lit(max_items), F.lit(0))
         .otherwise(F.pmod(F.xxhash64(F.col("_item")), n_chunks)).cast("int").alias(chunk_col))

@@ -186,3 +186,10 @@ def test_nested_children_chunks_fold_to_whole_result(spark):
     whole, chunked = folded(100_000), folded(2)
     assert {k: v[:2] for k, v in whole.items()} == {k: v[:2] for k, v in chunked.items()}
     assert max(v[2] for v in chunked.values()) > 1 and max(v[2] for v in whole.values()) == 1
+
+
+def test_chunked_collect_keeps_a_null_key_group(spark):
+    from strata.functions.nesting import chunked_collect
+    df = spark.createDataFrame([(None, "x"), (None, "y"), ("a", "z")], "k string, v string")
+    got = {r.k: [x.v for x in r.items] for r in chunked_collect(df, "k", ["v"], "items").collect()}
+    assert got == {None: ["x", "y"], "a": ["z"]}
