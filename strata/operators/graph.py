@@ -89,7 +89,9 @@ def route_summary(context: DataFrame, route_key: str, leg: str, stop: str,
         out = blocks.select(F.col(route_key), F.col("_blk").cast("bigint").alias("part"),
                             F.col("_part").alias("stops"))
         if extra:
-            out = out.join(blocks.groupBy(route_key).agg(*lasts), route_key)
+            # null-safe: a NULL route is one group, as in the whole-text form
+            last = blocks.groupBy(route_key).agg(*lasts).withColumnRenamed(route_key, "_rk")
+            out = out.join(last, out[route_key].eqNullSafe(last["_rk"])).drop("_rk")
         return out
     texts = F.array_sort(F.collect_list(F.struct("_blk", "_part")))
     lvl2 = [F.array_join(F.transform(texts, lambda x: x["_part"]), STOP_SEPARATOR)

@@ -146,6 +146,13 @@ def test_route_summary_across_blocks(spark):
     assert [p.part for p in parts] == [0, 1, 2, 3, 5]
     assert " -> ".join(p.stops for p in parts) == s.stops
     assert {(p.last_mode, p.last_carrier) for p in parts} == {("AIR", "C")}
+    # a NULL route keeps its rows in both forms
+    nulls = spark.createDataFrame([(None, "1", "A", "SEA", None), (None, "2", "B", "", None)],
+                                  "r string, leg string, stop string, mode string, carrier string")
+    whole = route_summary(nulls, "r", "leg", "stop", "mode", "carrier").collect()
+    split = route_summary(nulls, "r", "leg", "stop", "mode", "carrier", parts=True).collect()
+    assert [(w.r, w.stops, w.last_mode) for w in whole] == [(None, "A -> B", "SEA")]
+    assert [(p.r, p.stops, p.last_mode) for p in split] == [(None, "A -> B", "SEA")]
 
 
 def test_route_text():
