@@ -193,3 +193,19 @@ def test_chunked_collect_keeps_a_null_key_group(spark):
     df = spark.createDataFrame([(None, "x"), (None, "y"), ("a", "z")], "k string, v string")
     got = {r.k: [x.v for x in r.items] for r in chunked_collect(df, "k", ["v"], "items").collect()}
     assert got == {None: ["x", "y"], "a": ["z"]}
+
+
+def test_bucketed_time_bounded_join_across_a_dst_gap(spark):
+    """Local (NTZ) times around a daylight-saving gap: a period starting at
+    02:30 (a time that does not exist that night) still contains 03:00."""
+    ev = spark.sql("SELECT 1 AS k, TIMESTAMP_NTZ'2024-03-10 03:00:00' AS t, 7 AS eid")
+    per = spark.sql("SELECT 1 AS lk, TIMESTAMP_NTZ'2024-03-10 02:30:00' AS a, "
+                    "TIMESTAMP_NTZ'2024-03-10 04:00:00' AS b, 9 AS pid")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for width in (None, 1800, 600):
+            got = time_bounded_join(ev, per, "k", "lk", "t", "a", "b", bucket=width)
+            assert [(r.eid, r.pid) for r in got.collect()] == [(7, 9)], width
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
