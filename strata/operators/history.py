@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.clock import epoch_micros
 from strata.functions.nesting import DEFAULT_MAX_ITEMS, chunked_collect
 
 # Ledger operation that removes a key.
@@ -58,15 +59,10 @@ def rows_for(rows: DataFrame, grants: DataFrame, rows_attr: str, grant_attr: str
 
 def _time_bucket(c: Column, dtype: T.DataType, width) -> Column:
     """Bucket number of a time or number for the bucketed range join."""
-    if isinstance(dtype, T.TimestampNTZType):
-        # wall-clock seconds from the local fields: independent of the session
-        # time zone and monotonic across daylight-saving gaps (converting to an
-        # instant is not); whole seconds suffice for whole-second widths
-        secs = (F.unix_date(F.to_date(c)).cast("bigint") * F.lit(86400)
-                + F.hour(c) * F.lit(3600) + F.minute(c) * F.lit(60) + F.second(c))
-        return F.floor(secs / F.lit(width))
-    if isinstance(dtype, T.TimestampType):
-        return F.floor(F.unix_micros(c) / F.lit(int(width * 1_000_000)))
+    if isinstance(dtype, T.TimestampNTZType | T.TimestampType):
+        # local times count wall-clock microseconds: monotonic across
+        # daylight-saving gaps, unlike a conversion through the session zone
+        return F.floor(epoch_micros(c, dtype) / F.lit(int(width * 1_000_000)))
     if isinstance(dtype, T.DateType):
         return F.floor(F.unix_date(c) / F.lit(width))
     return F.floor(c / F.lit(width))
@@ -82,8 +78,7 @@ def time_bounded_join(left: DataFrame, right: DataFrame, left_key: str, right_ke
     join filter, so no pair outside the key is ever formed.  When one key
     has many rows on both sides (a hot key with many validity periods), all
     of its pairs would still be formed and filtered; ``bucket`` (seconds for
-    timestamps -- whole seconds for local ``TIMESTAMP_NTZ`` times --, days for
-    dates, units for numbers) adds a time bucket to the
+    timestamps, days for dates, units for numbers) adds a time bucket to the
     join key: each validity period is listed once per bucket it overlaps and
     each left row joins only the periods listed in its own bucket.  The result
     is the same; pairs formed per key drop from ``n x m`` to about the pairs

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.clock import hours_between
 from strata.session import spread
 
 # Telemetry statuses and the breach flag texts.
@@ -152,8 +153,11 @@ def delayed_longer_than(events: DataFrame, key: str, ts: str, status: str,
              .filter(F.col("last_ok").isNull() | (F.col(ts) > F.col("last_ok")))
              .groupBy(key).agg(F.min(ts).alias("delayed_since")))
     out = since.join(open_delays.select(key, "latest"), key)
-    ref = as_of if as_of is not None else events.agg(F.max(ts).alias("_m")).scalar()
-    # wall-clock difference, independent of the session time zone
-    hours_delayed = F.timestamp_diff("MICROSECOND", F.col("delayed_since"), ref) / 3.6e9
+    ts_type = events.schema[ts].dataType
+    ref = (as_of if as_of is not None else events.agg(F.max(ts).alias("_m")).scalar()
+           ).cast(ts_type)
+    # local times: wall-clock hours; instants: elapsed hours -- either way
+    # independent of the session time zone
+    hours_delayed = hours_between(F.col("delayed_since"), ref, ts_type)
     return out.select(key, "delayed_since", F.round(hours_delayed, 4).alias("hours_delayed")
                       ).filter(F.col("hours_delayed") > F.lit(hours))

@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.clock import hours_between
 from strata.operators.telemetry import DELAYED
 from strata.session import ensure_checkpoint_dir
 from strata.streaming import store
@@ -105,7 +106,8 @@ def run_delay_state(stream: DataFrame, store_path: str, checkpoint: str | None =
 
 def delayed_packages(state: DataFrame, hours: float, as_of: Column) -> DataFrame:
     """Packages currently DELAYED for more than ``hours`` as of ``as_of``."""
-    h = F.timestamp_diff("MICROSECOND", F.col("delayed_since"), as_of) / 3.6e9
+    t = state.schema["delayed_since"].dataType
+    h = hours_between(F.col("delayed_since"), as_of.cast(t), t)
     return (state.filter(F.col("current_status") == DELAYED)
             .select("package_id", "delayed_since", F.round(h, 4).alias("hours_delayed"))
             .filter(F.col("hours_delayed") > F.lit(hours)))

@@ -209,3 +209,28 @@ def test_store_snapshots_bound_reads(spark, tmp_dir):
     store.commit(spark, root, "k", spark.createDataFrame([("d", 1)], "k string, v long"), 4, 2)
     assert {r.k: r.v for r in store.current(spark, root, "k", 2).collect()} == {
         k: v for k, (v, _) in got.items()}
+
+
+def test_delay_hours_on_local_times_ignore_the_session_zone(spark):
+    """Local (NTZ) event times: hours delayed are wall-clock hours in any
+    session time zone, also across a daylight-saving change."""
+    from strata.functions.clock import epoch_micros
+    ev = spark.sql("""
+        SELECT * FROM VALUES
+          ('p', TIMESTAMP_NTZ'2024-03-10 00:30:00', 'IN_TRANSIT'),
+          ('p', TIMESTAMP_NTZ'2024-03-10 01:00:00', 'DELAYED'),
+          ('q', TIMESTAMP_NTZ'2024-03-10 04:00:00', 'AT_HUB') AS t(pkg, ts, status)""")
+    fine = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-10 04:00:00.250001' AS ts")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        got = {}
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got[zone] = [(r.pkg, r.hours_delayed) for r in
+                         delayed_longer_than(ev, "pkg", "ts", "status", 2.0).collect()]
+            micros = fine.select(epoch_micros(F.col("ts"), fine.schema["ts"].dataType)
+                                 .alias("m")).first().m
+            assert micros == 1710043200250001, zone  # 2024-03-10 04:00:00.250001 wall clock
+        assert got["UTC"] == got["America/New_York"] == [("p", 3.0)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
