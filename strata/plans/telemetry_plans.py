@@ -129,5 +129,5 @@ WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20')
 def incremental_append_plan(spark, sf_dir):
     ev = Tables(spark, sf_dir).events
     # The target already holds everything before the cut-off.
-    target = ev.filter(F.col("ts") < F.lit("2024-01-20").cast("timestamp"))
+    target = ev.filter(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
     return incremental_rows(ev, target, "ts").select("event_id")
