@@ -61,6 +61,44 @@ def incremental_append(spark: SparkSession, source: DataFrame, target_path: str,
     return spark.read.parquet(target_path).count()
 
 
+# Dataset build types (compared exactly; any other value,
+# default SNAPSHOT, builds a full table) and the incremental mark column,
+# which stays ``event_timestamp`` whatever the partition field is.
+BUILD_APPEND, BUILD_VIEW, BUILD_DEFAULT = "APPEND", "VIEW", "SNAPSHOT"
+MARK_COLUMN = "event_timestamp"
+
+
+def build_dataset(spark: SparkSession, source: DataFrame, target_path: str,
+                  build_type: str | None = None, partition_field: str | None = None,
+                  view_name: str | None = None) -> str:
+    """K5 / K6: build a dataset from its build settings; returns the kind built.
+
+    ``APPEND`` -> ``incremental``: only source rows with ``event_timestamp``
+    above the target's mark are appended (first run: all; an existing empty
+    target: none).  ``VIEW`` -> ``view``: ``view_name`` names a temp view over
+    the source and nothing is written.  Anything else -> ``table``: the whole
+    source replaces the target.  With ``partition_field`` the table and the
+    increments are written partitioned by ``DATE(partition_field)`` (K6).
+    """
+    kind = build_type or BUILD_DEFAULT
+    if kind == BUILD_VIEW:
+        source.createOrReplaceTempView(view_name)
+        return "view"
+    if kind == BUILD_APPEND:
+        try:
+            target = spark.read.parquet(target_path)
+        except Exception:  # noqa: BLE001  -- first run: no table yet
+            target = None
+        rows, mode = incremental_rows(source, target, MARK_COLUMN), "append"
+    else:
+        rows, mode = source, "overwrite"
+    if partition_field:
+        write_date_partitioned(rows, target_path, partition_field, mode=mode)
+    else:
+        rows.write.mode(mode).parquet(target_path)
+    return "incremental" if kind == BUILD_APPEND else "table"
+
+
 def write_date_partitioned(df: DataFrame, path: str, field: str,
                            partition_col: str = "partition_date",
                            mode: str = "append") -> None:

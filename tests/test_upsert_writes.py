@@ -137,3 +137,34 @@ def test_merge_into_bucketed_target_does_not_shuffle_it(spark):
             spark.conf.set(k, v)
         spark.sql("DROP TABLE IF EXISTS kv_v1")
         spark.sql("DROP TABLE IF EXISTS kv_v2")
+
+
+def test_build_dataset_by_build_type(spark, tmp_dir):
+    """APPEND -> incremental on event_timestamp (whatever the partition field),
+    VIEW -> temp view only, anything else (also 'append') -> full table."""
+    import datetime as dt
+
+    from strata.sinks.writes import build_dataset
+
+    def rows(n):
+        return spark.createDataFrame(
+            [(f"f{i}", dt.datetime(2024, 1, 1 + i % 3, 10), dt.datetime(2024, 2, 1, i))
+             for i in range(n)], "flight_id string, event_timestamp timestamp, "
+                                 "ingested timestamp")
+    inc = os.path.join(tmp_dir, "inc")
+    assert build_dataset(spark, rows(2), inc, "APPEND", partition_field="ingested") == \
+        "incremental"
+    assert spark.read.parquet(inc).count() == 2  # first run: everything
+    build_dataset(spark, rows(6), inc, "APPEND", partition_field="ingested")
+    # only event_timestamp above the mark (2024-01-02 10:00) is added: i = 2, 5
+    assert sorted(r.flight_id for r in spark.read.parquet(inc).collect()) == [
+        "f0", "f1", "f2", "f5"]
+    assert any(d.startswith("partition_date=") for d in os.listdir(inc))
+    tab = os.path.join(tmp_dir, "tab")
+    for n in (4, 3):
+        assert build_dataset(spark, rows(n), tab, "append") == "table"  # exact match only
+    assert spark.read.parquet(tab).count() == 3
+    assert build_dataset(spark, rows(5), os.path.join(tmp_dir, "v"), "VIEW",
+                         view_name="flight_view") == "view"
+    assert spark.table("flight_view").count() == 5
+    assert not os.path.exists(os.path.join(tmp_dir, "v"))
