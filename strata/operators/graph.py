@@ -9,10 +9,12 @@ threshold, otherwise sort-merge with skew splitting.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ from strata.ontology import Relationship
 from strata.operators.project import props_json
 from strata.session import spread
 
+log = logging.getLogger(__name__)
+
 # Text for empty route context and the stop separator.
 NO_ROUTE = "No route data found"
 STOP_SEPARATOR = " -> "
@@ -169,22 +173,37 @@ class EdgeTable:
     key: str | None = None
 
 
+def _union_or_empty(parts: list[DataFrame], tables: Sequence, schema: str) -> DataFrame:
+    if parts:
+        return reduce(lambda a, b: a.unionByName(b), parts)
+    return tables[0].df.sparkSession.createDataFrame([], schema)
+
+
 def node_union(tables: Sequence[NodeTable], with_props: bool = True) -> DataFrame:
-    """Every node table as ``(node_type, node_key, props)``; NULL key -> ''."""
+    """Every node table as ``(node_type, node_key, props)``; NULL key -> ''.
+
+    A table that does not resolve (missing key column, unreadable) is skipped
+    with a warning, as in the source."""
     parts = []
     for t in tables:
-        cols = [F.lit(t.node_type).alias("node_type"),
-                F.coalesce(F.col(t.key).cast("string"), F.lit("")).alias("node_key")]
-        if with_props:
-            cols.append(props_json(t.df, [c for c in t.df.columns if c != t.key]).alias("props"))
-        parts.append(t.df.select(*cols))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        try:
+            cols = [F.lit(t.node_type).alias("node_type"),
+                    F.coalesce(F.col(t.key).cast("string"), F.lit("")).alias("node_key")]
+            if with_props:
+                cols.append(props_json(t.df, [c for c in t.df.columns if c != t.key])
+                            .alias("props"))
+            parts.append(t.df.select(*cols))
+        except AnalysisException as e:
+            log.warning("node table %s skipped: %s", t.node_type, str(e).splitlines()[0])
+    schema = "node_type string, node_key string" + (", props string" if with_props else "")
+    return _union_or_empty(parts, tables, schema)
 
 
 def edge_union(tables: Sequence[EdgeTable], with_props: bool = False) -> DataFrame:
     """Every edge table as ``(rel_type, edge_key, source_type, source,
     target_type, target[, props])``; NULL endpoints become the text ``'None'``
-    and the default edge key is ``source-target``."""
+    and the default edge key is ``source-target``.  A table that does not
+    resolve is skipped with a warning."""
     parts = []
     for t in tables:
         src = F.coalesce(F.col(t.source).cast("string"), F.lit("None"))
@@ -196,8 +215,13 @@ def edge_union(tables: Sequence[EdgeTable], with_props: bool = False) -> DataFra
         if with_props:
             cols.append(props_json(t.df, [c for c in t.df.columns
                                           if c not in (t.source, t.target)]).alias("props"))
-        parts.append(t.df.select(*cols))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        try:
+            parts.append(t.df.select(*cols))
+        except AnalysisException as e:
+            log.warning("edge table %s skipped: %s", t.rel_type, str(e).splitlines()[0])
+    schema = ("rel_type string, edge_key string, source_type string, source string, "
+              "target_type string, target string" + (", props string" if with_props else ""))
+    return _union_or_empty(parts, tables, schema)
 
 
 def ghost_nodes(nodes: DataFrame, edges: DataFrame) -> DataFrame:

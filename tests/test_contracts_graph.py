@@ -161,3 +161,15 @@ def test_route_text():
     row = {"r": "R1", "stops": "OAK -> MEM", "m": "AIR", "c": None}
     assert route_text(row, "r", "m", "c") == (
         "Route:\nR1\n\nCarrier:\n\n\nMode:\nAIR\n\nStops:\nOAK -> MEM")
+
+
+def test_unions_skip_a_failing_table(spark):
+    ok = spark.createDataFrame([(1, 2)], "a long, b long")
+    nodes = node_union([NodeTable("good", ok, "a"), NodeTable("bad", ok, "missing")],
+                       with_props=False)
+    assert [(r.node_type, r.node_key) for r in nodes.collect()] == [("good", "1")]
+    edges = edge_union([EdgeTable("bad", ok, "x", "nope", "y", "b"),
+                        EdgeTable("good", ok, "x", "a", "y", "b")])
+    assert [(r.rel_type, r.edge_key) for r in edges.collect()] == [("good", "1-2")]
+    empty = node_union([NodeTable("bad", ok, "missing")])
+    assert empty.count() == 0 and empty.columns == ["node_type", "node_key", "props"]
