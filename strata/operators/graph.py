@@ -133,6 +133,20 @@ def traverse(links: DataFrame, source_col: str, keys: DataFrame | None = None,
     return links.filter(F.col(source_col) == F.lit(key))
 
 
+def traverse_link(link_tables: Mapping[tuple[str, str], tuple[DataFrame, str]],
+                  source_type: str, link: str, keys: DataFrame | None = None,
+                  key=None) -> DataFrame:
+    """J3/J4 by name: ``link_tables`` maps ``(source type, link id)`` to a
+    pre-joined link table and its source-key column (one hop or multi hop);
+    an unknown pair is an error, as in the source."""
+    entry = link_tables.get((source_type, link))
+    if entry is None:
+        raise ValueError(f"traversal {link!r} from {source_type!r} is not supported "
+                         "(no link table)")
+    links, source_col = entry
+    return traverse(links, source_col, keys=keys, key=key)
+
+
 def expand(nodes: DataFrame, edges: DataFrame, node_key: str = "node_key",
            source: str = "source", target: str = "target",
            starts: DataFrame | None = None) -> DataFrame:

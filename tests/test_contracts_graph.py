@@ -173,3 +173,21 @@ def test_unions_skip_a_failing_table(spark):
     assert [(r.rel_type, r.edge_key) for r in edges.collect()] == [("good", "1-2")]
     empty = node_union([NodeTable("bad", ok, "missing")])
     assert empty.count() == 0 and empty.columns == ["node_type", "node_key", "props"]
+
+
+def test_traverse_link_by_name(spark):
+    import pytest
+
+    from strata.operators.graph import traverse_link
+    one = spark.createDataFrame([("P1", "F1"), ("P2", "F2")], "source_id string, target_id string")
+    multi = spark.createDataFrame([("P1", "F1", "C9")],
+                                  "source_id string, flight string, target_id string")
+    tables = {("Package", "to_flight"): (one, "source_id"),
+              ("Package", "to_flight_to_customer"): (multi, "source_id")}
+    assert [r.target_id for r in traverse_link(tables, "Package", "to_flight",
+                                               key="P2").collect()] == ["F2"]
+    keys = spark.createDataFrame([("P1",)], "k string")
+    assert [r.target_id for r in traverse_link(tables, "Package", "to_flight_to_customer",
+                                               keys=keys).collect()] == ["C9"]
+    with pytest.raises(ValueError, match="not supported"):
+        traverse_link(tables, "Flight", "to_flight", key="P1")
