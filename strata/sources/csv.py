@@ -65,20 +65,84 @@ class TypedColumn:
     source: str
     target: str
     type: str  # Spark SQL type name: string, bigint, decimal(38,9), date, ...
+    keep_empty: bool = False  # text kept as is ('' stays ''), as for keys
 
 
 def load_typed(df: DataFrame, columns: Sequence[TypedColumn]) -> DataFrame:
-    """Keep only the listed columns, ``''`` -> NULL, ``try_cast`` + rename."""
+    """Keep only the listed columns, typed and renamed.
+
+    Text: exactly ``''`` -> NULL (other values, spaces included, kept), or kept
+    as is with ``keep_empty``.  Numbers and dates: ``''`` -> NULL, otherwise
+    ``try_cast`` of the trimmed text (a value that does not parse is NULL
+    here; the seeder stopped on it).
+    """
     out = []
     for c in columns:
-        v = F.when(F.trim(F.col(c.source)) == "", F.lit(None)).otherwise(F.col(c.source))
-        if c.type.lower() not in ("string", "varchar"):
-            v = F.expr(f"try_cast(trim(`{c.source}`) AS {c.type})")
-            v = F.when(F.trim(F.col(c.source)) == "", F.lit(None)).otherwise(v)
+        col = F.col(c.source)
+        if c.type.lower() in ("string", "varchar"):
+            v = col if c.keep_empty else F.when(col == "", F.lit(None)).otherwise(col)
+        else:
+            v = F.when(col == "", F.lit(None)).otherwise(
+                F.expr(f"try_cast(trim(`{c.source}`) AS {c.type})"))
         out.append(v.alias(c.target))
     return df.select(*out)
 
 
+def _spec(*cols: tuple) -> tuple[TypedColumn, ...]:
+    return tuple(TypedColumn(*c) for c in cols)
+
+
+# The seeded tables in foreign-key order, each column as
+# (CSV column, table column, type, keep '' as is).  Columns not listed are
+# dropped; three are renamed.
+SEED_TABLES = (
+    ("operation", _spec(("operation_id", "operation_id", "string", True),
+                        ("operation_type", "operation_type", "string"),
+                        ("location_code", "location_code", "string"))),
+    ("network_routing", _spec(("routing_id", "routing_id", "string", True),
+                              ("origin_operation_id", "origin_operation_id", "string", True),
+                              ("destination_operation_id", "destination_operation_id", "string",
+                               True),
+                              ("service_commit", "service_commit", "string"),
+                              ("zulu_day", "zulu_day", "date"))),
+    ("network_routing_segment", _spec(("segment_id", "segment_id", "string", True),
+                                      ("routing_id", "routing_id", "string", True),
+                                      ("origin_operation_id", "origin_operation_id", "string",
+                                       True),
+                                      ("destination_operation_id", "destination_operation_id",
+                                       "string", True),
+                                      ("transport_mode", "transport_mode", "string"),
+                                      ("weight", "weight", "decimal(38,9)"),
+                                      ("pieces", "pieces", "bigint"),
+                                      ("zulu_day", "zulu_day", "date"))),
+    ("transit_path", _spec(("transit_path_id", "transit_path_id", "string", True),
+                           ("segment_id", "segment_id", "string", True),
+                           ("total_transit_minutes", "total_transit_minutes", "bigint"))),
+    ("vehicle", _spec(("vehicle_id", "vehicle_id", "string", True),
+                      ("vehicle_type", "vehicle_type", "string"),
+                      ("capacity_kg", "max_weight_capacity", "bigint"))),
+    ("driver", _spec(("driver_id", "driver_id", "string", True),
+                     ("assigned_vehicle_id", "vehicle_id", "string"),
+                     ("license_type", "certification_level", "string"),
+                     ("status", "status", "string"))),
+    ("maintenance_log", _spec(("log_id", "log_id", "string", True),
+                              ("vehicle_id", "vehicle_id", "string"),
+                              ("issue_type", "issue_type", "string"),
+                              ("severity", "severity", "bigint"))),
+)
+
+
+def load_seed_tables(spark: SparkSession, csv_dir: str,
+                     tables=SEED_TABLES) -> dict[str, DataFrame]:
+    """S1 + S3 + S2 for every seeded table, in foreign-key order: scan
+    ``<csv_dir>/<table>.csv``, drop blank rows, type and rename."""
+    out = {}
+    for table, columns in tables:
+        scan = scan_csv(spark, f"{csv_dir.rstrip('/')}/{table}.csv")
+        out[table] = load_typed(drop_blank_rows(scan.rows), columns)
+    return out
+
+
 def drop_blank_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """S3: drop rows whose every value is blank (NULL or only spaces)."""
     cols = list(columns or df.columns)

@@ -95,3 +95,26 @@ def test_props_json_and_masking(spark):
     assert derived.schema["n2"].metadata["policy_tag"] == "Confidential/Finance/Payroll"
     # tags survive a plain projection
     assert tagged.select("n").schema["n"].metadata["policy_tag"]
+
+
+def test_seed_tables_typed_load(spark):
+    """S2 over the fixture CSVs: FK order, counts, renames, types, and which
+    empty texts stay '' (keys) or become NULL (optional text)."""
+    from strata.sources.csv import load_seed_tables
+    got = load_seed_tables(spark, os.path.join(FIXTURES, "bulk"))
+    assert list(got) == ["operation", "network_routing", "network_routing_segment",
+                         "transit_path", "vehicle", "driver", "maintenance_log"]
+    assert {t: df.count() for t, df in got.items()} == {
+        "operation": 10, "network_routing": 10, "network_routing_segment": 14,
+        "transit_path": 8, "vehicle": 10, "driver": 10, "maintenance_log": 10}
+    assert got["vehicle"].columns == ["vehicle_id", "vehicle_type", "max_weight_capacity"]
+    assert got["driver"].columns == ["driver_id", "vehicle_id", "certification_level", "status"]
+    seg = got["network_routing_segment"].schema
+    assert [seg[c].dataType.simpleString() for c in ("weight", "pieces", "zulu_day")] == [
+        "decimal(38,9)", "bigint", "date"]
+    nr = {r.routing_id: r for r in got["network_routing"].collect()}
+    assert nr["NR-104"].origin_operation_id == ""          # key column: '' kept
+    drv = {r.driver_id: r for r in got["driver"].collect()}
+    assert drv["DRV-009"].vehicle_id is None               # optional text: '' -> NULL
+    sev = {r.log_id: r.severity for r in got["maintenance_log"].collect()}
+    assert sorted(v for v in sev.values() if v is not None)[0] == 0 and max(sev.values()) == 9
