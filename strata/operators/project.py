@@ -58,6 +58,13 @@ def get_object(df: DataFrame, key: str, value) -> DataFrame:
     return df.filter(F.col(key) == F.lit(value)).limit(1)
 
 
+def get_object_by_type(spark: SparkSession, object_type: str, value,
+                       key: str = "id") -> DataFrame:
+    """P6 by name: the object of ``object_type`` with primary key ``value``,
+    read from the catalog table named by the lower-cased type (first match)."""
+    return get_object(spark.table(object_type.lower()), key, value)
+
+
 def get_objects(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """P6 batch form: every object whose key is in ``keys`` (left-semi join)."""
     return df.join(keys, df[key] == keys[keys.columns[0]], "left_semi")

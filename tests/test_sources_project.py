@@ -118,3 +118,11 @@ def test_seed_tables_typed_load(spark):
     assert drv["DRV-009"].vehicle_id is None               # optional text: '' -> NULL
     sev = {r.log_id: r.severity for r in got["maintenance_log"].collect()}
     assert sorted(v for v in sev.values() if v is not None)[0] == 0 and max(sev.values()) == 9
+
+
+def test_get_object_by_type_name(spark):
+    from strata.operators.project import get_object_by_type
+    spark.createDataFrame([("H1", "Memphis"), ("H2", "Louisville")],
+                          "id string, name string").createOrReplaceTempView("hub")
+    assert [r.name for r in get_object_by_type(spark, "Hub", "H2").collect()] == ["Louisville"]
+    assert get_object_by_type(spark, "HUB", "nope").count() == 0
