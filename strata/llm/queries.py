@@ -1,9 +1,10 @@
 """The numbered queries over the driver's tables, and their SQL where SQL can say it."""
 
-from strata.llm import langid, mixing
+from strata.llm import langid, minhash, mixing
 
 QUERIES = {
     "op2_mixing": mixing.op2_mixing,
+    "op5_minhash": minhash.op5_minhash,
     "op7_language_id": langid.op7_language_id,
 }
 ORACLE = {"op2_mixing": mixing.ORACLE_SQL.strip()}
