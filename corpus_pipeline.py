@@ -1,19 +1,28 @@
-"""The corpus pipeline: language ID, then mixing to target weights; further stages follow."""
+"""The corpus pipeline: language ID, near-duplicates, repeated passages, test items, then the mix.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the last
+return the columns of ``documents``. ``run`` writes each stage's result as Parquet to the shared folder
+and reads it back for the next one. No SQL is given: the network, the groups and the cuts are beyond
+it; the tests hold each stage against a brute-force version.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import langid, mixing
+from strata.llm import decontam, langid, minhash, mixing, suffix_dedup
 from strata.llm.common import settle, table
 
 STAGES = [
     ("language_id", langid.stage),
+    ("near_duplicates", minhash.stage),
+    ("suffix_dedup", suffix_dedup.stage),
+    ("decontamination", decontam.stage),
     ("mixing", mixing.stage),
 ]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order over ``documents``, each written and reread as the next one's input."""
+    """(doc_id, source, size, source_size, target, epochs, taken) of what the stages leave of ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir), name)

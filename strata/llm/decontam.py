@@ -11,6 +11,7 @@ left over are answered by block-max WAND over the full index, and what it retrie
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ from strata.llm.common import BASE, LOWER, PUNCT, U64, buffers, mix64, pick, pie
 
 K1, B = 1.2, 0.75
 REACH, OVERLAP, GRAM = 0.5, 0.8, 5
+#: Share of the reach that terms outside the array-wise bound may give.
+COMMON = 0.5
 #: Items in one index, and postings in one block of it. More items make more indexes, each used in a pass of its own.
 SHARD, BLOCK = 20_000, 16
 
@@ -81,11 +84,11 @@ class Index:
         order = np.lexsort((doc, term))
         self.doc, self.w = doc[order], w[order]
         self.at = np.searchsorted(term[order], np.arange(len(self.terms) + 1))
-        # Rare terms: the least df bound at which the common terms give every item at most half of the reach.
+        # Rare terms: the least df bound at which the common terms give every item at most COMMON of the reach.
         by_df = np.sort(np.unique(df))
         for d in by_df if len(by_df) else [0]:
             common = np.bincount(doc, w * (df[term] > d), minlength=n)
-            if (common <= REACH / 2).all():
+            if (common <= REACH * COMMON).all():
                 break
         self.need = REACH - common if n and len(by_df) else np.zeros(n)
         self.rare = np.zeros(len(self.terms), bool)
@@ -98,7 +101,8 @@ class Index:
             a, b = self.at[t], self.at[t + 1]
             self.max[t] = self.w[a:b].max()
             cut = np.arange(a, b, BLOCK)
-            self.blocks.append((self.doc[np.minimum(cut + BLOCK, b) - 1], np.maximum.reduceat(self.w[a:b], cut - a)))
+            self.blocks.append((self.doc[np.minimum(cut + BLOCK, b) - 1].tolist(), np.maximum.reduceat(self.w[a:b], cut - a).tolist()))
+        self.doc_list, self.w_list, self.at_list, self.max_list = self.doc.tolist(), self.w.tolist(), self.at.tolist(), self.max.tolist()
 
     def lookup(self, h: np.ndarray) -> np.ndarray:
         """Term numbers of word hashes that are in the index, -1 for the rest."""
@@ -107,15 +111,16 @@ class Index:
         i = np.minimum(np.searchsorted(self.terms, h), len(self.terms) - 1)
         return np.where(self.terms[i] == h, i, -1)
 
-    def wand(self, terms: np.ndarray, least: float) -> list[tuple[int, float]]:
+    def wand(self, terms: list[int], least: float) -> list[tuple[int, float]]:
         """All items whose score reaches ``least``, by block-max WAND over the distinct ``terms``."""
-        cursors = [[int(self.doc[self.at[t]]), int(self.at[t]), t] for t in terms]
+        doc, w, at, top, end = self.doc_list, self.w_list, self.at_list, self.max_list, len(self.ids)
+        cursors = [[doc[at[t]], at[t], t] for t in terms]  # next item, its posting, term
         found = []
         while cursors:
             cursors.sort()
             bound, p = 0.0, -1
-            for k, (_, _, t) in enumerate(cursors):
-                bound += self.max[t]
+            for k, c in enumerate(cursors):
+                bound += top[c[2]]
                 if bound >= least:
                     p = k
                     break
@@ -124,28 +129,27 @@ class Index:
             pivot = cursors[p][0]
             while p + 1 < len(cursors) and cursors[p + 1][0] == pivot:
                 p += 1
-            bound, edge = 0.0, np.inf
-            for _, _, t in cursors[:p + 1]:
-                last, top = self.blocks[t]
-                b = int(np.searchsorted(last, pivot))
+            bound, edge = 0.0, end
+            for c in cursors[:p + 1]:
+                last, best = self.blocks[c[2]]
+                b = bisect_left(last, pivot)
                 if b < len(last):
-                    bound, edge = bound + top[b], min(edge, last[b])
-            if bound < least:  # no item up to the nearest block end, or the next list, can reach it
-                target = min(edge + 1, cursors[p + 1][0] if p + 1 < len(cursors) else np.inf)
-                target = max(target, pivot + 1)
+                    bound += best[b]
+                    edge = min(edge, last[b])
+            if bound < least:  # nothing up to the nearest end of a block, or the next list, can reach it
+                target = max(pivot + 1, min(edge + 1, cursors[p + 1][0] if p + 1 < len(cursors) else end))
             elif cursors[0][0] == pivot:
-                score = sum(self.w[c[1]] for c in cursors[:p + 1])
+                score = sum(w[c[1]] for c in cursors[:p + 1])
                 if score >= least:
-                    found.append((pivot, float(score)))
+                    found.append((pivot, score))
                 target = pivot + 1
             else:
                 target = pivot
             for c in cursors[:p + 1]:
                 if c[0] < target:
-                    t = c[2]
-                    c[1] = int(self.at[t] + np.searchsorted(self.doc[self.at[t]:self.at[t + 1]], target)) if target < np.inf else int(self.at[t + 1])
-                    c[0] = int(self.doc[c[1]]) if c[1] < self.at[t + 1] else -1
-            cursors = [c for c in cursors if c[0] >= 0]
+                    c[1] = bisect_left(doc, target, c[1], at[c[2] + 1])
+                    c[0] = doc[c[1]] if c[1] < at[c[2] + 1] else end
+            cursors = [c for c in cursors if c[0] < end]
         return found
 
     def overlaps(self, item: int, g: np.ndarray) -> tuple[float, float, float]:
@@ -167,6 +171,7 @@ class Index:
         ok[ok] &= self.rare[term[ok]]
         some, term = some[ok], term[ok]
         seg = seg0[row[some]] + (some - at[row[some]]) // self.width
+        seg, term = np.divmod(np.unique(seg * len(self.terms) + term), len(self.terms))
         n = self.at[term + 1] - self.at[term]
         post = np.repeat(self.at[term] - np.cumsum(n) + n, n) + np.arange(n.sum())
         m = len(self.ids)
@@ -189,7 +194,7 @@ class Index:
             if a >= b:
                 continue
             t = self.lookup(np.unique(h[a:b]))
-            got = self.wand(t[t >= 0], REACH)
+            got = self.wand(t[t >= 0].tolist(), REACH - 1e-9)
             if not got:
                 continue
             g = None

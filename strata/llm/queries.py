@@ -1,10 +1,12 @@
 """The numbered queries over the driver's tables, and their SQL where SQL can say it."""
 
-from strata.llm import langid, minhash, mixing
+from strata.llm import decontam, langid, minhash, mixing, suffix_dedup
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_mixing": mixing.op2_mixing,
     "op5_minhash": minhash.op5_minhash,
     "op7_language_id": langid.op7_language_id,
+    "op8_decontamination": decontam.op8_decontamination,
 }
 ORACLE = {"op2_mixing": mixing.ORACLE_SQL.strip()}
