@@ -29,7 +29,7 @@ from strata.llm.common import BASE, U64, _WORD_TABLE, buffers, mix64, pieces, pr
 
 WIDTH, GRAM = 400, 32
 #: Contexts of one anchor that one task holds (under 800 bytes each); anchors with more take the aggregate.
-HOT = 20_000
+HOT = 2_000
 
 
 def previous_smaller(values: np.ndarray) -> np.ndarray:
@@ -190,7 +190,7 @@ def _match(width: int, gram: int, keep_first: bool):
         held = []
         for b in batches:
             held.append(b)
-            if sum(x.nbytes for x in held) < 4 << 20:
+            if sum(x.nbytes for x in held) < 2 << 20:
                 continue
             t = pa.Table.from_batches(held)
             anchor = t.column("anchor").to_numpy()
