@@ -1,12 +1,16 @@
 """The numbered queries over the driver's tables, and their SQL where SQL can say it."""
 
-from strata.llm import decontam, langid, minhash, mixing, suffix_dedup
+from strata.llm import ann, decontam, html_text, langid, licences, minhash, mixing, suffix_dedup, warc
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_mixing": mixing.op2_mixing,
+    "op3_warc": warc.op3_warc,
+    "op4_ann": ann.op4_ann,
     "op5_minhash": minhash.op5_minhash,
     "op7_language_id": langid.op7_language_id,
     "op8_decontamination": decontam.op8_decontamination,
+    "op9_html_text": html_text.op9_html_text,
+    "op10_licences": licences.op10_licences,
 }
-ORACLE = {"op2_mixing": mixing.ORACLE_SQL.strip()}
+ORACLE = {"op2_mixing": mixing.ORACLE_SQL.strip(), "op3_warc": warc.ORACLE_SQL.strip()}
