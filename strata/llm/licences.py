@@ -65,7 +65,7 @@ class Classifier:
     def __init__(self, unknowns: list[str], seed: int = 3, epochs: int = 40):
         rng = np.random.default_rng(seed)
         self.names = [*TEMPLATES, UNKNOWN]
-        noise = [w for x in unknowns for w in x.split()] or ["text"]
+        noise = np.array([w for x in unknowns for w in x.split()] or ["text"])
         lines, y = [], []
         for k, name in enumerate(TEMPLATES):
             for t in TEMPLATES[name]:
@@ -78,7 +78,7 @@ class Classifier:
                     lines.append(" ".join([*before, *parts, *after]))
                     y.append(k)
         # licence words in no licence's order, and templates' beginnings, are unknown as well
-        vocabulary = [w for ts in TEMPLATES.values() for t in ts for w in t.split()]
+        vocabulary = np.array([w for ts in TEMPLATES.values() for t in ts for w in t.split()])
         odd = [" ".join([*rng.choice(noise, rng.integers(3, 15)), *rng.choice(vocabulary, rng.integers(1, 3))]) for _ in range(20 * VARIANTS)]
         lines += unknowns + odd
         y = np.array(y + [len(TEMPLATES)] * (len(unknowns) + len(odd)))
