@@ -6,6 +6,7 @@ time (``pieces``), so no task holds a Python object per word.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -18,12 +19,13 @@ from strata.session import ensure_checkpoint_dir
 
 U64 = np.uint64
 #: Bytes of text handled at once in a task.
-PIECE = 2 << 20
+PIECE = 1 << 20
 ALL64 = 0xFFFFFFFFFFFFFFFF
 #: Odd multiplier of the polynomial hashes (5 mod 8, so that its powers spread).
 BASE = 0x9E3779B97F4A7C15 * 8 + 5 & ALL64
 BASE_INV = pow(BASE, -1, 1 << 64)
 _WORD_TABLE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
+_LIBC = ctypes.CDLL(None) if hasattr(ctypes.CDLL(None), "malloc_trim") else None
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -55,8 +57,16 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system; executors count it against their limit."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def buffers(column) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary Arrow column; null counts as empty."""
+    give_back()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_binary())
