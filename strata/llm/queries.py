@@ -1,6 +1,6 @@
 """The numbered queries over the driver's tables, and their SQL where SQL can say it."""
 
-from strata.llm import ann, decontam, html_text, langid, licences, minhash, mixing, suffix_dedup, warc
+from strata.llm import ann, decontam, hpylm, html_text, langid, licences, minhash, mixing, suffix_dedup, warc
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_warc": warc.op3_warc,
     "op4_ann": ann.op4_ann,
     "op5_minhash": minhash.op5_minhash,
+    "op6_hpylm": hpylm.op6_hpylm,
     "op7_language_id": langid.op7_language_id,
     "op8_decontamination": decontam.op8_decontamination,
     "op9_html_text": html_text.op9_html_text,
