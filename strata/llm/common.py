@@ -26,6 +26,7 @@ BASE = 0x9E3779B97F4A7C15 * 8 + 5 & ALL64
 BASE_INV = pow(BASE, -1, 1 << 64)
 _WORD_TABLE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
 _LIBC = ctypes.CDLL(None) if hasattr(ctypes.CDLL(None), "malloc_trim") else None
+_MAPPED = False
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -58,10 +59,18 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 
 
 def give_back() -> None:
-    """Return freed memory of this Python worker to the system; executors count it against their limit."""
+    """Return freed memory of this Python worker to the system; executors count it against their limit.
+
+    From the first call on, arrays over 256 KB are mapped one by one, so that freeing them is enough."""
+    global _MAPPED
+    if _LIBC is None:
+        return
+    if not _MAPPED:
+        _MAPPED = True
+        _LIBC.mallopt(-3, 256 << 10)  # M_MMAP_THRESHOLD
+        pa.set_memory_pool(pa.system_memory_pool())
     pa.default_memory_pool().release_unused()
-    if _LIBC is not None:
-        _LIBC.malloc_trim(0)
+    _LIBC.malloc_trim(0)
 
 
 def buffers(column) -> tuple[np.ndarray, np.ndarray]:

@@ -25,11 +25,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import BASE, U64, _WORD_TABLE, buffers, mix64, pieces, prefix_hash, settle, signed, span_hash, table
+from strata.llm.common import BASE, U64, _WORD_TABLE, buffers, give_back, mix64, pieces, prefix_hash, settle, signed, span_hash, table
 
 WIDTH, GRAM = 400, 32
 #: Contexts of one anchor that one task holds (under 800 bytes each); anchors with more take the aggregate.
-HOT = 2_000
+#: Windows are matched about so many at a time, by their distance to the anchor, which equal ones share.
+HOT, WINDOWS = 10_000, 300_000
 
 
 def previous_smaller(values: np.ndarray) -> np.ndarray:
@@ -148,17 +149,22 @@ def _emit_contexts(batches):
                 names=["anchor", "rid", "pos", "lo", "single", "bytes"])
 
 
-def _windows(bytes_col, pos, lo, width, gram):
-    """(context, start in the context, hash) of the windows of each context over its anchor's gram."""
+def _windows(bytes_col, pos, lo, width, gram, blocks=None):
+    """(context, start in the context, hash) of the windows of each context over its anchor's gram, for one range
+    after another of the distance from a window's start to the anchor."""
     data, off = buffers(bytes_col)
     c = prefix_hash(data)
     size, at = off[1:] - off[:-1], pos - lo
-    first = np.maximum(0, at - (width - gram))
-    n = np.maximum(0, np.minimum(at, size - width) - first + 1)
-    who = np.repeat(np.arange(len(n)), n)
-    start = first[who] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    a = off[:-1][who] + start
-    return who, start, span_hash(c, a, a + width)
+    span = width - gram + 1
+    blocks = blocks or max(1, -(-len(pos) * span // WINDOWS))
+    cuts = np.linspace(0, span, min(blocks, span) + 1).astype(int)
+    for a, z in zip(cuts[:-1], cuts[1:]):  # distances a..z-1
+        first = np.maximum(0, at - (z - 1))
+        n = np.maximum(0, np.minimum(at - a, size - width) - first + 1)
+        who = np.repeat(np.arange(len(n)), n)
+        start = first[who] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        i = off[:-1][who] + start
+        yield who, start, span_hash(c, i, i + width)
 
 
 def _runs(who, start, width):
@@ -181,10 +187,14 @@ def _match(width: int, gram: int, keep_first: bool):
         anchor = t.column("anchor").to_numpy()
         rid, pos, lo = (t.column(n).to_numpy().astype(np.int64) for n in ("rid", "pos", "lo"))
         single = t.column("single").to_numpy(zero_copy_only=False)
-        who, start, h = _windows(t.column("bytes"), pos, lo, width, gram)
-        earlier, later = matches_at_depth(mix64(h ^ anchor[who].view(U64)), rid[who], lo[who] + start)
-        mark = earlier if keep_first else (earlier | later) & single[who]
-        return _spans(rid, lo, *_runs(who[mark], start[mark], width))
+        marked = []
+        for who, start, h in _windows(t.column("bytes"), pos, lo, width, gram):
+            earlier, later = matches_at_depth(mix64(h ^ anchor[who].view(U64)), rid[who], lo[who] + start)
+            mark = earlier if keep_first else (earlier | later) & single[who]
+            marked.append((who[mark], start[mark]))
+        who, start = (np.concatenate(x) for x in zip(*marked))
+        order = np.lexsort((start, who))
+        return _spans(rid, lo, *_runs(who[order], start[order], width))
 
     def run(batches):
         held = []
@@ -210,7 +220,7 @@ def _window_rows(width: int, gram: int):
             for k in range(0, b.num_rows, -(-b.num_rows // n)):
                 t = b.slice(k, -(-b.num_rows // n))
                 rid, pos, lo = (t.column(x).to_numpy().astype(np.int64) for x in (1, 2, 3))
-                who, start, h = _windows(t.column(5), pos, lo, width, gram)
+                who, start, h = next(_windows(t.column(5), pos, lo, width, gram, 1))
                 yield pa.RecordBatch.from_arrays([pa.array(signed(mix64(h ^ t.column(0).to_numpy()[who].view(U64)))), pa.array(rid[who]), pa.array((lo[who] + start).astype(np.int32)),
                                                   pa.array(t.column(4).to_numpy(zero_copy_only=False)[who])], names=["h", "rid", "s", "single"])
     return run
@@ -270,30 +280,35 @@ def _cut(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def _finish(whole_chars: bool):
     """Each text without its spans. ``whole_chars`` narrows spans so that no character is cut."""
+    def one(raw: bytes, a: np.ndarray, z: np.ndarray):
+        runs = _merge(list(zip(a.tolist(), z.tolist())))
+        if whole_chars:
+            inside = lambda p: p < len(raw) and raw[p] & 0xC0 == 0x80
+            fixed = []
+            for a, z in runs:
+                while inside(a):
+                    a += 1
+                while z > a and inside(z):
+                    z -= 1
+                if z > a:
+                    fixed.append((a, z))
+            runs = fixed
+        kept = _cut(raw, runs)
+        return len(raw), len(raw) - len(kept), runs, kept
+
     def run(batches):
-        for b in batches:
-            spans, out = b.column(2).to_pylist(), []
-            for i, s in enumerate(spans):
-                raw = b.column(1)[i].as_py() or b""
-                runs = _merge([(x["a"], x["z"]) for x in s or ()])
-                if whole_chars:
-                    inside = lambda p: p < len(raw) and raw[p] & 0xC0 == 0x80
-                    fixed = []
-                    for a, z in runs:
-                        while inside(a):
-                            a += 1
-                        while z > a and inside(z):
-                            z -= 1
-                        if z > a:
-                            fixed.append((a, z))
-                    runs = fixed
-                kept = _cut(raw, runs)
-                out.append((len(raw), len(raw) - len(kept), runs, kept))
-            n, gone, runs, kept = zip(*out) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array([len(r) for r in runs], pa.int64()),
-                 pa.array([[{"a": a, "z": z} for a, z in r] for r in runs], pa.list_(pa.struct([("a", pa.int32()), ("z", pa.int32())]))), pa.array(kept, pa.binary())],
-                names=["rid", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
+        for whole in batches:
+            give_back()
+            for k in range(0, whole.num_rows, 200):
+                b = whole.slice(k, 200)
+                lists = b.column(2)
+                at, flat = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())]), lists.flatten()
+                a, z = flat.field("a").to_numpy(), flat.field("z").to_numpy()
+                n, gone, runs, kept = zip(*[one(b.column(1)[i].as_py() or b"", a[at[i]:at[i + 1]], z[at[i]:at[i + 1]]) for i in range(b.num_rows)])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array([len(r) for r in runs], pa.int64()),
+                     pa.array([[{"a": a, "z": z} for a, z in r] for r in runs], pa.list_(pa.struct([("a", pa.int32()), ("z", pa.int32())]))), pa.array(kept, pa.binary())],
+                    names=["rid", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
     return run
 
 
