@@ -105,8 +105,9 @@ def _pooled(x, length, m, y):
         y[t] += np.matmul(h, m["Ob"], out=part)
         y[t] += m["o"]
         p = _softmax(y[t])
-        if t >= length[-1]:
+        if t >= length[-1]:  # a chunk's backward state starts at its own end, whatever its neighbours' lengths
             p[length <= t] = 0
+            h[length <= t] = 0
         total += p
     return total
 
