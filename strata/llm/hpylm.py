@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import LOWER, U64, buffers, give_back, pieces, prefix_hash, settle, span_hash, table, words
+from strata.llm.common import LOWER, U64, buffers, give_back, mix64, pieces, prefix_hash, settle, span_hash, table, words
 
 #: Discounts and strengths of context restaurants and of the parent.
 DISCOUNT, STRENGTH, DISCOUNT0, STRENGTH0 = 0.75, 5.0, 0.6, 50.0
@@ -29,7 +29,7 @@ FREQUENT, HASHED, SAMPLE_TEXTS, SAMPLE_CHARS = 1000, 1047, 2000, 2000
 CONTEXTS = FREQUENT + HASHED + 1  # the last is the start of a text
 SWEEPS = 2
 #: Bytes of text to a shard, and tokens that a map task packs at once.
-SHARD_BYTES, PACK = 16 << 20, 1_000_000
+SHARD_BYTES, PACK = 16 << 20, 2_000_000
 END = U64(0xE2D0E2D0E2D0E2D1)
 
 
@@ -53,6 +53,15 @@ def _pack(*arrays) -> bytes:
     return zstandard.ZstdCompressor(3).compress(b"".join([np.array([len(a) for a in arrays], np.int64).tobytes(), *[np.ascontiguousarray(a).tobytes() for a in arrays]]))
 
 
+def _planes(x: np.ndarray) -> np.ndarray:
+    """Bytes of ascending 64-bit numbers' differences, all first bytes, then all second ones, and so on: they compress well."""
+    return np.diff(x, prepend=x.dtype.type(0)).view(np.uint8).reshape(-1, 8).T.ravel()
+
+
+def _whole(planes: np.ndarray, kind) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(planes.reshape(8, -1).T).reshape(-1).view(kind), dtype=kind)
+
+
 def _unpack(blob, *kinds) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(blob)
     sizes = np.frombuffer(raw, np.int64, len(kinds))
@@ -74,7 +83,9 @@ def _deal(shards: int, frequent: np.ndarray):
         for s in np.flatnonzero(cut[1:] > cut[:-1]):
             a, b = cut[s], cut[s + 1]
             new = np.flatnonzero(np.concatenate([[True], (w[a + 1:b] != w[a:b - 1]) | (c[a + 1:b] != c[a:b - 1])]))
-            yield s, first, _pack(w[a:b][new], c[a:b][new], np.diff(np.append(new, b - a)).astype(np.uint32), t[a:b])
+            u, per = np.unique(w[a:b][new], return_counts=True)
+            yield s, first, _pack(_planes(u), per.astype(np.uint16), c[a:b][new], np.diff(np.append(new, b - a)).astype(np.uint32),
+                                  *[(t[a:b] >> 8 * k).astype(np.uint8) for k in range(4)])
 
     def run(batches):
         for b in batches:
@@ -104,7 +115,8 @@ def _join(part: pd.DataFrame) -> pd.DataFrame:
     give_back()
     ws, cs, ts, held = [], [], [], []
     for first, blob in zip(part["first"], part["blob"]):
-        w, c, n, t = _unpack(blob, U64, np.uint16, np.uint32, np.uint32)
+        u, per, c, n, *t = _unpack(blob, np.uint8, np.uint16, np.uint16, np.uint32, *[np.uint8] * 4)
+        w, t = np.repeat(_whole(u, U64), per), sum(x.astype(np.uint32) << 8 * k for k, x in enumerate(t))
         ws.append(np.repeat(w, n)), cs.append(np.repeat(c, n)), ts.append((t >> 1).astype(np.int64) + first), held.append((t & 1).astype(bool))
     w, c, t, held = (np.concatenate(x) for x in (ws, cs, ts, held))
     del ws, cs, ts
@@ -181,8 +193,16 @@ def _totals(totals: list):
     return run
 
 
-def _score(totals: list):
-    """(rid, n_tokens, n_known, base, score): what the shard's tokens give each text."""
+def _sum(part: pd.DataFrame) -> pd.DataFrame:
+    """Sums by text of what all shards gave a part of the texts."""
+    cols = [np.concatenate(x) for x in zip(*[((v := _unpack(b, np.uint8, np.int32, np.int32, np.float64, np.float64)), (_whole(v[0], np.int64), *v[1:]))[1] for b in part["blob"]])]
+    ids, text = np.unique(cols[0], return_inverse=True)
+    sums = [np.bincount(text, x, len(ids)) for x in cols[1:]]
+    return pd.DataFrame({"rid": ids, "n_tokens": sums[0].astype(np.int64), "n_known": sums[1].astype(np.int64), "base": sums[2], "score": sums[3]})
+
+
+def _score(totals: list, parts: int):
+    """(part, blob): what the shard's tokens give each text, packed by parts of the texts."""
     def run(batches):
         for b in batches:
             for i in range(b.num_rows):
@@ -203,8 +223,13 @@ def _score(totals: list):
                 rid, = _unpack(b.column(2)[i].as_py(), np.int64)
                 ids, text = np.unique(rid, return_inverse=True)
                 add = lambda x: np.bincount(text, np.repeat(x, n), len(ids))
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.bincount(text, minlength=len(ids))), pa.array(add(seen > 0).astype(np.int64)),
-                                                  pa.array(add(base)), pa.array(add(score))], names=["rid", "n_tokens", "n_known", "base", "score"])
+                cols = np.bincount(text, minlength=len(ids)).astype(np.int32), add(seen > 0).astype(np.int32), add(base), add(score)
+                part = (mix64(ids.view(U64)) % U64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                cut = np.searchsorted(part[order], np.arange(parts + 1))
+                some = np.flatnonzero(cut[1:] > cut[:-1])
+                blobs = [_pack(_planes(ids[o]), *[x[o] for x in cols]) for k in some for o in [order[cut[k]:cut[k + 1]]]]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "blob"])
     return run
 
 
@@ -241,8 +266,8 @@ def score_texts(docs: DataFrame, held_out, sweeps: int = SWEEPS, shard_bytes: in
         for r in sums:
             vec[r["i"]][r["k"]] = r["v"]
         totals.append({"customers": vec[0], "tables": vec[1], "N": vec[2][0], "V": vec[2][1], "T": vec[2][2], "t0": vec[2][3]})
-    parts = model.select("shard", "pairs", "texts").mapInArrow(_score(totals), "rid long, n_tokens long, n_known long, base double, score double")
-    sums = parts.groupBy("rid").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")])
+    parts = model.select("shard", "pairs", "texts").mapInArrow(_score(totals, int(shards)), "part int, blob binary")
+    sums = parts.groupBy("part").applyInPandas(_sum, "rid long, n_tokens long, n_known long, base double, score double")
     return rows.select("rid", "doc_id", "held_out").join(sums, "rid").select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(int(totals[0]["N"])).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
 
