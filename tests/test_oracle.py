@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from strata.plans import ORACLE, QUERIES
 from strata.sources.tables import DRIVER_TABLES
 
 from conftest import SF_SMALL
@@ -42,15 +43,15 @@ def test_entry_smoke(spark):
 
 
 def test_every_plan_has_an_oracle_or_is_listed():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(QUERIES) - set(ORACLE)
     assert missing == {"file_checksums"}
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_plan_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(E.oracle_sql()[name])
+    cur = duck.execute(ORACLE[name])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)

@@ -10,6 +10,7 @@ feature, and predicates reach the Parquet scan for the flagship.
 import pytest
 
 import __spark_entry__ as E
+from strata.plans import QUERIES
 
 from conftest import SF_SMALL
 
@@ -23,9 +24,9 @@ COLLECTS = {"nested_children", "route_prompts", "route_summary", "route_summary_
 TOP_K = {"audit_report", "evidence", "vector_topk"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_forbidden_nodes(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for node in FORBIDDEN:
         assert node not in plan, f"{name}: {node}"
@@ -87,13 +88,13 @@ def test_cluster_conf_sizes_shuffles_from_bytes():
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_reads_a_table_that_grows(spark, name):
     """Every plan's work grows with the data: it reads at least one table
     whose size follows the scale factor (region and nation are fixed)."""
     from strata.sources.tables import FIXED_SIZE
 
-    files = E.queries()[name](spark, SF_SMALL).inputFiles()
+    files = QUERIES[name](spark, SF_SMALL).inputFiles()
     tables = {f.rsplit("/", 1)[-1].removesuffix(".parquet") for f in files}
     assert tables - set(FIXED_SIZE), f"{name} reads only {sorted(tables)}"
 
@@ -161,5 +162,5 @@ PARTIAL = ("latest_state", "ledger_state", "point_in_time", "active_packages",
 
 @pytest.mark.parametrize("name", PARTIAL)
 def test_keyed_reductions_combine_map_side(spark, name):
-    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "partial_" in plan, name
