@@ -195,7 +195,8 @@ def _totals(totals: list):
 
 def _sum(part: pd.DataFrame) -> pd.DataFrame:
     """Sums by text of what all shards gave a part of the texts."""
-    cols = [np.concatenate(x) for x in zip(*[((v := _unpack(b, np.uint8, np.int32, np.int32, np.float64, np.float64)), (_whole(v[0], np.int64), *v[1:]))[1] for b in part["blob"]])]
+    got = [_unpack(b, np.uint8, np.int32, np.int32, np.float64, np.float64) for b in part["blob"]]
+    cols = [np.concatenate(x) for x in zip(*[(_whole(v[0], np.int64), *v[1:]) for v in got])]
     ids, text = np.unique(cols[0], return_inverse=True)
     sums = [np.bincount(text, x, len(ids)) for x in cols[1:]]
     return pd.DataFrame({"rid": ids, "n_tokens": sums[0].astype(np.int64), "n_known": sums[1].astype(np.int64), "base": sums[2], "score": sums[3]})
