@@ -1,13 +1,14 @@
 """WARC archives and their merged capture index.
 
 Pages become WARC records (a response, or a revisit of an equal payload), written as archive files by
-Spark's text writer. Reading back parses each archive by its Content-Length fields and yields one run
+Spark's text writer, gzipped; offsets are those of the unpacked archive. Reading back parses each archive by its Content-Length fields and yields one run
 of captures an archive, sorted by URL key, time and page. The runs are dealt out by ranges of that order
 and each range merges its slices of the runs with a loser tree, so that ranges in turn are globally ordered.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from urllib.parse import urlsplit
 
@@ -67,7 +68,7 @@ def write(pages: DataFrame, path: str, start: str = "2024-01-01 00:00:00") -> li
         if k in there or (k == 0 and there):
             folder = f"{path}/class={k}"
             rows.filter((F.col("size") > low) & (F.col("size") <= top)).select(_record(start).alias("value")).write.option(
-                "lineSep", CRLF).option("maxRecordsPerFile", per_file).text(folder)
+                "lineSep", CRLF).option("maxRecordsPerFile", per_file).option("compression", "gzip").text(folder)
             out.append(folder)
         low = top
     return out
@@ -111,7 +112,7 @@ def _read(batches):
     for b in batches:
         for i in range(b.num_rows):
             run = []
-            for f, payload, at, n in parse(b.column(1)[i].as_py()):
+            for f, payload, at, n in parse(gzip.decompress(b.column(1)[i].as_py())):
                 digest, size = f["WARC-Payload-Digest"].removeprefix("sha1:"), int(f["X-Payload-Length"])
                 if f["WARC-Type"] == "response" and (hashlib.sha1(payload).hexdigest(), len(payload)) != (digest, size):
                     raise ValueError(f"payload of {f.get('WARC-Record-ID')} does not agree with its header")
