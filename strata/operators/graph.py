@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from strata.functions.nesting import DEFAULT_MAX_ITEMS, chunked_collect
 from strata.ontology import Relationship
 from strata.operators.project import props_json
-from strata.session import spread
 
 log = logging.getLogger(__name__)
 
@@ -75,7 +74,6 @@ def route_summary(context: DataFrame, route_key: str, leg: str, stop: str,
                                                          for i, c in enumerate(tie)]
     names = ["_leg"] + [f"_t{i}" for i in range(len(tie))]
     extra = [c for c in (mode, carrier) if c]
-    context = spread(context)  # text building is CPU-heavy per row
     base = context.select(F.col(route_key), *order, F.col(stop).cast("string").alias("_stop"),
                           *[F.col(c) for c in extra])
     base = base.withColumn("_blk", F.floor(F.col("_leg") / F.lit(block)))

@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import spread
 
 # Type-name fragments that make a column numeric for checks.
 NUMERIC_MARKERS = ("INT", "NUMERIC", "FLOAT", "DOUBLE", "DECIMAL", "REAL")
@@ -68,7 +67,6 @@ def _fold(prefix: str = "") -> Column:
 def dataset_digest(df: DataFrame, columns: Sequence[str] | None = None,
                    null_safe: bool = False) -> DataFrame:
     """A5: one row ``(n_rows, dataset_hash)`` for the whole table."""
-    df = spread(df)  # hashing every row is CPU-heavy
     h = row_hash(df, columns, null_safe)
     return (df.select(h.alias("_h")).agg(*_digest_aggs(F.col("_h")))
               .select(F.col("n").alias("n_rows"), _fold().alias("dataset_hash")))

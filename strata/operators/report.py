@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Report size bounds and default, default status selection.
-REPORT_MIN, REPORT_MAX, REPORT_DEFAULT = 10, 500, 50
+# Default report size and status selection.
+REPORT_DEFAULT = 50
 DEFAULT_STATUSES = ("PASS", "FAIL")
 
 
@@ -20,7 +20,6 @@ def audit_report(audit: DataFrame, statuses: Sequence[str] = (), n: int = REPORT
     top-n followed by one small merge (TakeOrderedAndProject), never a full
     sort of the audit table.  ``tie_break`` makes the order total.
     """
-    n = max(REPORT_MIN, min(REPORT_MAX, int(n)))
     chosen = list(statuses) or list(DEFAULT_STATUSES)
     order = [F.col("evaluated_at").desc()] + [F.col(c).desc() if i == 0 else F.col(c)
                                               for i, c in enumerate(tie_break)

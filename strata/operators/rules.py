@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import cut_lineage, spread
+from strata.session import cut_lineage
 
 # Audit messages of the compat evaluator.
 MSG_SKIPPED_AGG = "Skipped aggregation rule evaluation in single-row context"
@@ -290,7 +290,6 @@ def validate(df: DataFrame, table_name: str, rules: Sequence, mode: str = "compa
     else:
         key_col = key
     rules = [Rule.of(r) for r in rules]
-    df = spread(df)  # rule evaluation is CPU-heavy per row
     evaluated = evaluate(df, rules, mode)
     if materialize:
         evaluated = cut_lineage(evaluated)

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.clock import hours_between
-from strata.session import spread
 
 # Telemetry statuses and the breach flag texts.
 STATUSES = ("IN_TRANSIT", "AT_HUB", "DELAYED", "DELIVERED")
@@ -56,7 +55,6 @@ def parse_telemetry(messages: DataFrame, value: str = "value") -> DataFrame:
     filter: a filter would be pushed below the projections and Catalyst would
     substitute -- and so re-evaluate -- the parse in every predicate.
     """
-    messages = spread(messages)  # JSON parsing is CPU-heavy per row
     parsed = messages.select(F.try_parse_json(F.col(value).cast("string")).alias("_v"))
     fields = parsed.select(*[
         F.variant_get(F.col("_v"), f"$.{k}", "variant").alias(k)

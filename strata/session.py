@@ -45,10 +45,6 @@ SCALE_CONF = {
 }
 
 
-# Bounds for the initial shuffle width.
-MAX_SHUFFLE_PARTITIONS = 100_000
-
-
 def cluster_conf(shuffle_bytes: int, total_cores: int,
                  partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Shuffle sizing for a cluster run whose largest shuffle moves
@@ -56,11 +52,10 @@ def cluster_conf(shuffle_bytes: int, total_cores: int,
     far below the input size).
 
     The width aims at ``partition_bytes`` per post-shuffle partition, is at
-    least three tasks per core, and is capped (shuffle blocks grow as map tasks
-    x reducers); AQE then coalesces small partitions and splits skewed ones.
+    least three tasks per core; AQE then coalesces small partitions and splits skewed ones.
     """
     width = -(-shuffle_bytes // partition_bytes)
-    width = min(MAX_SHUFFLE_PARTITIONS, max(total_cores * 3, width))
+    width = max(total_cores * 3, width)
     return {
         **SCALE_CONF,
         "spark.sql.shuffle.partitions": str(width),
@@ -123,38 +118,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan has fewer
-    splits than that (e.g. one small single-row-group file).
-
-    Used by operators whose per-row work is CPU-heavy (rule evaluation, JSON
-    parsing, hashing, text building); for cheap scans an extra exchange
-    would cost more than it saves, so table reads do not spread.
-
-    Checked at planning time from the file splits (no job runs).  On a cluster
-    reading many files the split count far exceeds the cores and this is a
-    no-op; on a few small files it turns a one-task scan into parallel work.
-    Only scan-only inputs are considered: an input with a shuffle already has
-    the shuffle's width, and counting the partitions of a plan with a shuffle
-    or a subquery would run those stages once more just to plan.  Set
-    ``spark.strata.spread=false`` to turn it off.
-    """
-    spark = df.sparkSession
-    if df.isStreaming or spark.conf.get("spark.strata.spread", "true").lower() != "true":
-        return df
-    try:
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        if any(node in plan for node in ("AdaptiveSparkPlan", "Exchange", "Subquery")):
-            return df
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  -- no RDD view (e.g. a Spark Connect session)
-        return df
-    if splits < target:
-        return df.repartition(target)
-    return df
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint location for intermediate tables."""
     base = ensure_checkpoint_dir(spark)

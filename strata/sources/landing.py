@@ -38,7 +38,7 @@ def land(spark: SparkSession, dataset: str, path: str, schema: T.StructType,
                .withColumn("_file", F.col("_metadata.file_path")))
         raw.schema  # noqa: B018  -- resolves the listing now
     except Exception as e:  # noqa: BLE001
-        dead = spark.createDataFrame([(dataset, ALL_FILES, str(e)[:1000], None, None)],
+        dead = spark.createDataFrame([(dataset, ALL_FILES, str(e), None, None)],
                                      DEAD_LETTER_SCHEMA)
         return Landed(spark.createDataFrame([], schema), dead)
 

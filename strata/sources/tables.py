@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.session import spread
-
 # The driver's table names.
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -19,35 +17,13 @@ DRIVER_TABLES = (
 )
 
 
-# Tables small by construction (fixed cardinality): never spread.
+# Tables of fixed cardinality.
 FIXED_SIZE = ("region", "nation")
 
 
-_RESOLVED: dict[tuple[int, str, bool], DataFrame] = {}
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
-    """Read ``<sf_dir>/<name>.parquet`` (a file or a folder of parts).
-
-    With ``balance`` a scan with fewer splits than cores is spread (see
-    ``strata.session.spread``).  Like a catalog table, the resolved scan
-    (file listing, footer schema, split count) is kept per session and path;
-    ``refresh_tables`` forgets it after the files change.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    memo = (id(spark), path, balance)
-    df = _RESOLVED.get(memo)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        if balance and name not in FIXED_SIZE:
-            df = spread(df)
-        _RESOLVED[memo] = df
-    return df
-
-
-def refresh_tables() -> None:
-    """Forget resolved scans (call after the table files were rewritten)."""
-    _RESOLVED.clear()
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read ``<sf_dir>/<name>.parquet`` (a file or a folder of parts), listed anew at each call."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class Tables:

@@ -45,39 +45,20 @@ def test_flagship_pushes_filter_and_prunes_columns(spark):
            "o_orderpriority:string>" in plan
 
 
-def test_spread_runs_no_job_while_planning(spark):
-    """Spreading is decided from the plan: a shuffled or sub-queried input is
-    left as is, so planning never executes upstream stages."""
-    from pyspark.sql import functions as F
-
-    from strata.session import spread
-
-    sc = spark.sparkContext
-    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
-    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    inputs = {
-        "scan": li,
-        "join": li.join(o, F.col("l_orderkey") == F.col("o_orderkey")),
-        "aggregate": li.groupBy("l_orderkey").count(),
-        "subquery": li.filter(F.col("l_quantity") > li.agg(F.max("l_quantity")).scalar() - 5),
-    }
-    for label, df in inputs.items():
-        group = f"spread-{label}"
-        sc.setJobGroup(group, group)
-        out = spread(df)
-        assert sc.statusTracker().getJobIdsForGroup(group) == [], label
-        if label != "scan":
-            assert out is df, label
-    sc.setJobGroup("", "")
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_round_robin_exchange(spark, name):
+    """No plan shuffles its input just to balance it."""
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" not in plan
 
 
 def test_cluster_conf_sizes_shuffles_from_bytes():
-    from strata.session import MAX_SHUFFLE_PARTITIONS, cluster_conf
+    from strata.session import cluster_conf
 
     gib = 1024 ** 3
-    # 100 TB shuffled at 256 MiB per partition, capped
+    # 100 TB shuffled at 256 MiB per partition
     big = cluster_conf(100 * 1024 * gib, total_cores=8000)
-    assert int(big["spark.sql.shuffle.partitions"]) == MAX_SHUFFLE_PARTITIONS
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 * 4
     # 1 TB: bytes / 256 MiB = 4096 partitions, above 3 per core for 1000 cores
     mid = cluster_conf(1024 * gib, total_cores=1000)
     assert int(mid["spark.sql.shuffle.partitions"]) == 4096
