@@ -1,13 +1,10 @@
-"""Nesting child rows into arrays without unbounded groups.
+"""Nesting child rows into arrays, in a fixed number of chunks per parent.
 
-``collect_list`` puts a whole group into one task and one value, so a parent
-holding a third of all child rows would become one giant array built by one
-task.  ``chunked_collect`` bounds every array: a parent with at most
-``max_items`` children gets one chunk (number 0) holding all of them, exactly
-as a plain sorted ``collect_list`` would; a larger parent is split into
-``ceil(n / max_items)`` chunks by a hash of the child's fields, and each chunk
-is built by its own task.  The per-parent count comes from a partial
-aggregate, so counting a hot parent costs one row per task before the shuffle.
+``collect_list`` puts a whole group into one task and one value.  With ``chunks``
+> 1 every parent's children are dealt to that many chunks by a hash of the
+child's fields, whatever their number, and each chunk is built by its own task;
+the layout is the same for every parent and needs no count of the children.  With
+one chunk (the default) a parent has one array, as the plain nested form.
 
 The chunk of a child is a pure function of its values, so recomputing a lost
 task reproduces the same chunks.  Children that are exact duplicates share a
@@ -21,29 +18,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bound on the elements of one nested array.
-DEFAULT_MAX_ITEMS = 100_000
-
 
 def chunked_collect(child: DataFrame, key: str, fields: Sequence[str], name: str,
-                    max_items: int = DEFAULT_MAX_ITEMS,
-                    chunk_col: str | None = None) -> DataFrame:
-    """One row per (``key``, chunk): ``name`` = sorted ``ARRAY<STRUCT<fields>>``.
+                    chunks: int = 1, chunk_col: str | None = None) -> DataFrame:
+    """One row per (``key``, non-empty chunk): ``name`` = sorted ``ARRAY<STRUCT<fields>>``.
 
     Returns columns ``key``, ``chunk_col`` (default ``<name>_chunk``) and
-    ``name``.  Concatenating a key's chunks gives all of its children.
+    ``name``.  Concatenating a key's chunks gives all of its children.  A NULL key
+    is one group, as in a plain ``groupBy``.
     """
-    if max_items < 1:
-        raise ValueError("max_items must be positive")
+    if chunks < 1:
+        raise ValueError("chunks must be positive")
     chunk_col = chunk_col or f"{name}_chunk"
-    rows = child.select(F.col(key), F.struct(*[F.col(f) for f in fields]).alias("_item"))
-    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_items)))
-    # null-safe: a NULL key is one group, as in a plain groupBy
-    sizes = sizes.withColumnRenamed(key, "_key")
-    chunked = rows.join(sizes, rows[key].eqNullSafe(sizes["_key"])).select(
-        F.col(key), F.col("_item"),
-        F.when(F.col("_n") <= F.lit(max_items), F.lit(0))
-        .otherwise(F.pmod(F.xxhash64(F.col("_item")), n_chunks)).cast("int").alias(chunk_col))
-    return chunked.groupBy(key, chunk_col).agg(
-        F.array_sort(F.collect_list("_item")).alias(name))
+    item = F.struct(*[F.col(f) for f in fields])
+    chunk = F.lit(0) if chunks == 1 else F.pmod(F.xxhash64(item), F.lit(chunks)).cast("int")
+    return (child.select(F.col(key), item.alias("_item"), chunk.alias(chunk_col))
+            .groupBy(key, chunk_col).agg(F.array_sort(F.collect_list("_item")).alias(name)))

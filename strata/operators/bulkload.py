@@ -8,10 +8,12 @@ upsert's merge join.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.rules import Validation, flatten_audits, validate
@@ -25,6 +27,8 @@ TABLE_MAP = {
     "transit_path": "transit_connection",
 }
 
+LOG = logging.getLogger(__name__)
+
 
 @dataclass
 class BulkLoad:
@@ -53,7 +57,10 @@ def bulk_load(spark: SparkSession, csv_dir: str, tables: Sequence[str],
         path = f"{csv_dir.rstrip('/')}/{table}.csv"
         try:
             scan = scan_csv(spark, path)
-        except Exception:  # noqa: BLE001  -- no such file: table skipped
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            LOG.warning("bulk load: %s skipped, no file %s", table, path)
             continue
         onto = table_map.get(table, table)
         v = validate(scan.rows, table, rules.get(onto, []), mode=mode,

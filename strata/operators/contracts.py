@@ -154,6 +154,8 @@ def catalog_type(dt: T.DataType) -> str:
         return "DATE"
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
         return "TIMESTAMP"
+    if isinstance(dt, (T.VarcharType, T.CharType)):
+        return f"STRING({dt.length})"
     if isinstance(dt, T.StringType):
         return "STRING(MAX)"
     return dt.simpleString().upper()
@@ -161,7 +163,7 @@ def catalog_type(dt: T.DataType) -> str:
 
 def scan_catalog(spark: SparkSession, database: str | None = None,
                  tables: Sequence[str] | None = None) -> DataFrame:
-    """``(table_name, column_name, type)`` of the session catalog.
+    """``(table_name, column_name, type)`` of the session catalog, types by their contract names.
 
     System tables are skipped, and so is every name matching ``LIKE 'v_%'``
     -- where ``_`` is a one-character wildcard, so ``vehicle`` is skipped too.
@@ -169,7 +171,7 @@ def scan_catalog(spark: SparkSession, database: str | None = None,
     rows = []
     for t in spark.catalog.listTables(database):
         for col in spark.catalog.listColumns(t.name, database):
-            rows.append((t.name, col.name, col.dataType))
+            rows.append((t.name, col.name, catalog_type(T.DataType.fromDDL(col.dataType))))
     df = spark.createDataFrame(rows, "table_name string, column_name string, type string")
     df = df.filter(~F.col("table_name").isin(list(SYSTEM_TABLES))
                    & ~F.col("table_name").like("v_%"))

@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.nesting import DEFAULT_MAX_ITEMS, chunked_collect
+from strata.functions.nesting import chunked_collect
 from strata.ontology import Relationship
 from strata.operators.project import props_json
 
@@ -160,11 +160,11 @@ def expand(nodes: DataFrame, edges: DataFrame, node_key: str = "node_key",
 
 
 def nest(expanded: DataFrame, start: str, fields: Sequence[str],
-         max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
+         chunks: int = 1) -> DataFrame:
     """J6/D7 nested form: one row per start with its neighbours as a sorted
-    array; a start with more than ``max_items`` neighbours gets one row per
-    chunk (``neighbours_chunk``), so no array holds an unbounded fan-out."""
-    return chunked_collect(expanded, start, fields, "neighbours", max_items)
+    array, or with ``chunks`` > 1 one row per (start, ``neighbours_chunk``), so
+    that no task builds the whole array of a start with a huge fan-out."""
+    return chunked_collect(expanded, start, fields, "neighbours", chunks)
 
 
 @dataclass(frozen=True)

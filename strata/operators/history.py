@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.clock import epoch_micros
-from strata.functions.nesting import DEFAULT_MAX_ITEMS, chunked_collect
+from strata.functions.nesting import chunked_collect
 
 # Ledger operation that removes a key.
 DELETE = "DELETE"
@@ -32,12 +32,14 @@ def current_state(ledger: DataFrame, key: str, seq: Sequence[str], op: str,
 
     ``max(struct(seq..., op, columns...))`` is a partial aggregate, so a key
     with a third of all changes costs one row per task before the shuffle.
+    Of changes with equal ``seq`` a delete wins.
     """
     src = ledger if as_of is None else ledger.filter(F.col(ts or seq[0]) <= as_of)
     packed = F.struct(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(seq)],
-                      F.col(op).alias("_op"), *[F.col(c) for c in columns])
+                      F.col(op).eqNullSafe(F.lit(DELETE)).alias("_gone"), F.col(op).alias("_op"),
+                      *[F.col(c) for c in columns])
     last = src.groupBy(key).agg(F.max(packed).alias("_r"))
-    return (last.filter(~F.col("_r._op").eqNullSafe(F.lit(DELETE)))
+    return (last.filter(~F.col("_r._gone"))
                 .select(key, *[F.col(f"_r.{c}").alias(c) for c in columns]))
 
 
@@ -103,16 +105,17 @@ def time_bounded_join(left: DataFrame, right: DataFrame, left_key: str, right_ke
 
 def nested_children(parent: DataFrame, child: DataFrame, parent_key: str, child_key: str,
                     fields: Sequence[str], name: str = "children",
-                    max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
+                    chunks: int = 1) -> DataFrame:
     """Children as ``ARRAY<STRUCT>`` on the parent row (left join, sorted).
 
-    A parent with up to ``max_items`` children gets one row whose array holds
-    all of them (``<name>_chunk`` = 0).  A larger parent gets one row per
-    chunk of about ``max_items`` children, so no array or task holds an
-    unbounded group (see ``strata.functions.nesting``).  A parent without
-    children keeps one row with an empty array.
+    Every parent's children are dealt to ``chunks`` chunks by a hash of the
+    child, one row per non-empty chunk (``<name>_chunk``); with one chunk each
+    parent is one row.  Give more where a parent may hold a large share of the
+    children, so that no task builds its whole array (see
+    ``strata.functions.nesting``).  A parent without children keeps one row
+    with an empty array.
     """
-    kids = chunked_collect(child, child_key, fields, name, max_items)
+    kids = chunked_collect(child, child_key, fields, name, chunks)
     chunk = f"{name}_chunk"
     out = parent.join(kids, parent[parent_key] == kids[child_key], "left").drop(child_key)
     return (out.withColumn(name, F.coalesce(F.col(name), F.array().cast(
@@ -126,17 +129,37 @@ class Checked:
     rejected: DataFrame
 
 
+def _json_kind_ok(kind: Column, dtype: T.DataType) -> Column:
+    """Whether a JSON value of variant type ``kind`` is of the declared type."""
+    if isinstance(dtype, T.IntegralType):
+        return kind == "BIGINT"
+    if isinstance(dtype, T.NumericType):
+        return kind.rlike(r"\A(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    if isinstance(dtype, T.BooleanType):
+        return kind == "BOOLEAN"
+    if isinstance(dtype, T.ArrayType):
+        return kind.startswith("ARRAY")
+    if isinstance(dtype, (T.StructType, T.MapType)):
+        return kind.startswith("OBJECT")
+    return kind == "STRING"
+
+
 def schema_checked(df: DataFrame, column: str, schema: T.StructType) -> Checked:
     """Parse JSON text against a schema; non-conforming rows are rejected.
 
     A row conforms when it parses as a JSON object and every schema field is
-    present with a value of the declared type (``from_json`` in FAILFAST
-    would stop the job; here a bad row is routed, not fatal).
+    present with a value of the declared type: an integer field takes only whole
+    JSON numbers in its range, a text field only JSON text, and so on
+    (``from_json`` in FAILFAST would stop the job; here a bad row is routed, not
+    fatal).
     """
     v = F.try_parse_json(F.col(column))
     checks = [v.isNotNull(), F.schema_of_variant(v).startswith("OBJECT")]
     for f in schema.fields:
-        checks.append(F.try_variant_get(v, f"$.{f.name}", f.dataType.simpleString()).isNotNull())
+        path = f"$['{f.name}']"
+        checks.append(_json_kind_ok(F.schema_of_variant(F.try_variant_get(v, path, "variant")),
+                                    f.dataType))
+        checks.append(F.try_variant_get(v, path, f.dataType.simpleString()).isNotNull())
     ok = F.coalesce(checks[0], F.lit(False))
     for c in checks[1:]:
         ok = ok & F.coalesce(c, F.lit(False))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.numbers import NUMBER
 from strata.ontology import ObjectType, spark_type, string_length
 
 
@@ -16,14 +17,14 @@ def coerce_loose(c: Column) -> Column:
     """The writer's value-based typing of one text value, as a struct.
 
     ``''`` -> dropped (all NULL); all digits -> ``as_long`` (leading zeros
-    lost); contains ``.`` -> ``as_double`` when it parses, else kept as text;
-    anything else (negatives included) stays text.  A Spark column has one
+    lost); a decimal number with ``.`` -> ``as_double``, else kept as text; anything
+    else (negative whole numbers, ``1.5f``, more than 38 digits) stays text.  A Spark column has one
     type, so the typed value is spread over three typed fields plus ``kind``.
     """
     s = c.cast("string")
-    digits = s.rlike("^[0-9]+$")
-    dbl = s.try_cast("double")
-    as_long = F.when(digits, s.try_cast("decimal(38,0)"))
+    as_long = F.when(s.rlike(r"\A[0-9]+\z"), s.try_cast("decimal(38,0)"))
+    digits = as_long.isNotNull()
+    dbl = F.when(s.rlike(NUMBER), s.try_cast("double"))
     is_float = ~digits & s.contains(".") & dbl.isNotNull()
     kind = (F.when(s.isNull() | (s == ""), F.lit(None))
             .when(digits, F.lit("int")).when(is_float, F.lit("float")).otherwise(F.lit("str")))
@@ -79,8 +80,8 @@ class Conformed:
 def conform(df: DataFrame, obj: ObjectType) -> Conformed:
     """Project + cast to the contract; split rows violating it.
 
-    Violations: required column NULL (or not castable), ``STRING(n)`` longer
-    than n.  Bad rows carry ``violations ARRAY<STRING>``.
+    Violations: required column NULL (or not castable), an optional value that
+    does not cast, ``STRING(n)`` longer than n.  Bad rows carry ``violations ARRAY<STRING>``.
     """
     cols, checks = [], []
     for a in obj.attributes:
@@ -90,6 +91,9 @@ def conform(df: DataFrame, obj: ObjectType) -> Conformed:
         cols.append(typed.alias(a.name))
         if a.required:
             checks.append(F.when(typed.isNull(), F.lit(f"{a.name}: required")))
+        else:
+            checks.append(F.when(raw.isNotNull() & typed.isNull(),
+                                 F.lit(f"{a.name}: not {a.type}")))
         n = string_length(a.type.upper().replace(" ", "")) if a.type else None
         if n is not None:
             checks.append(F.when(F.length(typed) > n, F.lit(f"{a.name}: longer than {n}")))
@@ -101,8 +105,8 @@ def conform(df: DataFrame, obj: ObjectType) -> Conformed:
 
 
 def props_json(df: DataFrame, columns: Sequence[str]) -> Column:
-    """P10: columns as one JSON object text, NULLs kept, dates as ISO text,
-    decimals as floating numbers."""
+    """P10: columns as one JSON object text, NULLs kept, dates and times as
+    ISO text (``T`` between them, six digits of a second's fraction or none), decimals as floating numbers."""
     types = {f.name: f.dataType for f in df.schema.fields}
     fields = []
     for c in columns:
@@ -110,7 +114,8 @@ def props_json(df: DataFrame, columns: Sequence[str]) -> Column:
         if isinstance(types[c], T.DecimalType):
             v = v.cast("double")
         elif isinstance(types[c], (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            v = v.cast("string")
+            v = F.replace(v.cast("string"), F.lit(" "), F.lit("T"))
+            v = F.when(v.contains("."), F.rpad(v, 26, "0")).otherwise(v)
         fields.append(v.alias(c))
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 

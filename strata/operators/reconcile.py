@@ -18,6 +18,7 @@ gives the same digest per key bucket to locate where two tables differ.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -30,6 +31,9 @@ from pyspark.sql import types as T
 NUMERIC_MARKERS = ("INT", "NUMERIC", "FLOAT", "DOUBLE", "DECIMAL", "REAL")
 # Roll-up statuses.
 SUCCESS, FAILED, NO_ENTITIES = "SUCCESS", "FAIL", "NO_ENTITIES"
+# Integers are summed as decimals: a BIGINT sum overflows on large tables, and
+# 10^28 leaves room for 10^10 rows of the widest BIGINT (more of narrower ones).
+SUM_TYPE = "decimal(28,0)"
 
 
 class HashMismatch(AssertionError):
@@ -123,12 +127,14 @@ def column_aggregates(df: DataFrame, types: Mapping[str, str] | None = None) ->
     """
     specs: list[tuple[str, str, Column]] = [("*", "count", F.count(F.lit(1)))]
     for f in df.schema.fields:
-        specs.append((f.name, "count", F.count(F.col(f.name))))
+        specs.append((f.name, "count", F.count(F.col(_q(f.name)))))
         numeric = is_numeric(types[f.name]) if types and f.name in types else _spark_numeric(
             f.dataType)
         if numeric:
-            for name, fn in (("sum", F.sum), ("min", F.min), ("max", F.max)):
-                specs.append((f.name, name, fn(F.col(f.name))))
+            c = F.col(_q(f.name))
+            wide = c.cast(SUM_TYPE) if isinstance(f.dataType, T.IntegralType) else c
+            specs += [(f.name, "sum", F.sum(wide)), (f.name, "min", F.min(c)),
+                      (f.name, "max", F.max(c))]
     row = df.agg(*[e.cast("double").alias(f"a{i}") for i, (_, _, e) in enumerate(specs)])
     stack = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(a).alias("agg"),
                                F.col(f"a{i}").alias("value"))
@@ -163,10 +169,12 @@ def check_columns(source: DataFrame, target: DataFrame,
     Both tables are tagged and unioned and ONE aggregate computes every
     (column, agg) for each side (``count_if`` / ``sum(CASE WHEN side ...)``):
     one pass, partial aggregation, no join.  Source columns missing from the
-    target count as NULL.  NULL aggregates compare null-safely; floating sums
-    get a relative tolerance because the order of addition differs between
-    runs.  Expressions are written as SQL text: one JVM call per aggregate
-    keeps plan building fast for wide tables.
+    target count as NULL.  Counts, minima, maxima and sums of integers and
+    decimals compare exactly, in their own type; only sums of floating numbers
+    (or of text taken as such) get a relative tolerance, because the order of
+    addition differs between runs.  NULL aggregates compare null-safely.  The
+    values are shown as DOUBLE.  Expressions are written as SQL text: one JVM
+    call per aggregate keeps plan building fast for wide tables.
     """
     specs = _check_specs(source, types)
     cols = source.columns
@@ -175,19 +183,26 @@ def check_columns(source: DataFrame, target: DataFrame,
     t = target.selectExpr(*[_q(c) if c in tcols else f"NULL AS {_q(c)}" for c in cols],
                           "false AS _src")
     both = s.unionByName(t)
-    aggs = []
+    kinds = {f.name: f.dataType for f in both.schema.fields}
+    aggs, oks = [], []
     for i, (c, a, col) in enumerate(specs):
+        kind = kinds.get(col)
+        value = None if col is None else _q(col)
+        if a == "sum" and isinstance(kind, T.IntegralType):
+            value = f"CAST({value} AS {SUM_TYPE})"
         for side, flag in (("s", "_src"), ("t", "NOT _src")):
-            e = f"count_if({flag})" if col is None else f"{a}(CASE WHEN {flag} THEN {_q(col)} END)"
-            aggs.append(F.expr(f"CAST({e} AS DOUBLE) AS {side}{i}"))
+            e = f"count_if({flag})" if col is None else f"{a}(CASE WHEN {flag} THEN {value} END)"
+            aggs.append(F.expr(f"{e} AS {side}{i}"))
+        exact = f"s{i} <=> t{i}"
+        loose = a == "sum" and not isinstance(kind, (T.IntegralType, T.DecimalType))
+        oks.append(f"{exact} OR coalesce(abs(s{i} - t{i}) <= greatest(abs(s{i}), abs(t{i})) "
+                   f"* {rel_tol!r}, false)" if loose else exact)
     row = both.agg(*aggs)
     stack = ", ".join(
         f"named_struct('column_name', {_lit(c)}, 'agg', {_lit(a)}, "
-        f"'source_value', s{i}, 'target_value', t{i})" for i, (c, a, _) in enumerate(specs))
-    return row.selectExpr(f"inline(array({stack}))").selectExpr(
-        "column_name", "agg", "source_value", "target_value",
-        "source_value <=> target_value OR coalesce(abs(source_value - target_value) <= "
-        f"greatest(abs(source_value), abs(target_value)) * {rel_tol!r}, false) AS ok")
+        f"'source_value', CAST(s{i} AS DOUBLE), 'target_value', CAST(t{i} AS DOUBLE), "
+        f"'ok', {ok})" for i, ((c, a, _), ok) in enumerate(zip(specs, oks)))
+    return row.selectExpr(f"inline(array({stack}))")
 
 
 def reconcile(pairs: Mapping[str, tuple[DataFrame, DataFrame]],
@@ -205,9 +220,9 @@ def reconcile(pairs: Mapping[str, tuple[DataFrame, DataFrame]],
         frames.append(cc.agg(
             F.max(F.when(star, F.col("source_value"))).cast("bigint").alias("source_rows"),
             F.max(F.when(star, F.col("target_value"))).cast("bigint").alias("target_rows"),
+            F.bool_and(F.when(star, F.col("ok"))).alias("row_count_ok"),
             F.bool_and("ok").alias("columns_ok"),
-        ).select(F.lit(name).alias("table_name"), "source_rows", "target_rows",
-                 (F.col("source_rows") == F.col("target_rows")).alias("row_count_ok"),
+        ).select(F.lit(name).alias("table_name"), "source_rows", "target_rows", "row_count_ok",
                  "columns_ok"))
     if not frames:
         raise ValueError("no table pairs")
@@ -251,14 +266,24 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 
 def file_checksums(spark, path_glob: str) -> DataFrame:
-    """D14 one side: ``(file_name, size, md5)`` per file, read as binary."""
-    return (spark.read.format("binaryFile").load(path_glob)
-            .select(F.element_at(F.split(F.col("path"), "/"), -1).alias("file_name"),
+    """D14 one side: ``(file_name, size, md5)`` per file, read as binary.
+
+    ``file_name`` is the path below the folder that the glob starts from, so files
+    of one name in different subfolders stay apart.
+    """
+    fixed = re.split(r"[*?\[{]", path_glob, maxsplit=1)
+    root = (fixed[0].rsplit("/", 1)[0] if len(fixed) > 1 else path_glob.rstrip("/")) + "/"
+    root = re.sub(r"^[a-z0-9]+:/*", "/", root)
+    below = F.substring_index(F.col("path"), root, -1)
+    name = F.when(F.col("path").contains(root), below).otherwise(
+        F.element_at(F.split(F.col("path"), "/"), -1))
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path_glob)
+            .select(name.alias("file_name"),
                     F.col("length").alias("size"), F.md5(F.col("content")).alias("md5")))
 
 
 def compare_checksums(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Full outer join on file name; status MATCH / DIFFERENT / MISSING / EXTRA."""
+    """Full outer join on the path below each root; status MATCH / DIFFERENT / MISSING / EXTRA."""
     s = source.select("file_name", F.col("md5").alias("source_md5"))
     t = target.select("file_name", F.col("md5").alias("target_md5"))
     j = s.join(t, "file_name", "full_outer")

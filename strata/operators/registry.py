@@ -34,11 +34,18 @@ def raw_registry(texts: DataFrame, text: str = "text", ident: str = "path") -> D
 
 def register(registry: DataFrame | None, texts: DataFrame, text: str = "text",
              ident: str = "path") -> DataFrame:
-    """Merge new texts into the registry keyed by ``text_hash``."""
+    """Merge new texts into the registry keyed by ``text_hash``.
+
+    A known text keeps its first identifier and text; its copies are added up.
+    """
     new = raw_registry(texts, text, ident)
     if registry is None:
         return new
-    return upsert(registry, new, "text_hash", mode="non_empty")
+    more = new.select("text_hash", F.col("n_copies").alias("_more"))
+    known = registry.join(more, "text_hash", "left").withColumn(
+        "n_copies", F.col("n_copies") + F.coalesce("_more", F.lit(0))).select(*registry.columns)
+    fresh = new.join(registry.select("text_hash"), "text_hash", "left_anti")
+    return known.unionByName(fresh.select(*registry.columns))
 
 
 def change_id(entity, change, diff_json):

@@ -70,17 +70,27 @@ def match_band(score: Column) -> Column:
     return F.when(score > F.lit(MATCH_THRESHOLD), F.lit(MATCH)).otherwise(F.lit(PARTIAL))
 
 
+def _indexable(id_col: str, text_col: str):
+    ident = F.col(id_col).cast("string")
+    long_ = F.when(F.length(ident) > MAX_ID_LENGTH, F.lit(f"id over {MAX_ID_LENGTH} characters"))
+    return F.coalesce(F.when(F.coalesce(ident, F.lit("")) == "", F.lit("no id")), long_,
+                      F.when(F.coalesce(F.col(text_col), F.lit("")) == "", F.lit("no text")))
+
+
+def rejected_documents(batch: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
+    """The rows that ``index_documents`` does not take, with their ``reason``."""
+    return batch.withColumn("reason", _indexable(id_col, text_col)).filter("reason IS NOT NULL")
+
+
 def index_documents(existing: DataFrame | None, batch: DataFrame, id_col: str = "id",
                     text_col: str = "text") -> DataFrame:
     """Keep entries with an id (<= 50 chars) and a text; upsert by id.
 
     A repeated id replaces the stored entry (vector and text; the newest text
-    is kept -- a deviation from the source, which kept both texts).
+    is kept -- a deviation from the source, which kept both texts).  What is not
+    taken comes from ``rejected_documents``.
     """
-    ok = (F.col(id_col).isNotNull() & (F.length(F.col(id_col).cast("string")) <= MAX_ID_LENGTH)
-          & (F.length(F.col(id_col).cast("string")) > 0)
-          & F.col(text_col).isNotNull() & (F.length(F.col(text_col)) > 0))
-    clean = batch.filter(ok)
+    clean = batch.filter(_indexable(id_col, text_col).isNull())
     if existing is None:
         return clean.dropDuplicates([id_col])
     return upsert(existing, clean, id_col, mode="replace")

@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.numbers import NUMBER
 from strata.session import cut_lineage
 
 # Audit messages of the compat evaluator.
@@ -121,7 +122,7 @@ def _numeric_compare(columns, expr: str, op: str, ok_msg: str, type_msg: str):
     if bound is None:
         return F.lit(False), F.lit(type_msg)
     v = F.col(col)
-    num = F.expr(f"try_cast(`{col}` AS DOUBLE)")
+    num = F.when(v.cast("string").rlike(NUMBER), F.expr(f"try_cast(`{col}` AS DOUBLE)"))
     cmp = (num >= F.lit(bound)) if op == ">=" else (num > F.lit(bound))
     passed = F.when(num.isNull() | F.isnan(num), F.lit(False)).otherwise(cmp)
     msg = (F.when(num.isNull(), F.lit(type_msg))

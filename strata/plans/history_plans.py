@@ -239,7 +239,7 @@ def masked_customer(spark, sf_dir):
 
 @plan("order_props", """
 SELECT o_orderkey, to_json(struct_pack(o_orderstatus := o_orderstatus,
-                                       o_orderdate := CAST(o_orderdate AS VARCHAR),
+                                       o_orderdate := replace(CAST(o_orderdate AS VARCHAR), ' ', 'T'),
                                        o_orderpriority := o_orderpriority,
                                        o_custkey := o_custkey))::VARCHAR AS props
 FROM orders

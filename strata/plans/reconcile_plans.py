@@ -58,7 +58,8 @@ tg AS (
 j AS (
   SELECT s.t, s.column_name, s.agg, s.value AS sv, tg.value AS tv,
          (s.value IS NOT DISTINCT FROM tg.value)
-         OR abs(s.value - tg.value) <= greatest(abs(s.value), abs(tg.value)) * 1e-9 AS ok
+         OR s.agg = 'sum'
+            AND abs(s.value - tg.value) <= greatest(abs(s.value), abs(tg.value)) * 1e-9 AS ok
   FROM s JOIN tg ON s.t = tg.t AND s.column_name = tg.column_name AND s.agg = tg.agg)
 SELECT t AS table_name,
        max(sv) FILTER (WHERE column_name = '*' AND agg = 'count')::BIGINT AS source_rows,

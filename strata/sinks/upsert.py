@@ -48,12 +48,22 @@ def _blank(c: Column, dtype) -> Column:
     return c.isNull()
 
 
+def _keys_given(batch: DataFrame, keys: Sequence[str]) -> Column:
+    """True, or an error for a row with a NULL key."""
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | batch[k].isNull()
+    return F.when(missing, F.raise_error(F.lit(f"upsert: NULL key in {', '.join(keys)}"))
+                  .cast("boolean")).otherwise(F.lit(True))
+
+
 def upsert(target: DataFrame, batch: DataFrame, key: Sequence[str] | str,
            mode: str = "non_empty", order_by: str | None = None) -> DataFrame:
     """Merge ``batch`` into ``target`` by ``key``; returns the new table state.
 
     Columns present only in the target keep their values; batch-only columns
-    are added (NULL for untouched rows).
+    are added (NULL for untouched rows).  A batch row with a NULL key is refused
+    (the job fails): it would match nothing and be inserted again at each merge.
 
     Plan: updates are ``target LEFT JOIN batch`` and inserts are the batch
     keys that no target key matches (a semi join of the target's key column
@@ -63,7 +73,7 @@ def upsert(target: DataFrame, batch: DataFrame, key: Sequence[str] | str,
     huge target unshuffled; a large batch falls back to sort-merge joins.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    b = latest_per_key(batch, keys, order_by)
+    b = latest_per_key(batch.filter(_keys_given(batch, keys)), keys, order_by)
     if order_by and order_by not in target.columns:
         b = b.drop(order_by)
     t_types = {f.name: f.dataType for f in target.schema.fields}
@@ -123,13 +133,15 @@ def apply_actions(target: DataFrame, actions: DataFrame, key: str, payload: str,
                   seq: str, into: str | None = None) -> DataFrame:
     """K8: set ``into`` (default ``payload``) to the last action's payload per id.
 
-    An action for an unknown id is a no-op (left join), as for an UPDATE.
+    An action for an unknown id is a no-op (left join), as for an UPDATE; a NULL
+    payload sets NULL.  An action without a sequence number is ignored.
     """
     into = into or payload
-    last = (actions.groupBy(key)
-            .agg(F.max_by(F.col(payload), F.col(seq)).alias("_payload")))
+    last = (actions.filter(F.col(seq).isNotNull()).groupBy(key)
+            .agg(F.max_by(F.col(payload), F.col(seq)).alias("_payload"))
+            .withColumn("_hit", F.lit(True)))
     joined = target.join(last, on=key, how="left")
-    cols = [F.coalesce(F.col("_payload"), F.col(c)).cast(
+    cols = [F.when(F.col("_hit"), F.col("_payload")).otherwise(F.col(c)).cast(
         dict((f.name, f.dataType) for f in target.schema.fields)[c]).alias(c)
         if c == into else F.col(c) for c in target.columns]
     return joined.select(*cols)

@@ -6,8 +6,10 @@ reads back go to a new path, never over the path being read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def full_refresh(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -27,6 +29,34 @@ def high_water_mark(target: DataFrame | None, column: str = "event_timestamp"):
     return target.agg(F.max(column).alias("m")).first()["m"]
 
 
+def _mark_literal(target: DataFrame, column: str) -> Column | None:
+    """The mark as a literal of the column's type, None when there is none.
+
+    It leaves and enters the JVM as text (instants: as microseconds), never as a
+    Python time, which would be read in the zone of the JVM or the session.
+    """
+    kind = target.schema[column].dataType
+    top = F.max(F.col(f"`{column}`"))
+    if isinstance(kind, T.TimestampType):
+        micros = target.agg(F.unix_micros(top).alias("m")).first()["m"]
+        return None if micros is None else F.timestamp_micros(F.lit(micros))
+    text = target.agg(top.cast("string").alias("m")).first()["m"]
+    return None if text is None else F.lit(text).cast(kind)
+
+
+def existing_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:
+    """The table at ``path``; None only if there is no such path.  A folder that
+    holds no data file yet is an empty table with the columns of ``like``."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return spark.createDataFrame([], like.schema)
+        raise
+
+
 def incremental_rows(source: DataFrame, target: DataFrame | None,
                      column: str = "event_timestamp") -> DataFrame:
     """K5: rows of ``source`` newer than the target's high-water mark.
@@ -39,26 +69,25 @@ def incremental_rows(source: DataFrame, target: DataFrame | None,
     """
     if target is None:
         return source
-    mark = high_water_mark(target, column)
+    mark = _mark_literal(target, column)
     if mark is None:
         return source.limit(0)
-    return source.filter(F.col(column) > F.lit(mark))
+    return source.filter(F.col(f"`{column}`") > mark)
 
 
 def incremental_append(spark: SparkSession, source: DataFrame, target_path: str,
                        column: str = "event_timestamp", exists: bool | None = None) -> int:
-    """K5 writer: append the new rows to ``target_path``; returns rows written."""
-    target = None
-    if exists is None:
-        try:
-            target = spark.read.parquet(target_path)
-        except Exception:  # noqa: BLE001  -- first run: no table yet
-            target = None
-    elif exists:
-        target = spark.read.parquet(target_path)
-    rows = incremental_rows(source, target, column)
+    """K5 writer: append the new rows to ``target_path``; returns rows written.
+
+    Only a missing path is a first run; any other failure to read the target is raised.
+    """
+    target = None if exists is False else existing_table(spark, target_path, source)
+    if exists and target is None:
+        raise FileNotFoundError(target_path)
+    written = Observation()
+    rows = incremental_rows(source, target, column).observe(written, F.count(F.lit(1)).alias("n"))
     rows.write.mode("append").parquet(target_path)
-    return spark.read.parquet(target_path).count()
+    return written.get["n"]
 
 
 # Dataset build types (compared exactly; any other value,
@@ -85,10 +114,7 @@ def build_dataset(spark: SparkSession, source: DataFrame, target_path: str,
         source.createOrReplaceTempView(view_name)
         return "view"
     if kind == BUILD_APPEND:
-        try:
-            target = spark.read.parquet(target_path)
-        except Exception:  # noqa: BLE001  -- first run: no table yet
-            target = None
+        target = existing_table(spark, target_path, source)
         rows, mode = incremental_rows(source, target, MARK_COLUMN), "append"
     else:
         rows, mode = source, "overwrite"

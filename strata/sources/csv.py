@@ -21,6 +21,11 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold dots or back-ticks, as Spark reads it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 @dataclass
 class CsvScan:
     rows: DataFrame       # all-string rows, '' for missing
@@ -43,12 +48,13 @@ def scan_csv(spark: SparkSession, path: str, header: Sequence[str] | None = None
            .option("escape", '"').option("multiLine", False)
            .schema(schema).csv(path)
            .withColumn("_file", F.col("_metadata.file_path")))
-    every = F.concat_ws("", *[F.coalesce(F.col(n), F.lit("")) for n in names])
+    named = {n: F.col(quoted(n)) for n in names}
+    every = F.concat_ws("", *[F.coalesce(named[n], F.lit("")) for n in names])
     good = raw.filter(F.col(CORRUPT).isNull() & (F.length(every) >= 0))
     not_header = ~reduce(lambda a, b: a & b,
-                         [F.coalesce(F.col(n), F.lit("")) == F.lit(n) for n in names])
+                         [F.coalesce(named[n], F.lit("")) == F.lit(n) for n in names])
     rows = good.filter(not_header).select(
-        *[F.coalesce(F.col(n), F.lit("")).alias(n) for n in names])
+        *[F.coalesce(named[n], F.lit("")).alias(n) for n in names])
     # An always-true test over every data column, which Catalyst cannot fold:
     # it keeps count() from pruning the scan to the corrupt column alone, and
     # keeps the CSV parser tokenising whole lines (with pruning it checks only
@@ -56,7 +62,7 @@ def scan_csv(spark: SparkSession, path: str, header: Sequence[str] | None = None
     bad = F.col(CORRUPT).isNotNull() & (F.length(every) >= 0)
     rejected = raw.filter(bad).select(
         F.col("_file").alias("file_path"), F.col(CORRUPT).alias("line"),
-        F.struct(*[F.col(n) for n in names]).alias("partial"))
+        F.struct(*[named[n].alias(n) for n in names]).alias("partial"))
     return CsvScan(rows, rejected, names)
 
 
@@ -73,19 +79,41 @@ def load_typed(df: DataFrame, columns: Sequence[TypedColumn]) -> DataFrame:
 
     Text: exactly ``''`` -> NULL (other values, spaces included, kept), or kept
     as is with ``keep_empty``.  Numbers and dates: ``''`` -> NULL, otherwise
-    ``try_cast`` of the trimmed text (a value that does not parse is NULL
-    here; the seeder stopped on it).
+    ``try_cast`` of the trimmed text.  A value that does not parse is NULL here;
+    ``load_typed_checked`` routes such rows to a rejected output (the seeder stopped
+    on them).
     """
-    out = []
-    for c in columns:
-        col = F.col(c.source)
-        if c.type.lower() in ("string", "varchar"):
-            v = col if c.keep_empty else F.when(col == "", F.lit(None)).otherwise(col)
-        else:
-            v = F.when(col == "", F.lit(None)).otherwise(
-                F.expr(f"try_cast(trim(`{c.source}`) AS {c.type})"))
-        out.append(v.alias(c.target))
-    return df.select(*out)
+    return df.select(*[_typed(c).alias(c.target) for c in columns])
+
+
+def _is_text(c: TypedColumn) -> bool:
+    return c.type.lower() in ("string", "varchar")
+
+
+def _typed(c: TypedColumn):
+    col = F.col(quoted(c.source))
+    if _is_text(c):
+        return col if c.keep_empty else F.when(col == "", F.lit(None)).otherwise(col)
+    return F.when(col == "", F.lit(None)).otherwise(
+        F.expr(f"try_cast(trim({quoted(c.source)}) AS {c.type})"))
+
+
+@dataclass
+class TypedLoad:
+    rows: DataFrame       # typed rows, every value parsed
+    rejected: DataFrame   # the source rows with ``reasons ARRAY<STRING>``
+
+
+def load_typed_checked(df: DataFrame, columns: Sequence[TypedColumn]) -> TypedLoad:
+    """S2 with rejects: a row with a value that does not parse keeps its source
+    columns, goes to ``rejected`` and names each such column with its type."""
+    bad = [F.when(F.col(quoted(c.source)).isNotNull() & (F.col(quoted(c.source)) != "")
+                  & _typed(c).isNull(), F.lit(f"{c.source}: not {c.type}"))
+           for c in columns if not _is_text(c)]
+    reasons = F.filter(F.array(*bad), lambda x: x.isNotNull()) if bad else F.array().cast(
+        "array<string>")
+    return TypedLoad(load_typed(df.filter(F.size(reasons) == 0), columns),
+                     df.withColumn("reasons", reasons).filter(F.size("reasons") > 0))
 
 
 def _spec(*cols: tuple) -> tuple[TypedColumn, ...]:
@@ -146,5 +174,5 @@ def load_seed_tables(spark: SparkSession, csv_dir: str,
 def drop_blank_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """S3: drop rows whose every value is blank (NULL or only spaces)."""
     cols = list(columns or df.columns)
-    arr = F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    arr = F.array(*[F.coalesce(F.col(quoted(c)).cast("string"), F.lit("")) for c in cols])
     return df.filter(F.exists(arr, lambda x: F.trim(x) != ""))

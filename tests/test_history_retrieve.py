@@ -106,22 +106,23 @@ def test_nested_children_splits_a_hot_parent(spark):
     kids = [(1, f"n{i:03d}", i) for i in range(60)] + [(2, "b", 1), (2, "a", 2)]
     c = spark.createDataFrame(kids, "fk int, name string, id int")
     p = spark.createDataFrame([(1,), (2,), (3,)], "pk int")
-    rows = nested_children(p, c, "pk", "fk", ["name", "id"], max_items=16).collect()
+    rows = nested_children(p, c, "pk", "fk", ["name", "id"], chunks=4).collect()
     by_parent = {}
     for r in rows:
         by_parent.setdefault(r.pk, []).append(r)
-    # small parents: one chunk 0 holding every child, sorted
-    assert [(r.children_chunk, [x.name for x in r.children]) for r in by_parent[2]] == [
-        (0, ["a", "b"])]
+    # the same layout for every parent: each child in the chunk of its hash
+    assert sorted(x.name for r in by_parent[2] for x in r.children) == ["a", "b"]
+    whole = nested_children(p, c, "pk", "fk", ["name", "id"]).collect()
+    assert sorted((r.pk, len(r.children)) for r in whole) == [(1, 60), (2, 2), (3, 0)]
     assert [(r.children_chunk, r.children) for r in by_parent[3]] == [(0, [])]
-    # the hot parent: ceil(60 / 16) = 4 chunk numbers, every child exactly once
+    # the hot parent: 4 chunk numbers, every child exactly once
     hot = by_parent[1]
     assert {r.children_chunk for r in hot} <= {0, 1, 2, 3} and len(hot) > 1
     names = sorted(x.name for r in hot for x in r.children)
     assert names == [f"n{i:03d}" for i in range(60)]
     assert all(list(r.children) == sorted(r.children) for r in hot)
     # same chunks on recomputation (pure function of the child's values)
-    again = chunked_collect(c, "fk", ["name", "id"], "children", 16).collect()
+    again = chunked_collect(c, "fk", ["name", "id"], "children", 4).collect()
     assert sorted((r.fk, r.children_chunk, tuple(r.children)) for r in again) == sorted(
         (r.pk, r.children_chunk, tuple(r.children)) for r in rows if r.children)
 
@@ -170,20 +171,20 @@ def test_bucketed_time_bounded_join_equals_plain(spark):
 
 
 def test_nested_children_chunks_fold_to_whole_result(spark):
-    """With chunks of at most 2 orders, folding the chunks per customer gives
+    """With 3 chunks a customer, folding the chunks per customer gives
     the same counts and first order as one array per customer."""
     sf = "/root/testdata/sf0.001"
     cust = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey")
     orders = spark.read.parquet(f"{sf}/orders.parquet")
 
-    def folded(max_items):
+    def folded(chunks):
         n = nested_children(cust, orders, "c_custkey", "o_custkey",
-                            ["o_orderdate", "o_orderkey"], "orders", max_items=max_items)
+                            ["o_orderdate", "o_orderkey"], "orders", chunks=chunks)
         first = F.try_element_at("orders", F.lit(1))
         return {r.c_custkey: (r.n, r.first, r.chunks) for r in n.groupBy("c_custkey").agg(
             F.sum(F.size("orders")).alias("n"), F.min(first["o_orderdate"]).alias("first"),
             F.count(F.lit(1)).alias("chunks")).collect()}
-    whole, chunked = folded(100_000), folded(2)
+    whole, chunked = folded(1), folded(3)
     assert {k: v[:2] for k, v in whole.items()} == {k: v[:2] for k, v in chunked.items()}
     assert max(v[2] for v in chunked.values()) > 1 and max(v[2] for v in whole.values()) == 1
 

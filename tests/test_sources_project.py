@@ -79,7 +79,7 @@ def test_view_lookup_conform(spark):
     c = conform(rows, contract)
     assert [r.hub_id for r in c.good.collect()] == ["MEM"]
     bad = {r.hub_id: r.violations for r in c.bad.collect()}
-    assert bad == {"LONG": ["hub_id: longer than 3"], None: ["hub_id: required"]}
+    assert bad == {"LONG": ["hub_id: longer than 3", "tons: not INT64"], None: ["hub_id: required"]}
 
 
 def test_props_json_and_masking(spark):

@@ -47,8 +47,9 @@ def test_incremental_append_semantics(spark, tmp_dir):
         "event_timestamp", F.col("event_timestamp").cast("timestamp"))
     path = os.path.join(tmp_dir, "inc")
     assert incremental_append(spark, src.filter("id <= 2"), path) == 2  # first run: all
-    assert incremental_append(spark, src, path) == 3  # only id 3 is newer
-    assert incremental_append(spark, src, path) == 3  # nothing new
+    assert incremental_append(spark, src, path) == 1  # only id 3 is newer
+    assert incremental_append(spark, src, path) == 0  # nothing new
+    assert spark.read.parquet(path).count() == 3
     # an existing but empty target has no mark: nothing is loaded
     empty = src.limit(0)
     assert incremental_rows(src, empty).count() == 0
