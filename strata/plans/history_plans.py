@@ -204,6 +204,31 @@ def conform_violations(spark, sf_dir):
             .groupBy("violation").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+# Contract for documents with a length limit that the long ones break.
+DOCUMENT_CONTRACT = ObjectType("Document", "documents", "doc_id", (
+    Attribute("doc_id", "INT64", True), Attribute("text", "STRING(2000)", True),
+    Attribute("source", "STRING(MAX)"), Attribute("lang", "STRING(2)")))
+
+
+@plan("document_contract", """
+SELECT outcome, count(*) AS n_rows FROM (
+  SELECT unnest(CASE WHEN len(v) = 0 THEN ['good'] ELSE v END) AS outcome FROM (
+    SELECT list_filter([
+             CASE WHEN doc_id IS NULL THEN 'doc_id: required' END,
+             CASE WHEN text IS NULL THEN 'text: required' END,
+             CASE WHEN length(text) > 2000 THEN 'text: longer than 2000' END,
+             CASE WHEN length(lang) > 2 THEN 'lang: longer than 2' END], lambda x: x IS NOT NULL) AS v
+    FROM documents))
+GROUP BY outcome
+""")
+def document_contract(spark, sf_dir):
+    """Rows of documents that keep the contract, and those that break it by reason."""
+    c = conform(Tables(spark, sf_dir).documents, DOCUMENT_CONTRACT)
+    good = c.good.select(F.lit("good").alias("outcome"))
+    bad = c.bad.select(F.explode("violations").alias("outcome"))
+    return good.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 # Contract view of the customer table (P5): one contract column the table
 # does not have, so the view carries it as a typed NULL.
 CUSTOMER_VIEW = ObjectType("Customer", "customer", "c_custkey", (
