@@ -1,18 +1,22 @@
 """Hierarchical Pitman-Yor language model, with seatings sampled by Gibbs sweeps.
 
-A word is drawn from the restaurant of its context; context restaurants share one parent restaurant over all
-words, whose base is uniform. The context is the class of the word before: each of the most frequent words is a
-class of its own, the others share classes by hash, so that there are ``CONTEXTS`` of them whatever the size.
-
-Work is split by word. A shard holds all (word, context) counts of its words, so a word's dishes in
-all contexts and in the parent meet in one task, and only totals by context and a few sums are shared: after
-each sweep they go through the driver (a few vectors of length ``CONTEXTS``). A sweep re-seats the customers of
-every (word, context) under the totals of the sweep before. The score averages the predictive probabilities
-of the sampled seatings.
+A word is drawn from the restaurant of its context, the word before; context restaurants share one parent
+restaurant over all words, whose base is uniform. Every word of the texts that are learnt from is a context
+of its own, at every size.
+
+Work is split in a grid of cells: the row from the hash of the context, the column from that of the word. A cell
+holds counts of its (context, word) pairs, never their occurrences, so neither a frequent word nor a frequent pair
+fills one. After each sweep the totals by context are summed over a row of cells and those by word over a column,
+and go back to the cells; the driver sees four sums. A sweep re-seats the customers of every pair under the totals
+of the sweep before. The score averages the predictive probabilities of the sampled seatings.
+
+A text's score is summed where the text is: packs of texts ask the cells once for each of their pairs.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -20,20 +24,17 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import LOWER, U64, buffers, give_back, mix64, pieces, prefix_hash, settle, span_hash, table, words
+from strata.llm.common import LOWER, U64, buffers, give_back, pieces, prefix_hash, settle, span_hash, table, words
 
 #: Discounts and strengths of context restaurants and of the parent.
 DISCOUNT, STRENGTH, DISCOUNT0, STRENGTH0 = 0.75, 5.0, 0.6, 50.0
-#: Classes of frequent words, hash classes of the rest, and the bounded sample (texts, characters of each) that picks the frequent ones.
-FREQUENT, HASHED, SAMPLE_TEXTS, SAMPLE_CHARS = 1000, 1047, 2000, 2000
-CONTEXTS = FREQUENT + HASHED + 1  # the last is the start of a text
 SWEEPS = 2
-#: Bytes of text to a shard, and tokens that a map task packs at once.
+#: Bytes of text to a cell, and tokens that a map task packs at once.
 SHARD_BYTES, PACK = 16 << 20, 2_000_000
-END = U64(0xE2D0E2D0E2D0E2D1)
+START, END = U64(0x57A257A257A257A3), U64(0xE2D0E2D0E2D0E2D1)
 
 
-def tokens(data: np.ndarray, off: np.ndarray, frequent: np.ndarray):
+def tokens(data: np.ndarray, off: np.ndarray):
     """(word, context, row) of every token of every row: its words, lower-case in A-Z, then one end."""
     data = LOWER[data]
     starts, ends, row = words(data, off)
@@ -41,11 +42,9 @@ def tokens(data: np.ndarray, off: np.ndarray, frequent: np.ndarray):
     n = np.bincount(row, minlength=len(off) - 1) + 1
     w = np.full(len(h) + len(n), END, U64)
     w[np.arange(len(h)) + row] = h
-    c = np.empty(len(w), np.uint16)
-    i = np.minimum(np.searchsorted(frequent, w), max(len(frequent) - 1, 0))
-    own = frequent[i] == w if len(frequent) else np.zeros(len(w), bool)
-    c[1:] = np.where(own, i, FREQUENT + ((w >> U64(20)) % U64(HASHED)).astype(np.int64))[:-1]
-    c[np.cumsum(n) - n] = CONTEXTS - 1
+    c = np.empty_like(w)
+    c[1:] = w[:-1]
+    c[np.cumsum(n) - n] = START
     return w, c, np.repeat(np.arange(len(n)), n)
 
 
@@ -72,62 +71,78 @@ def _unpack(blob, *kinds) -> list[np.ndarray]:
     return out
 
 
-def _deal(shards: int, frequent: np.ndarray):
-    """Tokens of a batch, packed by shard: pairs (word, context), their token numbers, and text (relative) and split of each token."""
-    def flush(held, first):
-        w, c, t = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((t, c, w))
-        w, c, t = w[order], c[order], t[order]
-        shard = ((w >> U64(32)) * U64(shards) >> U64(32)).astype(np.int64)
-        cut = np.searchsorted(shard, np.arange(shards + 1))
-        for s in np.flatnonzero(cut[1:] > cut[:-1]):
-            a, b = cut[s], cut[s + 1]
-            new = np.flatnonzero(np.concatenate([[True], (w[a + 1:b] != w[a:b - 1]) | (c[a + 1:b] != c[a:b - 1])]))
-            u, per = np.unique(w[a:b][new], return_counts=True)
-            yield s, first, _pack(_planes(u), per.astype(np.uint16), c[a:b][new], np.diff(np.append(new, b - a)).astype(np.uint32),
-                                  *[(t[a:b] >> 8 * k).astype(np.uint8) for k in range(4)])
+def _line(x: np.ndarray, side: int) -> np.ndarray:
+    return ((x >> U64(32)) * U64(side) >> U64(32)).astype(np.int64)
+
+
+def _deal(side: int, ask: bool):
+    """Packs of texts, numbered by their first text. With ``ask``, (cell, pack, blob): the pack's different pairs of each
+    cell and how often they are learnt. Else (-1, pack, blob): of each token its pair's place among the pack's, and the texts."""
+    def flush(held):
+        w, c, rid, out = (np.concatenate(x) for x in zip(*held))
+        first = int(rid[0])
+        cell = (_line(c, side) * side + _line(w, side)).astype(np.int32)
+        order = np.lexsort((w, c, cell))
+        w, c, cell = w[order], c[order], cell[order]
+        new = np.concatenate([[True], (w[1:] != w[:-1]) | (c[1:] != c[:-1])])
+        if not ask:
+            at = np.empty(len(w), np.uint32)
+            at[order] = np.cumsum(new) - 1
+            ids = np.flatnonzero(np.concatenate([[True], rid[1:] != rid[:-1]]))
+            yield -1, first, _pack(_planes(rid[ids]), np.diff(np.append(ids, len(rid))).astype(np.uint32), *[(at >> 8 * k).astype(np.uint8) for k in range(4)])
+            return
+        new = np.flatnonzero(new)
+        learnt = np.add.reduceat((~out[order]).astype(np.int64), new).astype(np.uint32)
+        w, c, cell = w[new], c[new], cell[new]
+        cut = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1, [len(cell)]])
+        for a, b in zip(cut[:-1], cut[1:]):
+            u, per = np.unique(c[a:b], return_counts=True)
+            yield int(cell[a]), first, _pack(_planes(u), per.astype(np.uint32), w[a:b], learnt[a:b])
 
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
-            rid, held_out = b.column(0).to_numpy(), b.column(1).to_numpy(zero_copy_only=False)
+            rid, held_out = b.column(0).to_numpy(), b.column(1).to_numpy(zero_copy_only=False).astype(bool)
             data, off = buffers(b.column(2))
             held, size, out = [], 0, []
             for i, d, o in pieces(data, off):
-                w, c, row = tokens(d, o, frequent)
-                held.append((w, c, ((rid[i + row] - rid[0]) * 2 + held_out[i + row]).astype(np.uint32)))
+                w, c, row = tokens(d, o)
+                held.append((w, c, rid[i + row], held_out[i + row]))
                 size += len(w)
                 if size >= PACK:
-                    out += flush(held, int(rid[0]))
+                    out += flush(held)
                     held, size = [], 0
             if held:
-                out += flush(held, int(rid[0]))
+                out += flush(held)
             del data, held
             for k in range(0, len(out), 64):
                 s, f, x = zip(*out[k:k + 64])
-                yield pa.RecordBatch.from_arrays([pa.array(s, pa.int32()), pa.array(f, pa.int64()), pa.array(x, pa.binary())], names=["shard", "first", "blob"])
+                yield pa.RecordBatch.from_arrays([pa.array(s, pa.int32()), pa.array(f, pa.int64()), pa.array(x, pa.binary())], names=["cell", "pack", "blob"])
     return run
 
 
 def _join(part: pd.DataFrame) -> pd.DataFrame:
-    """All packs of one shard as one row: words, pairs with their training and token counts; and the text of every token."""
+    """All packs' pairs of one cell as one row: its contexts, words, and pairs with their learnt counts; and which pairs each pack asks for."""
     give_back()
-    ws, cs, ts, held = [], [], [], []
-    for first, blob in zip(part["first"], part["blob"]):
-        u, per, c, n, *t = _unpack(blob, np.uint8, np.uint16, np.uint16, np.uint32, *[np.uint8] * 4)
-        w, t = np.repeat(_whole(u, U64), per), sum(x.astype(np.uint32) << 8 * k for k, x in enumerate(t))
-        ws.append(np.repeat(w, n)), cs.append(np.repeat(c, n)), ts.append((t >> 1).astype(np.int64) + first), held.append((t & 1).astype(bool))
-    w, c, t, held = (np.concatenate(x) for x in (ws, cs, ts, held))
-    del ws, cs, ts
-    order = np.lexsort((c, w))
-    w, c, t, held = w[order], c[order], t[order], held[order]
-    new = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (c[1:] != c[:-1])]))
-    n = np.diff(np.append(new, len(w)))
-    learnt = np.add.reduceat((~held).astype(np.int64), new)
-    w, c = w[new], c[new]
-    first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
-    return pd.DataFrame({"shard": [int(part["shard"].iloc[0])], "pairs": [_pack(np.diff(np.append(first, len(w))).astype(np.uint32), c, learnt.astype(np.uint32), n.astype(np.uint32))], "texts": [_pack(t)]})
+    ws, cs, ns = [], [], []
+    for blob in part["blob"]:
+        u, per, w, n = _unpack(blob, np.uint8, np.uint32, U64, np.uint32)
+        ws.append(w), cs.append(np.repeat(_whole(u, U64), per)), ns.append(n)
+    cut = np.cumsum([len(x) for x in ws])[:-1]
+    w, c, n = (np.concatenate(x) for x in (ws, cs, ns))
+    del ws, cs, ns
+    order = np.lexsort((w, c))
+    w, c = w[order], c[order]
+    new = np.concatenate([[True], (w[1:] != w[:-1]) | (c[1:] != c[:-1])])
+    at = np.empty(len(w), np.int64)
+    at[order] = np.cumsum(new) - 1
+    new = np.flatnonzero(new)
+    learnt = np.add.reduceat(n[order].astype(np.int64), new)
+    own, per = np.unique(c[new], return_counts=True)
+    vocabulary, word = np.unique(w[new], return_inverse=True)
+    return pd.DataFrame({"cell": [int(part["cell"].iloc[0])], "pairs": [_pack(_planes(own), per.astype(np.uint32), _planes(vocabulary), word.astype(np.uint32), learnt)],
+                         "packs": [part["pack"].tolist()], "asked": [[_pack(_planes(x)) for x in np.split(at, cut)]]})
 
 
 def seat(rng, customers: np.ndarray, open_: np.ndarray, discount: float) -> np.ndarray:
@@ -153,97 +168,87 @@ def _parent(T, t0, total):
     return (T - DISCOUNT0 * t0) / (STRENGTH0 + total["T"]) + (STRENGTH0 + DISCOUNT0 * total["t0"]) / (STRENGTH0 + total["T"]) / (total["V"] + 1)
 
 
-def _replay(shard, sizes, c, learnt, totals):
-    """Seatings after each sweep so far: (tables of pairs, tables per word, the parent's tables). ``totals`` has the first
-    seating's, one table a dish, and then each sweep's. The random numbers depend on shard and sweep alone."""
-    at = np.cumsum(sizes) - sizes
-    t = (learnt > 0).astype(np.float64)
-    T = np.add.reduceat(t, at)
-    t0 = (T > 0).astype(np.float64)
-    yield t, T, t0
-    for s, total in enumerate(totals):
-        rng = np.random.default_rng((shard, s))
-        P = np.repeat(_parent(T, t0, total), sizes)
-        t = seat(rng, learnt, (STRENGTH + DISCOUNT * total["tables"][c]) * P, DISCOUNT)
-        T = np.add.reduceat(t, at)
-        t0 = seat(rng, T, np.full(len(T), (STRENGTH0 + DISCOUNT0 * total["t0"]) / (total["V"] + 1)), DISCOUNT0)
-        yield t, T, t0
+def _read(blob):
+    """(contexts, words, each pair's context and word by place, its learnt count)."""
+    own, per, vocabulary, word, learnt = _unpack(blob, np.uint8, np.uint32, np.uint8, np.uint32, np.int64)
+    return _whole(own, U64), _whole(vocabulary, U64), np.repeat(np.arange(len(per)), per), word.astype(np.int64), learnt
 
 
-def _read(blob):
-    sizes, c, learnt, n = _unpack(blob, np.uint32, np.uint16, np.uint32, np.uint32)
-    return sizes.astype(np.int64), c.astype(np.int64), learnt.astype(np.int64), n.astype(np.int64)
+def _slices(part: pd.DataFrame) -> dict:
+    """A cell's slices of the totals after each sweep: {(sweep, kind): arrays}; kind 0 is by context, 1 by word."""
+    return {(s, k): _unpack(b, *[np.int64] * (2 + k)) for s, k, b in zip(part["sweep"], part["kind"], part["blob"]) if k < 2}
 
 
-def _totals(totals: list):
-    """One row a task: customers and tables by context, and the sums, after the sweeps that ``totals`` allow."""
-    def run(batches):
-        own, seen = [np.zeros(CONTEXTS), np.zeros(CONTEXTS), np.zeros(4)], False
-        for b in batches:
-            for i in range(b.num_rows):
-                give_back()
-                sizes, c, learnt, _ = _read(b.column(1)[i].as_py())
-                *_, (t, T, t0) = _replay(b.column(0)[i].as_py(), sizes, c, learnt, totals)
-                own[0] += np.bincount(c, learnt, CONTEXTS)
-                own[1] += np.bincount(c, t, CONTEXTS)
-                own[2] += [learnt.sum(), (T > 0).sum(), T.sum(), t0.sum()]
-                seen = True
-        if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([x.tolist()], pa.list_(pa.float64())) for x in own], names=["customers", "tables", "sums"])
+def _reseat(cell, sweep, got, totals, c, w, learnt):
+    """Tables of a cell's pairs in a sweep. The random numbers depend on cell and sweep alone."""
+    (_, tables), (_, T, t0) = got[sweep - 1, 0], got[sweep - 1, 1]
+    return seat(np.random.default_rng((cell, sweep)), learnt, (STRENGTH + DISCOUNT * tables[c]) * _parent(T, t0, totals[sweep - 1])[w], DISCOUNT)
+
+
+def _sweep(totals: list, side: int):
+    """A cell's customers and tables by context, for its row of the grid, and by word, for its column, after the next sweep.
+    The first seating has one table a dish."""
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        give_back()
+        cell = int(part["cell"].iloc[0])
+        own, vocabulary, c, w, learnt = _read(part["blob"][part["kind"] == 2].iloc[0])
+        t = _reseat(cell, len(totals), _slices(part), totals, c, w, learnt) if totals else (learnt > 0).astype(np.float64)
+        blobs = [_pack(_planes(keys), *[np.bincount(at, x, len(keys)).astype(np.int64) for x in (learnt, t)]) for keys, at in ((own, c), (vocabulary, w))]
+        return pd.DataFrame({"kind": [0, 1], "line": [cell // side, cell % side], "cell": [cell] * 2, "blob": blobs})
     return run
 
 
-def _sum(part: pd.DataFrame) -> pd.DataFrame:
-    """Sums by text of what all shards gave a part of the texts."""
-    got = [_unpack(b, np.uint8, np.int32, np.int32, np.float64, np.float64) for b in part["blob"]]
-    cols = [np.concatenate(x) for x in zip(*[(_whole(v[0], np.int64), *v[1:]) for v in got])]
-    ids, text = np.unique(cols[0], return_inverse=True)
-    sums = [np.bincount(text, x, len(ids)) for x in cols[1:]]
-    return pd.DataFrame({"rid": ids, "n_tokens": sums[0].astype(np.int64), "n_known": sums[1].astype(np.int64), "base": sums[2], "score": sums[3]})
+def _exchange(totals: list):
+    """Sums over one line of the grid, cut to what each of its cells holds; words are seated in the parent as well."""
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        give_back()
+        kind, line, sweep = int(part["kind"].iloc[0]), int(part["line"].iloc[0]), len(totals)
+        got = [_unpack(b, np.uint8, np.int64, np.int64) for b in part["blob"]]
+        keys, at = np.unique(np.concatenate([_whole(g[0], U64) for g in got]), return_inverse=True)
+        cols = [np.bincount(at, np.concatenate([g[k] for g in got]), len(keys)).astype(np.int64) for k in (1, 2)]
+        sums = np.zeros((len(part), 4))
+        if kind:
+            n, T = cols
+            t0 = seat(np.random.default_rng((line, sweep, 1)), T, np.full(len(T), (STRENGTH0 + DISCOUNT0 * totals[-1]["t0"]) / (totals[-1]["V"] + 1)), DISCOUNT0) if totals else T > 0
+            cols.append(t0.astype(np.int64))
+            sums[0] = n.sum(), (n > 0).sum(), T.sum(), t0.sum()
+        cut = np.cumsum([len(g[1]) for g in got])[:-1]
+        return pd.DataFrame({"cell": part["cell"].to_numpy(), "sweep": sweep, "kind": kind, "blob": [_pack(*[x[i] for x in cols]) for i in np.split(at, cut)],
+                             **dict(zip(("N", "V", "T", "t0"), sums.T))})
+    return run
 
 
-def _score(totals: list, parts: int):
-    """(part, blob): what the shard's tokens give each text, packed by parts of the texts."""
-    def run(batches):
-        for b in batches:
-            for i in range(b.num_rows):
-                give_back()
-                sizes, c, learnt, n = _read(b.column(1)[i].as_py())
-                at = np.cumsum(sizes) - sizes
-                N, V = totals[0]["N"], totals[0]["V"]
-                seen = np.repeat(np.add.reduceat(learnt, at), sizes)
-                base = np.log10((seen + 0.1) / (N + 0.1 * (V + 1)))
-                p, k = np.zeros(len(c)), 0
-                for s, (t, T, t0) in enumerate(_replay(b.column(0)[i].as_py(), sizes, c, learnt, totals[:-1])):
-                    if s:  # the first seating is the start, not a sample
-                        total = totals[s]
-                        P = np.repeat(_parent(T, t0, total), sizes)
-                        p += (np.maximum(learnt - DISCOUNT * t, 0) + (STRENGTH + DISCOUNT * total["tables"][c]) * P) / (STRENGTH + total["customers"][c])
-                        k += 1
-                score = np.log10(p / k)
-                rid, = _unpack(b.column(2)[i].as_py(), np.int64)
-                ids, text = np.unique(rid, return_inverse=True)
-                add = lambda x: np.bincount(text, np.repeat(x, n), len(ids))
-                cols = np.bincount(text, minlength=len(ids)).astype(np.int32), add(seen > 0).astype(np.int32), add(base), add(score)
-                part = (mix64(ids.view(U64)) % U64(parts)).astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                cut = np.searchsorted(part[order], np.arange(parts + 1))
-                some = np.flatnonzero(cut[1:] > cut[:-1])
-                blobs = [_pack(_planes(ids[o]), *[x[o] for x in cols]) for k in some for o in [order[cut[k]:cut[k + 1]]]]
-                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "blob"])
+def _answer(totals: list):
+    """(cell, pack, blob): learnt count of the word and score, of each pair that a pack asked of the cell."""
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        give_back()
+        cell, got = int(part["cell"].iloc[0]), _slices(part)
+        own = part[part["kind"] == 2].iloc[0]
+        _, _, c, w, learnt = _read(own["blob"])
+        seen, p = got[0, 1][0][w], np.zeros(len(c))
+        for s in range(1, len(totals)):  # the first seating is the start, not a sample
+            t = _reseat(cell, s, got, totals, c, w, learnt)
+            (customers, tables), (_, T, t0) = got[s, 0], got[s, 1]
+            p += (np.maximum(learnt - DISCOUNT * t, 0) + (STRENGTH + DISCOUNT * tables[c]) * _parent(T, t0, totals[s])[w]) / (STRENGTH + customers[c])
+        score = np.log10(p / (len(totals) - 1))
+        at = [_whole(*_unpack(b, np.uint8), np.int64) for b in own["asked"]]
+        return pd.DataFrame({"cell": cell, "pack": np.asarray(own["packs"], np.int64), "blob": [_pack(seen[i], score[i]) for i in at]})
     return run
 
 
-def frequent_words(rows: DataFrame) -> np.ndarray:
-    """Hashes, sorted, of the FREQUENT most frequent words of a bounded sample of texts, chosen by hash of their number."""
-    n = rows.count()
-    share = min(1.0, SAMPLE_TEXTS / max(n, 1))
-    got = rows.filter(F.pmod(F.xxhash64("rid"), F.lit(1 << 30)) < int(share * (1 << 30))).select(F.substring("text", 1, SAMPLE_CHARS).alias("t")).collect()
-    raw = [r["t"].encode() for r in got]
-    off = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
-    w, _, _ = tokens(np.frombuffer(b"".join(raw), np.uint8), off, np.zeros(0, U64))
-    u, c = np.unique(w[w != END], return_counts=True)
-    return np.sort(u[np.lexsort((u, -c))[:FREQUENT]])
+def _sum(total: dict):
+    """Sums by text of one pack, from the cells' answers in their order."""
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        give_back()
+        part = part.sort_values("cell")
+        ids, n, *at = _unpack(part["blob"].iloc[0], np.uint8, np.uint32, *[np.uint8] * 4)
+        at = sum(x.astype(np.uint32) << 8 * k for k, x in enumerate(at))
+        seen, score = (np.concatenate(x) for x in zip(*[_unpack(b, np.int64, np.float64) for b in part["blob"].iloc[1:]]))
+        base = np.log10((seen + 0.1) / (total["N"] + 0.1 * (total["V"] + 1)))
+        first = np.cumsum(n, dtype=np.int64) - n
+        add = lambda x: np.add.reduceat(x[at], first)
+        return pd.DataFrame({"rid": _whole(ids, np.int64), "n_tokens": n.astype(np.int64), "n_known": add((seen > 0).astype(np.int64)), "base": add(base), "score": add(score)})
+    return run
 
 
 def score_texts(docs: DataFrame, held_out, sweeps: int = SWEEPS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -255,20 +260,23 @@ def score_texts(docs: DataFrame, held_out, sweeps: int = SWEEPS, shard_bytes: in
     """
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id"), held_out.alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long") + 8)).first()[0] or 0
-    shards = max(1, -(-size // shard_bytes))
-    dealt = rows.select("rid", "held_out", "text").mapInArrow(_deal(int(shards), frequent_words(rows)), "shard int, first long, blob binary")
-    model = settle(dealt.groupBy("shard").applyInPandas(_join, "shard int, pairs binary, texts binary"), "restaurants")
-    pairs, totals = model.select("shard", "pairs"), []
-    for _ in range(sweeps + 1):
-        got = pairs.mapInArrow(_totals(totals), "customers array<double>, tables array<double>, sums array<double>")
-        flat = got.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(x).alias("v")) for i, x in enumerate(("customers", "tables", "sums"))])).alias("x")).select("x.i", F.posexplode("x.v").alias("k", "v"))
-        sums = flat.groupBy("i", "k").agg(F.sum("v").alias("v")).collect()  # 2 * CONTEXTS + 4 rows at every size
-        vec = [np.zeros(CONTEXTS), np.zeros(CONTEXTS), np.zeros(4)]
-        for r in sums:
-            vec[r["i"]][r["k"]] = r["v"]
-        totals.append({"customers": vec[0], "tables": vec[1], "N": vec[2][0], "V": vec[2][1], "T": vec[2][2], "t0": vec[2][3]})
-    parts = model.select("shard", "pairs", "texts").mapInArrow(_score(totals, int(shards)), "part int, blob binary")
-    sums = parts.groupBy("part").applyInPandas(_sum, "rid long, n_tokens long, n_known long, base double, score double")
+    side = max(1, math.ceil(math.sqrt(size / shard_bytes)))
+    packs = lambda ask: rows.select("rid", "held_out", "text").mapInArrow(_deal(side, ask), "cell int, pack long, blob binary")
+    model = settle(packs(True).groupBy("cell").applyInPandas(_join, "cell int, pairs binary, packs array<long>, asked array<binary>"), "restaurants")
+    none = F.lit(None)
+    pairs = model.select("cell", F.lit(-1).alias("sweep"), F.lit(2).alias("kind"), F.col("pairs").alias("blob"))
+    totals, slices = [], []
+    for s in range(sweeps + 1):
+        cells = pairs.unionByName(slices[-1]) if slices else pairs
+        lines = cells.groupBy("cell").applyInPandas(_sweep(totals, side), "kind int, line int, cell int, blob binary")
+        got = settle(lines.groupBy("kind", "line").applyInPandas(_exchange(totals), "cell int, sweep int, kind int, blob binary, N double, V double, T double, t0 double"), f"totals{s}")
+        slices.append(got.select("cell", "sweep", "kind", "blob"))
+        totals.append({k: v or 0.0 for k, v in got.agg(*[F.sum(x).alias(x) for x in ("N", "V", "T", "t0")]).first().asDict().items()})
+    cells = model.select("cell", F.lit(-1).alias("sweep"), F.lit(2).alias("kind"), F.col("pairs").alias("blob"), "packs", "asked")
+    for x in slices:
+        cells = cells.unionByName(x.withColumns({"packs": none.cast("array<long>"), "asked": none.cast("array<binary>")}))
+    answers = cells.groupBy("cell").applyInPandas(_answer(totals), "cell int, pack long, blob binary")
+    sums = packs(False).unionByName(answers).groupBy("pack").applyInPandas(_sum(totals[0]), "rid long, n_tokens long, n_known long, base double, score double")
     return rows.select("rid", "doc_id", "held_out").join(sums, "rid").select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(int(totals[0]["N"])).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
 

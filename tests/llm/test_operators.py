@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import tempfile
 import zlib
 
 import numpy as np
@@ -235,6 +236,29 @@ def test_hpylm(spark, docs, texts, none):
     assert hpylm.score_texts(none, hpylm.held_out()).count() == 0
 
 
+def scored(spark, rows, **kw):
+    """{doc_id: row} of the scores; the texts of ``rows`` with a negative doc_id are held out."""
+    path = tempfile.mkdtemp(prefix="hpylm-") + "/d.parquet"
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(path)
+    return {r.doc_id: r for r in hpylm.score_texts(spark.read.parquet(path), F.col("doc_id") < 0, **kw).collect()}
+
+
+@pytest.mark.parametrize("shard_bytes", [1 << 30, 100_000])
+def test_hpylm_every_word_is_a_context(spark, shard_bytes):
+    # 6000 words, each always before its own successor: more than any fixed number of contexts
+    rows = [(i, f"a{i} b{i}") for i in range(6000)] * 10
+    got = scored(spark, rows + [(-1 - i, f"a{i} b{i}") for i in range(50)], shard_bytes=shard_bytes)
+    first, follows = np.log10((10 - 0.75) / 60005), np.log10((10 - 0.75) / 15)
+    assert abs(np.mean([got[-1 - i].score for i in range(50)]) - first - 2 * follows) < 0.15
+
+
+def test_hpylm_learns_nothing_from_held_out(spark):
+    rows = [(k, " ".join(f"a{i} b{i}" for i in range(k, 1500, 5))) for k in range(5)] * 4
+    plain = scored(spark, rows)
+    more = scored(spark, rows + [(-1 - k, " ".join(f"w{i}" for i in range(1200))) for k in range(10)])
+    assert all(more[k].train_tokens == r.train_tokens and abs(more[k].score - r.score) < 1e-6 for k, r in plain.items())
+
+
 def test_seat_bounds():
     n = np.array([0, 1, 5, 1000, 100000])
     t = hpylm.seat(np.random.default_rng(1), n, np.full(5, 0.5), 0.5)
