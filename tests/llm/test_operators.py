@@ -7,6 +7,8 @@ import tempfile
 import zlib
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -259,6 +261,15 @@ def test_hpylm_learns_nothing_from_held_out(spark):
     assert all(more[k].train_tokens == r.train_tokens and abs(more[k].score - r.score) < 1e-6 for k, r in plain.items())
 
 
+def test_hpylm_cells_hold_pairs_not_occurrences(spark):
+    rows = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array([False] * 40), pa.array(["hot " * 5000] * 40)], names=["rid", "held_out", "text"])
+    asked = [x for b in hpylm._deal(3, True)([rows]) for x in b.to_pylist()]
+    cells = [hpylm._join(pd.DataFrame([x for x in asked if x["cell"] == c])).iloc[0] for c in {x["cell"] for x in asked}]
+    learnt = [hpylm._read(c["pairs"])[4] for c in cells]
+    assert sum(len(x) for x in learnt) == 3 and sorted(np.concatenate(learnt)) == [40, 40, 40 * 4999]
+    assert sum(len(b) for c in cells for b in c["asked"]) < 1000
+
+
 def test_seat_bounds():
     n = np.array([0, 1, 5, 1000, 100000])
     t = hpylm.seat(np.random.default_rng(1), n, np.full(5, 0.5), 0.5)
