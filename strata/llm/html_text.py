@@ -1,8 +1,9 @@
 """Main text of web pages by tree scoring.
 
 Paragraphs give points for length and commas to their ancestors, less to farther ones; a container's
-points are discounted by its share of link text. The best container and its related siblings are kept.
-Page furniture (menus, adverts, forms, comments, ...) is cut out by element, role, class or id first.
+points are discounted by its share of link text. From the best one the whole of its ``main``, its article, or the
+container that it shares with related blocks is kept. Page furniture (menus, adverts, forms, comments, ...) is cut out
+by element, role, class or id first; a class or id alone never cuts an element that holds the article.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ NAMES = re.compile(
     r"header|legal|masthead|menus?|modal|nav|navbar|navigation|newsletter|notices?|outbrain|pagination|pager|popups?|promos?|promoted|recommended|related|replies|reply|respond|"
     r"search|share|sharing|shoutbox|sidebars?|signup|skip|social|sponsors?|sponsored|subscribe|subscription|taboola|toolbar|widgets?)(?![a-z])", re.I)
 KEEP = frozenset("article main body html".split())
+# Blocks that belong to the text beside them, short or not.
+PARTS = frozenset("h1 h2 h3 h4 h5 h6 p ul ol dl table pre blockquote figure section".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)", re.S)
 ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S)
 SPACE = re.compile(r"\s+")
@@ -39,10 +42,15 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "drop", "score")
+    __slots__ = ("tag", "parent", "kids", "drop", "named", "score")
 
-    def __init__(self, tag, parent, drop=False):
-        self.tag, self.parent, self.kids, self.drop, self.score = tag, parent, [], drop, None
+    def __init__(self, tag, parent, drop=False, named=False):
+        self.tag, self.parent, self.kids, self.drop, self.named, self.score = tag, parent, [], drop, named, None
+
+
+def _named(attrs: str) -> bool:
+    """Whether a class or id names furniture."""
+    return any(name.lower() in ("class", "id") and NAMES.search(re.sub(r"([a-z])([A-Z])", r"\1-\2", "".join(values))) for name, *values in ATTR.findall(attrs))
 
 
 def _furniture(tag: str, attrs: str, parent: Node) -> bool:
@@ -60,7 +68,7 @@ def _furniture(tag: str, attrs: str, parent: Node) -> bool:
         name, value = name.lower(), "".join(values)
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and HIDDEN.search(value):
             return True
-        if name == "role" and value.lower() in ROLES or name in ("class", "id") and NAMES.search(re.sub(r"([a-z])([A-Z])", r"\1-\2", value)):
+        if name == "role" and value.lower() in ROLES:
             return True
     return False
 
@@ -99,7 +107,7 @@ def parse(page: str) -> Node:
                 up = up.parent
             if last:
                 at = last.parent
-        node = Node(tag, at, _furniture(tag, attrs, at))
+        node = Node(tag, at, _furniture(tag, attrs, at), bool(attrs.strip()) and _named(attrs))
         at.kids.append(node)
         if tag in RAW:
             stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, pos)
@@ -138,9 +146,9 @@ def _text(node) -> str:
     return "".join(out)
 
 
-def _score(root: Node) -> list[Node]:
-    """Points of paragraphs passed to ancestors: all to the parent, half to the next, then a third of their number up."""
-    found, stack = [], [root]
+def _paragraphs(root: Node):
+    """(paragraph, its points)."""
+    stack = [root]
     while stack:
         node = stack.pop()
         blocks = False
@@ -152,19 +160,53 @@ def _score(root: Node) -> list[Node]:
             text = _text(node).strip()
             if len(text) < 25:
                 continue
-            points = 1 + text.count(",") + text.count("，") + len(text) / 100
-            up, level = node.parent, 0
-            while up:
-                if up.score is None:
-                    up.score = 5.0 if up.tag in ("article", "main") else 0.0
-                    found.append(up)
-                up.score += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
-                up, level = up.parent, level + 1
+            yield node, 1 + text.count(",") + text.count("，") + len(text) / 100
+
+
+def _drop_named(root: Node):
+    """Drops elements that a class or id names as furniture, but none that holds an article or main of no such name,
+    and, where none of these stands outside it, none that holds most of the page's points."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(k for k in node.kids if not isinstance(k, str) and not k.drop)
+    if not any(x.named for x in order):
+        return
+    points = dict.fromkeys(map(id, order), 0.0)
+    for node, n in _paragraphs(root):
+        points[id(node)] += n
+    texts = dict.fromkeys(points, 0)  # articles and mains with points of their own
+    own = dict.fromkeys(points, 0)  # those of them without a furniture name
+    for x in reversed(order):
+        if x.tag in ("article", "main") and points[id(x)]:
+            texts[id(x)] += 1
+            own[id(x)] += not x.named
+        if x.parent:
+            for sums in (points, texts, own):
+                sums[id(x.parent)] += sums[id(x)]
+    total, among = points[id(root)], texts[id(root)]
+    for x in order:
+        if x.named and x.tag not in KEEP:
+            x.drop = not (own[id(x)] or points[id(x)] > 0.5 * total and texts[id(x)] == among)
+
+
+def _score(root: Node) -> list[Node]:
+    """Points of paragraphs passed to ancestors: all to the parent, half to the next, then a third of their number up."""
+    found = []
+    for node, points in _paragraphs(root):
+        up, level = node.parent, 0
+        while up:
+            if up.score is None:
+                up.score = 5.0 if up.tag in ("article", "main") else 0.0
+                found.append(up)
+            up.score += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
+            up, level = up.parent, level + 1
     return found
 
 
-def _blocks(node, out: list[str], line: list[str]):
-    """The texts of blocks, in page order; lists and tables that are mostly links go."""
+def _blocks(node, out: list[str], line: list[str], links_go: bool = False):
+    """The texts of blocks, in page order; with ``links_go``, without lists and tables that are mostly links."""
     work = [("in", node)]
     flush = lambda: (out.append(t) if (t := SPACE.sub(" ", html.unescape("".join(line))).strip()) else None, line.clear())
     while work:
@@ -177,7 +219,7 @@ def _blocks(node, out: list[str], line: list[str]):
             if k.tag == "br":
                 line.append(" ")
                 continue
-            if k.tag in ("ul", "ol", "dl", "table", "div", "section", "p") and k is not node:
+            if links_go and k.tag in ("ul", "ol", "dl", "table", "div", "section", "p") and k is not node:
                 total, links, _ = _length(k)
                 if links > 0.5 * total:
                     flush()
@@ -192,32 +234,38 @@ def _blocks(node, out: list[str], line: list[str]):
 def extract(page: str) -> str:
     """The main text of one page: its blocks joined by line ends; empty if there is none."""
     root = parse(page)
+    _drop_named(root)
     found = _score(root)
     for node in found:
         total, links, _ = _length(node)
         node.score *= 1 - links / total if total else 0
     out: list[str] = []
     if not found:
-        _blocks(root, out, [])
+        _blocks(root, out, [], links_go=True)
         return "\n".join(out)
     best = max(found, key=lambda x: x.score)
-    best = next((a for a in _up(best) if a.tag == "article"), best)
-    if best.parent is None:
-        chosen = [best]
+    least = max(10.0, 0.2 * best.score)
+
+    def related(k) -> bool:
+        if isinstance(k, str) or k.drop:
+            return False
+        total, links, _ = _length(k)
+        return (k.score or 0) >= least or k.tag in PARTS and total > 0 and links <= 0.5 * total
+
+    above = list(_up(best))
+    whole = next((x for x in reversed(above) if x.tag == "main"), None) or next((x for x in reversed(above) if x.tag == "article"), None)
+    if whole is None:
+        whole = best
+        while whole.parent and whole.parent.parent and any(k is not whole and related(k) for k in whole.parent.kids):
+            whole = whole.parent
+    if whole.parent is None:  # no container but the page: what is mostly links is not known to be inside the text
+        _blocks(root, out, [], links_go=True)
+    elif whole.tag == "main":
+        _blocks(whole, out, [])
     else:
-        least = max(10.0, 0.2 * best.score)
-        chosen = []
-        for k in best.parent.kids:
-            if k is best:
-                chosen.append(k)
-            elif not isinstance(k, str) and not k.drop and best.tag != "article":
-                total, links, _ = _length(k)
-                if (k.score or 0) >= least or k.tag == "p" and total >= 80 and links < 0.25 * total or k.tag == "h1":
-                    chosen.append(k)
-            elif not isinstance(k, str) and not k.drop and k.tag == "article" and (k.score or 0) >= least:
-                chosen.append(k)
-    for k in chosen:
-        _blocks(k, out, [])
+        for k in whole.parent.kids:
+            if k is whole or related(k) and (whole.tag != "article" or k.tag == "article" and (k.score or 0) >= least):
+                _blocks(k, out, [])
     return "\n".join(out)
 
 

@@ -226,6 +226,30 @@ def test_html_text(spark):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+LONG = "A paragraph, with commas, that is long enough, by far, to be scored as text of the page."
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-comments", "header-fixed", "search-results", "legal-opinion"])
+def test_html_text_wrapper_names(name):
+    body = f"<h1>Title</h1><p>{LONG}</p><div class=comments><p>Nice, so nice, thanks for the text.</p></div>"
+    assert html_text.extract(f"<body><div class='{name}'><article>{body}</article></div><div class=related><p>{LONG}</p></div></body>") == f"Title\n{LONG}"
+    assert html_text.extract(f"<body><div class='{name}'>{body}<p>{LONG}</p></div><div class=top>Site</div></body>") == f"Title\n{LONG}\n{LONG}"
+    assert html_text.extract(f"<body><article><p>{LONG}</p><div id=comments>{f'<p>{LONG}</p>' * 5}</div></article></body>") == LONG
+
+
+def test_html_text_keeps_links_in_the_article():
+    for tag in ("article", "main", "div"):
+        page = f"<body><ul><li><a href=h>Home</a></ul><{tag}><p>{LONG}</p><p><a href=x>A linked title</a></p><ul><li><a href=y>Reference one</a></ul></{tag}></body>"
+        assert html_text.extract(page) == f"{LONG}\nA linked title\nReference one"
+
+
+def test_html_text_keeps_short_sections():
+    parts = f"<section><h2>One</h2>{f'<p>{LONG}</p>' * 6}</section><section><h2>Two</h2><p>Short.</p></section><h2>Three</h2><ul><li>item</ul>"
+    want = "\n".join(["One", *[LONG] * 6, "Two", "Short.", "Three", "item"])
+    for tag in ("main", "div"):
+        assert html_text.extract(f"<body><div><a href=h>Home</a></div><{tag}>{parts}</{tag}><div><a href=h>More</a></div></body>") == want
+
+
 def test_hpylm(spark, docs, texts, none):
     rows = hpylm.score_texts(docs, hpylm.held_out(), shard_bytes=100_000).collect()
     held = [zlib.crc32(b"" if i is None else str(i).encode()) % 10 == 0 for i, _ in texts]
