@@ -1,14 +1,18 @@
 """Licence scans: a trained paragraph classifier, confirmed by comparison with templates.
 
-Paragraphs are lines. A softmax regression over hashed word n-grams (1 to 3 words) tells licence families from
+Units are single lines, and paragraphs: lines joined up to a line without a word (blank, or a comment's frame), as
+notices are wrapped. A softmax regression over hashed word n-grams (1 to 3 words) tells licence families from
 ``unknown``. It is trained on variants of the templates below and on a bounded sample of the corpus'
 own paragraphs as unknowns; its probabilities are calibrated on held-out variants by a temperature, and
 the threshold of a licence by the held-out unknowns. A paragraph that it names is confirmed if enough of
-a template's word pairs occur in it.
+a template's word pairs occur in it; in a paragraph, the lines that hold them are the notice.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -149,6 +153,89 @@ class Classifier:
             yield i, self.names[best[j]], float(p[j, best[j]]), share(best[j])
 
 
+    def _name(self, data):
+        """(family, probability) of one unit, or None."""
+        row, f = self._features(data, np.array([0, len(data)]))
+        p = self._softmax(self._logits(row, f, 1) / self.temperature)[0]
+        k = int(p[:-1].argmax())
+        return (k, float(p[k])) if len(f) and p.argmax() < len(TEMPLATES) and 1 - p[-1] >= self.least else None
+
+    def _windows(self, data, cuts, a, b, confirm):
+        """(first line, line after, family by number, share) of the runs of lines, among lines a to b, that hold ``confirm`` of a
+        template's word pairs, the shortest first, and what of the template adjoins them. Runs of a family do not meet."""
+        raw = LOWER[data[cuts[a]:cuts[b]]]
+        starts, ends, _ = words(raw, np.array([0, len(raw)]), PUNCT)
+        w = span_hash(prefix_hash(raw), starts, ends)
+        h = mix64(w[:-1] * U64(BASE) + w[1:] + U64(2))
+        line = np.searchsorted(cuts[a:b + 1] - cuts[a], starts, "right") - 1
+        for k, templates in enumerate(self.templates):
+            runs = []
+            for t in templates:
+                at = np.flatnonzero(np.isin(h, t))
+                if not len(t) or len(np.unique(h[at])) / len(t) < confirm:
+                    continue
+                low, high, own, left, held = line[at], line[at + 1], np.searchsorted(t, h[at]), 0, Counter()
+                for r in range(len(at)):
+                    held[own[r]] += 1
+                    while held[own[left]] > 1 or (len(held) - 1) / len(t) >= confirm:
+                        held[own[left]] -= 1
+                        if not held[own[left]]:
+                            del held[own[left]]
+                        left += 1
+                    if len(held) / len(t) >= confirm:
+                        runs.append((high[r] - low[left], low[left], high[r] + 1, t, at, low, high))
+            taken = []
+            for _, x, y, t, at, low, high in sorted(runs, key=lambda z: z[:2]):
+                if any(x < d and c < y for c, d in taken):
+                    continue
+                size = lambda x, y: len(np.unique(h[at[(low >= x) & (high < y)]]))
+                while True:
+                    more = [(u, v) for u, v in ((x - 1, y), (x, y + 1)) if u >= 0 and v <= b - a and size(u, v) > size(x, y)]
+                    if not more:
+                        break
+                    x, y = more[0]
+                taken.append((x, y))
+                yield a + int(x), a + int(y), k, size(x, y) / len(t)
+
+    def scan_wrapped(self, data: np.ndarray, cuts: np.ndarray, row: np.ndarray, named: list, confirm: float):
+        """(first line, line after, family, probability, share) of the notices of several lines. ``named`` is what ``scan`` says of the
+        lines ``cuts``. A paragraph without such a notice is classified as a whole, if none of its lines is named."""
+        if len(row) < 2:
+            return
+        blank = np.add.reduceat((~PUNCT[data]).astype(np.int64), cuts[:-1]) == 0
+        first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | blank[:-1]]))
+        after = np.append(first[1:], len(row))
+        off = cuts[np.append(first, len(row))]
+        part, f = self._features(data, off)
+        some = (after - first - blank[after - 1] > 1)[part]  # those of one line are seen as lines
+        part, f = part[some], f[some]
+        here, short = np.unique(part, return_inverse=True)
+        if not len(here):
+            return
+        p = self._softmax(self._logits(short, f, len(here)) / self.temperature)
+        pair = np.unique(short * len(self.vocabulary) + f)
+        short, f = pair // len(self.vocabulary), pair % len(self.vocabulary)
+        full = np.zeros(len(here), bool)
+        for t in (t for ts in self.templates for t in ts if len(t)):
+            mine = np.zeros(len(self.vocabulary), bool)
+            mine[np.searchsorted(self.vocabulary, t)] = True
+            full |= np.bincount(short, mine[f], len(here)) / len(t) >= confirm
+        lines = {(i, family): share for i, family, _, share in named}
+        busy = {i for i, *_ in named}
+        for j in np.flatnonzero(full | (p.argmax(1) < len(TEMPLATES)) & (1 - p[:, -1] >= self.least)):
+            a, b = int(first[here[j]]), int(after[here[j]])
+            found = False
+            for x, y, k, share in self._windows(data, cuts, a, b, confirm) if full[j] else ():
+                name = self._name(data[cuts[x]:cuts[y]]) if y - x > 1 else None
+                if name and name[0] == k and not any(lines.get((i, self.names[k]), 0) >= confirm for i in range(x, y)):
+                    found = True
+                    yield x, y, self.names[k], name[1], share
+            if not found and not any(i in busy for i in range(a, b)) and p[j].argmax() < len(TEMPLATES) and 1 - p[j, -1] >= self.least:
+                k = int(p[j, :-1].argmax())
+                mine = np.unique(grams(data[cuts[a]:cuts[b]], np.array([0, cuts[b] - cuts[a]]), 2, 2)[1])
+                yield a, b, self.names[k], float(p[j, k]), max(float(np.isin(t, mine).mean()) if len(t) else 0.0 for t in self.templates[k])
+
+
 def split_lines(data: np.ndarray, off: np.ndarray):
     """Offsets of all lines, and the row and number of each (from 0) in its row. Line ends belong to the line before."""
     cuts = np.unique(np.concatenate([off, np.flatnonzero(data == 10) + 1]))
@@ -159,13 +246,14 @@ def split_lines(data: np.ndarray, off: np.ndarray):
 
 
 def train(docs: DataFrame, texts: int = SAMPLE_TEXTS, lines: int = SAMPLE_LINES) -> Classifier:
-    """Fit with unknowns from about ``texts`` texts chosen by hash, up to ``lines`` lines of each, without lines that hold
-    half of a template's word pairs."""
+    """Fit with unknowns from about ``texts`` texts chosen by hash, up to ``lines`` lines of each, and the paragraphs
+    that these make, without those that hold half of a template's word pairs."""
     rows = pick(docs, "doc_id", "text").filter(F.col("text").isNotNull())
     chance = min(1.0, texts / max(rows.count(), 1))
     got = rows.filter(F.pmod(F.xxhash64(F.lit("licence"), "doc_id"), F.lit(1 << 30)) < int(chance * (1 << 30)))
     got = got.select(F.slice(F.transform(F.split("text", "\n"), lambda x: F.substring(x, 1, 400)), 1, lines).alias("l")).collect()
-    unknowns = sorted({x.strip() for r in got for x in r["l"] if x.strip()})
+    wrapped = [" ".join(g).strip() for r in got for word, g in groupby(r["l"], lambda x: any(not PUNCT[c] for c in x.encode())) if word]
+    unknowns = sorted({x.strip() for r in got for x in r["l"] if x.strip()} | set(wrapped))
     marks = [np.unique(grams(*_pack([t]), 2, 2)[1]) for ts in TEMPLATES.values() for t in ts]
     pairs = [grams(*_pack([x]), 2, 2)[1] for x in unknowns]
     every = np.unique(np.concatenate(marks))
@@ -173,9 +261,10 @@ def train(docs: DataFrame, texts: int = SAMPLE_TEXTS, lines: int = SAMPLE_LINES)
 
 
 def scan(docs: DataFrame, model: Classifier, confirm: float = CONFIRM) -> DataFrame:
-    """(doc_id, paragraph, family, probability, template_share, confirmed, text): one row for each licence paragraph.
+    """(doc_id, paragraph, family, probability, template_share, confirmed, text): one row for each licence line or wrapped notice.
 
-    Whole texts are scanned; paragraphs count from 0. Null or empty texts have none; equal rows give equal
+    Whole texts are scanned; ``paragraph`` is the number of the (first) line, from 0. Lines that a confirmed notice
+    of several lines covers have no row of their own for its family. Null or empty texts have none; equal rows give equal
     rows; a null id stays null. A named paragraph under ``confirm`` is kept as unconfirmed.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -186,8 +275,12 @@ def scan(docs: DataFrame, model: Classifier, confirm: float = CONFIRM) -> DataFr
             out = []
             for i, d, o in pieces(data, off):
                 cuts, row, number = split_lines(d, o)
-                for k, family, p, share in model.scan(d, cuts):
-                    out.append((i + int(row[k]), int(number[k]), family, p, share, share >= confirm, d[cuts[k]:cuts[k + 1]].tobytes().decode().strip()))
+                named = list(model.scan(d, cuts))
+                joined = list(model.scan_wrapped(d, cuts, row, named, confirm))
+                covered = {(k, family) for x, y, family, _, share in joined if share >= confirm for k in range(x, y)}
+                units = [(k, k + 1, family, p, share) for k, family, p, share in named if (k, family) not in covered] + joined
+                for k, end, family, p, share in sorted(units):
+                    out.append((i + int(row[k]), int(number[k]), family, p, share, share >= confirm, d[cuts[k]:cuts[end]].tobytes().decode().strip()))
             if out:
                 r, *cols = zip(*out)
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(r)), *[pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.string(), pa.float64(), pa.float64(), pa.bool_(), pa.string()))]],

@@ -315,3 +315,21 @@ def test_pipeline(spark, tmp_path):
     assert [n for n, _ in P.STAGES] == ["language_id", "near_duplicates", "suffix_dedup", "decontamination", "mixing"]
     rows = P.run(spark, "/root/testdata/sf0.001").collect()
     assert rows and all(0 <= r.taken <= 3 * r.size for r in rows)
+
+
+def test_licences_wrapped_notices(spark, docs):
+    notices = {
+        "Apache-2.0": ["you may not use this file except in compliance with the License.", "You may obtain a copy of the License at", "http://www.apache.org/licenses/LICENSE-2.0"],
+        "BSD": ["Redistribution and use in source and binary forms, with or without", "modification, are permitted provided that the following conditions are met"],
+        "GPL": ["This program is free software: you can redistribute it and/or modify it", "under the terms of the GNU General Public License as published by the", "Free Software Foundation"]}
+    rows, want = [], []
+    for n, (family, lines) in enumerate(notices.items()):
+        rows += [(3 * n, "\n".join(lines)), (3 * n + 1, "\n".join([prose(30), prose(30), "/*", *[f" * {x}" for x in lines], " */", prose(30)])),
+                 (3 * n + 2, "\n".join([prose(12), *lines, prose(12), prose(12)]))]
+        want += [(3 * n, 0, family), (3 * n + 1, 3, family), (3 * n + 2, 1, family)]
+    one = [(90, prose(12) + "\nReleased under the MIT License.\n" + prose(12))]
+    both = spark.createDataFrame(rows + one, "doc_id long, text string").union(docs.select("doc_id", "text"))
+    model = licences.train(both)
+    got = licences.scan(spark.createDataFrame(rows + one, "doc_id long, text string"), model).collect()
+    assert sorted((r.doc_id, r.paragraph, r.family) for r in got if r.confirmed) == [*want, (90, 1, "MIT")]
+    assert all(r.template_share == 1 and r.text.count("\n") == len(notices[r.family]) - 1 for r in got if r.confirmed and r.doc_id < 90)
