@@ -8,7 +8,8 @@ with probability ``CONFIDENCE``, have come already.
 
 The top of the kd-tree (fitted on a bounded sample) splits the table into cells, and a cell's rows into
 blocks; a block's task grows its own subtree. A query visits its home block for a first bound, then all
-blocks whose cell may hold something nearer under the test.
+blocks whose cell may hold something nearer under the test. The queries of a block are split as well, by the
+number that visit its cell, and the block's rows go to each part.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import settle, table
 
 K, DIMS, CONFIDENCE = 20, 8, 0.97
-#: Rows of a cell and of a block of it (aims), rows of a leaf, and the bound of the sample that the top of the tree is fitted on.
-CELL, LEAF, SAMPLE, DEEPEST = 8192, 256, 20_000, 12
+#: Rows of a cell and of a block of it (aims), queries that a block sees in one task (aim), rows of a leaf, and the bound of the sample that the top of the tree is fitted on.
+CELL, QUERIES, LEAF, SAMPLE, DEEPEST = 8192, 8192, 256, 20_000, 12
 
 
 def chi2_quantile(p: float, dims: int) -> float:
@@ -102,13 +103,14 @@ class Block:
         gap = np.maximum(np.maximum(self.lo - qp, qp - self.hi), 0)
         near = (gap * gap).sum(1)
         qq = float(q @ q)
+        slack = 4 * len(q) * np.finfo(float).eps * math.sqrt(qq * span)  # what the order of a sum may change of a score
         scores, ids = np.zeros(0), np.zeros(0, np.int64)
         for leaf in np.argsort(near, kind="stable"):
             if near[leaf] > quantile * max(span + qq - 2 * bound, 0):
                 break
             a, b = self.at[leaf], self.at[leaf + 1]
             s, i = self.x[a:b] @ q, self.ids[a:b]
-            keep = (s >= bound - 1e-9) & (i != query_id)
+            keep = (s >= bound - slack) & (i != query_id)
             if not keep.any():
                 continue
             s, i = np.concatenate([scores, (self.x[a:b][keep] * q).sum(1)]), np.concatenate([ids, i[keep]])
@@ -125,7 +127,7 @@ def _matrix(values, dims: int) -> np.ndarray:
     return np.frombuffer(b"".join(values), np.float64).reshape(-1, dims) if len(values) else np.zeros((0, dims))
 
 
-def search(vectors: DataFrame, queries, k: int = K, dims: int = DIMS, confidence: float = CONFIDENCE, cell: int = CELL, seed: int = 11) -> DataFrame:
+def search(vectors: DataFrame, queries, k: int = K, dims: int = DIMS, confidence: float = CONFIDENCE, cell: int = CELL, seed: int = 11, per_task: int = QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows of ``vectors`` (vec_id, embedding) that ``queries`` (a column) marks.
 
     Null ids, vectors that are null, empty, zero or hold null or non-finite components, and vectors whose
@@ -171,7 +173,8 @@ def search(vectors: DataFrame, queries, k: int = K, dims: int = DIMS, confidence
     placed = settle(rows.mapInArrow(place, "vec_id long, v binary, asks boolean, cell int, home int"), "vectors")
     counts = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}  # one a cell, at most 2^DEEPEST
     blocks = np.array([-(-counts.get(c, 0) // cell) for c in range(1 << depth)])
-    n_blocks = F.element_at(F.array(*[F.lit(int(x)) for x in np.maximum(blocks, 1)]), F.col("cell") + 1)
+    of_cell = lambda x: F.element_at(F.array(*[F.lit(int(v)) for v in np.maximum(x, 1)]), F.col("cell") + 1)
+    n_blocks = of_cell(blocks)
     points = placed.select("vec_id", "v", "cell", F.pmod(F.xxhash64("vec_id"), n_blocks).cast("int").alias("block"))
     asked = placed.filter("asks").select(F.col("vec_id").alias("query_id"), "v", "home").dropDuplicates(["query_id"])
 
@@ -179,6 +182,18 @@ def search(vectors: DataFrame, queries, k: int = K, dims: int = DIMS, confidence
         x = _matrix(p.v.to_list(), width)
         return Block(p.vec_id.to_numpy(np.int64), x, project(x))
 
+    def meet(q: DataFrame, visitors: np.ndarray, *run) -> DataFrame:
+        """Cogroups queries with the points of their blocks, in parts by hash of the query; ``visitors`` of a block, by cell."""
+        parts = of_cell(-(-visitors // per_task))
+        q = q.withColumn("part", F.pmod(F.xxhash64("query_id", F.lit(2)), parts).cast("int"))
+        p = points.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        return q.groupBy("cell", "block", "part").cogroup(p.groupBy("cell", "block", "part")).applyInPandas(*run)
+
+    def by_cell(rows: DataFrame) -> np.ndarray:
+        """Sums of n of a cell; one row a cell comes to the driver, at most 2^DEEPEST."""
+        got = {r["cell"]: r["n"] for r in rows.groupBy("cell").agg(F.sum("n").alias("n")).collect()}
+        return np.array([got.get(c, 0) for c in range(1 << depth)])
+
     def first(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         bound = np.full(len(q), -np.inf)
         if len(q) and len(p):
@@ -200,14 +215,21 @@ def search(vectors: DataFrame, queries, k: int = K, dims: int = DIMS, confidence
         a, b, c = (np.concatenate(z) for z in zip(*out))
         return pd.DataFrame({"query_id": a, "vec_id": b, "score": c})
 
+    def reach(b):
+        """(query, cell): whether the cell's box passes the test."""
+        x = _matrix(b.column(1).to_pylist(), width)
+        xp, bound = project(x, False), b.column(2).to_numpy()
+        gap = np.maximum(np.maximum(lo[None] - xp[:, None], xp[:, None] - hi[None]), 0)
+        return ((gap * gap).sum(2) <= (quantile * np.maximum(span + (x * x).sum(1) - 2 * bound, 0))[:, None]) & (blocks > 0)[None]
+
+    def visitors(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(1 << depth, dtype=np.int32)), pa.array(reach(b).sum(0).astype(np.int64))], names=["cell", "n"])
+
     def visits(batches):
-        """The blocks that a query still has to see: those whose cell's box passes the test."""
+        """The blocks that a query still has to see."""
         for b in batches:
-            x = _matrix(b.column(1).to_pylist(), width)
-            xp, bound = project(x, False), b.column(2).to_numpy()
-            gap = np.maximum(np.maximum(lo[None] - xp[:, None], xp[:, None] - hi[None]), 0)
-            reach = (gap * gap).sum(2) <= (quantile * np.maximum(span + (x * x).sum(1) - 2 * bound, 0))[:, None]
-            q, c = np.nonzero(reach & (blocks > 0)[None])
+            q, c = np.nonzero(reach(b))
             each = np.repeat(np.arange(len(q)), blocks[c])
             at = np.arange(len(each)) - np.repeat(np.cumsum(blocks[c]) - blocks[c], blocks[c])
             t = b.take(pa.array(q[each]))
@@ -217,9 +239,10 @@ def search(vectors: DataFrame, queries, k: int = K, dims: int = DIMS, confidence
     some = int(np.flatnonzero(blocks)[0])
     homes = F.element_at(F.array(*[F.lit(int(c if blocks[c] else some)) for c in range(1 << depth)]), F.col("home") + 1)
     starts = asked.withColumn("cell", homes).withColumn("block", F.pmod(F.xxhash64("query_id", F.lit(1)), n_blocks).cast("int"))
-    bounds = settle(starts.groupBy("cell", "block").cogroup(points.groupBy("cell", "block")).applyInPandas(first, "query_id long, v binary, bound double"), "bounds")
+    share = -(-by_cell(starts.select("cell", F.lit(1).alias("n"))) // np.maximum(blocks, 1))
+    bounds = settle(meet(starts, share, first, "query_id long, v binary, bound double"), "bounds")
     pairs = bounds.mapInArrow(visits, "query_id long, v binary, bound double, cell int, block int")
-    found = pairs.groupBy("cell", "block").cogroup(points.groupBy("cell", "block")).applyInPandas(every, "query_id long, vec_id long, score double")
+    found = meet(pairs, by_cell(bounds.mapInArrow(visitors, "cell int, n long")), every, "query_id long, vec_id long, score double")
     best = lambda df, *by: df.groupBy(*by).agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("m"), F.col("vec_id")))), 1, k).alias("t")).select(
         "query_id", F.posexplode("t").alias("i", "t")).select("query_id", (F.col("i") + 1).cast("int").alias("rank"), F.col("t.vec_id").alias("vec_id"), (-F.col("t.m")).alias("score"))
     return best(best(found.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(64))), "query_id", "part"), "query_id")

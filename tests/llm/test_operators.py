@@ -215,6 +215,19 @@ def test_ann(spark, cell):
     assert ann.search(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
 
 
+def test_ann_splits_the_queries_of_a_block(spark):
+    x = np.random.default_rng(8).normal(size=(1200, 12)) * 1e6
+    rows = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    ask = F.pmod("vec_id", F.lit(4)) == 0
+    split = ann.search(rows, ask, cell=150, per_task=20)
+    tasks = split._jdf.queryExecution().toString()
+    assert len(re.findall(r"hashpartitioning\(cell#\d+, block#\d+, part#\d+", tasks)) >= 2
+    got = sorted((r.query_id, r["rank"], r.vec_id) for r in split.collect())
+    assert got == sorted((r.query_id, r["rank"], r.vec_id) for r in ann.search(rows, ask, cell=150, per_task=10**6).collect())
+    best = {q: [i for i in np.lexsort((np.arange(1200), -(x @ x[q]))) if i != q][:20] for q in range(0, 1200, 4)}
+    assert len(got) == 300 * 20 and sum(v in best[q] for q, _, v in got) >= 0.9 * len(got)
+
+
 def test_html_text(spark):
     body = "<p>First, one &amp; two   of the words that make a paragraph, long enough.<p>Second, with <b>bold</b><br>and <a href=x>link</a> text, long enough too."
     page = f"<html><head><title>t</title><script>var a='<p>no</p>'</script></head><body><nav><a>menu</a></nav><div class='cookie-notice'>We, use, cookies, everywhere, always.</div><article><h1>Title</h1>{body}<div id=comments><p>Nice, very nice, so very nice, thanks.</div></article><footer>foot</footer></body>"
