@@ -81,6 +81,10 @@ def time_bounded_link(spark, sf_dir):
     return j.select("l_orderkey", "l_linenumber", "l_partkey")
 
 
+#: Chunks of a parent's children in the registered plan, whatever their number.
+CHUNKS = 64
+
+
 @plan("nested_children", """
 SELECT c_custkey, count(o_orderkey) AS n_children, min(o_orderdate) AS first_child
 FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey
@@ -88,9 +92,10 @@ FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey
 def nested_children_plan(spark, sf_dir):
     t = Tables(spark, sf_dir)
     # each customer's orders as an array, sorted by (date, key); customers
-    # without orders keep an empty array; a hot customer is split in chunks
+    # without orders keep an empty array; every customer's orders are dealt to the same
+    # fixed number of chunks, so that a hot one is built by several tasks
     nested = nested_children(t.customer.select("c_custkey"), t.orders, "c_custkey",
-                             "o_custkey", ["o_orderdate", "o_orderkey"], "orders")
+                             "o_custkey", ["o_orderdate", "o_orderkey"], "orders", chunks=CHUNKS)
     # a parent may span several chunks: fold them (one small row per chunk)
     return nested.groupBy("c_custkey").agg(
         F.sum(F.size("orders")).cast("bigint").alias("n_children"),

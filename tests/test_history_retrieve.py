@@ -127,6 +127,20 @@ def test_nested_children_splits_a_hot_parent(spark):
         (r.pk, r.children_chunk, tuple(r.children)) for r in rows if r.children)
 
 
+def test_nested_children_plan_splits_a_hot_customer(spark, tmp_path, monkeypatch):
+    from strata.plans import QUERIES, history_plans
+
+    spark.range(1, 4).withColumnRenamed("id", "c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(3000).select(F.col("id").alias("o_orderkey"), F.when(F.col("id") < 2990, 1).otherwise(2).cast("long").alias("o_custkey"),
+                             F.expr("DATE'1995-01-01' + CAST(id % 900 AS INT)").alias("o_orderdate")).write.parquet(f"{tmp_path}/orders.parquet")
+    seen = []
+    monkeypatch.setattr(history_plans, "nested_children", lambda *a, **k: seen.append(nested_children(*a, **k)) or seen[-1])
+    got = {r.c_custkey: (r.n_children, str(r.first_child)) for r in QUERIES["nested_children"](spark, str(tmp_path)).collect()}
+    assert {k: n for k, (n, _) in got.items()} == {1: 2990, 2: 10, 3: 0} and got[1][1][:10] == "1995-01-01" and got[3][1] == "None"
+    sizes = [r[0] for r in seen[0].filter("c_custkey = 1").select(F.size("orders")).collect()]
+    assert sum(sizes) == 2990 and len(sizes) > 32 and max(sizes) < 150
+
+
 def test_bucketed_time_bounded_join_equals_plain(spark):
     import datetime as dt
     import random
