@@ -1,6 +1,6 @@
 """The numbered queries over the driver's tables, and their SQL where SQL can say it."""
 
-from strata.llm import ann, decontam, hpylm, html_text, langid, licences, minhash, mixing, suffix_dedup, warc
+from strata.llm import ann, byte_bpe, decontam, hpylm, html_text, langid, licences, minhash, mixing, suffix_dedup, warc
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -13,5 +13,6 @@ QUERIES = {
     "op8_decontamination": decontam.op8_decontamination,
     "op9_html_text": html_text.op9_html_text,
     "op10_licences": licences.op10_licences,
+    "op11_byte_bpe": byte_bpe.op11_byte_bpe,
 }
 ORACLE = {"op2_mixing": mixing.ORACLE_SQL.strip(), "op3_warc": warc.ORACLE_SQL.strip()}
