@@ -1,7 +1,7 @@
 """Named plans over the driver tables (queries + SQL oracles)."""
 
-from strata.plans import (graph_plans, history_plans, reconcile_plans, rules_plans, steps_plans,  # noqa: F401
-                          telemetry_plans)
+from strata.plans import (graph_plans, history_plans, landing_plans, reconcile_plans, rules_plans,  # noqa: F401
+                          steps_plans, telemetry_plans)
 from strata.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
