@@ -8,14 +8,19 @@ text from every event so the real parser runs on them.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.telemetry import (
     active, delayed_longer_than, latest_state, parse_telemetry, sla_kpis)
-from strata.plans.registry import plan
+from strata.plans.registry import ORACLE, plan
+from strata.session import scratch_path
 from strata.sinks.writes import incremental_rows
 from strata.sources.tables import Tables
+from strata.streaming.delays import current_delay_state, delayed_packages, run_delay_state
+from strata.streaming.telemetry import current_latest, current_store, read_messages, run_latest, run_to_store
 
 # Event type -> telemetry status for the driver's events table.
 STATUS_OF = {"error": "DELAYED", "purchase": "DELIVERED", "view": "AT_HUB"}
@@ -131,3 +136,40 @@ def incremental_append_plan(spark, sf_dir):
     # The target already holds everything before the cut-off.
     target = ev.filter(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
     return incremental_rows(ev, target, "ts").select("event_id")
+
+
+def _message_stream(spark, sf_dir, root: str) -> DataFrame:
+    """The events' messages as a stream of several micro-batches, each with messages of all times."""
+    event_messages(Tables(spark, sf_dir).events).repartition(8).write.text(f"{root}/in")
+    return parse_telemetry(read_messages(spark, f"{root}/in", max_files_per_trigger=3))
+
+
+@plan("stream_store", ORACLE["telemetry"].replace("FROM m", "FROM (SELECT DISTINCT * FROM m)"))
+def stream_store(spark, sf_dir):
+    """R2: the keyed store after the stream has run: one row a key, whatever the order of the messages."""
+    root = scratch_path(spark, f"stream-store-{uuid.uuid4().hex}")
+    run_to_store(_message_stream(spark, sf_dir, root), f"{root}/store", f"{root}/checkpoint").awaitTermination()
+    return current_store(spark, f"{root}/store")
+
+
+@plan("stream_latest", f"""
+SELECT 'PKG-' || CAST(user_id AS VARCHAR) AS package_id, status, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp FROM (
+  SELECT user_id, {_STATUS_SQL} AS status, ts,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, {_STATUS_SQL} DESC) AS rn
+  FROM events) WHERE rn = 1
+""")
+def stream_latest(spark, sf_dir):
+    """W1 on the stream: an update-mode aggregate, its changes merged by package."""
+    root = scratch_path(spark, f"stream-latest-{uuid.uuid4().hex}")
+    run_latest(_message_stream(spark, sf_dir, root), f"{root}/latest", f"{root}/checkpoint").awaitTermination()
+    return current_latest(spark, f"{root}/latest").select("package_id", "status", "timestamp")
+
+
+@plan("stream_delays", ORACLE["delayed_over_2h"].replace("SELECT user_id, delayed_since,", "SELECT 'PKG-' || CAST(user_id AS VARCHAR) AS package_id, delayed_since,"))
+def stream_delays(spark, sf_dir):
+    """D3 on the stream, from Spark's keyed state; events may be late by as much as the table spans."""
+    root = scratch_path(spark, f"stream-delays-{uuid.uuid4().hex}")
+    run_delay_state(_message_stream(spark, sf_dir, root), f"{root}/delays", f"{root}/checkpoint", delay="10000 days").awaitTermination()
+    newest = Tables(spark, sf_dir).events.agg(F.max("ts")).scalar()
+    return delayed_packages(current_delay_state(spark, f"{root}/delays"), 2.0, newest).withColumn(
+        "delayed_since", F.col("delayed_since").cast("timestamp_ntz"))

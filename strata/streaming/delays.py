@@ -1,107 +1,96 @@
-"""D3 on a stream: packages delayed for more than N hours, kept as keyed state.
-
-"Delayed since" is the first DELAYED time after the last non-DELAYED event --
-not a mergeable aggregate, so it is carried as state.  Each micro-batch
-(``foreachBatch``) summarises its own events per package with the batch
-operator's two aggregates, combines that with the stored state of only the
-packages it touches (semi join), and writes the changed packages to its own
-``delta/epoch=<id>`` folder (overwrite: a replayed epoch rewrites the same
-rows).  Events of one package are expected in time order across batches
-(within a batch any order).
-
-The store is log-structured (``strata.streaming.store``) so a batch's cost
-does not grow with the stream's history: every ``snapshot_every`` epochs the batch also writes the full state
-(newest row per package) to ``snapshot/epoch=<id>``.  The state before epoch
-``e`` is the newest snapshot before ``e`` plus at most ``snapshot_every - 1``
-delta folders after it, all read by explicit path; a one-row ``head`` table
-names the last epoch written.  State size is bounded by
-the number of packages.  ``snapshot_every`` is part of a store's layout: keep
-it fixed for the life of a store (like its checkpoint).
+"""D3 on a stream: packages delayed for more than N hours, in Spark's keyed state.
+
+"Delayed since" is the first DELAYED time after the last event with another status.  An event that comes late may
+end a delay in its middle, so one least time is not enough: a package's state holds its last other time and the DELAYED
+times after it.  Of those that the watermark has passed only the first is kept, as no event in time can part them any
+more, so the state is bounded by what a package sends within the watermark's delay.  The results equal the
+batch operator's for events at most ``delay`` late, whatever their order.
+
+Changed packages go to a table of changes (``strata.streaming.changes``); repeated events change nothing.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from strata.functions.clock import hours_between
 from strata.operators.telemetry import DELAYED
-from strata.session import ensure_checkpoint_dir
-from strata.streaming import store
-from strata.streaming.store import SNAPSHOT_EVERY
-
-STATE_COLUMNS = ("package_id", "current_status", "last_ok", "delayed_since", "latest")
-STATE_SCHEMA = ("package_id string, current_status string, last_ok timestamp, "
-                "delayed_since timestamp, latest timestamp")
-# stored rows carry their epoch as data (folder names are only a convention)
-STORED_SCHEMA = STATE_SCHEMA + ", epoch long"
-
-
-def _summarise(events: DataFrame) -> DataFrame:
-    """Per package of one batch: current status, last non-DELAYED time, first
-    DELAYED time after it, newest time."""
-    per = events.groupBy("package_id").agg(
-        F.max_by("status", F.struct("ts", "row_key")).alias("current_status"),
-        F.max(F.when(~F.col("status").eqNullSafe(F.lit(DELAYED)), F.col("ts"))).alias("last_ok"),
-        F.max("ts").alias("latest"))
-    since = (events.filter(F.col("status") == DELAYED).join(per.select("package_id", "last_ok"),
-                                                              "package_id")
-             .filter(F.col("last_ok").isNull() | (F.col("ts") > F.col("last_ok")))
-             .groupBy("package_id").agg(F.min("ts").alias("b_since")))
-    return per.join(since, "package_id", "left")
-
-
-def current_delay_state(spark: SparkSession, store_path: str,
-                        snapshot_every: int = SNAPSHOT_EVERY) -> DataFrame:
-    """Newest state row per package across the epochs written so far."""
-    st = store.current(spark, store_path.rstrip("/"), "package_id", snapshot_every,
-                       STORED_SCHEMA)
-    return spark.createDataFrame([], STATE_SCHEMA) if st is None else st.drop("epoch")
-
-
-def _write_epoch(store_path: str, every: int):
-    root = store_path.rstrip("/")
-
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        e = int(epoch_id)
-        events = batch.select("package_id", "status", "row_key",
-                              F.to_timestamp("timestamp").alias("ts")).filter(
-            F.col("ts").isNotNull())
-        b = _summarise(events)
-        # earlier epochs only: a replayed epoch overwrites its own folders
-        prev = store.state_before(spark, root, "package_id", e, every, STORED_SCHEMA)
-        if prev is None:
-            prev = spark.createDataFrame([], STATE_SCHEMA)
-        else:
-            prev = prev.join(b.select("package_id"), "package_id", "left_semi")
-        p = prev.select(*[F.col(c).alias(f"p_{c}") for c in STATE_COLUMNS])
-        j = b.join(p, b["package_id"] == p["p_package_id"], "left")
-        # the batch has its own non-DELAYED event: its run starts after it;
-        # else a DELAYED run continues from the stored state when it was open
-        since = (F.when(F.col("last_ok").isNotNull(), F.col("b_since"))
-                 .when(F.col("p_current_status") == DELAYED, F.col("p_delayed_since"))
-                 .otherwise(F.col("b_since")))
-        out = j.select(
-            "package_id", "current_status",
-            F.greatest("last_ok", "p_last_ok").alias("last_ok"),
-            F.when(F.col("current_status") == DELAYED, since).alias("delayed_since"),
-            F.greatest("latest", "p_latest").alias("latest"))
-        store.commit(spark, root, "package_id", out, e, every, STORED_SCHEMA)
-    return write
-
-
-def run_delay_state(stream: DataFrame, store_path: str, checkpoint: str | None = None,
-                    available_now: bool = True, snapshot_every: int = SNAPSHOT_EVERY):
-    """Maintain the per-package delay state from a parsed telemetry stream."""
-    if snapshot_every < 1:
-        raise ValueError("snapshot_every must be positive")
-    spark = stream.sparkSession
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/delay-state"
-    w = stream.writeStream.foreachBatch(_write_epoch(store_path, snapshot_every)).option(
-        "checkpointLocation", ckpt)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-    return w.start()
+from strata.streaming.changes import newest, read_changes, run_changes
+
+# Times travel as microseconds, which no session's time zone can shift.
+STATE_SCHEMA = "last_ok long, delayed array<long>, latest long, status string"
+_NO_TIME = -(1 << 62)  # a missing time on its way out of Python
+_ROW = "package_id string, current_status string, last_ok long, delayed_since long, latest long"
+COLUMNS = ("package_id string, current_status string, last_ok timestamp, "
+           "delayed_since timestamp, latest timestamp")
+
+
+def advance(before: tuple | None, times: np.ndarray, statuses: np.ndarray, watermark: int) -> tuple:
+    """State after more events of one package: (last_ok, DELAYED times after it, latest, its status).
+
+    ``times`` and ``watermark`` are microseconds. Of statuses at one time the greatest text is the current one.
+    """
+    last_ok, delayed, latest, status = before if before else (None, [], None, None)
+    is_delay = statuses == DELAYED
+    if (~is_delay).any():
+        other = int(times[~is_delay].max())
+        last_ok = other if last_ok is None else max(last_ok, other)
+    held = np.unique(np.concatenate([np.asarray(delayed, np.int64), times[is_delay]]))
+    if last_ok is not None:
+        held = held[held > last_ok]
+    passed = int(np.searchsorted(held, watermark))  # an event at the watermark itself is still in time
+    if passed > 1:  # nothing in time can come between the first of them and the others
+        held = np.concatenate([held[:1], held[passed:]])
+    top = int(times.max())
+    if latest is None or top >= latest:
+        known = [str(s) for s in statuses[times == top]] + ([status] if latest == top else [])
+        latest, status = top, max(known)
+    return last_ok, held.tolist(), latest, status
+
+
+def _update(key, frames, state: GroupState):
+    now = state.get if state.exists else None
+    watermark = state.getCurrentWatermarkMs() * 1000
+    for f in frames:
+        if len(f):
+            now = advance(now, f["ts"].to_numpy(np.int64), f["status"].to_numpy(object), watermark)
+    if now is None:
+        return
+    state.update(now)
+    last_ok, held, latest, status = now
+    since = held[0] if status == DELAYED and held else _NO_TIME
+    yield pd.DataFrame({"package_id": [key[0]], "current_status": [status], "last_ok": [_NO_TIME if last_ok is None else last_ok],
+                        "delayed_since": [since], "latest": [latest]})
+
+
+def delay_states(stream: DataFrame, delay: str = "1 day") -> DataFrame:
+    """The state of each package that a micro-batch changes, from a parsed telemetry stream (update mode).
+
+    Events without a time are left out.  Events more than ``delay`` late are still taken in, but one that ends a delay
+    before the watermark may leave ``delayed_since`` at the first DELAYED time that is still held.
+    """
+    timed = stream.select("package_id", F.coalesce("status", F.lit("")).alias("status"),
+                          F.try_to_timestamp("timestamp").alias("event_time")).filter("event_time is not null")
+    timed = timed.withWatermark("event_time", delay).withColumn("ts", F.unix_micros("event_time"))
+    rows = timed.groupBy("package_id").applyInPandasWithState(_update, _ROW, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+    return rows.select("package_id", "current_status", *[
+        F.when(F.col(c) != _NO_TIME, F.timestamp_micros(c)).alias(c) for c in ("last_ok", "delayed_since", "latest")])
+
+
+def run_delay_state(stream: DataFrame, store_path: str, checkpoint: str | None = None, available_now: bool = True, delay: str = "1 day"):
+    """Maintain the delay state of each package at ``store_path``; returns the StreamingQuery."""
+    return run_changes(delay_states(stream, delay), store_path, "delay-state", "update", checkpoint, available_now)
+
+
+def current_delay_state(spark: SparkSession, store_path: str) -> DataFrame:
+    """Each package's newest state; empty before the first batch."""
+    empty = spark.createDataFrame([], COLUMNS)
+    changes = read_changes(spark, store_path, empty.withColumn("epoch", F.lit(0).cast("long")))
+    return empty if changes is None else newest(changes, "package_id")
 
 
 def delayed_packages(state: DataFrame, hours: float, as_of: Column) -> DataFrame:

@@ -1,17 +1,13 @@
-"""R1, R2 on Structured Streaming: telemetry stream -> keyed state store.
-
-The stream applies the same stateless ``parse_telemetry`` projection as the
-batch twin.  R2 (the keyed state store) is written with ``foreachBatch``:
-each micro-batch is reduced to one row per ``row_key`` and written to its own
-``delta/epoch=<id>`` folder with overwrite, so a replayed epoch (after a
-failure, before the checkpoint commit) rewrites the same folder -- the sink is
-idempotent without a read-modify-write of the whole store per batch.  Every
-``snapshot_every`` epochs a snapshot of the whole store is written, and the
-current store (``current_store``) is that snapshot plus the few deltas after
-it, newest row per key with partial combine (``strata.streaming.store``).
-
-Checkpoints live under the shared ``spark.checkpoint.dir`` unless a path is
-given.
+"""R1, R2 and W1 on Structured Streaming: telemetry stream -> keyed state.
+
+The stream applies the same stateless ``parse_telemetry`` projection as the batch twin.  R2 writes each micro-batch,
+one row per ``row_key``, as its own partition of a table of changes (``strata.streaming.changes``), and
+``current_store`` reads one row per key by an aggregate that does not depend on the order of arrival: replayed
+batches, repeated messages and events out of order give what the batch gives.  W1 is an update-mode aggregate,
+whose state Spark keeps.  ``deduplicated`` drops repeated messages before they are written, at the price
+of dropping what comes later than its watermark.
+
+Checkpoints live under the shared ``spark.checkpoint.dir`` unless a path is given.
 """
 
 from __future__ import annotations
@@ -21,9 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.telemetry import parse_telemetry
-from strata.session import ensure_checkpoint_dir
-from strata.streaming import store
-from strata.streaming.store import SNAPSHOT_EVERY
+from strata.streaming.changes import EPOCH, newest, read_changes, run_changes
 
 MESSAGE_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
@@ -56,38 +50,31 @@ def telemetry_stream(spark: SparkSession, path: str | None = None, fmt: str = "t
     return parse_telemetry(read_messages(spark, path, fmt, options))
 
 
-def _write_epoch(store_path: str, every: int):
-    root = store_path.rstrip("/")
+def deduplicated(stream: DataFrame, delay: str = "2 hours") -> DataFrame:
+    """Messages without their repeats, for a bus that delivers more than once.
+
+    A repeat has all columns equal and comes within ``delay`` of event time.  Messages without a time are dropped,
+    and so are those later than ``delay`` after the newest one seen: use it only where that is meant.
+    """
+    timed = stream.withColumn("_event_time", F.try_to_timestamp("timestamp")).withWatermark("_event_time", delay)
+    return timed.dropDuplicatesWithinWatermark(stream.columns).drop("_event_time")
+
 
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        latest = (batch.groupBy("row_key")
-                  .agg(F.max(F.struct(*[F.col(c) for c in batch.columns])).alias("_r"))
-                  .select("_r.*"))
-        store.commit(batch.sparkSession, root, "row_key", latest, int(epoch_id), every)
-    return write
+def _one_per_key(rows: DataFrame) -> DataFrame:
+    """The greatest row of each ``row_key``: the same whatever the order in which rows came."""
+    columns = [c for c in rows.columns if c not in ("row_key", EPOCH)]
+    return rows.groupBy("row_key").agg(F.max(F.struct(*columns)).alias("_r")).select("row_key", "_r.*")
 
 
-def run_to_store(stream: DataFrame, store_path: str, checkpoint: str | None = None,
-                 available_now: bool = True, snapshot_every: int = SNAPSHOT_EVERY):
-    """R2: write the stream into the keyed store (``strata.streaming.store``
-    layout: per-epoch deltas, a snapshot every ``snapshot_every`` epochs);
-    returns the StreamingQuery."""
-    if snapshot_every < 1:
-        raise ValueError("snapshot_every must be positive")
-    spark = stream.sparkSession
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/telemetry-store"
-    w = (stream.writeStream.foreachBatch(_write_epoch(store_path, snapshot_every))
-         .option("checkpointLocation", ckpt))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
+def run_to_store(stream: DataFrame, store_path: str, checkpoint: str | None = None, available_now: bool = True):
+    """R2: write the stream into the keyed store at ``store_path``; returns the StreamingQuery."""
+    return run_changes(stream, store_path, "telemetry-store", "append", checkpoint, available_now, _one_per_key)
 
 
-def current_store(spark: SparkSession, store_path: str,
-                  snapshot_every: int = SNAPSHOT_EVERY) -> DataFrame | None:
-    """Newest version of every ``row_key``: the last snapshot plus the deltas
-    after it (``None`` before the first epoch)."""
-    st = store.current(spark, store_path.rstrip("/"), "row_key", snapshot_every)
-    return None if st is None else st.drop("epoch")
+def current_store(spark: SparkSession, store_path: str) -> DataFrame | None:
+    """One row per ``row_key`` (``None`` before the first batch)."""
+    changes = read_changes(spark, store_path)
+    return None if changes is None else _one_per_key(changes)
 
 
 def latest_per_package(stream: DataFrame) -> DataFrame:
@@ -101,8 +88,17 @@ def latest_per_package(stream: DataFrame) -> DataFrame:
             .select("package_id", "_s.timestamp", "_s.status", "_s.sla_breach", "_s.row_key"))
 
 
-def compact_store(spark: SparkSession, store_path: str, out_path: str,
-                  snapshot_every: int = SNAPSHOT_EVERY) -> None:
-    """Write the current store (newest row per key) as one table elsewhere,
-    e.g. to export it; the store itself compacts through its snapshots."""
-    current_store(spark, store_path, snapshot_every).write.mode("overwrite").parquet(out_path)
+def run_latest(stream: DataFrame, path: str, checkpoint: str | None = None, available_now: bool = True):
+    """Keep the newest status of each package at ``path``, from an update-mode aggregate."""
+    return run_changes(latest_per_package(stream), path, "latest-status", "update", checkpoint, available_now)
+
+
+def current_latest(spark: SparkSession, path: str) -> DataFrame | None:
+    """Each package's newest status so far (``None`` before the first batch)."""
+    changes = read_changes(spark, path)
+    return None if changes is None else newest(changes, "package_id")
+
+
+def compact_store(spark: SparkSession, store_path: str, out_path: str) -> None:
+    """Write the current store (one row per key) as one table elsewhere."""
+    current_store(spark, store_path).write.mode("overwrite").parquet(out_path)

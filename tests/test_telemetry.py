@@ -157,9 +157,8 @@ def test_stream_delay_state_matches_batch(spark, tmp_dir):
     assert got == want == {"A": 4.0, "C": 3.0}
 
 
-def test_stream_delay_state_with_snapshots(spark, tmp_dir):
-    """Snapshots every 2 epochs: each batch reads the last snapshot plus at
-    most one delta, and the state still equals the batch operator."""
+def test_stream_delay_state_over_batches(spark, tmp_dir):
+    """One batch after another, the state equals the batch operator."""
     from strata.streaming.delays import current_delay_state, delayed_packages, run_delay_state
     src = os.path.join(tmp_dir, "in4")
     os.makedirs(src)
@@ -177,13 +176,9 @@ def test_stream_delay_state_with_snapshots(spark, tmp_dir):
     for i, lines in enumerate(rounds):
         with open(os.path.join(src, f"p{i}.json"), "w") as f:
             f.write("\n".join(lines) + "\n")
-        run_delay_state(telemetry_stream(spark, src), store, ckpt,
-                        snapshot_every=2).awaitTermination(120)
-    assert sorted(os.listdir(os.path.join(store, "snapshot"))) == ["epoch=1", "epoch=3"]
-    assert len(os.listdir(os.path.join(store, "delta"))) == len(rounds)
-    assert spark.read.parquet(os.path.join(store, "head")).first().epoch == len(rounds) - 1
+        run_delay_state(telemetry_stream(spark, src), store, ckpt).awaitTermination(120)
     as_of = F.lit("2024-01-01 06:00:00").cast("timestamp")
-    state = current_delay_state(spark, store, snapshot_every=2)
+    state = current_delay_state(spark, store)
     got = {r.package_id: r.hours_delayed for r in delayed_packages(state, 2.0, as_of).collect()}
     ev = parse_telemetry(spark.read.text(src)).withColumn("ts", F.to_timestamp("timestamp"))
     want = {r.package_id: r.hours_delayed for r in
@@ -191,24 +186,105 @@ def test_stream_delay_state_with_snapshots(spark, tmp_dir):
     assert got == want == {"A": 4.0, "C": 3.0, "B": 2.5}
 
 
-def test_store_snapshots_bound_reads(spark, tmp_dir):
-    """R2 store with a snapshot every 2 epochs: the current store equals the
-    newest row per key over all epochs, read from one snapshot + deltas."""
-    from strata.streaming import store
+def test_changes_are_replaced_by_a_replayed_batch(spark, tmp_dir):
+    from strata.streaming.changes import merge_changes, newest, read_changes, write_changes
     root = os.path.join(tmp_dir, "kv")
-    rounds = [[("a", 1), ("b", 1)], [("a", 2)], [("c", 1), ("b", 3)], [("a", 4)], [("d", 1)]]
+    rounds = [[("a", 1), ("b", 1)], [("a", 2)], [("c", 1), ("b", 3)], [("a", 4)], [("d", None)]]
+    assert read_changes(spark, root) is None
+    write = write_changes(root)
     for e, rows in enumerate(rounds):
-        store.commit(spark, root, "k", spark.createDataFrame(rows, "k string, v long"), e, 2)
-    assert sorted(os.listdir(os.path.join(root, "snapshot"))) == ["epoch=1", "epoch=3"]
-    got = {r.k: (r.v, r.epoch) for r in store.current(spark, root, "k", 2).collect()}
-    assert got == {"a": (4, 3), "b": (3, 2), "c": (1, 2), "d": (1, 4)}
-    # state a batch at epoch 4 builds on: snapshot 3 only, no delta read
-    before = {r.k: r.v for r in store.state_before(spark, root, "k", 4, 2).collect()}
-    assert before == {"a": 4, "b": 3, "c": 1}
-    # replaying epoch 4 rewrites the same folders: same state
-    store.commit(spark, root, "k", spark.createDataFrame([("d", 1)], "k string, v long"), 4, 2)
-    assert {r.k: r.v for r in store.current(spark, root, "k", 2).collect()} == {
-        k: v for k, (v, _) in got.items()}
+        write(spark.createDataFrame(rows, "k string, v long"), e)
+    want = {"a": 4, "b": 3, "c": 1, "d": None}
+    assert {r.k: r.v for r in newest(read_changes(spark, root), "k").collect()} == want
+    write(spark.createDataFrame(rounds[2], "k string, v long"), 2)  # replayed: its own partition alone
+    assert read_changes(spark, root).count() == 7
+    assert {r.k: r.v for r in newest(read_changes(spark, root), "k").collect()} == want
+    target = spark.createDataFrame([("a", 0), ("d", 9), ("z", 7)], "k string, v long")
+    assert {r.k: r.v for r in merge_changes(target, read_changes(spark, root), "k").collect()} == {**want, "z": 7}
+
+
+def test_stream_store_replay_and_disorder(spark, tmp_dir):
+    """The store equals the batch result whatever the batches, their order and their repeats."""
+    rows = ['{"package_id": "P%d", "timestamp": "2024-01-01T0%d:00:00Z", "status": "%s"}' % (p, t, s)
+            for p in range(3) for t in range(4) for s in ("DELAYED", "AT_HUB")]
+    seen = []
+    for k, order in enumerate((rows, rows[::-1] + rows[3:9])):
+        src, store = os.path.join(tmp_dir, f"src{k}"), os.path.join(tmp_dir, f"store{k}")
+        os.makedirs(src)
+        for i in range(0, len(order), 5):
+            with open(os.path.join(src, f"p{i:02d}.json"), "w") as f:
+                f.write("\n".join(order[i:i + 5]) + "\n")
+        from strata.streaming.telemetry import read_messages
+        run_to_store(parse_telemetry(read_messages(spark, src, max_files_per_trigger=1)), store,
+                     os.path.join(tmp_dir, f"ck{k}")).awaitTermination(120)
+        assert len(os.listdir(store)) > 3  # a partition a batch
+        seen.append(sorted(map(tuple, current_store(spark, store).collect())))
+    assert seen[0] == seen[1] and len(seen[0]) == 12
+    assert current_store(spark, os.path.join(tmp_dir, "none")) is None
+
+
+def test_stream_latest_and_deduplicated(spark, tmp_dir):
+    from strata.streaming.telemetry import current_latest, deduplicated, run_latest
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src)
+
+    def msg(p, t, s):
+        return '{"package_id": "%s", "timestamp": "2024-01-01T%s:00Z", "status": "%s"}' % (p, t, s)
+    path, ckpt = os.path.join(tmp_dir, "latest"), os.path.join(tmp_dir, "lk")
+    for i, lines in enumerate(([msg("A", "05:00", "DELAYED"), msg("B", "01:00", "AT_HUB")],
+                               [msg("A", "04:00", "AT_HUB"), msg("A", "05:00", "DELAYED"), msg("B", "02:00", "DELIVERED")])):
+        with open(os.path.join(src, f"p{i}.json"), "w") as f:
+            f.write("\n".join(lines) + "\n")
+        run_latest(telemetry_stream(spark, src), path, ckpt).awaitTermination(120)
+    assert {r.package_id: r.status for r in current_latest(spark, path).collect()} == {"A": "DELAYED", "B": "DELIVERED"}
+    out = os.path.join(tmp_dir, "once")
+    (deduplicated(telemetry_stream(spark, src)).writeStream.format("parquet").option("path", out)
+     .option("checkpointLocation", os.path.join(tmp_dir, "dk")).trigger(availableNow=True).start().awaitTermination(120))
+    assert spark.read.parquet(out).count() == 4
+
+
+def test_advance_equals_batch_in_any_order(spark):
+    """Events in any order within the watermark's delay leave the state that all of them at once leave."""
+    import numpy as np
+    from strata.streaming.delays import advance
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        n, delay = int(rng.integers(1, 40)), int(rng.integers(0, 12))
+        times = np.sort(rng.integers(0, 60, n))
+        statuses = np.where(rng.random(n) < 0.7, "DELAYED", "AT_HUB").astype(object)
+        order = np.argsort(times + rng.integers(0, delay + 1, n), kind="stable")  # at most ``delay`` late
+        state, top = None, -10**9
+        for part in np.array_split(order, int(rng.integers(1, n + 1))):
+            if len(part):
+                state = advance(state, times[part], statuses[part], top - delay)
+                top = max(top, int(times[part].max()))
+        whole = advance(None, times, statuses, -10**9)
+        assert (state[0], state[1][:1], state[2], state[3]) == (whole[0], whole[1][:1], whole[2], whole[3])
+        assert len(state[1]) <= 1 + sum(t >= top - 2 * delay - 60 for t in times)
+        ok = times[statuses != "DELAYED"]
+        later = times[(statuses == "DELAYED") & (times > (ok.max() if len(ok) else -1))]
+        assert whole[1][:1] == later[:1].tolist()
+
+
+def test_stream_delays_out_of_order(spark, tmp_dir):
+    """A late event that ends a delay in its middle moves the start of the delay."""
+    from strata.streaming.delays import current_delay_state, delayed_packages, run_delay_state
+    src, store, ckpt = (os.path.join(tmp_dir, x) for x in ("in", "store", "ck"))
+    os.makedirs(src)
+
+    def msg(p, t, s):
+        return '{"package_id": "%s", "timestamp": "2024-01-01T%s:00Z", "status": "%s"}' % (p, t, s)
+    rounds = [[msg("A", "01:00", "DELAYED"), msg("A", "03:00", "DELAYED"), msg("B", "05:00", "AT_HUB")],
+              [msg("A", "02:00", "AT_HUB"), msg("B", "01:00", "DELAYED"), msg("C", "09:00", "DELAYED")],
+              [msg("A", "03:00", "DELAYED"), msg("C", "08:00", "DELAYED"), "not json"]]
+    for i, lines in enumerate(rounds):
+        with open(os.path.join(src, f"p{i}.json"), "w") as f:
+            f.write("\n".join(lines) + "\n")
+        run_delay_state(telemetry_stream(spark, src), store, ckpt).awaitTermination(120)
+    as_of = F.lit("2024-01-01 12:00:00").cast("timestamp")
+    got = {r.package_id: r.hours_delayed for r in delayed_packages(current_delay_state(spark, store), 2.0, as_of).collect()}
+    assert got == {"A": 9.0, "C": 4.0}
+    assert current_delay_state(spark, os.path.join(tmp_dir, "none")).count() == 0
 
 
 def test_delay_hours_on_local_times_ignore_the_session_zone(spark):
