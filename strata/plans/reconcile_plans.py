@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strata.operators.merkle import differing_ranges, leaves, ordered_digest
 from strata.operators.reconcile import (
     column_aggregates, compare_checksums, dataset_digest, duplicate_keys, file_checksums,
     null_counts, reconcile, table_counts)
@@ -90,7 +91,7 @@ def reconcile_plan(spark, sf_dir):
     return reconcile(pairs)
 
 
-DIGEST_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"]
+DIGEST_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
 @plan("dataset_hash", f"""
@@ -108,6 +109,48 @@ def dataset_hash(spark, sf_dir):
     return dataset_digest(Tables(spark, sf_dir).orders, DIGEST_COLS)
 
 
+_TREE_FANOUT = 32
+
+
+def _leaves_sql(name: str, table: str) -> str:
+    return f"""
+{name}_rows AS (
+  SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey, h) - 1 AS rn, h FROM (
+    SELECT o_orderkey, md5(concat_ws('||', {", ".join(f"CAST({c} AS VARCHAR)" for c in DIGEST_COLS)})) AS h FROM {table})),
+{name} AS (
+  SELECT rn // {_TREE_FANOUT} AS node, count(*) AS n_rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key,
+         md5(string_agg(h, '' ORDER BY rn)) AS digest
+  FROM {name}_rows GROUP BY 1)"""
+
+
+@plan("ordered_digest", f"""
+WITH RECURSIVE {_leaves_sql("leaf", "orders")},
+tree AS (
+  SELECT 0 AS level, node, n_rows, digest FROM leaf
+  UNION ALL
+  SELECT level + 1, node // {_TREE_FANOUT}, sum(n_rows)::BIGINT, md5(string_agg(digest, '' ORDER BY node))
+  FROM tree WHERE (SELECT count(*) FROM tree) > 1 GROUP BY level + 1, node // {_TREE_FANOUT})
+SELECT n_rows, digest AS dataset_hash FROM tree WHERE level = (SELECT max(level) FROM tree)
+""")
+def ordered_digest_plan(spark, sf_dir):
+    """A5: the digest of all columns of orders, in key order."""
+    return ordered_digest(Tables(spark, sf_dir).orders, "o_orderkey", fanout=_TREE_FANOUT)
+
+
+@plan("differing_ranges", f"""
+WITH changed AS (SELECT * REPLACE (CASE WHEN o_orderkey % 997 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice) FROM orders),
+{_leaves_sql("s", "orders")}, {_leaves_sql("t", "changed")}
+SELECT s.node, s.first_key, s.last_key, s.n_rows AS source_rows, t.n_rows AS target_rows, s.digest AS source_digest, t.digest AS target_digest
+FROM s JOIN t ON s.node = t.node WHERE s.digest <> t.digest
+""")
+def differing_ranges_plan(spark, sf_dir):
+    """A5: the key ranges in which orders differ from a copy with some prices changed."""
+    orders = Tables(spark, sf_dir).orders
+    price = F.when(F.col("o_orderkey") % 997 == 5, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    source, target = (leaves(x, "o_orderkey", fanout=_TREE_FANOUT) for x in (orders, orders.withColumn("o_totalprice", price)))
+    return differing_ranges(source, target).withColumns({k: F.col(f"{k}.o_orderkey") for k in ("first_key", "last_key")})
+
+
 @plan("table_counts", "\nUNION ALL ".join(
     f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in DRIVER_TABLES))
 def table_counts_plan(spark, sf_dir):
