@@ -58,16 +58,19 @@ def _record(start: str):
 
 
 def write(pages: DataFrame, path: str, start: str = "2024-01-01 00:00:00") -> list[str]:
-    """Write the records under ``path``, a folder for each size class that occurs; the folders. Pages carry no
-    time: the capture time is ``start`` plus the page_id in seconds."""
-    rows = decide(pages).withColumn("size", F.when(F.col("refers_to").isNull(), F.col("payload_bytes")).otherwise(F.lit(0)))
-    kind = sum((F.when(F.col("n") > top, 1).otherwise(0) for top, _ in CLASSES[:-1]), F.lit(0))
-    there = [r[0] for r in pages.select(F.coalesce(F.octet_length("html"), F.lit(0)).alias("n")).select(kind.alias("k")).distinct().collect()]
+    """Write the records under ``path``, a folder for each size class of payloads that occurs; the folders. Pages carry
+    no time: the capture time is ``start`` plus the page_id in seconds. A null html is an empty payload, null page_ids
+    and urls leave their header out, repeated rows are records of their own, other columns are not read, and an
+    empty table has no folders."""
+    own = F.coalesce(F.octet_length("html"), F.lit(0))
+    kind = sum((F.when(own > top, 1).otherwise(0) for top, _ in CLASSES[:-1]), F.lit(0))
+    there = {r[0] for r in pages.select(kind.alias("k")).distinct().collect()}  # one row a class
     out, low = [], -1
     for k, (top, per_file) in enumerate(CLASSES):
-        if k in there or (k == 0 and there):
+        if k in there:
+            # equal payloads have one size and so one class: each page takes part in one class's join alone
             folder = f"{path}/class={k}"
-            rows.filter((F.col("size") > low) & (F.col("size") <= top)).select(_record(start).alias("value")).write.option(
+            decide(pages.filter((own > low) & (own <= top))).select(_record(start).alias("value")).write.option(
                 "lineSep", CRLF).option("maxRecordsPerFile", per_file).option("compression", "gzip").text(folder)
             out.append(folder)
         low = top
@@ -167,7 +170,8 @@ def _merge(batches):
 
 
 def index(spark: SparkSession, folders: list[str]) -> DataFrame:
-    """All captures of the archives in the folders, ordered by (url_key, ts, page_id) over the partitions in turn."""
+    """All captures of the archives in the folders, ordered by (url_key, ts, page_id) over the partitions in turn;
+    repeated rows are captures of their own, and ties go by archive and offset."""
     if not folders:
         return spark.createDataFrame([], _CAPTURE)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folders).select("path", "content")
