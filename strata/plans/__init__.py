@@ -1,6 +1,6 @@
 """Named plans over the driver tables (queries + SQL oracles)."""
 
-from strata.plans import (graph_plans, history_plans, landing_plans, reconcile_plans, rules_plans,  # noqa: F401
+from strata.plans import (graph_plans, history_plans, landing_plans, reconcile_plans, rules_plans, state_plans,  # noqa: F401
                           steps_plans, telemetry_plans)
 from strata.plans.registry import ORACLE, QUERIES
 
