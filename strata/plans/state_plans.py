@@ -1,4 +1,5 @@
-"""Plans for tables kept over time: joint refresh (K3), dated snapshots (D2), periods of validity."""
+"""Plans for tables kept over time and who may read them: joint refresh (K3), dated snapshots (D2), periods of
+validity (D6), row access by sets (D4), tags that follow the data (D5)."""
 
 from __future__ import annotations
 
@@ -6,8 +7,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from strata.operators.access import ACCESS, row_access_sets
 from strata.operators.periods import events_in_periods
 from strata.operators.snapshots import state_at, write_snapshot
+from strata.operators.tags import mask_derived, tag
 from strata.plans.history_plans import _OP_SQL, _ledger
 from strata.plans.registry import plan
 from strata.session import scratch_path
@@ -83,3 +86,35 @@ def events_in_periods_plan(spark, sf_dir):
     events = ev.filter("event_type = 'purchase'").select("event_id", "grp", "ts", "value")
     pairs = events_in_periods(events, periods, "grp", "period_grp", "ts", "valid_from", "valid_to")
     return pairs.groupBy("period_id").agg(F.count("*").alias("n_events"), F.round(F.sum("value"), 2).alias("total"))
+
+
+@plan("row_access_sets", """
+SELECT o.o_orderkey, count(*) AS n_principals, min(g.n_name) AS first_principal, max(g.n_name) AS last_principal
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation cn ON c.c_nationkey = cn.n_nationkey
+JOIN nation g ON g.n_regionkey = cn.n_regionkey GROUP BY o.o_orderkey
+""")
+def row_access_sets_plan(spark, sf_dir):
+    """Orders with the number of the set of nations that may read them, one row an order."""
+    t = Tables(spark, sf_dir)
+    grants = t.nation.join(t.nation.select(F.col("n_nationkey").alias("attr"), F.col("n_regionkey").alias("of")), F.col("n_regionkey") == F.col("of")).select(
+        F.col("n_name").alias("principal"), "attr")
+    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
+    a = row_access_sets(rows, grants, "c_nationkey", "attr")
+    about = a.sets.groupBy(ACCESS).agg(F.count("*").alias("n_principals"), F.min("principal").alias("first_principal"), F.max("principal").alias("last_principal"))
+    return a.rows.join(about, ACCESS).drop(ACCESS, "c_nationkey")
+
+
+@plan("masked_derived", """
+SELECT c_mktsegment, count(*) AS n_orders, CAST(NULL AS DOUBLE) AS balance, round(sum(o_totalprice), 2) AS total,
+       CAST(NULL AS DOUBLE) AS share, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS finished
+FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_mktsegment
+""")
+def masked_derived(spark, sf_dir):
+    """Of columns computed over a join, those that a tagged balance reaches are masked without being named."""
+    t = Tables(spark, sf_dir)
+    c = tag(t.customer, {"c_acctbal": "Confidential/Finance/Payroll"}).withColumn("half", F.col("c_acctbal") / 2)
+    j = c.join(t.orders, F.col("c_custkey") == F.col("o_custkey"))
+    out = j.groupBy("c_mktsegment").agg(
+        F.count("*").alias("n_orders"), F.max("half").alias("balance"), F.round(F.sum("o_totalprice"), 2).alias("total"),
+        (F.sum("o_totalprice") / F.sum("half")).alias("share"), F.count_if(F.col("o_orderstatus") == "F").alias("finished"))
+    return mask_derived(out)
