@@ -222,6 +222,50 @@ def drop_blank(spark, sf_dir):
     return drop_blank_rows(conv, ["role", "text"]).select("conv_id", "turn")
 
 
+_TYPED_SQL = """
+WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey,
+                  CASE WHEN l_partkey % 10 = 0 THEN 'n/a' WHEN l_partkey % 10 = 1 THEN '' ELSE CAST(l_quantity AS VARCHAR) END AS quantity,
+                  CASE WHEN l_suppkey % 9 = 0 THEN '' WHEN l_suppkey % 9 = 1 THEN '31.12.2024' ELSE CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END AS ship_day
+           FROM lineitem)"""
+
+
+@plan("typed_load_rejects", _TYPED_SQL + """
+SELECT CASE WHEN quantity = 'n/a' AND ship_day IN ('', '31.12.2024') THEN 'quantity: not decimal(38,9), ship_day: not date'
+            WHEN quantity = 'n/a' THEN 'quantity: not decimal(38,9)'
+            WHEN ship_day IN ('', '31.12.2024') THEN 'ship_day: not date' ELSE 'loaded' END AS outcome,
+       count(*) AS n_rows, CASE WHEN outcome = 'loaded' THEN count(try_cast(quantity AS DECIMAL(38, 9))) END AS with_quantity
+FROM t GROUP BY 1
+""")
+def typed_load_rejects(spark, sf_dir):
+    """Text rows typed, those with a value that does not parse kept apart with their reasons."""
+    from strata.sources.csv import TypedColumn, load_typed_checked
+    part, supp = F.col("l_partkey") % 10, F.col("l_suppkey") % 9
+    text = Tables(spark, sf_dir).lineitem.select(
+        F.col("l_orderkey").cast("string").alias("orderkey"),
+        F.when(part == 0, "n/a").when(part == 1, "").otherwise(F.col("l_quantity").cast("string")).alias("quantity"),
+        F.when(supp == 0, "").when(supp == 1, "31.12.2024").otherwise(F.to_date("l_shipdate").cast("string")).alias("ship_day"))
+    load = load_typed_checked(text, [TypedColumn("orderkey", "orderkey", "bigint"), TypedColumn("quantity", "quantity", "decimal(38,9)"),
+                                     TypedColumn("ship_day", "ship_day", "date", required=True)])
+    good = load.rows.agg(F.count("*").alias("n_rows"), F.count("quantity").alias("with_quantity")).select(F.lit("loaded").alias("outcome"), "*")
+    bad = load.rejected.groupBy(F.array_join("reasons", ", ").alias("outcome")).agg(F.count("*").alias("n_rows"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+@plan("blank_rows", """
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '  ' WHEN event_id % 3 = 1 THEN event_type END AS kind,
+       CASE WHEN event_id % 5 > 0 THEN props ELSE '' END AS detail
+FROM events WHERE event_id % 3 = 1 AND trim(event_type) <> '' OR event_id % 5 > 0 AND trim(props) <> ''
+""")
+def blank_rows(spark, sf_dir):
+    """S3: rows whose every value is blank, missing or spaces alone are dropped."""
+    from strata.sources.csv import drop_blank_rows
+    rest = F.col("event_id") % 3
+    rows = Tables(spark, sf_dir).events.select(
+        "event_id", F.when(rest == 0, "  ").when(rest == 1, F.col("event_type")).alias("kind"),
+        F.when(F.col("event_id") % 5 > 0, F.col("props")).otherwise("").alias("detail"))
+    return drop_blank_rows(rows, ["kind", "detail"])
+
+
 @plan("daily_cost", """
 SELECT CAST(ts AS DATE) AS usage_date, round(sum(value), 2) AS total_cost
 FROM events WHERE event_type = 'purchase' GROUP BY 1

@@ -72,6 +72,7 @@ class TypedColumn:
     target: str
     type: str  # Spark SQL type name: string, bigint, decimal(38,9), date, ...
     keep_empty: bool = False  # text kept as is ('' stays ''), as for keys
+    required: bool = False    # an empty or missing value does not parse either
 
 
 def load_typed(df: DataFrame, columns: Sequence[TypedColumn]) -> DataFrame:
@@ -94,8 +95,10 @@ def _typed(c: TypedColumn):
     col = F.col(quoted(c.source))
     if _is_text(c):
         return col if c.keep_empty else F.when(col == "", F.lit(None)).otherwise(col)
-    return F.when(col == "", F.lit(None)).otherwise(
-        F.expr(f"try_cast(trim({quoted(c.source)}) AS {c.type})"))
+    cast = F.expr(f"try_cast(trim({quoted(c.source)}) AS {c.type})")
+    if c.type.lower() in ("bigint", "int", "long", "integer"):  # a cast would cut 5.7 to 5
+        cast = F.when(col.rlike(r"^\s*[+-]?[0-9]+\s*$"), cast)
+    return F.when(col == "", F.lit(None)).otherwise(cast)
 
 
 @dataclass
@@ -107,8 +110,10 @@ class TypedLoad:
 def load_typed_checked(df: DataFrame, columns: Sequence[TypedColumn]) -> TypedLoad:
     """S2 with rejects: a row with a value that does not parse keeps its source
     columns, goes to ``rejected`` and names each such column with its type."""
-    bad = [F.when(F.col(quoted(c.source)).isNotNull() & (F.col(quoted(c.source)) != "")
-                  & _typed(c).isNull(), F.lit(f"{c.source}: not {c.type}"))
+    def given(c):
+        return F.coalesce(F.col(quoted(c.source)), F.lit("")) != ""
+
+    bad = [F.when((F.lit(c.required) | given(c)) & _typed(c).isNull(), F.lit(f"{c.source}: not {c.type}"))
            for c in columns if not _is_text(c)]
     reasons = F.filter(F.array(*bad), lambda x: x.isNotNull()) if bad else F.array().cast(
         "array<string>")
@@ -132,7 +137,7 @@ SEED_TABLES = (
                               ("destination_operation_id", "destination_operation_id", "string",
                                True),
                               ("service_commit", "service_commit", "string"),
-                              ("zulu_day", "zulu_day", "date"))),
+                              ("zulu_day", "zulu_day", "date", False, True))),
     ("network_routing_segment", _spec(("segment_id", "segment_id", "string", True),
                                       ("routing_id", "routing_id", "string", True),
                                       ("origin_operation_id", "origin_operation_id", "string",
@@ -142,7 +147,7 @@ SEED_TABLES = (
                                       ("transport_mode", "transport_mode", "string"),
                                       ("weight", "weight", "decimal(38,9)"),
                                       ("pieces", "pieces", "bigint"),
-                                      ("zulu_day", "zulu_day", "date"))),
+                                      ("zulu_day", "zulu_day", "date", False, True))),
     ("transit_path", _spec(("transit_path_id", "transit_path_id", "string", True),
                            ("segment_id", "segment_id", "string", True),
                            ("total_transit_minutes", "total_transit_minutes", "bigint"))),
@@ -160,14 +165,29 @@ SEED_TABLES = (
 )
 
 
-def load_seed_tables(spark: SparkSession, csv_dir: str,
-                     tables=SEED_TABLES) -> dict[str, DataFrame]:
-    """S1 + S3 + S2 for every seeded table, in foreign-key order: scan
-    ``<csv_dir>/<table>.csv``, drop blank rows, type and rename."""
-    out = {}
+class SeedTables(dict):
+    """Typed tables by name, in foreign-key order; ``rejected`` holds what none of them took:
+    ``(table_name, reasons ARRAY<STRING>, record)``."""
+
+    rejected: DataFrame
+
+
+def load_seed_tables(spark: SparkSession, csv_dir: str, tables=SEED_TABLES) -> SeedTables:
+    """S1 + S3 + S2 for every seeded table, in foreign-key order: scan ``<csv_dir>/<table>.csv``, drop blank rows, type
+    and rename.
+
+    A malformed line, and a row with a value that does not parse (a required one that is empty included), is in no
+    table but in ``rejected``: the line itself, or the row as JSON text, with the reasons.
+    """
+    out, rejected = SeedTables(), []
     for table, columns in tables:
         scan = scan_csv(spark, f"{csv_dir.rstrip('/')}/{table}.csv")
-        out[table] = load_typed(drop_blank_rows(scan.rows), columns)
+        load = load_typed_checked(drop_blank_rows(scan.rows), columns)
+        out[table] = load.rows
+        name = F.lit(table).alias("table_name")
+        rejected.append(scan.rejected.select(name, F.array(F.lit("malformed line")).alias("reasons"), F.col("line").alias("record")))
+        rejected.append(load.rejected.select(name, "reasons", F.to_json(F.struct(*[F.col(quoted(c)) for c in scan.header])).alias("record")))
+    out.rejected = reduce(DataFrame.unionByName, rejected)
     return out
 
 

@@ -105,21 +105,47 @@ def test_seed_tables_typed_load(spark):
     assert list(got) == ["operation", "network_routing", "network_routing_segment",
                          "transit_path", "vehicle", "driver", "maintenance_log"]
     assert {t: df.count() for t, df in got.items()} == {
-        "operation": 10, "network_routing": 10, "network_routing_segment": 14,
-        "transit_path": 8, "vehicle": 10, "driver": 10, "maintenance_log": 10}
+        "operation": 12, "network_routing": 8, "network_routing_segment": 10,
+        "transit_path": 7, "vehicle": 9, "driver": 7, "maintenance_log": 7}
+    assert got.rejected.count() == 0
     assert got["vehicle"].columns == ["vehicle_id", "vehicle_type", "max_weight_capacity"]
     assert got["driver"].columns == ["driver_id", "vehicle_id", "certification_level", "status"]
     seg = got["network_routing_segment"].schema
     assert [seg[c].dataType.simpleString() for c in ("weight", "pieces", "zulu_day")] == [
         "decimal(38,9)", "bigint", "date"]
     nr = {r.routing_id: r for r in got["network_routing"].collect()}
-    assert nr["NR-104"].origin_operation_id == ""          # key column: '' kept
+    assert nr["R-4"].origin_operation_id == ""          # key column: '' kept
     drv = {r.driver_id: r for r in got["driver"].collect()}
-    assert drv["DRV-009"].vehicle_id is None               # optional text: '' -> NULL
+    assert drv["D3"].vehicle_id is None               # optional text: '' -> NULL
     sev = {r.log_id: r.severity for r in got["maintenance_log"].collect()}
     assert sorted(v for v in sev.values() if v is not None)[0] == 0 and max(sev.values()) == 9
 
 
+def test_seed_tables_reject_what_does_not_parse(spark, tmp_dir):
+    """Bad values and malformed lines leave their tables with a reason; the other rows stay."""
+    import shutil
+
+    from strata.sources.csv import load_seed_tables
+    shutil.copytree(os.path.join(FIXTURES, "bulk"), os.path.join(tmp_dir, "bulk"))
+
+    def add(table, *lines):
+        with open(os.path.join(tmp_dir, "bulk", f"{table}.csv"), "a") as f:
+            f.write("\n".join(lines) + "\n")
+    add("vehicle", "V90,LORRY,x,12 tons,ALT-A,ACTIVE", "V91,LORRY,x,5.7,ALT-A,ACTIVE", "V92,LORRY,x, 70 ,ALT-A,ACTIVE", "V93,LORRY,x,,ALT-A,ACTIVE", " ,,,,, ")
+    add("network_routing", "R-90,A,B,X,2025-13-01,W", "R-91,A,B,X,,W", "R-92,A,B")
+    add("network_routing_segment", "G90,R-1,A,B,ROAD,heavy,many,2025-01-01")
+    got = load_seed_tables(spark, os.path.join(tmp_dir, "bulk"))
+    caps = {r.vehicle_id: r.max_weight_capacity for r in got["vehicle"].collect()}
+    assert len(caps) == 11 and caps["V92"] == 70 and caps["V93"] is None
+    assert got["network_routing"].count() == 8 and got["network_routing_segment"].count() == 10
+    bad = sorted((r.table_name, r.record[:40], tuple(r.reasons)) for r in got.rejected.collect())
+    assert [(t, why) for t, _, why in bad] == [
+        ("network_routing", ("malformed line",)), ("network_routing", ("zulu_day: not date",)), ("network_routing", ("zulu_day: not date",)),
+        ("network_routing_segment", ("weight: not decimal(38,9)", "pieces: not bigint")),
+        ("vehicle", ("capacity_kg: not bigint",)), ("vehicle", ("capacity_kg: not bigint",))]
+    assert bad[0][1] == "R-92,A,B"
+
+
 def test_get_object_by_type_name(spark):
     from strata.operators.project import get_object_by_type
     spark.createDataFrame([("H1", "Memphis"), ("H2", "Louisville")],
