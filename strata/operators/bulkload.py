@@ -83,11 +83,11 @@ def commit_table(spark: SparkSession, valid: DataFrame, key: str, current_path:
     (read and write paths differ; the caller then points readers at it).
     Returns the row count of the new version.
     """
-    from strata.sinks.upsert import upsert
+    from strata.sinks.upsert import latest_per_key, upsert
 
     if current_path:
         merged = upsert(spark.read.parquet(current_path), valid, key, mode=mode)
     else:
-        merged = valid.dropDuplicates([key])
+        merged = latest_per_key(valid, key).select(*valid.columns)
     merged.write.mode("overwrite").parquet(new_path)
     return spark.read.parquet(new_path).count()

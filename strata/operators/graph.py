@@ -27,6 +27,7 @@ log = logging.getLogger(__name__)
 # Text for empty route context and the stop separator.
 NO_ROUTE = "No route data found"
 STOP_SEPARATOR = " -> "
+NO_STOP = "None"  # how the context text shows a stop that is NULL
 
 
 def route_context(routes: DataFrame, waypoints: DataFrame, transits: DataFrame,
@@ -74,7 +75,7 @@ def route_summary(context: DataFrame, route_key: str, leg: str, stop: str,
                                                          for i, c in enumerate(tie)]
     names = ["_leg"] + [f"_t{i}" for i in range(len(tie))]
     extra = [c for c in (mode, carrier) if c]
-    base = context.select(F.col(route_key), *order, F.col(stop).cast("string").alias("_stop"),
+    base = context.select(F.col(route_key), *order, F.coalesce(F.col(stop).cast("string"), F.lit(NO_STOP)).alias("_stop"),
                           *[F.col(c) for c in extra])
     base = base.withColumn("_blk", F.floor(F.col("_leg") / F.lit(block)))
     key = F.struct(*[F.col(n) for n in names])
@@ -101,6 +102,13 @@ def route_summary(context: DataFrame, route_key: str, leg: str, stop: str,
     return blocks.groupBy(route_key).agg(*lvl2, *lasts)
 
 
+def route_texts(summary: DataFrame, route_key: str, mode: str, carrier: str) -> Column:
+    """The context text of each row of ``route_summary``, with carrier and mode (empty where a route has none)."""
+    part = lambda label, c: F.concat(F.lit(f"{label}:\n"), F.coalesce(c.cast("string"), F.lit("")))
+    return F.concat_ws("\n\n", part("Route", summary[route_key]), part("Carrier", summary[carrier]),
+                       part("Mode", summary[mode]), part("Stops", summary["stops"]))
+
+
 def route_text(summary_row: Mapping | None, route_key: str, mode: str, carrier: str) -> str:
     """Context text for one route (driver-side, one row)."""
     if not summary_row:

@@ -120,10 +120,11 @@ def _spark_numeric(dtype) -> bool:
 
 
 def column_aggregates(df: DataFrame, types: Mapping[str, str] | None = None) -> DataFrame:
-    """A3 one side: ``(column_name, agg, value DOUBLE)`` rows.
+    """A3 one side: ``(column_name, agg, value DOUBLE, exact STRING)`` rows.
 
     ``count(*)`` once, ``count(col)`` for every column, ``sum/min/max`` for
-    numeric ones (by contract type text when given, else Spark type).
+    numeric ones (by contract type text when given, else Spark type).  ``exact`` is the value in its own
+    type, as text: whole numbers beyond 2^53 and decimals, which a DOUBLE rounds, compare by it.
     """
     specs: list[tuple[str, str, Column]] = [("*", "count", F.count(F.lit(1)))]
     for f in df.schema.fields:
@@ -135,9 +136,9 @@ def column_aggregates(df: DataFrame, types: Mapping[str, str] | None = None) ->
             wide = c.cast(SUM_TYPE) if isinstance(f.dataType, T.IntegralType) else c
             specs += [(f.name, "sum", F.sum(wide)), (f.name, "min", F.min(c)),
                       (f.name, "max", F.max(c))]
-    row = df.agg(*[e.cast("double").alias(f"a{i}") for i, (_, _, e) in enumerate(specs)])
+    row = df.agg(*[e.alias(f"a{i}") for i, (_, _, e) in enumerate(specs)])
     stack = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(a).alias("agg"),
-                               F.col(f"a{i}").alias("value"))
+                               F.col(f"a{i}").cast("double").alias("value"), F.col(f"a{i}").cast("string").alias("exact"))
                       for i, (c, a, _) in enumerate(specs)])
     return row.select(F.inline(stack))
 

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.sinks.upsert import upsert
+from strata.sinks.upsert import latest_per_key, upsert
 
 # Match band threshold and labels; document id length limit.
 MATCH_THRESHOLD = 0.5
@@ -83,17 +83,18 @@ def rejected_documents(batch: DataFrame, id_col: str = "id", text_col: str = "te
 
 
 def index_documents(existing: DataFrame | None, batch: DataFrame, id_col: str = "id",
-                    text_col: str = "text") -> DataFrame:
+                    text_col: str = "text", order_by: str | None = None) -> DataFrame:
     """Keep entries with an id (<= 50 chars) and a text; upsert by id.
 
     A repeated id replaces the stored entry (vector and text; the newest text
-    is kept -- a deviation from the source, which kept both texts).  What is not
-    taken comes from ``rejected_documents``.
+    is kept -- a deviation from the source, which kept both texts).  Of repeats within the batch the one
+    with the greatest ``order_by`` counts (the greatest text, if that is not given), so reruns agree.  What is
+    not taken comes from ``rejected_documents``.
     """
     clean = batch.filter(_indexable(id_col, text_col).isNull())
-    if existing is None:
-        return clean.dropDuplicates([id_col])
-    return upsert(existing, clean, id_col, mode="replace")
+    newest = latest_per_key(clean.withColumn("_order", F.struct(order_by or text_col, text_col)), id_col, "_order").drop("_order")
+    newest = newest.select(*batch.columns)
+    return newest if existing is None else upsert(existing, newest, id_col, mode="replace")
 
 
 def prompt(question: Column, context: Column) -> Column:
@@ -106,3 +107,25 @@ def evidence_text(parts: Sequence[tuple[str, Column]]) -> Column:
     return F.concat_ws("\n", *[F.when(v.isNotNull(), F.concat(F.lit(f"{label}: "),
                                                               v.cast("string")))
                                for label, v in parts])
+
+
+def document_evidence(hits: DataFrame, entities: DataFrame, links: DataFrame, hit_id: str, hit_entity: str, entity_key: str,
+                      link_entity: str, document: Column, entity: Column, link: Column, chunk: Column | None = None) -> DataFrame:
+    """``(hit_id, part, evidence)``: each retrieved document with its entity and all links of that entity as one text.
+
+    ``document``, ``entity`` and ``link`` are the texts of a hit, its entity and one link; a hit without an entity has its
+    document alone, an entity without links no link lines.  Links come sorted.  ``chunk`` (a number taken from a link's columns)
+    parts an entity's links over several texts, each with the document and entity at its head, so that a hot entity's are
+    not put together in one task; hits should be few (the top k).
+    """
+    names = {"hit": F.col(hit_id), "entity_of": F.col(hit_entity), "document": document}
+    h = hits.select(*[c.alias(n) for n, c in names.items()])
+    e = entities.select(F.col(entity_key).alias("entity_key"), entity.alias("entity"))
+    known = h.join(e, h["entity_of"] == e["entity_key"], "left")
+    wanted = known.select("entity_key").filter("entity_key is not null").distinct()
+    li = links.select(F.col(link_entity).alias("of"), (chunk if chunk is not None else F.lit(0)).cast("long").alias("part"), link.alias("line"))
+    li = li.join(wanted, li["of"] == wanted["entity_key"], "left_semi")
+    texts = li.groupBy("of", "part").agg(F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("lines"))
+    j = known.join(texts, known["entity_key"] == texts["of"], "left")
+    return j.select(F.col("hit").alias(hit_id), F.coalesce("part", F.lit(0)).alias("part"),
+                    F.concat_ws("\n", "document", "entity", F.when(F.col("lines") != "", F.col("lines"))).alias("evidence"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strata.ontology import Relationship
 from strata.operators.graph import (EdgeTable, NodeTable, edge_union, expand, follow,
                                     ghost_nodes, graph_counts, match_path, node_union,
-                                    route_context, route_summary, traverse)
+                                    route_context, route_summary, route_texts, traverse)
 from strata.operators.retrieve import (match_band, prompt, query_vector, vector_topk)
 from strata.plans.registry import plan
 from strata.sources.tables import Tables
@@ -90,6 +90,32 @@ def route_prompts(spark, sf_dir):
     return s.select("l_orderkey", prompt(question, context).alias("prompt"))
 
 
+@plan("route_context_prompts", """
+WITH x AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_returnflag, l_linestatus,
+                  CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE l_partkey END AS stop FROM lineitem),
+s AS (
+  SELECT l_orderkey, string_agg(coalesce(CAST(stop AS VARCHAR), 'None'), ' -> ' ORDER BY l_linenumber, l_suppkey, coalesce(stop, -1), l_returnflag, l_linestatus) AS stops,
+         arg_max(l_returnflag, (CAST(l_linenumber AS BIGINT), l_suppkey, coalesce(stop, -1), l_returnflag, l_linestatus)) FILTER (WHERE l_returnflag <> '') AS mode,
+         arg_max(l_linestatus, (CAST(l_linenumber AS BIGINT), l_suppkey, coalesce(stop, -1), l_returnflag, l_linestatus)) FILTER (WHERE l_linestatus <> 'F') AS carrier
+  FROM x GROUP BY l_orderkey)
+SELECT l_orderkey,
+       'You are a route analyst.' || chr(10) || chr(10) || 'Using only the supplied graph context,' || chr(10) || 'explain the route.' ||
+       chr(10) || chr(10) || 'Question:' || chr(10) || 'Which stops does route ' || CAST(l_orderkey AS VARCHAR) || ' visit?' || chr(10) || chr(10) ||
+       'Graph Context:' || chr(10) || 'Route:' || chr(10) || CAST(l_orderkey AS VARCHAR) || chr(10) || chr(10) || 'Carrier:' || chr(10) || coalesce(carrier, '') ||
+       chr(10) || chr(10) || 'Mode:' || chr(10) || coalesce(mode, '') || chr(10) || chr(10) || 'Stops:' || chr(10) || stops AS prompt
+FROM s
+""")
+def route_context_prompts(spark, sf_dir):
+    """Every route's prompt, its context with carrier, mode and stops; some stops are NULL, some carriers empty."""
+    li = Tables(spark, sf_dir).lineitem.select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", F.col("l_linestatus").alias("_close"),
+        F.when(F.col("l_linestatus") != "F", F.col("l_linestatus")).otherwise("").alias("carrier"),
+        F.when(F.col("l_partkey") % 11 != 0, F.col("l_partkey")).alias("stop")).withColumn("_s", F.coalesce("stop", F.lit(-1)))
+    s = route_summary(li, "l_orderkey", "l_linenumber", "stop", mode="l_returnflag", carrier="carrier", tie=["l_suppkey", "_s", "l_returnflag", "_close"])
+    question = F.format_string("Which stops does route %s visit?", F.col("l_orderkey"))
+    return s.select("l_orderkey", prompt(question, route_texts(s, "l_orderkey", "last_l_returnflag", "last_carrier")).alias("prompt"))
+
+
 @plan("match_path", """
 SELECT s_suppkey, n_nationkey, r_regionkey
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
@@ -248,3 +274,23 @@ def evidence(spark, sf_dir):
     band = match_band(F.round("score", 3))
     return top.select("vec_id", evidence_text([("item", F.col("vec_id")), ("label", F.col("label")),
                                                ("band", band)]).alias("evidence"))
+
+
+@plan("document_evidence", """
+WITH q AS (SELECT embedding FROM embeddings WHERE vec_id = 0),
+top AS (SELECT e.vec_id, e.label FROM embeddings e, q
+        ORDER BY list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) DESC, e.vec_id LIMIT 5),
+k AS (SELECT t.vec_id, 'Document: ' || CAST(label AS VARCHAR) AS document, c_custkey, 'Entity: ' || c_name AS entity FROM top t LEFT JOIN customer ON c_custkey = vec_id),
+l AS (SELECT o_custkey, o_orderkey % 4 AS part, string_agg('Link: ' || o_orderkey || ' ' || o_orderstatus || ' ' || o_orderpriority, chr(10)
+             ORDER BY 'Link: ' || o_orderkey || ' ' || o_orderstatus || ' ' || o_orderpriority) AS lines FROM orders GROUP BY 1, 2)
+SELECT vec_id, coalesce(part, 0) AS part, concat_ws(chr(10), document, entity, lines) AS evidence FROM k LEFT JOIN l ON o_custkey = c_custkey
+""")
+def document_evidence_plan(spark, sf_dir):
+    """The items nearest to one, each with its entity and all that the entity links to."""
+    from strata.operators.retrieve import document_evidence
+    t = Tables(spark, sf_dir)
+    top = vector_topk(t.embeddings, "vec_id", "embedding", query_vector(t.embeddings, "vec_id", "embedding", 0), 5, keep=["label"])
+    line = F.concat_ws(" ", F.lit("Link:"), F.col("o_orderkey").cast("string"), "o_orderstatus", "o_orderpriority")
+    return document_evidence(top, t.customer, t.orders, "vec_id", "vec_id", "c_custkey", "o_custkey",
+                             F.concat(F.lit("Document: "), F.col("label").cast("string")), F.concat(F.lit("Entity: "), F.col("c_name")), line,
+                             F.pmod("o_orderkey", F.lit(4)))

@@ -34,7 +34,21 @@ SELECT column_name, agg, round(value, 2) AS value FROM (
 """)
 def column_check(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
-    return column_aggregates(o).withColumn("value", F.round("value", 2))
+    return column_aggregates(o).select("column_name", "agg", F.round("value", 2).alias("value"))
+
+
+@plan("column_check_exact", """
+WITH t AS (SELECT event_id + 9007199254740993 AS big, CAST(value AS DECIMAL(18, 2)) AS cost, event_id FROM events)
+SELECT 'big' AS column_name, 'sum' AS agg, CAST(sum(big) AS VARCHAR) AS exact FROM t UNION ALL SELECT 'big', 'min', CAST(min(big) AS VARCHAR) FROM t
+UNION ALL SELECT 'big', 'max', CAST(max(big) AS VARCHAR) FROM t UNION ALL SELECT 'big', 'count', CAST(count(big) AS VARCHAR) FROM t
+UNION ALL SELECT 'cost', 'sum', CAST(sum(cost) AS VARCHAR) FROM t UNION ALL SELECT 'cost', 'min', CAST(min(cost) AS VARCHAR) FROM t
+UNION ALL SELECT 'cost', 'max', CAST(max(cost) AS VARCHAR) FROM t UNION ALL SELECT 'cost', 'count', CAST(count(cost) AS VARCHAR) FROM t
+UNION ALL SELECT '*', 'count', CAST(count(*) AS VARCHAR) FROM t
+""")
+def column_check_exact(spark, sf_dir):
+    """A3 in the columns' own types: whole numbers beyond 2^53 and decimals."""
+    t = Tables(spark, sf_dir).events.select((F.col("event_id") + F.lit(9007199254740993)).alias("big"), F.col("value").cast("decimal(18,2)").alias("cost"))
+    return column_aggregates(t).select("column_name", "agg", "exact")
 
 
 def _side_sql(name, table, numeric, other, where=""):

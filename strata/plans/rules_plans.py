@@ -144,6 +144,59 @@ def upsert_merge(spark, sf_dir):
     return upsert(target, batch, "c_custkey", mode="non_empty")
 
 
+_BATCH_SQL = """
+WITH t AS (SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey % 3 <> 0),
+b AS (SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE 'NEW' END AS c_mktsegment, c_nationkey FROM customer WHERE c_custkey % 2 = 0)"""
+
+
+def _merge_batch(spark, sf_dir):
+    """Two thirds of the customers, and a batch of every second one, some of them new, each key twice."""
+    c = Tables(spark, sf_dir).customer
+    target = c.filter("c_custkey % 3 <> 0").select("c_custkey", "c_name", "c_mktsegment")
+    new = c.filter("c_custkey % 2 = 0").select(
+        "c_custkey", F.when(F.col("c_custkey") % 4 == 0, F.lit("")).otherwise(F.lit("NEW")).alias("c_mktsegment"), "c_nationkey", F.lit(2).alias("seq"))
+    return target, new.unionByName(new.withColumns({"c_mktsegment": F.lit("OLD"), "seq": F.lit(1)}))
+
+
+@plan("upsert_inserts", _BATCH_SQL + """
+SELECT coalesce(t.c_custkey, b.c_custkey) AS c_custkey, t.c_name,
+       CASE WHEN b.c_custkey IS NULL OR (b.c_mktsegment = '' AND t.c_custkey IS NOT NULL) THEN t.c_mktsegment ELSE b.c_mktsegment END AS c_mktsegment,
+       b.c_nationkey
+FROM t FULL JOIN b ON t.c_custkey = b.c_custkey
+""")
+def upsert_inserts(spark, sf_dir):
+    """K1: new keys inserted, empty values kept out, the last of repeated keys, a column that only the batch has."""
+    target, batch = _merge_batch(spark, sf_dir)
+    return upsert(target, batch, "c_custkey", mode="non_empty", order_by="seq")
+
+
+@plan("upsert_replace_inserts", _BATCH_SQL + """
+SELECT coalesce(t.c_custkey, b.c_custkey) AS c_custkey, t.c_name,
+       CASE WHEN b.c_custkey IS NULL THEN t.c_mktsegment ELSE b.c_mktsegment END AS c_mktsegment, b.c_nationkey
+FROM t FULL JOIN b ON t.c_custkey = b.c_custkey
+""")
+def upsert_replace_inserts(spark, sf_dir):
+    """K2: new keys inserted, matched rows replaced with empty values too."""
+    target, batch = _merge_batch(spark, sf_dir)
+    return upsert(target, batch, "c_custkey", mode="replace", order_by="seq")
+
+
+@plan("apply_actions_branches", """
+WITH a AS (SELECT CASE WHEN event_id % 5 = 0 THEN user_id + 1000000000 ELSE user_id END AS id,
+                  CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS v, ts, event_id FROM events WHERE event_type = 'purchase'),
+l AS (SELECT id, v FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, event_id DESC) AS rn FROM a) WHERE rn = 1)
+SELECT c_custkey, CASE WHEN l.id IS NULL THEN c_acctbal ELSE l.v END AS c_acctbal FROM customer LEFT JOIN l ON l.id = c_custkey
+""")
+def apply_actions_branches(spark, sf_dir):
+    """K8: the last action counts, a NULL payload sets NULL, ids that no row has change nothing."""
+    from strata.sinks.upsert import apply_actions
+    t = Tables(spark, sf_dir)
+    ident = F.when(F.col("event_id") % 5 == 0, F.col("user_id") + 1000000000).otherwise(F.col("user_id"))
+    actions = t.events.filter("event_type = 'purchase'").select(
+        ident.alias("c_custkey"), F.when(F.col("event_id") % 3 != 0, F.col("value")).alias("c_acctbal"), F.struct("ts", "event_id").alias("seq"))
+    return apply_actions(t.customer.select("c_custkey", "c_acctbal"), actions, "c_custkey", "c_acctbal", "seq")
+
+
 @plan("audit_flatten", """
 WITH a AS (
   SELECT 'lineitem' AS table_name, 'R1' AS rule_id, l_quantity > 10 AS ok FROM lineitem

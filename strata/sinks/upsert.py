@@ -28,20 +28,31 @@ def latest_per_key(batch: DataFrame, key: Sequence[str] | str,
                    order_by: str | None = None) -> DataFrame:
     """One row per key; the row with the greatest ``order_by`` wins.
 
-    Without an order column the batch should carry distinct keys: Spark has
-    no arrival order, so which of two repeats survives is unspecified.
-    Callers pass ``order_by`` for batches with repeats.
+    Without an order column the greatest row wins, its columns compared from left to right (NULLs are
+    least): Spark has no arrival order, and so a rerun keeps the same row.  Columns that cannot be ordered (maps,
+    variants) need an ``order_by`` if keys repeat.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    if order_by is None:
-        return batch.dropDuplicates(keys)
     others = [c for c in batch.columns if c not in keys]
+    if order_by is None:
+        if not others or not all(_ordered(batch.schema[c].dataType) for c in others):
+            return batch.dropDuplicates(keys)
+        return (batch.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in others])).alias("_row"))
+                .select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in batch.columns]))
     packed = F.struct(*[F.col(c) for c in others])
     return (batch.groupBy(*keys)
             .agg(F.max_by(packed, F.col(order_by)).alias("_row"))
             .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]))
 
 
+def _ordered(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _ordered(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_ordered(f.dataType) for f in kind.fields)
+    return not isinstance(kind, T.MapType | T.VariantType)
+
+
 def _blank(c: Column, dtype) -> Column:
     if isinstance(dtype, T.StringType):
         return c.isNull() | (c == F.lit(""))
