@@ -3,7 +3,9 @@
 Paragraphs give points for length and commas to their ancestors, less to farther ones; a container's
 points are discounted by its share of link text. From the best one the whole of its ``main``, its article, or the
 container that it shares with related blocks is kept. Page furniture (menus, adverts, forms, comments, ...) is cut out
-by element, role, class or id first; a class or id alone never cuts an element that holds the article.
+by element, role, class or id first; a class or id alone never cuts an element that holds the article, and inside an
+article or main a name that its own sections may bear (``legal``, ``related-work``) cuts only what is mostly links.
+Sizes of all elements come from one pass from the leaves up, so the time grows with the page, not with its depth.
 """
 
 from __future__ import annotations
@@ -32,7 +34,11 @@ NAMES = re.compile(
     r"(?<![a-z])(?:ads?|adverts?|advertise(?:ment)?s?|advertising|banners?|breadcrumbs?|byline|comments?|commentlist|consent|cookies?|copyright|disclaimer|disqus|foot|footer|gdpr|"
     r"header|legal|masthead|menus?|modal|nav|navbar|navigation|newsletter|notices?|outbrain|pagination|pager|popups?|promos?|promoted|recommended|related|replies|reply|respond|"
     r"search|share|sharing|shoutbox|sidebars?|signup|skip|social|sponsors?|sponsored|subscribe|subscription|taboola|toolbar|widgets?)(?![a-z])", re.I)
+# Of these names, those that an article's own sections bear too.
+OWN = re.compile(r"(?<![a-z])(?:banners?|copyright|disclaimer|foot|header|legal|recommended|related|reply|respond|search|skip|social|sponsors?)(?![a-z])", re.I)
 KEEP = frozenset("article main body html".split())
+#: Ancestors that a paragraph gives points to; the last of them gets under a hundredth.
+LEVELS = 40
 # Blocks that belong to the text beside them, short or not.
 PARTS = frozenset("h1 h2 h3 h4 h5 h6 p ul ol dl table pre blockquote figure section".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)", re.S)
@@ -42,15 +48,20 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "drop", "named", "score")
+    __slots__ = ("tag", "parent", "kids", "drop", "named", "score", "size")
 
-    def __init__(self, tag, parent, drop=False, named=False):
-        self.tag, self.parent, self.kids, self.drop, self.named, self.score = tag, parent, [], drop, named, None
+    def __init__(self, tag, parent, drop=False, named=0):
+        self.tag, self.parent, self.kids, self.drop, self.named, self.score, self.size = tag, parent, [], drop, named, None, None
 
 
-def _named(attrs: str) -> bool:
-    """Whether a class or id names furniture."""
-    return any(name.lower() in ("class", "id") and NAMES.search(re.sub(r"([a-z])([A-Z])", r"\1-\2", "".join(values))) for name, *values in ATTR.findall(attrs))
+def _named(attrs: str) -> int:
+    """Whether a class or id names furniture: 2, or 1 if only by a name that sections of an article bear too."""
+    found = 0
+    for name, *values in ATTR.findall(attrs):
+        if name.lower() in ("class", "id"):
+            for m in NAMES.finditer(re.sub(r"([a-z])([A-Z])", r"\1-\2", "".join(values))):
+                found = max(found, 1 if OWN.fullmatch(m.group()) else 2)
+    return found
 
 
 def _furniture(tag: str, attrs: str, parent: Node) -> bool:
@@ -107,7 +118,7 @@ def parse(page: str) -> Node:
                 up = up.parent
             if last:
                 at = last.parent
-        node = Node(tag, at, _furniture(tag, attrs, at), bool(attrs.strip()) and _named(attrs))
+        node = Node(tag, at, _furniture(tag, attrs, at), _named(attrs) if attrs.strip() else 0)
         at.kids.append(node)
         if tag in RAW:
             stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, pos)
@@ -118,63 +129,66 @@ def parse(page: str) -> Node:
     return root
 
 
-def _length(node) -> tuple[int, int, bool]:
-    """(characters of text, characters in links, whether a block is inside), of an element without its furniture."""
-    total = links = 0
-    block = False
-    stack = [(k, False) for k in node.kids]
-    while stack:
-        k, linked = stack.pop()
-        if isinstance(k, str):
-            size = len(k.strip())
-            total += size
-            links += size * linked
-        elif not k.drop:
-            block |= k.tag in BLOCK
-            stack.extend((x, linked or k.tag == "a") for x in k.kids)
-    return total, links, block
+class Size:
+    """Of an element without its furniture: characters of text, characters in links, whether a block is inside; and of its text as a
+    whole, characters, how many of them are blank at its start and end, and commas."""
+    __slots__ = ("total", "links", "block", "raw", "lead", "trail", "commas")
 
+    def __init__(self):
+        self.total = self.links = self.raw = self.lead = self.trail = self.commas = 0
+        self.block = False
 
-def _text(node) -> str:
-    out, stack = [], list(reversed(node.kids))
-    while stack:
-        k = stack.pop()
-        if isinstance(k, str):
-            out.append(k)
-        elif not k.drop:
-            stack.extend(reversed(k.kids))
-    return "".join(out)
+    def text(self, raw: int, lead: int, trail: int, commas: int) -> None:
+        """Append a text of these numbers."""
+        if self.lead == self.raw:
+            self.lead += lead
+        self.trail = trail if trail < raw else self.trail + raw
+        self.raw += raw
+        self.commas += commas
 
 
-def _paragraphs(root: Node):
-    """(paragraph, its points)."""
-    stack = [root]
+def _measure(root: Node) -> list[Node]:
+    """Give every element its size, from the leaves up; the elements, ancestors first."""
+    order, stack = [], [root]
     while stack:
         node = stack.pop()
-        blocks = False
+        order.append(node)
+        stack.extend(k for k in node.kids if not isinstance(k, str) and not k.drop)
+    for node in reversed(order):
+        size = node.size = Size()
         for k in node.kids:
-            if not isinstance(k, str) and not k.drop:
-                stack.append(k)
-                blocks |= k.tag in BLOCK
-        if node.tag in ("p", "pre", "td", "blockquote", "h2", "h3") or node.tag in ("div", "section", "article", "li", "dd") and not blocks:
-            text = _text(node).strip()
-            if len(text) < 25:
+            if isinstance(k, str):
+                bare = len(k.strip())
+                size.total += bare
+                size.text(len(k), len(k) - len(k.lstrip()), len(k) - len(k.rstrip()), k.count(",") + k.count("，"))
+            elif not k.drop:
+                size.total += k.size.total
+                size.links += k.size.total if k.tag == "a" else k.size.links
+                size.block |= k.tag in BLOCK or k.size.block
+                size.text(k.size.raw, k.size.lead, k.size.trail, k.size.commas)
+    return order
+
+
+def _paragraphs(order: list[Node]):
+    """(paragraph, its points) of measured elements."""
+    for node in order:
+        if node.tag not in ("p", "pre", "blockquote", "h2", "h3"):
+            if node.tag not in ("td", "div", "section", "article", "li", "dd") or any(not isinstance(k, str) and not k.drop and k.tag in BLOCK for k in node.kids):
                 continue
-            yield node, 1 + text.count(",") + text.count("，") + len(text) / 100
+        n = max(0, node.size.raw - node.size.lead - node.size.trail)
+        if n >= 25:
+            yield node, 1 + node.size.commas + n / 100
 
 
 def _drop_named(root: Node):
     """Drops elements that a class or id names as furniture, but none that holds an article or main of no such name,
-    and, where none of these stands outside it, none that holds most of the page's points."""
-    order, stack = [], [root]
-    while stack:
-        node = stack.pop()
-        order.append(node)
-        stack.extend(k for k in node.kids if not isinstance(k, str) and not k.drop)
+    and, where none of these stands outside it, none that holds most of the page's points. Inside an article or main
+    a name that sections bear too drops only what is mostly links or empty."""
+    order = _measure(root)
     if not any(x.named for x in order):
         return
     points = dict.fromkeys(map(id, order), 0.0)
-    for node, n in _paragraphs(root):
+    for node, n in _paragraphs(order):
         points[id(node)] += n
     texts = dict.fromkeys(points, 0)  # articles and mains with points of their own
     own = dict.fromkeys(points, 0)  # those of them without a furniture name
@@ -186,17 +200,22 @@ def _drop_named(root: Node):
             for sums in (points, texts, own):
                 sums[id(x.parent)] += sums[id(x)]
     total, among = points[id(root)], texts[id(root)]
+    inside: dict[int, bool] = {}  # of an article or main
     for x in order:
-        if x.named and x.tag not in KEEP:
+        inside[id(x)] = x.tag in ("article", "main") or bool(x.parent) and inside[id(x.parent)]
+        if x.named == 1 and x.tag not in KEEP and inside[id(x.parent)]:
+            x.drop = x.size.links * 2 >= x.size.total
+        elif x.named and x.tag not in KEEP:
             x.drop = not (own[id(x)] or points[id(x)] > 0.5 * total and texts[id(x)] == among)
 
 
-def _score(root: Node) -> list[Node]:
-    """Points of paragraphs passed to ancestors: all to the parent, half to the next, then a third of their number up."""
+def _score(order: list[Node]) -> list[Node]:
+    """Points of paragraphs passed to ancestors: all to the parent, half to the next, then a third of their number up,
+    over ``LEVELS`` of them."""
     found = []
-    for node, points in _paragraphs(root):
+    for node, points in _paragraphs(order):
         up, level = node.parent, 0
-        while up:
+        while up and level < LEVELS:
             if up.score is None:
                 up.score = 5.0 if up.tag in ("article", "main") else 0.0
                 found.append(up)
@@ -219,11 +238,9 @@ def _blocks(node, out: list[str], line: list[str], links_go: bool = False):
             if k.tag == "br":
                 line.append(" ")
                 continue
-            if links_go and k.tag in ("ul", "ol", "dl", "table", "div", "section", "p") and k is not node:
-                total, links, _ = _length(k)
-                if links > 0.5 * total:
-                    flush()
-                    continue
+            if links_go and k.tag in ("ul", "ol", "dl", "table", "td", "th", "li", "div", "section", "p") and k is not node and k.size.links > 0.5 * k.size.total:
+                flush()
+                continue
             if k.tag in BLOCK:
                 flush()
                 work.append(("end", None))
@@ -235,10 +252,9 @@ def extract(page: str) -> str:
     """The main text of one page: its blocks joined by line ends; empty if there is none."""
     root = parse(page)
     _drop_named(root)
-    found = _score(root)
+    found = _score(_measure(root))
     for node in found:
-        total, links, _ = _length(node)
-        node.score *= 1 - links / total if total else 0
+        node.score *= 1 - node.size.links / node.size.total if node.size.total else 0
     out: list[str] = []
     if not found:
         _blocks(root, out, [], links_go=True)
@@ -249,8 +265,7 @@ def extract(page: str) -> str:
     def related(k) -> bool:
         if isinstance(k, str) or k.drop:
             return False
-        total, links, _ = _length(k)
-        return (k.score or 0) >= least or k.tag in PARTS and total > 0 and links <= 0.5 * total
+        return (k.score or 0) >= least or k.tag in PARTS and 0 < k.size.total and k.size.links <= 0.5 * k.size.total
 
     above = list(_up(best))
     whole = next((x for x in reversed(above) if x.tag == "main"), None) or next((x for x in reversed(above) if x.tag == "article"), None)
@@ -277,7 +292,8 @@ def _up(node):
 
 def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for every row. A null or empty page, or one without text, gives the empty string;
-    broken markup is read as browsers do; equal rows give equal results."""
+    broken markup is read as browsers do; equal rows give equal results; of containers with equal points the first found
+    counts; pages of any length are taken whole; other columns are not read; an empty table gives none."""
     def run(batches):
         for b in batches:
             for i in range(0, b.num_rows, 500):
