@@ -57,11 +57,13 @@ def vector_topk(vectors: DataFrame, id_col: str, vec_col: str, query: Column, k:
 
     ``k`` larger than the table gives the whole table.
     """
-    # the query is projected first: subqueries cannot sit inside lambdas
-    withq = vectors.select(F.col(id_col), F.col(vec_col), *[F.col(c) for c in keep],
-                           query.alias("_q"))
-    scored = withq.select(F.col(id_col), *[F.col(c) for c in keep],
-                          cosine(F.col(vec_col), F.col("_q")).alias("score"))
+    # the query and its norm are one scalar, worked out once; it is projected first, as subqueries cannot sit inside lambdas
+    q = vectors.sparkSession.range(1).select(query.alias("_raw")).select(as_doubles(F.col("_raw")).alias("v")).select("v", F.sqrt(_sum(F.transform("v", lambda x: x * x))).alias("n"))
+    withq = vectors.select(F.col(id_col), as_doubles(F.col(vec_col)).alias("_v"), *[F.col(c) for c in keep],
+                           q.select(F.struct("v", "n")).scalar().alias("_q"))
+    dot, norm = _sum(F.zip_with("_v", F.col("_q.v"), lambda x, y: x * y)), F.sqrt(_sum(F.transform("_v", lambda x: x * x)))
+    score = F.when((norm > 0) & (F.col("_q.n") > 0), dot / (norm * F.col("_q.n"))).otherwise(F.lit(0.0))
+    scored = withq.select(F.col(id_col), *[F.col(c) for c in keep], score.alias("score"))
     return scored.orderBy(F.desc("score"), F.col(id_col)).limit(int(k))
 
 

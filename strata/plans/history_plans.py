@@ -180,14 +180,11 @@ FROM t GROUP BY ALL
 def loose_types(spark, sf_dir):
     t = Tables(spark, sf_dir)
     li = t.lineitem
-    vals = (li.select(F.lit("l_orderkey").alias("column_name"),
-                      F.col("l_orderkey").cast("string").alias("v"))
-            .unionByName(li.select(F.lit("l_quantity").alias("column_name"),
-                                   F.col("l_quantity").cast("string").alias("v")))
-            .unionByName(li.select(F.lit("l_returnflag").alias("column_name"),
-                                   F.col("l_returnflag").alias("v")))
-            .unionByName(t.events.select(F.lit("k").alias("column_name"),
-                                         F.get_json_object("props", "$.k").alias("v"))))
+    pair = lambda name, value: F.struct(F.lit(name).alias("column_name"), value.alias("v"))
+    vals = li.select(F.inline(F.array(  # one scan
+        pair("l_orderkey", F.col("l_orderkey").cast("string")), pair("l_quantity", F.col("l_quantity").cast("string")),
+        pair("l_returnflag", F.col("l_returnflag")))))
+    vals = vals.unionByName(t.events.select(F.lit("k").alias("column_name"), F.get_json_object("props", "$.k").alias("v")))
     return vals.groupBy("column_name", coerce_loose(F.col("v"))["kind"].alias("kind")).agg(
         F.count(F.lit(1)).alias("n_values"))
 
