@@ -106,7 +106,7 @@ def row_access_sets_plan(spark, sf_dir):
 
 @plan("masked_derived", """
 SELECT c_mktsegment, count(*) AS n_orders, CAST(NULL AS DOUBLE) AS balance, round(sum(o_totalprice), 2) AS total,
-       CAST(NULL AS DOUBLE) AS share, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS finished
+       CAST(NULL AS DOUBLE) AS share, count(*) FILTER (WHERE o_orderstatus = 'F') AS finished
 FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_mktsegment
 """)
 def masked_derived(spark, sf_dir):
