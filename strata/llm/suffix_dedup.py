@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import BASE, U64, _WORD_TABLE, buffers, give_back, mix64, pieces, prefix_hash, settle, signed, span_hash, table
 
 WIDTH, GRAM = 400, 32
+#: Width of the pipeline's stage: under the bytes of a passage of 50 words, which take about 5 to 7 each.
+STAGE_WIDTH = 200
 #: Contexts of one anchor that one task holds (under 800 bytes each); anchors with more take the aggregate.
 #: Windows are matched about so many at a time, by their distance to the anchor, which equal ones share.
 HOT, WINDOWS = 10_000, 300_000
@@ -336,8 +338,11 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` with later copies of repeated passages cut out of the texts, the first one kept; n_chars follows the text."""
-    base, cut = remove_repeats(docs, keep_first=True, whole_chars=True)
+    """``docs`` with later copies of repeated passages cut out of the texts, the first one kept; n_chars follows the text.
+
+    Passages count from ``STAGE_WIDTH`` bytes on. A null text becomes an empty one; repeated rows lose their copies'
+    text but stay rows; an empty table gives none."""
+    base, cut = remove_repeats(docs, STAGE_WIDTH, keep_first=True, whole_chars=True)
     kept = settle(cut.select("rid", F.col("kept").cast("string").alias("kept")), "kept")
     full = base.join(kept, "rid", "left").withColumn("text", F.coalesce("kept", "text"))
     cols = [F.col("text") if c == "text" else F.length("text").cast("long").alias(c) if c == "n_chars" else F.col("row")[c].alias(c) for c in docs.columns]
