@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import BASE, LOWER, PUNCT, U64, buffers, mix64, pick, pieces, prefix_hash, settle, span_hash, table, words
+from strata.llm.common import BASE, LOWER, PUNCT, U64, buffers, mix64, pick, pieces, prefix_hash, settle, signed, span_hash, table, words
 
 K1, B = 1.2, 0.75
 REACH, OVERLAP, GRAM = 0.5, 0.8, 5
@@ -62,7 +62,8 @@ def parts(text: str) -> tuple[str, str]:
 class Index:
     """Postings by term, with impacts, in blocks that know their greatest impact."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], whole: tuple[int, float, dict[int, int]] | None = None):
+        """``whole``: number of all items, their mean length and {term: items that have it}, where these items are a part."""
         items = sorted(items, key=lambda x: x[0])
         self.ids = [i for i, _ in items]
         toks = [text_hashes(t) for _, t in items]
@@ -77,9 +78,12 @@ class Index:
         doc, term, tf = (np.concatenate(x) if x else np.zeros(0) for x in (doc, term, tf))
         self.terms, term = np.unique(term.astype(U64), return_inverse=True)
         doc = doc.astype(np.int64)
-        df = np.bincount(term, minlength=len(self.terms))
-        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-        w = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[doc] / max(sizes.mean(), 1)))
+        df, total, mean = np.bincount(term, minlength=len(self.terms)), n, sizes.mean()
+        if whole:
+            total, mean, of = whole
+            df = np.array([of[t] for t in signed(self.terms).tolist()], np.int64)
+        idf = np.log(1 + (total - df + 0.5) / (df + 0.5))
+        w = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[doc] / max(mean, 1)))
         w = w / np.bincount(doc, w, minlength=n)[doc]
         order = np.lexsort((doc, term))
         self.doc, self.w = doc[order], w[order]
@@ -210,24 +214,43 @@ class Index:
             yield (r, item, *x)
 
 
+def _item_terms(batches):
+    """A row for each item and distinct term of it; the item's length stands in its first row."""
+    for b in batches:
+        for i in range(b.num_rows):
+            h = text_hashes(b.column("text")[i].as_py())
+            terms = signed(np.unique(h)) if len(h) else np.zeros(0, np.int64)
+            sizes = np.zeros(len(terms), np.int64)
+            sizes[:1] = len(h)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(terms), b.column("shard")[i].as_py(), np.int32)), pa.array(terms), pa.array(sizes)], names=["shard", "term", "size"])
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD) -> DataFrame:
     """(doc_id, item_id, score, overlap, question_overlap, answer_overlap, at_word): one row for each text that holds an item.
 
     An item is held if 80 % of its word 5-grams, or of its question's and its answer's, occur around a
     retrieved passage (items or halves under five words: all their words in a row). Null or empty texts and
     items hold nothing and are never found; repeated rows give a row each; a null id stays null. The index
-    is built from at most about ``shard`` items; more items make more indexes, each a pass over ``docs``.
+    is built from at most about ``shard`` items; more items make more indexes, each a pass over ``docs``. Term counts and
+    the mean length are those of all items, so the scores do not depend on how many indexes there are. Items without an
+    id are left out.
     """
-    items = pick(benchmark, "item_id", "text").filter(F.col("text").isNotNull())
+    items = pick(benchmark, "item_id", "text").filter(F.col("text").isNotNull() & F.col("item_id").isNotNull())
     n = items.count()
     shards = max(1, -(-n // shard))
+    of_shard, shares = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int"), None
+    if shards > 1:
+        terms = settle(items.select(of_shard.alias("shard"), "text").mapInArrow(_item_terms, "shard int, term long, size long"), "terms")
+        shares = settle(terms.select("shard", "term").distinct().join(terms.groupBy("term").agg(F.count("*").alias("df")), "term"), "term-counts")
+        mean = (terms.agg(F.sum("size")).first()[0] or 0) / max(n, 1)
     rows = pick(docs, "doc_id", "text")
     kind, item_kind = rows.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id {item_kind}, score double, overlap double, question_overlap double, answer_overlap double, at_word int"
     out = None
     for s in range(shards):
-        got = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == s).collect()
-        index = docs.sparkSession.sparkContext.broadcast(Index(sorted((r[0], r[1]) for r in got if r[0] is not None)))
+        got = items.filter(of_shard == s).collect()
+        whole = (n, mean, {r["term"]: r["df"] for r in shares.filter(F.col("shard") == s).collect()}) if shares is not None else None  # of this part's terms
+        index = docs.sparkSession.sparkContext.broadcast(Index(sorted((r[0], r[1]) for r in got), whole))
         types = (pa.int64() if kind == "bigint" else None, pa.int64() if item_kind == "bigint" else None)
 
         def run(batches, index=index, types=types):
@@ -251,6 +274,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no test item. Rows sharing a contaminated row's doc_id go with it."""
-    bad = settle(hits(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("__bad")).distinct(), "leaks")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__bad"]), "left_anti")
+    """Documents that hold no test item, with their columns. Rows sharing a contaminated row's doc_id go with it, rows
+    without an id with any such row; null and empty texts hold nothing; an empty table, or no items, changes nothing."""
+    bad = settle(hits(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("bad")).distinct(), "leaks")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"))
+    return rows.join(bad, rows["id"].eqNullSafe(bad["bad"]), "left_anti").select("row.*")

@@ -237,6 +237,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.4) -> DataFrame:
-    """Documents without ``und`` or doubtful ones (score under ``least``)."""
-    names = tuple(docs.columns)
-    return identify(docs, train(docs), names).filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*[F.col(f"`{n}`") for n in names])
+    """Documents without ``und`` or doubtful ones (score under ``least``).
+
+    Without a labelled text to learn from there is no language to tell, and every document stays. A null or letterless
+    text is ``und``; repeated rows fare alike; an empty table gives none; the columns stay as they are.
+    """
+    names, model = tuple(docs.columns), train(docs)
+    if model is None:
+        return docs
+    return identify(docs, model, names).filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*[F.col(f"`{n}`") for n in names])

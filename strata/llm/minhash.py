@@ -220,6 +220,8 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group."""
-    gone = settle(near_groups(docs).filter("not keep").select(F.col("rid").alias("__rid")), "copies")
-    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(gone, "__rid", "left_anti").drop("__rid")
+    """The first document of each group, with its columns, whatever their names. Null and empty texts are groups of their
+    own kind; a null id is an id like others; repeated rows are copies; an empty table gives none."""
+    gone = settle(near_groups(docs).filter("not keep").select("rid"), "copies")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("rid"))
+    return rows.join(gone, "rid", "left_anti").select("row.*")
