@@ -3,7 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the last
 return the columns of ``documents``. ``run`` writes each stage's result as Parquet to the shared folder
 and reads it back for the next one. No SQL is given: the network, the groups and the cuts are beyond
-it; the tests hold each stage against a brute-force version.
+it; the tests hold each stage against a brute-force version. Null and letterless texts leave with the first
+stage (unless no document is labelled, when all stay), repeated rows are copies of each other, ties follow the order of the
+rows, other columns pass through, and an empty table gives an empty mix. ``run`` gives the mix alone; the cleaned texts
+are the table ``decontamination-*`` in the shared folder.
 """
 
 from pyspark.sql import DataFrame, SparkSession
