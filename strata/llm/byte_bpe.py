@@ -1,13 +1,13 @@
 """Byte-level BPE: ranked merges folded over the distinct words, ids put back into texts, and decoding.
 
 1. Spark's regular expressions split every text into words (matches of the tokenizer's pattern).
-2. The distinct words of a block of 16,384 rows (an aggregate that combines before its shuffle) are
+2. Each block of 16,384 rows names its distinct words; the distinct words of many blocks are
    encoded by ``fold``: an ``aggregate`` over the word's byte array that starts with single bytes and
    at each step joins the leftmost neighbours of least rank. Ranks come from a literal map of pairs, a hash
    table in one array of numbers; its size is that of the vocabulary file.
-3. A block's dictionary and its texts meet in one partition, dictionary first, and every text's words
-   are replaced by their ids there.
-4. Decoding reads each id's bytes from a literal array and joins the pieces of a text.
+3. A block's words and its texts meet in one partition, the words first, and every text is put together from
+   their ids there. Texts travel as the places of their words in the block's list, so they are never shuffled.
+4. Decoding takes each id's bytes and joins the binary pieces of a text.
 
 The fold copies its arrays at each step, so its time grows with the square of a word's length. Words of
 over ``LONG`` bytes (runs of one sign, text without blanks) are merged with a heap instead, to the same ids.
@@ -26,18 +26,21 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import tiktoken
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from strata.llm.common import give_back, pick, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Words of more bytes are merged with a heap.
 LONG = 512
-#: Rows of a block are 2**BLOCK_BITS; words that one slice of a batch replaces at once.
-BLOCK_BITS, SLICE = 14, 1_000_000
-_NONE = 2**31 - 1
+#: Rows of a block are 2**BLOCK_BITS; texts travel PACK at a time, or fewer with over SLICE words.
+BLOCK_BITS, PACK, SLICE = 14, 256, 1_000_000
+#: A word is folded once for the blocks of 4096 scan partitions, so that the list of its blocks stays short.
+SPAN_BITS = 33 - BLOCK_BITS + 12
 
 
 @lru_cache(4)
@@ -95,35 +98,43 @@ def fold(word, ranks: dict[bytes, int]):
     whatever the merges say. Every single byte must be a token.
     """
     table_json, p, q, bits = _pair_table(tuple(ranks.items()))
-    literal, none, mask = F.from_json(F.lit(table_json), "array<bigint>"), F.lit(_NONE), (1 << bits) - 1
+    literal, mask, none = F.from_json(F.lit(table_json), "array<bigint>"), (1 << bits) - 1, 1 << bits
+    last = none << bits
     single = F.array(*[F.lit(ranks[bytes([b])]) for b in range(256)])
-    bind = lambda value, body: F.get(F.transform(F.array(value), body), 0)  # noqa: E731  (``value`` is evaluated once)
-    key = lambda left, right: F.shiftleft(left.cast("long"), bits) + right
 
-    def rank(k):  # of the joined bytes of a pair; none if that is no token
-        places = F.transform(F.array(k % p, k % q + p), lambda at: F.get(literal, at.cast("int")))
-        return F.coalesce(F.get(F.filter(places, lambda e: F.shiftright(e, bits) == k), 0).bitwiseAND(mask).cast("int"), none)
+    def bind(value, kind, body):  # body(value), the value evaluated once
+        return F.aggregate(F.array(value), F.lit(None).cast(kind), lambda _, x: body(x))
 
-    def step(s, turn):  # turn 0 ranks all neighbours, the others join two
-        parts, near = s["parts"], s["ranks"]
+    # A part is one number: the rank of its bytes and the next part's (``none`` if they are no token), then its id.
+    def part(left, right):
+        def rank(k):
+            places = F.array((k % p).cast("int"), (k % q + p).cast("int"))
+            return F.aggregate(places, F.lit(none).cast("long"), lambda found, i: F.when(
+                F.shiftright(F.get(literal, i), bits) == k, F.get(literal, i).bitwiseAND(mask)).otherwise(found))
+        return F.shiftleft(bind(F.shiftleft(left, bits) + right, "long", rank), bits) + left
 
-        def join(least, i):  # parts i and i + 1, counted from 1
-            beside = F.filter(F.array(key(F.get(parts, i - 2), least), key(least, F.get(parts, i + 1))), lambda k: k.isNotNull())
-            begin = F.when(turn == 0, parts).otherwise(F.concat(F.slice(parts, 1, i - 1), F.array(least), F.slice(parts, i + 2, F.size(parts))))
-            pairs = F.when(turn == 0, F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda a, j: key(a, F.get(parts, j + 1)))).otherwise(beside)
-            ranked = F.concat(F.slice(near, 1, F.greatest(i - 2, F.lit(0))), F.transform(pairs, rank), F.slice(near, i + 2, F.size(near)))
-            return F.struct(begin.alias("parts"), ranked.alias("ranks"))
+    token = lambda x: x.bitwiseAND(mask)
 
-        return bind(F.coalesce(F.array_min(near), none), lambda least: F.when((turn > 0) & (least == none), s).otherwise(
-            bind(F.array_position(near, least).cast("int"), lambda i: join(least, F.greatest(i, F.lit(1))))))
+    def state(parts):  # with the least rank and the place where it is first, in one number
+        return bind(parts, kind, lambda x: F.struct(x.alias("parts"), F.array_min(F.transform(x, lambda e, j: e - token(e) + j)).alias("least")))
 
+    def step(s, _):
+        def join(new, i):  # parts i and i + 1 become the token ``new``; it and the part before are ranked again
+            def after(x, j):
+                left = F.when(j == i, new).otherwise(token(x))
+                right = F.when(j == i, token(F.get(s["parts"], i + 2))).otherwise(new)
+                return F.when((j < i - 1) | (j > i + 1), x).when(j == i + 1, F.lit(None)).when(right.isNull(), last + left).otherwise(part(left, right))
+            return state(F.filter(F.transform(s["parts"], after), lambda x: x.isNotNull()))
+        return F.when(s["least"] >= last, s).otherwise(join(F.shiftright(s["least"], bits), token(s["least"]).cast("int")))
+
+    kind = "struct<parts:array<bigint>,least:bigint>"
     raw = word.cast("binary")
     size = F.octet_length(raw)
-    empty = F.array().cast("array<int>")
-    code = lambda i: F.get(single, F.conv(F.hex(F.substring(raw, i, F.lit(1))), 16, 10).cast("int"))
-    start = F.struct(F.when(size > 0, F.transform(F.sequence(F.lit(1), size), code)).otherwise(empty).alias("parts"), empty.alias("ranks"))
-    turns = F.when(size > 1, F.sequence(F.lit(0), size - 1)).otherwise(empty)
-    merged = F.aggregate(turns, start, step, lambda s: s["parts"])
+    code = lambda i: F.get(single, F.conv(F.hex(F.substring(raw, i, F.lit(1))), 16, 10).cast("int")).cast("long")
+    codes = F.when(size > 0, F.transform(F.sequence(F.lit(1), size), code)).otherwise(F.array().cast("array<bigint>"))
+    start = bind(codes, kind, lambda x: state(F.transform(x, lambda a, j: F.when(j + 1 < F.size(x), part(a, F.get(x, j + 1))).otherwise(last + a))))
+    turns = F.when(size > 1, F.sequence(F.lit(1), size - 1)).otherwise(F.array().cast("array<int>"))
+    merged = F.aggregate(turns, start, step, lambda s: F.transform(s["parts"], lambda x: token(x).cast("int")))
     for w in _missed(tuple(ranks.items())):
         merged = F.when(raw == F.lit(w), F.array(F.lit(ranks[w]))).otherwise(merged)
     return F.when(word.isNotNull(), merged)
@@ -187,9 +198,66 @@ def split(text, pattern: str = public_tokenizers.PATTERN):
     return F.regexp_extract_all(text, F.lit(jvm_pattern(pattern)), F.lit(0))
 
 
-def _replace(ranks: dict[bytes, int]):
-    """Ids of each text. A block's dictionary comes before its texts; a text's words that it lacks are an error.
-    Words that come without ids are the long ones."""
+def _number(texts: bool):
+    """Of each block of rows (block, key, words): its distinct words in order, or each text's words as places among them.
+
+    ``mark`` is a hash of the words, by which the two agree.
+    """
+    def finish(block, keys, parts):
+        known = pa.chunked_array([u for u, _ in parts]).unique() if parts else pa.array([], pa.string())
+        known = known.take(pc.sort_indices(known))
+        mark = xxhash.xxh3_64()
+        if len(known):
+            _, ends, data = known.buffers()  # just made by ``take``: they begin with the first word
+            ends = np.frombuffer(ends, np.int32, len(known) + 1)
+            mark.update(ends.tobytes())
+            mark.update(memoryview(data)[:ends[-1]])
+        block, mark = [block], mark.intdigest() >> 1
+        if not texts:
+            for i in range(0, len(known), 100_000):
+                n = min(100_000, len(known) - i)
+                marks = pa.array([mark if i == 0 else None] + [None] * (n - 1), pa.int64())  # once, on the first word
+                yield pa.RecordBatch.from_arrays([pa.array(block * n, pa.int64()), marks, pa.array(np.arange(i, i + n, dtype=np.int32)), known.slice(i, n)],
+                                                 names=["block", "mark", "place", "word"])
+            return
+        pack = zstandard.ZstdCompressor(level=3)
+        for key, (unique, lists) in zip(keys, parts):
+            place = pc.index_in(unique, value_set=known).to_numpy()
+            at, ends = place[lists.values.to_numpy()].astype(np.int32) if len(unique) else np.zeros(0, np.int32), lists.offsets.to_numpy()
+            i = 0
+            while i < len(key):  # some hundred texts a row, which pack better than one by one
+                j = min(i + PACK, max(i + 1, int(np.searchsorted(ends, ends[i] + SLICE, "right")) - 1))
+                sink = pa.BufferOutputStream()  # keys of any type, as bytes: list columns are slow to write row by row
+                part = pa.RecordBatch.from_arrays([key.slice(i, j - i)], names=["key"])
+                with pa.ipc.new_stream(sink, part.schema) as out:
+                    out.write_batch(part)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(block, pa.int64()), pa.array([mark], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+                     pa.array([np.diff(ends[i:j + 1]).astype(np.int32).tobytes()], pa.binary()), pa.array([pack.compress(at[ends[i]:ends[j]].tobytes())], pa.binary())],
+                    names=["block", "mark", "keys", "sizes", "places"])
+                i = j
+
+    def run(batches):
+        block, keys, parts = None, [], []
+        for b in batches:
+            blocks = b.column("block").to_numpy()
+            cuts = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1]])) if len(blocks) else []
+            for a, z in zip(cuts, [*cuts[1:], b.num_rows]):
+                if blocks[a] != block:
+                    yield from finish(block, keys, parts)
+                    block, keys, parts = int(blocks[a]), [], []
+                    give_back()
+                lists = b.column("words").slice(a, z - a)
+                coded = lists.flatten().dictionary_encode()
+                ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+                parts.append((coded.dictionary, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), coded.indices) if texts else None))
+                keys.append(b.column("key").slice(a, z - a) if texts else None)
+        yield from finish(block, keys, parts)
+    return run
+
+
+def _assemble(ranks: dict[bytes, int]):
+    """Ids of each text. A block's words come before its texts, in order; those that come as words are the long ones."""
     def ids_of(part):
         ids = part.column("ids")
         if not ids.null_count:
@@ -197,34 +265,31 @@ def _replace(ranks: dict[bytes, int]):
         return pa.array([merge_long(w.encode(), ranks) if i is None else i for w, i in zip(part.column("word").to_pylist(), ids.to_pylist())], ids.type)
 
     def run(batches):
-        block, words, ids, known = None, [], [], None
+        block, marks, known = None, set(), []
         for b in batches:
             give_back()
             blocks, is_text = b.column("block").to_numpy(), b.column("is_text").to_numpy(zero_copy_only=False)
             cuts = np.flatnonzero(np.concatenate([[True], (blocks[1:] != blocks[:-1]) | (is_text[1:] != is_text[:-1])]))
             for a, z in zip(cuts.tolist(), [*cuts[1:].tolist(), b.num_rows]):
                 if blocks[a] != block:
-                    block, words, ids, known = blocks[a], [], [], None
+                    block, marks, known = blocks[a], set(), []
                 part = b.slice(a, z - a)
+                marks.update(pc.unique(part.column("mark").drop_null()).to_pylist())
                 if not is_text[a]:
-                    words.append(part.column("word"))
-                    ids.append(ids_of(part))
+                    known.append(ids_of(part))
                     continue
-                if known is None:
-                    known = pa.concat_arrays(words or [pa.array([], pa.string())]), pa.concat_arrays(ids or [pa.array([], pa.list_(pa.int32()))])
-                    words, ids = [], []
-                lists = part.column("words")
-                sizes = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
-                i = 0
-                while i < z - a:
-                    j = max(i + 1, int(np.searchsorted(sizes, sizes[i] + SLICE, "right")) - 1)
-                    at = pc.index_in(lists.slice(i, j - i).flatten(), value_set=known[0])
-                    if at.null_count:
-                        raise ValueError("a text's word is not in its block's dictionary: the rows must come from a stable scan")
-                    got = known[1].take(at)
-                    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(got).to_numpy())])[sizes[i:j + 1] - sizes[i]]
-                    yield pa.RecordBatch.from_arrays([part.column("key").slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), got.flatten())], names=["key", "ids"])
-                    i = j
+                if len(known) != 1:
+                    known = [pa.concat_arrays(known) if known else pa.array([], pa.list_(pa.int32()))]
+                if len(marks) > 1:
+                    raise ValueError("a block's words are not those of its texts: the rows must come from a stable scan")
+                unpack = zstandard.ZstdDecompressor()
+                for i in range(z - a):
+                    places = np.frombuffer(unpack.decompress(part.column("places")[i].as_py()), np.int32)
+                    got = known[0].take(pa.array(places))
+                    words = np.concatenate([[0], np.cumsum(np.frombuffer(part.column("sizes")[i].as_py(), np.int32))])
+                    keys = pa.ipc.open_stream(part.column("keys")[i].as_py()).read_all().column(0).combine_chunks()
+                    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(got).to_numpy())])[words]
+                    yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), got.flatten())], names=["key", "ids"])
     return run
 
 
@@ -232,37 +297,66 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
     """(``key``, ids array<int>) of every row of ``docs``, which has ``key`` and text.
 
     A null or empty text has no ids; repeated rows and null keys are rows like others; ties of rank go to the
-    leftmost pair; an empty table gives none; other columns are not read. ``docs`` must be a stable scan, whose
-    rows are numbered by place; if it is not, the job fails.
+    leftmost pair; an empty table gives none; other columns are not read. ``docs`` must be a stable scan, which is
+    read twice and whose blocks then hold the same rows; if they do not, the job fails.
     """
-    rows = pick(docs, key, "text").select(F.col(f"`{key}`").alias("key"), F.coalesce("text", F.lit("")).alias("text")).withColumn(
-        "block", F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS))
-    words = rows.select("block", F.explode(split("text", pattern)).alias("word")).distinct()
-    merged = words.withColumn("ids", F.when(F.octet_length("word") <= long, fold(F.col("word"), ranks)))
-    kind = rows.schema["key"].dataType
-    dictionary = merged.select("block", F.lit(False).alias("is_text"), "word", "ids", F.lit(None).cast(kind).alias("key"), F.lit(None).cast("string").alias("text"))
-    texts = rows.select("block", F.lit(True).alias("is_text"), F.lit(None).cast("string").alias("word"), F.lit(None).cast("array<int>").alias("ids"), "key", "text")
-    dealt = dictionary.union(texts).repartition("block").sortWithinPartitions("block", "is_text")
-    dealt = dealt.select("block", "is_text", "word", "ids", "key", F.when(F.col("is_text"), split("text", pattern)).alias("words"))
-    return dealt.mapInArrow(_replace(ranks), StructType([StructField("key", kind), StructField("ids", ArrayType(IntegerType()))])).withColumnRenamed("key", key)
-
-
-def decode(ids, ranks: dict[bytes, int]):
-    """Column of the bytes (binary) that a column of ids stands for, their pieces joined in order.
-
-    Null gives null, no ids the empty string of bytes; an id without a piece is an error.
+    rows = pick(docs, key, "text").select(
+        F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS).alias("block"), F.col(f"`{key}`").alias("key"),
+        split(F.coalesce("text", F.lit("")), pattern).alias("words"))
+    of = rows.schema["key"].dataType
+    words = rows.mapInArrow(_number(False), "block long, mark long, place int, word string")
+    words = words.withColumn("span", F.shiftright("block", SPAN_BITS)).repartition("word", "span")  # so the groups need no other shuffle
+    merged = words.groupBy("word", "span").agg(F.collect_list(F.struct("block", "mark", "place")).alias("at")).withColumn(
+        "ids", F.when(F.octet_length("word") <= long, fold(F.col("word"), ranks)))
+    packs = StructType([*(StructField(n, LongType()) for n in ("block", "mark")), *(StructField(n, BinaryType()) for n in ("keys", "sizes", "places"))])
+    none = [F.lit(None).cast(packs[n].dataType).alias(n) for n in ("keys", "sizes", "places")]
+    known = merged.select(F.explode("at").alias("at"), "word", "ids").select(
+        "at.block", "at.mark", F.lit(False).alias("is_text"), "at.place", F.when(F.col("ids").isNull(), F.col("word")).alias("word"), "ids", *none)
+    texts = rows.mapInArrow(_number(True), packs).select(
+        "block", "mark", F.lit(True).alias("is_text"), F.lit(None).cast("int").alias("place"), F.lit(None).cast("string").alias("word"),
+        F.lit(None).cast("array<int>").alias("ids"), "keys", "sizes", "places")
+    dealt = known.union(texts).repartition("block").sortWithinPartitions("block", "is_text", "place")
+    return dealt.mapInArrow(_assemble(ranks), StructType([StructField("key", of), StructField("ids", ArrayType(IntegerType()))])).withColumnRenamed("key", key)
+
+
+def decode(coded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", into: str = "decoded") -> DataFrame:
+    """``coded`` with ``into``: the bytes (binary) that each row's ``ids`` stand for, their pieces joined in order.
+
+    Null gives null, no ids the empty string of bytes; an id without a piece is an error. Other columns stay; one that is
+    named ``into`` is replaced.
     """
-    pieces = [""] * (max(ranks.values(), default=-1) + 1)
+    pieces: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
-        pieces[rank] = token.hex()
-    literal = F.from_json(F.lit(json.dumps([p or None for p in pieces])), "array<string>")
-    piece = lambda i: F.coalesce(F.get(literal, i), F.raise_error(F.concat(F.lit("no token has the id "), i.cast("string"))))
-    return F.unhex(F.array_join(F.transform(ids, piece), ""))  # joined as text: one pass, where folding would copy
+        pieces[rank] = token
+
+    def run(batches):
+        known = pa.array(pieces, pa.binary())
+        for b in batches:
+            lists = b.column(ids)
+            sizes = np.cumsum(np.concatenate([[0], pc.fill_null(pc.list_value_length(lists), 0).to_numpy()]))
+            i = 0
+            while i < b.num_rows:
+                j = max(i + 1, int(np.searchsorted(sizes, sizes[i] + SLICE, "right")) - 1)
+                part = lists.slice(i, j - i)
+                flat = part.flatten()
+                odd = pc.or_(pc.less(flat, 0), pc.greater_equal(flat, len(pieces)))
+                if pc.any(odd).as_py():
+                    raise ValueError(f"no token has the id {flat.filter(odd)[0]}")
+                got = known.take(flat)
+                if got.null_count:
+                    raise ValueError(f"no token has the id {flat.filter(got.is_null())[0]}")
+                joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(sizes[i:j + 1] - sizes[i], pa.int32()), got), b"")
+                joined = pc.if_else(pc.is_valid(part), joined, pa.scalar(None, pa.binary()))
+                yield pa.RecordBatch.from_arrays([*(b.column(n).slice(i, j - i) for n in kept), joined], names=[*kept, into])
+                i = j
+
+    kept = [n for n in coded.columns if n != into]
+    return coded.mapInArrow(run, StructType([*(coded.schema[n] for n in kept), StructField(into, BinaryType())]))
 
 
 def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = read_ranks(public_tokenizers.path(VOCABULARY))
-    return encode(table(spark, sf_dir, "documents"), ranks).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.transform("ids", lambda i: i.cast("string")), " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids"), ranks), 256).alias("decoded_sha256"))
+    coded = encode(table(spark, sf_dir, "documents"), ranks)
+    return decode(coded, ranks).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))

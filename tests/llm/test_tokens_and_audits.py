@@ -41,7 +41,7 @@ def test_bpe_equals_the_library(spark, docs, none, name, long):
     ranks = byte_bpe.read_ranks(public_tokenizers.path(name))
     enc = library(ranks)
     coded = byte_bpe.encode(docs, ranks, long=long)
-    got = [(r.doc_id, r.ids, bytes(r.b)) for r in coded.select("doc_id", "ids", byte_bpe.decode(F.col("ids"), ranks).alias("b")).collect()]
+    got = [(r.doc_id, r.ids, bytes(r.b)) for r in byte_bpe.decode(coded, ranks, into="b").collect()]
     assert sorted(got, key=repr) == sorted([(i, enc.encode_ordinary(t or ""), (t or "").encode()) for i, t in ROWS], key=repr)
     assert byte_bpe.encode(none, ranks).count() == 0
 
@@ -92,9 +92,13 @@ def test_bpe_splits_every_code_point_as_the_library(spark):
 def test_decode_odd_ids(spark):
     ranks = {bytes([b]): b for b in range(256)}
     rows = spark.createDataFrame([(1, [104, 105]), (2, []), (3, None)], "i int, ids array<int>")
-    assert {r.i: r.b for r in rows.select("i", byte_bpe.decode(F.col("ids"), ranks).alias("b")).collect()} == {1: b"hi", 2: b"", 3: None}
-    with pytest.raises(Exception, match="no token has the id 999"):
-        spark.createDataFrame([([999],)], "ids array<int>").select(byte_bpe.decode(F.col("ids"), ranks)).collect()
+    assert {r.i: r.b for r in byte_bpe.decode(rows.withColumn("b", F.lit("clash")), ranks, into="b").collect()} == {1: b"hi", 2: b"", 3: None}
+    assert byte_bpe.decode(rows.limit(0), ranks).count() == 0
+    for odd in (999, -1):
+        with pytest.raises(Exception, match=f"no token has the id {odd}"):
+            byte_bpe.decode(spark.createDataFrame([([104, odd],)], "ids array<int>"), ranks).collect()
+    with pytest.raises(Exception, match="no token has the id 300"):
+        byte_bpe.decode(spark.createDataFrame([([300],)], "ids array<int>"), {**ranks, b"long": 301}).collect()
 
 
 def test_skip_list():
