@@ -116,6 +116,23 @@ def schema_checked_ingest(spark, sf_dir):
     return both.groupBy("outcome").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@plan("schema_checked_rejects", """
+SELECT event_type, CASE WHEN event_id % 7 < 5 THEN 'rejected' ELSE 'good' END AS outcome, count(*) AS n_rows,
+       sum(CASE WHEN event_id % 7 >= 5 THEN CAST(json_extract(props, '$.k') AS BIGINT) END)::BIGINT AS total
+FROM events GROUP BY 1, 2
+""")
+def schema_checked_rejects(spark, sf_dir):
+    """Payloads of another type, no JSON, without the field, with a fraction, out of range."""
+    odd = ['{"k": "7"}', "no json", "{}", '{"k": 1.5}', '{"k": 99999999999}']
+    text = F.col("props")
+    for i, value in enumerate(odd):
+        text = F.when(F.col("event_id") % 7 == i, value).otherwise(text)
+    c = schema_checked(Tables(spark, sf_dir).events.select("event_type", text.alias("props")), "props", T.StructType([T.StructField("k", T.IntegerType())]))
+    good = c.good.groupBy("event_type").agg(F.count("*").alias("n_rows"), F.sum("parsed.k").alias("total")).withColumn("outcome", F.lit("good"))
+    bad = c.rejected.groupBy("event_type").agg(F.count("*").alias("n_rows")).withColumn("outcome", F.lit("rejected"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 @plan("unused_parts", """
 SELECT p_partkey FROM part WHERE p_partkey NOT IN (
   SELECT l_partkey FROM lineitem

@@ -187,6 +187,18 @@ def null_counts_plan(spark, sf_dir):
     return null_counts(Tables(spark, sf_dir).documents)
 
 
+@plan("null_counts_branches", """
+SELECT 'event_id' AS column_name, count(*) FILTER (WHERE event_id % 10 = 0) AS n_null FROM events
+UNION ALL SELECT 'value', count(*) FILTER (WHERE value > 10) FROM events UNION ALL SELECT 'props', count(*) FROM events
+UNION ALL SELECT 'user_id', 0 FROM events HAVING count(*) > 0
+""")
+def null_counts_branches(spark, sf_dir):
+    """Columns with some, all and no NULLs."""
+    return null_counts(Tables(spark, sf_dir).events.select(
+        F.when(F.col("event_id") % 10 != 0, F.col("event_id")).alias("event_id"), F.when(~(F.col("value") > 10), F.col("value")).alias("value"),
+        F.lit(None).cast("string").alias("props"), "user_id"))
+
+
 @plan("file_checksums")
 def file_checksums_plan(spark, sf_dir):
     files = file_checksums(spark, f"{sf_dir.rstrip('/')}/*.parquet")
