@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.clock import epoch_micros
 from strata.operators.telemetry import (
     active, delayed_longer_than, latest_state, parse_telemetry, sla_kpis)
 from strata.plans.registry import ORACLE, plan
@@ -170,6 +171,8 @@ def stream_delays(spark, sf_dir):
     """D3 on the stream, from Spark's keyed state; events may be late by as much as the table spans."""
     root = scratch_path(spark, f"stream-delays-{uuid.uuid4().hex}")
     run_delay_state(_message_stream(spark, sf_dir, root), f"{root}/delays", f"{root}/checkpoint", delay="10000 days").awaitTermination()
-    newest = Tables(spark, sf_dir).events.agg(F.max("ts")).scalar()
-    return delayed_packages(current_delay_state(spark, f"{root}/delays"), 2.0, newest).withColumn(
-        "delayed_since", F.col("delayed_since").cast("timestamp_ntz"))
+    events = Tables(spark, sf_dir).events
+    # the messages' times are the events' local times marked as UTC, whatever the session's zone
+    newest = events.agg(F.timestamp_micros(epoch_micros(F.max("ts"), events.schema["ts"].dataType))).scalar()
+    late = delayed_packages(current_delay_state(spark, f"{root}/delays"), 2.0, newest)
+    return late.withColumn("delayed_since", F.expr("timestampadd(MICROSECOND, unix_micros(delayed_since), timestamp_ntz'1970-01-01 00:00:00')"))
