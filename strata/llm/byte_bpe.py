@@ -37,10 +37,11 @@ from strata.llm.common import give_back, pick, table
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Words of more bytes are merged with a heap.
 LONG = 512
-#: Rows of a block are 2**BLOCK_BITS; texts travel PACK at a time, or fewer with over SLICE words.
-BLOCK_BITS, PACK, SLICE = 14, 256, 1_000_000
+#: Rows of a block are 2**BLOCK_BITS, cut into parts of about WORDS words where texts are long, up to 2**PART_BITS of them;
+#: texts travel PACK at a time, or fewer with over SLICE words.
+BLOCK_BITS, PART_BITS, WORDS, PACK, SLICE = 14, 12, 1 << 24, 256, 1_000_000
 #: A word is folded once for the blocks of 4096 scan partitions, so that the list of its blocks stays short.
-SPAN_BITS = 33 - BLOCK_BITS + 12
+SPAN_BITS = 33 - BLOCK_BITS + PART_BITS + 12
 
 
 @lru_cache(4)
@@ -198,10 +199,11 @@ def split(text, pattern: str = public_tokenizers.PATTERN):
     return F.regexp_extract_all(text, F.lit(jvm_pattern(pattern)), F.lit(0))
 
 
-def _number(texts: bool):
+def _number(texts: bool, words: int = WORDS):
     """Of each block of rows (block, key, words): its distinct words in order, or each text's words as places among them.
 
-    ``mark`` is a hash of the words, by which the two agree.
+    ``mark`` is a hash of the words, by which the two agree. A part of a block ends with the row that fills it, so a task
+    holds about ``words`` words, or one text.
     """
     def finish(block, keys, parts):
         known = pa.chunked_array([u for u, _ in parts]).unique() if parts else pa.array([], pa.string())
@@ -238,10 +240,19 @@ def _number(texts: bool):
                 i = j
 
     def run(batches):
-        block, keys, parts = None, [], []
+        block, keys, parts, whole, seen = None, [], [], None, 0
         for b in batches:
-            blocks = b.column("block").to_numpy()
-            cuts = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1]])) if len(blocks) else []
+            if not b.num_rows:
+                continue
+            rows, sizes = b.column("block").to_numpy(), pc.list_value_length(b.column("words")).to_numpy()
+            # words of the block before each row: those of earlier batches, if it began there, and of earlier rows
+            before = np.cumsum(sizes) - sizes
+            first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+            start = np.repeat(before[first], np.diff([*first, len(rows)]))
+            before = before - start + np.where(rows == whole, seen, 0)
+            blocks = (rows << PART_BITS) + np.minimum(before // words, (1 << PART_BITS) - 1)
+            whole, seen = rows[-1], int(before[-1] + sizes[-1])
+            cuts = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1]]))
             for a, z in zip(cuts, [*cuts[1:], b.num_rows]):
                 if blocks[a] != block:
                     yield from finish(block, keys, parts)
@@ -293,7 +304,8 @@ def _assemble(ranks: dict[bytes, int]):
     return run
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN, key: str = "doc_id", long: int = LONG) -> DataFrame:
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN, key: str = "doc_id", long: int = LONG,
+           part_words: int = WORDS) -> DataFrame:
     """(``key``, ids array<int>) of every row of ``docs``, which has ``key`` and text.
 
     A null or empty text has no ids; repeated rows and null keys are rows like others; ties of rank go to the
@@ -304,7 +316,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
         F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS).alias("block"), F.col(f"`{key}`").alias("key"),
         split(F.coalesce("text", F.lit("")), pattern).alias("words"))
     of = rows.schema["key"].dataType
-    words = rows.mapInArrow(_number(False), "block long, mark long, place int, word string")
+    words = rows.mapInArrow(_number(False, part_words), "block long, mark long, place int, word string")
     words = words.withColumn("span", F.shiftright("block", SPAN_BITS)).repartition("word", "span")  # so the groups need no other shuffle
     merged = words.groupBy("word", "span").agg(F.collect_list(F.struct("block", "mark", "place")).alias("at")).withColumn(
         "ids", F.when(F.octet_length("word") <= long, fold(F.col("word"), ranks)))
@@ -312,7 +324,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
     none = [F.lit(None).cast(packs[n].dataType).alias(n) for n in ("keys", "sizes", "places")]
     known = merged.select(F.explode("at").alias("at"), "word", "ids").select(
         "at.block", "at.mark", F.lit(False).alias("is_text"), "at.place", F.when(F.col("ids").isNull(), F.col("word")).alias("word"), "ids", *none)
-    texts = rows.mapInArrow(_number(True), packs).select(
+    texts = rows.mapInArrow(_number(True, part_words), packs).select(
         "block", "mark", F.lit(True).alias("is_text"), F.lit(None).cast("int").alias("place"), F.lit(None).cast("string").alias("word"),
         F.lit(None).cast("array<int>").alias("ids"), "keys", "sizes", "places")
     dealt = known.union(texts).repartition("block").sortWithinPartitions("block", "is_text", "place")

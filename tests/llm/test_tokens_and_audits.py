@@ -46,6 +46,13 @@ def test_bpe_equals_the_library(spark, docs, none, name, long):
     assert byte_bpe.encode(none, ranks).count() == 0
 
 
+def test_bpe_parts_of_blocks(spark, docs):
+    ranks = byte_bpe.read_ranks(public_tokenizers.path(byte_bpe.VOCABULARY))
+    enc = library(ranks)
+    got = sorted(((r.doc_id, r.ids) for r in byte_bpe.encode(docs, ranks, part_words=7).collect()), key=repr)
+    assert got == sorted(((i, enc.encode_ordinary(t or "")) for i, t in ROWS), key=repr)
+
+
 def test_bpe_folds_every_word(spark, docs, monkeypatch):
     # the main path gives no word to the heap
     ranks = byte_bpe.read_ranks(public_tokenizers.path(byte_bpe.VOCABULARY))
