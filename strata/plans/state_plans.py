@@ -84,8 +84,9 @@ def events_in_periods_plan(spark, sf_dir):
     periods = ev.filter(F.col("event_type").isin("signup", "error")).select(
         F.col("event_id").alias("period_id"), F.col("grp").alias("period_grp"), F.col("ts").alias("valid_from"), then.alias("valid_to"))
     events = ev.filter("event_type = 'purchase'").select("event_id", "grp", "ts", "value")
-    pairs = events_in_periods(events, periods, "grp", "period_grp", "ts", "valid_from", "valid_to")
-    return pairs.groupBy("period_id").agg(F.count("*").alias("n_events"), F.round(F.sum("value"), 2).alias("total"))
+    sums = {"n_events": F.lit(1).cast("long"), "total": F.col("value")}
+    held = events_in_periods(events, periods, "grp", "period_grp", "ts", "valid_from", "valid_to", sums)
+    return held.groupBy("period_id").agg(F.sum("n_events").alias("n_events"), F.round(F.sum("total"), 2).alias("total"))
 
 
 @plan("row_access_sets", """

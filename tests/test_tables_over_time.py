@@ -147,3 +147,29 @@ def test_no_pair_outside_the_overlap_is_formed(spark):
     join = next(line for line in plan.split("\n") if "Join Inner" in line)
     assert ">" not in join and "<" not in join  # equalities alone: each pair that is formed is a match
     assert got.count() == 3 * 2000 - 3
+
+
+def test_sums_over_periods_form_no_pairs(spark):
+    rng = np.random.default_rng(5)
+    ev = [("hot" if i % 4 else None, int(t), None if i % 7 == 0 else i) for i, t in enumerate(rng.integers(0, 5000, 1500))]
+    pe = [(i % 900, "hot" if i % 5 else None, int(a), None if i % 3 == 0 else int(a + rng.integers(-5, 4000))) for i, a in enumerate(rng.integers(0, 5000, 1000))]
+    events, periods = spark.createDataFrame(ev, "g string, at long, x long"), spark.createDataFrame(pe, "p long, pg string, a long, b long")
+    held = events_in_periods(events, periods, "g", "pg", "at", "a", "b", {"n": F.lit(1).cast("long"), "total": F.col("x")})
+    want = {}
+    for p, pg, a, b in pe:
+        inside = [x for g, t, x in ev if pg is not None and g == pg and a <= t and (b is None or t < b)]
+        if inside:
+            n, total = want.get(p, (0, 0))
+            want[p] = n + len(inside), total + sum(x or 0 for x in inside)
+    assert {r.p: (r.n, r.total or 0) for r in held.groupBy("p").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).collect()} == want
+    assert held.columns == ["g", "n", "total", "p", "pg", "a", "b"]
+    assert held.count() <= 2 * 13 * len(pe) < sum(n for n, _ in want.values()) / 10  # two nodes a level at most, not a row an event
+    plan = held._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+    assert events_in_periods(events.limit(0), periods, "g", "pg", "at", "a", "b", {"n": F.lit(1)}).columns == ["g", "n", "p", "pg", "a", "b"]
+
+
+def test_no_periods_of_the_events_own_key(spark):
+    events, periods = spark.createDataFrame([("a", 1)], "k string, at long"), spark.createDataFrame([("a", 5, 3)], "k string, a long, b long")
+    got = events_in_periods(events, periods, "k", "k", "at", "a", "b")
+    assert (got.columns, got.count()) == (["k", "at", "a", "b"], 0)
