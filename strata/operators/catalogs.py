@@ -55,17 +55,16 @@ def spec_paths(rows: DataFrame, entity: str, payload: str, depth: int = 6) -> Da
     values, and so do objects ``depth`` levels down.  Types are those of ``schema_of_variant_agg``; an empty object is one too.
     """
     spark = rows.sparkSession
-    level = rows.select(F.col(entity).alias("entity"), F.lit("").alias("path"), F.try_parse_json(payload).alias("value")).filter("value is not null")
-    out = None
-    for k in range(depth):
-        is_object = F.schema_of_variant("value").startswith("OBJECT") & (F.schema_of_variant("value") != "OBJECT<>")
-        name = F.regexp_replace("key", r"([\\.])", r"\\$1")
-        inner = level.filter(is_object).withColumnRenamed("value", "_v")
-        inner = inner.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer())).select(
-            "entity", F.when(F.col("path") == "", name).otherwise(F.concat_ws(".", "path", name)).alias("path"), "value")
-        last = k == depth - 1
-        deeper = F.schema_of_variant("value").startswith("OBJECT") & (F.schema_of_variant("value") != "OBJECT<>")
-        leaf = inner if last else inner.filter(~deeper)
-        out = leaf if out is None else out.unionByName(leaf)
-        level = inner.filter(deeper)
-    return out.groupBy("entity", "path").agg(F.schema_of_variant_agg("value").alias("type"))
+    is_object = F.schema_of_variant("value").startswith("OBJECT") & (F.schema_of_variant("value") != "OBJECT<>")
+    name = F.regexp_replace("key", r"([\\.])", r"\\$1")
+    # Paths and types follow from a payload's own schema, so one payload of each schema is opened.
+    parsed = rows.select(F.col(entity).alias("entity"), F.col(payload).alias("_text"), F.try_parse_json(payload).alias("value"))
+    shapes = parsed.filter(is_object).select("entity", "_text", F.schema_of_variant("value").alias("_shape")).dropDuplicates(["entity", "_shape"])
+    level = shapes.select("entity", F.lit("").alias("path"), F.try_parse_json("_text").alias("value"))
+    for _ in range(depth):  # each step opens the objects and passes the other values on, so the rows are read once
+        level = level.select("entity", "path", "value", F.when(is_object, F.col("value")).alias("_v"))
+        inner = level.lateralJoin(spark.tvf.variant_explode_outer(F.col("_v").outer()).select("key", F.col("value").alias("_inner")))
+        opened = F.col("_v").isNotNull()
+        level = inner.select("entity", F.when(~opened, F.col("path")).when(F.col("path") == "", name).otherwise(F.concat_ws(".", "path", name)).alias("path"),
+                             F.when(opened, F.col("_inner")).otherwise(F.col("value")).alias("value"))
+    return level.groupBy("entity", "path").agg(F.schema_of_variant_agg("value").alias("type"))

@@ -204,6 +204,7 @@ SELECT entity, change, diff, md5(concat_ws('-', entity, change, diff)) AS change
 def schema_change_log(spark, sf_dir):
     """K9: the changes of the nested payloads at the date, path by path, logged twice: equal changes are one row."""
     rows = _nested(Tables(spark, sf_dir).events)
-    old, new = (spec_paths(rows.filter(F.col("after") == side), "table_name", "payload") for side in (False, True))
+    # a row a path, read five times by the comparison
+    old, new = (cut_lineage(spec_paths(rows.filter(F.col("after") == side), "table_name", "payload")) for side in (False, True))
     changes = cut_lineage(schema_changes(old, new))
     return log_changes(log_changes(None, changes), changes).select("entity", "change", "diff", "change_id")

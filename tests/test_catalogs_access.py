@@ -46,6 +46,25 @@ def test_spec_paths(spark):
     assert set(shallow) == {"k", "m", r"d\.t"} and shallow["m"].startswith("OBJECT<")
 
 
+def test_spec_paths_read_their_rows_once(spark, tmp_dir):
+    rows = [("a", '{"": {"": 1, "n": null}, "m": {"x": {"y": {"z": {"u": {"v": {"w": 1}}}}}}, "e": {}}'), ("a", '{"m": 7}'), ("a", "[1]"), ("a", "null"), (None, '{"k": true}')]
+    spark.createDataFrame(rows, "n string, p string").write.parquet(f"{tmp_dir}/r")
+    df = spec_paths(spark.read.parquet(f"{tmp_dir}/r"), "n", "p")
+    assert {(r.entity, r.path): r.type for r in df.collect()} == {
+        ("a", ""): "BIGINT", ("a", "n"): "VOID", ("a", "m"): "BIGINT", ("a", "m.x.y.z.u.v"): "OBJECT<w: BIGINT>", ("a", "e"): "OBJECT<>", (None, "k"): "BOOLEAN"}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and plan.count("Generate") == 6
+
+
+def test_spec_paths_of_names_that_look_like_types(spark):
+    rows = [("a", '{"x: BIGINT, y": 1}'), ("a", '{"x": 1, "y": 1}'), ("a", '{"x": 1, "y": "t"}'), ("a", '{"x: BIGINT, y": 1, "z": {"`q": 1.5}}'), ("a", '{"z": {"`q": 1}}'), ("b", '{"x": 1, "y": 1}')]
+    df = spark.createDataFrame(rows * 3, "n string, p string")
+    got = {(r.entity, r.path): r.type for r in spec_paths(df, "n", "p").collect()}
+    assert got.pop(("a", "z.`q")).startswith("DECIMAL")
+    assert got == {("a", "x: BIGINT, y"): "BIGINT", ("a", "x"): "BIGINT", ("a", "y"): "VARIANT", ("b", "x"): "BIGINT", ("b", "y"): "BIGINT"}
+    assert [r[0] for r in df.select(F.schema_of_variant(F.parse_json("p"))).limit(2).collect()] == ["OBJECT<`x: BIGINT, y`: BIGINT>", "OBJECT<x: BIGINT, y: BIGINT>"]
+
+
 def spec(name, props, kind="ObjectType", **more):
     return json.dumps({"kind": kind, "metadata": {"name": name}, "spec": {"tableName": f"t_{name}", "primaryKey": "id", "properties": props}, **more})
 
