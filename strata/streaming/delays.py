@@ -6,6 +6,9 @@ times after it.  Of those that the watermark has passed only the first is kept,
 more, so the state is bounded by what a package sends within the watermark's delay.  The results equal the
 batch operator's for events at most ``delay`` late, whatever their order.
 
+A call of the Python function costs far more than the few events of a package, so packages share a fixed number of
+buckets, by a hash: a bucket's state holds the states of its packages, and one call takes all of its events in a micro-batch.
+
 Changed packages go to a table of changes (``strata.streaming.changes``); repeated events change nothing.
 """
 
@@ -22,7 +25,9 @@ from strata.operators.telemetry import DELAYED
 from strata.streaming.changes import newest, read_changes, run_changes
 
 # Times travel as microseconds, which no session's time zone can shift.
-STATE_SCHEMA = "last_ok long, delayed array<long>, latest long, status string"
+STATE_SCHEMA = "package_id array<string>, last_ok array<long>, delayed array<array<long>>, latest array<long>, status array<string>"
+#: Buckets of packages. Each is rewritten if one of its packages changes; the number is fixed for the life of a checkpoint.
+BUCKETS = 1024
 _NO_TIME = -(1 << 62)  # a missing time on its way out of Python
 _ROW = "package_id string, current_status string, last_ok long, delayed_since long, latest long"
 COLUMNS = ("package_id string, current_status string, last_ok timestamp, "
@@ -53,21 +58,28 @@ def advance(before: tuple | None, times: np.ndarray, statuses: np.ndarray, water
 
 
 def _update(key, frames, state: GroupState):
-    now = state.get if state.exists else None
+    """The changed packages of one bucket."""
+    known = {p: now for p, *now in zip(*state.get)} if state.exists else {}
     watermark = state.getCurrentWatermarkMs() * 1000
+    changed = {}  # in order of arrival
     for f in frames:
-        if len(f):
-            now = advance(now, f["ts"].to_numpy(np.int64), f["status"].to_numpy(object), watermark)
-    if now is None:
+        code, ids = pd.factorize(f["package_id"].to_numpy(object), use_na_sentinel=False)
+        order = np.argsort(code, kind="stable")
+        times, statuses = f["ts"].to_numpy(np.int64)[order], f["status"].to_numpy(object)[order]
+        ends = np.cumsum(np.bincount(code, minlength=len(ids)))
+        for p, a, z in zip(ids, [0, *ends[:-1]], ends):
+            p = None if pd.isna(p) else p
+            known[p] = changed[p] = advance(known.get(p), times[a:z], statuses[a:z], watermark)
+    if not changed:
         return
-    state.update(now)
-    last_ok, held, latest, status = now
-    since = held[0] if status == DELAYED and held else _NO_TIME
-    yield pd.DataFrame({"package_id": [key[0]], "current_status": [status], "last_ok": [_NO_TIME if last_ok is None else last_ok],
-                        "delayed_since": [since], "latest": [latest]})
+    state.update((list(known), *(list(c) for c in zip(*known.values()))))
+    since = [held[0] if status == DELAYED and held else _NO_TIME for _, held, _, status in changed.values()]
+    yield pd.DataFrame({"package_id": list(changed), "current_status": [now[3] for now in changed.values()],
+                        "last_ok": [_NO_TIME if now[0] is None else now[0] for now in changed.values()],
+                        "delayed_since": since, "latest": [now[2] for now in changed.values()]})
 
 
-def delay_states(stream: DataFrame, delay: str = "1 day") -> DataFrame:
+def delay_states(stream: DataFrame, delay: str = "1 day", buckets: int = BUCKETS) -> DataFrame:
     """The state of each package that a micro-batch changes, from a parsed telemetry stream (update mode).
 
     Events without a time are left out.  Events more than ``delay`` late are still taken in, but one that ends a delay
@@ -76,7 +88,8 @@ def delay_states(stream: DataFrame, delay: str = "1 day") -> DataFrame:
     timed = stream.select("package_id", F.coalesce("status", F.lit("")).alias("status"),
                           F.try_to_timestamp("timestamp").alias("event_time")).filter("event_time is not null")
     timed = timed.withWatermark("event_time", delay).withColumn("ts", F.unix_micros("event_time"))
-    rows = timed.groupBy("package_id").applyInPandasWithState(_update, _ROW, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+    timed = timed.withColumn("bucket", F.pmod(F.xxhash64("package_id"), F.lit(buckets)))
+    rows = timed.groupBy("bucket").applyInPandasWithState(_update, _ROW, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
     return rows.select("package_id", "current_status", *[
         F.when(F.col(c) != _NO_TIME, F.timestamp_micros(c)).alias(c) for c in ("last_ok", "delayed_since", "latest")])
 

@@ -266,6 +266,45 @@ def test_advance_equals_batch_in_any_order(spark):
         assert whole[1][:1] == later[:1].tolist()
 
 
+def test_one_call_takes_all_packages_of_a_bucket():
+    """Packages that share a bucket, over several calls and chunks: each has the state that it has alone, and only changed ones are returned."""
+    import numpy as np
+    import pandas as pd
+    from strata.streaming.delays import _NO_TIME, _update, advance
+
+    class State:
+        exists, get = False, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
+    rng, state, alone, last = np.random.default_rng(3), State(), {}, {}
+    names = np.array(["A", "B", "C", None, "D"], object)
+    for call in range(6):
+        frames = []
+        for _ in range(3):
+            n = int(rng.integers(0, 9))
+            f = pd.DataFrame({"package_id": names[rng.integers(0, 4 if call % 2 else 5, n)], "ts": rng.integers(1, 40, n) * 1_000_000,
+                              "status": rng.choice(np.array(["DELAYED", "AT_HUB"], object), n)})
+            frames.append(f)
+        seen = set()
+        for f in frames:
+            for p in dict.fromkeys(f["package_id"]):
+                mine = f[f["package_id"].isna() if p is None else f["package_id"] == p]
+                alone[p] = advance(alone.get(p), mine["ts"].to_numpy(np.int64), mine["status"].to_numpy(object), 0)
+                seen.add(p)
+        out = pd.concat([pd.DataFrame(), *_update((7,), frames, state)])
+        got = {r.package_id: (r.current_status, r.last_ok, r.delayed_since, r.latest) for r in out.itertuples()}
+        assert got == {p: (s, _NO_TIME if ok is None else ok, held[0] if s == "DELAYED" and held else _NO_TIME, top)
+                       for p in seen for ok, held, top, s in [alone[p]]}
+        if alone:
+            last = {p: tuple(now) for p, *now in zip(*state.get)}
+        assert last == alone
+
+
 def test_stream_delays_out_of_order(spark, tmp_dir):
     """A late event that ends a delay in its middle moves the start of the delay."""
     from strata.streaming.delays import current_delay_state, delayed_packages, run_delay_state
