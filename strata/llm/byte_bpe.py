@@ -6,7 +6,8 @@
    at each step joins the leftmost neighbours of least rank. Ranks come from a literal map of pairs, a hash
    table in one array of numbers; its size is that of the vocabulary file.
 3. A block's words and its texts meet in one partition, the words first, and every text is put together from
-   their ids there. Texts travel as the places of their words in the block's list, so they are never shuffled.
+   their ids there. Texts travel as the places of their words in the block's list, so they are never shuffled; a block's words
+   travel as packs of places and ids, some hundred thousand words at a time.
 4. Decoding takes each id's bytes and joins the binary pieces of a text.
 
 The fold copies its arrays at each step, so its time grows with the square of a word's length. Words of
@@ -30,7 +31,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
 from strata.llm.common import give_back, pick, table
 
@@ -234,9 +235,9 @@ def _number(texts: bool, words: int = WORDS):
                 with pa.ipc.new_stream(sink, part.schema) as out:
                     out.write_batch(part)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(block, pa.int64()), pa.array([mark], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+                    [pa.array(block, pa.int64()), pa.array([mark], pa.int64()), pa.array([True]), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
                      pa.array([np.diff(ends[i:j + 1]).astype(np.int32).tobytes()], pa.binary()), pa.array([pack.compress(at[ends[i]:ends[j]].tobytes())], pa.binary())],
-                    names=["block", "mark", "keys", "sizes", "places"])
+                    names=["block", "mark", "is_text", "keys", "sizes", "places"])
                 i = j
 
     def run(batches):
@@ -267,43 +268,86 @@ def _number(texts: bool, words: int = WORDS):
     return run
 
 
-def _assemble(ranks: dict[bytes, int]):
-    """Ids of each text. A block's words come before its texts, in order; those that come as words are the long ones."""
-    def ids_of(part):
-        ids = part.column("ids")
-        if not ids.null_count:
-            return ids
-        return pa.array([merge_long(w.encode(), ranks) if i is None else i for w, i in zip(part.column("word").to_pylist(), ids.to_pylist())], ids.type)
+_STABLE = "a block's words are not those of its texts: the rows must come from a stable scan"
+
+
+def _deal(ranks: dict[bytes, int]):
+    """Words' ids for their blocks: of some words at a time one row a block, with their places in order and their ids, packed.
+
+    Words that come without ids are the long ones, which are merged here, once for all of their blocks.
+    """
+    def packs(held):
+        t = pa.Table.from_batches(held).combine_chunks()
+        at, ids = t.column("at").chunk(0), t.column("ids").chunk(0)
+        if ids.null_count:
+            ids = pa.array([merge_long(w.encode(), ranks) if i is None else i for w, i in zip(t.column("word").to_pylist(), ids.to_pylist())], ids.type)
+        flat, owner = at.flatten(), pc.list_parent_indices(at).to_numpy()
+        block, place, mark = flat.field("block").to_numpy(), flat.field("place").to_numpy(), flat.field("mark")
+        order = np.lexsort((place, block))
+        cuts = np.flatnonzero(np.concatenate([[True], block[order][1:] != block[order][:-1]]))
+        pack = zstandard.ZstdCompressor(level=3)
+        for a, z in zip(cuts, [*cuts[1:], len(order)]):
+            rows = order[a:z]
+            part, marks = ids.take(pa.array(owner[rows])), pc.unique(mark.take(pa.array(rows)).drop_null()).to_pylist()
+            if len(marks) > 1:
+                raise ValueError(_STABLE)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block[order[a]]], pa.int64()), pa.array(marks or [None], pa.int64()), pa.array([False]),
+                 *(pa.array([pack.compress(x.astype(np.int32).tobytes())], pa.binary()) for x in (place[rows], pc.list_value_length(part).to_numpy(), part.flatten().to_numpy()))],
+                names=["block", "mark", "is_text", "keys", "sizes", "places"])
 
     def run(batches):
-        block, marks, known = None, set(), []
+        held, n = [], 0
         for b in batches:
-            give_back()
-            blocks, is_text = b.column("block").to_numpy(), b.column("is_text").to_numpy(zero_copy_only=False)
-            cuts = np.flatnonzero(np.concatenate([[True], (blocks[1:] != blocks[:-1]) | (is_text[1:] != is_text[:-1])]))
-            for a, z in zip(cuts.tolist(), [*cuts[1:].tolist(), b.num_rows]):
-                if blocks[a] != block:
-                    block, marks, known = blocks[a], set(), []
-                part = b.slice(a, z - a)
-                marks.update(pc.unique(part.column("mark").drop_null()).to_pylist())
-                if not is_text[a]:
-                    known.append(ids_of(part))
-                    continue
-                if len(known) != 1:
-                    known = [pa.concat_arrays(known) if known else pa.array([], pa.list_(pa.int32()))]
-                if len(marks) > 1:
-                    raise ValueError("a block's words are not those of its texts: the rows must come from a stable scan")
-                unpack = zstandard.ZstdDecompressor()
-                for i in range(z - a):
-                    places = np.frombuffer(unpack.decompress(part.column("places")[i].as_py()), np.int32)
-                    got = known[0].take(pa.array(places))
-                    words = np.concatenate([[0], np.cumsum(np.frombuffer(part.column("sizes")[i].as_py(), np.int32))])
-                    keys = pa.ipc.open_stream(part.column("keys")[i].as_py()).read_all().column(0).combine_chunks()
-                    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(got).to_numpy())])[words]
-                    yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), got.flatten())], names=["key", "ids"])
+            if b.num_rows:
+                held.append(b)
+                n += len(b.column("at").flatten())
+            if n >= SLICE:
+                yield from packs(held)
+                held, n = [], 0
+                give_back()
+        if held:
+            yield from packs(held)
     return run
 
 
+def _assemble(batches):
+    """Ids of each text. A block's words come before its texts."""
+    unpack = zstandard.ZstdDecompressor()
+    numbers = lambda raw: np.frombuffer(unpack.decompress(raw.as_py()), np.int32)
+
+    def lists(packs):  # the block's words in order, each with its ids
+        if not packs:
+            return pa.array([], pa.list_(pa.int32()))
+        place, sizes, ids = (np.concatenate(x) for x in zip(*packs))
+        order = np.argsort(place)
+        if not np.array_equal(place[order], np.arange(len(place))):
+            raise ValueError(_STABLE)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(ids)).take(pa.array(order))
+
+    block, marks, packs, known = None, set(), [], None
+    for b in batches:
+        give_back()
+        blocks, is_text, mark = b.column("block").to_pylist(), b.column("is_text").to_pylist(), b.column("mark").to_pylist()
+        for i in range(b.num_rows):
+            if blocks[i] != block:
+                block, marks, packs, known = blocks[i], set(), [], None
+            if mark[i] is not None:
+                marks.add(mark[i])
+            if not is_text[i]:
+                packs.append([numbers(b.column(n)[i]) for n in ("keys", "sizes", "places")])
+                continue
+            if len(marks) > 1:
+                raise ValueError(_STABLE)
+            if known is None:
+                known, packs = lists(packs), []
+            got = known.take(pa.array(numbers(b.column("places")[i])))
+            words = np.concatenate([[0], np.cumsum(np.frombuffer(b.column("sizes")[i].as_py(), np.int32))])
+            keys = pa.ipc.open_stream(b.column("keys")[i].as_py()).read_all().column(0).combine_chunks()
+            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(got).to_numpy())])[words]
+            yield pa.RecordBatch.from_arrays([keys, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), got.flatten())], names=["key", "ids"])
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN, key: str = "doc_id", long: int = LONG,
            part_words: int = WORDS) -> DataFrame:
     """(``key``, ids array<int>) of every row of ``docs``, which has ``key`` and text.
@@ -320,15 +364,12 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
     words = words.withColumn("span", F.shiftright("block", SPAN_BITS)).repartition("word", "span")  # so the groups need no other shuffle
     merged = words.groupBy("word", "span").agg(F.collect_list(F.struct("block", "mark", "place")).alias("at")).withColumn(
         "ids", F.when(F.octet_length("word") <= long, fold(F.col("word"), ranks)))
-    packs = StructType([*(StructField(n, LongType()) for n in ("block", "mark")), *(StructField(n, BinaryType()) for n in ("keys", "sizes", "places"))])
-    none = [F.lit(None).cast(packs[n].dataType).alias(n) for n in ("keys", "sizes", "places")]
-    known = merged.select(F.explode("at").alias("at"), "word", "ids").select(
-        "at.block", "at.mark", F.lit(False).alias("is_text"), "at.place", F.when(F.col("ids").isNull(), F.col("word")).alias("word"), "ids", *none)
-    texts = rows.mapInArrow(_number(True, part_words), packs).select(
-        "block", "mark", F.lit(True).alias("is_text"), F.lit(None).cast("int").alias("place"), F.lit(None).cast("string").alias("word"),
-        F.lit(None).cast("array<int>").alias("ids"), "keys", "sizes", "places")
-    dealt = known.union(texts).repartition("block").sortWithinPartitions("block", "is_text", "place")
-    return dealt.mapInArrow(_assemble(ranks), StructType([StructField("key", of), StructField("ids", ArrayType(IntegerType()))])).withColumnRenamed("key", key)
+    packs = StructType([*(StructField(n, LongType()) for n in ("block", "mark")), StructField("is_text", BooleanType()),
+                        *(StructField(n, BinaryType()) for n in ("keys", "sizes", "places"))])
+    known = merged.select("at", F.when(F.col("ids").isNull(), F.col("word")).alias("word"), "ids").mapInArrow(_deal(ranks), packs)
+    texts = rows.mapInArrow(_number(True, part_words), packs)
+    dealt = known.union(texts).repartition("block").sortWithinPartitions("block", "is_text")
+    return dealt.mapInArrow(_assemble, StructType([StructField("key", of), StructField("ids", ArrayType(IntegerType()))])).withColumnRenamed("key", key)
 
 
 def decode(coded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", into: str = "decoded") -> DataFrame:

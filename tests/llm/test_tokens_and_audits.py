@@ -199,3 +199,20 @@ def test_tensor_figures_by_counting():
     n = t[0]  # third filter is D, after C and A
     assert removed == n[0, :, 0, 1, :].sum() and kept == n[0, :, 0, 0, :].sum() and redundant == n[:, :, :, 1, :].sum() - removed and unique == n[0, 0, 0, 1, 0]
     assert good == t[1][0, :, 0, 1, :].sum() and toxic == t[2][0, :, 0, 1, :].sum()
+
+
+def test_words_travel_in_packs():
+    """A pack names each block's words in order with their ids, long words merged; texts of blocks with other words are an error."""
+    ranks = byte_bpe.read_ranks(byte_bpe.public_tokenizers.path(byte_bpe.VOCABULARY))
+    at = [[{"block": 1, "mark": None, "place": 1}, {"block": 0, "mark": 5, "place": 0}], [{"block": 1, "mark": 6, "place": 0}]]
+    kind = byte_bpe.pa.list_(byte_bpe.pa.struct([("block", byte_bpe.pa.int64()), ("mark", byte_bpe.pa.int64()), ("place", byte_bpe.pa.int32())]))
+    ids = byte_bpe.pa.array([[7, 8], None], byte_bpe.pa.list_(byte_bpe.pa.int32()))
+    batch = byte_bpe.pa.RecordBatch.from_arrays([byte_bpe.pa.array(at, kind), byte_bpe.pa.array([None, "hello"]), ids], names=["at", "word", "ids"])
+    got = byte_bpe.pa.Table.from_batches(byte_bpe._deal(ranks)([batch, batch.slice(0, 0)])).to_pylist()
+    numbers = lambda raw: byte_bpe.np.frombuffer(byte_bpe.zstandard.decompress(raw), byte_bpe.np.int32).tolist()
+    hello = byte_bpe.merge_long(b"hello", ranks)
+    assert [(r["block"], r["mark"], r["is_text"], *(numbers(r[c]) for c in ("keys", "sizes", "places"))) for r in got] == [
+        (0, 5, False, [0], [2], [7, 8]), (1, 6, False, [0, 1], [len(hello), 2], [*hello, 7, 8])]
+    at[0][0]["mark"] = 4
+    with pytest.raises(ValueError, match="stable scan"):
+        list(byte_bpe._deal(ranks)([byte_bpe.pa.RecordBatch.from_arrays([byte_bpe.pa.array(at, kind), byte_bpe.pa.array([None, "hello"]), ids], names=["at", "word", "ids"])]))
