@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.file_md5 import file_md5
+
 
 # Type-name fragments that make a column numeric for checks.
 NUMERIC_MARKERS = ("INT", "NUMERIC", "FLOAT", "DOUBLE", "DECIMAL", "REAL")
@@ -267,7 +269,7 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 
 def file_checksums(spark, path_glob: str) -> DataFrame:
-    """D14 one side: ``(file_name, size, md5)`` per file, read as binary.
+    """D14 one side: ``(file_name, size, md5)`` per file, its bytes streamed, so of any size.
 
     ``file_name`` is the path below the folder that the glob starts from, so files
     of one name in different subfolders stay apart.
@@ -278,9 +280,12 @@ def file_checksums(spark, path_glob: str) -> DataFrame:
     below = F.substring_index(F.col("path"), root, -1)
     name = F.when(F.col("path").contains(root), below).otherwise(
         F.element_at(F.split(F.col("path"), "/"), -1))
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path_glob)
-            .select(name.alias("file_name"),
-                    F.col("length").alias("size"), F.md5(F.col("content")).alias("md5")))
+    out = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path_glob)
+           .select(name.alias("file_name"),
+                   F.col("length").alias("size"), file_md5(spark, F.col("path")).alias("md5")))
+    # a file that the session lets its readers ignore has no row
+    flags = ("spark.sql.files.ignoreMissingFiles", "spark.sql.files.ignoreCorruptFiles")
+    return out.filter(F.col("md5").isNotNull()) if any(spark.conf.get(c).lower() == "true" for c in flags) else out
 
 
 def compare_checksums(source: DataFrame, target: DataFrame) -> DataFrame:
